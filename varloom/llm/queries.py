@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, media
+from . import bpe, decontam, media, secrets_scan
 from .common import crc_mod, read_table
 
 
@@ -42,9 +42,62 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which benchmark items' windows every document holds, and where."""
+    found = decontam.find_windows(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    n_hit = decontam.covered("hits")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item, least(10, len(w)) AS k, array_to_string(w[i + 1:i + least(10, len(w))], ' ') AS s
+  FROM b, unnest(range(0, greatest(len(w) - 9, 1))) AS t(i) WHERE len(w) > 0
+), ks AS (SELECT DISTINCT k FROM win), dw AS (
+  SELECT doc_id, k, i, array_to_string(w[i + 1:i + k], ' ') AS s FROM d, ks, unnest(range(0, len(w) - k + 1)) AS t(i)
+), hit AS (SELECT doc_id, dw.k, i, item FROM dw JOIN win ON win.k = dw.k AND win.s = dw.s), n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id
+), its AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
+"""
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, plain and wrapped."""
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["depth"] == 0)
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return secrets_scan.scan(read_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in secrets_scan.KINDS),
+        F.sha2(secrets_scan.listing(base), 256).alias("base_sha256"),
+        secrets_scan.listing(spans).alias("spans"),
+        (F.size(spans) - F.size(base)).cast("long").alias("n_unwrapped"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op7_secret_scan": op7_secret_scan,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_media_columns": op10_media_columns,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_benchmark_decontamination": OP4_SQL}
