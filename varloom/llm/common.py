@@ -41,7 +41,7 @@ def crc_mod(col: Column, mod: int) -> Column:
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for the frame: plan statistics, no job."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString())
+    return int(str(size))
 
 
 def pick_parts(df: DataFrame, bytes_each: int, least: int) -> int:

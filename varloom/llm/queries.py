@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, media, secrets_scan
+from . import bpe, decontam, lm, media, secrets_scan
 from .common import crc_mod, read_table
 
 
@@ -42,6 +42,14 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of every document under the backoff automaton."""
+    docs = read_table(spark, sf_dir, "documents")
+    remainder = crc_mod(F.col("doc_id"), 7)
+    out = lm.score(docs, remainder != 2)
+    return out.select("doc_id", (remainder == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which benchmark items' windows every document holds, and where."""
     found = decontam.find_windows(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -94,6 +102,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op7_secret_scan": op7_secret_scan,
     "op8_byte_bpe": op8_byte_bpe,
