@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, lm, media, secrets_scan
+from . import bpe, decontam, lm, media, minhash, secrets_scan
 from .common import crc_mod, read_table
 
 
@@ -47,7 +47,12 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     remainder = crc_mod(F.col("doc_id"), 7)
     out = lm.score(docs, remainder != 2)
-    return out.select("doc_id", (remainder == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return out.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose sets of four-word shingles are alike."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +71,23 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP3_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + 4], ' ') AS g
+  FROM d, unnest(range(0, greatest(len(w) - 3, 1))) AS t(i) WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l), r(node, top) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT e.b, r.top FROM r JOIN e ON e.a = r.node WHERE r.top < e.b
+), c AS (SELECT node, min(top) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
 OP4_SQL = rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -103,10 +125,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op7_secret_scan": op7_secret_scan,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_media_columns": op10_media_columns,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_benchmark_decontamination": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_minhash_dedup": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL}
