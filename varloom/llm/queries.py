@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, lm, media, minhash, secrets_scan
+from . import bpe, decontam, lm, media, minhash, quality, secrets_scan, toxicity
 from .common import crc_mod, read_table
 
 
@@ -109,6 +109,24 @@ FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
 """
 
 
+def _classified(scored: DataFrame, remainder: Column, threshold: float) -> DataFrame:
+    return scored.select("doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of every document."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, crc_mod(F.col("_id"), 5) != 0)
+    return _classified(toxicity.score(docs, model), crc_mod(F.col("doc_id"), 5), 0.5)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, crc_mod(F.col("_id"), 5) != 0)
+    return _classified(quality.score(docs, model), crc_mod(F.col("doc_id"), 5), 0.3)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, plain and wrapped."""
     spans = F.col("spans")
@@ -127,6 +145,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality": op6_quality,
     "op7_secret_scan": op7_secret_scan,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_media_columns": op10_media_columns,
