@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, lm, media, minhash, quality, secrets_scan, toxicity
+from . import bpe, decontam, html_text, lm, media, minhash, quality, secrets_scan, toxicity
 from .common import crc_mod, read_table
 
 
@@ -26,6 +26,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    out = html_text.extract(read_table(spark, sf_dir, "pages"), keep=["url"])
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's stored form and of what is read back."""
     out = media.read(media.store(read_table(spark, sf_dir, "documents")))
@@ -149,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_secret_scan": op7_secret_scan,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_html_extraction": op9_html_extraction,
     "op10_media_columns": op10_media_columns,
 }
 
