@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_text, lm, media, minhash, quality, secrets_scan, toxicity
+from . import bpe, decontam, html_text, lm, media, minhash, quality, secrets_scan, toxicity, training_order
 from .common import crc_mod, read_table
 
 
@@ -56,6 +56,17 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token sequences, as read back from the shards in
+    training order."""
+    import public_tokenizers
+
+    ids = bpe.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, chunk=1 << 20)
+    path = training_order.shared_path(spark, "training-order")
+    training_order.materialise(ids, path, end_id=50_256, key="varloom epoch 0")
+    return training_order.read_from(spark, path).select("slot", "shard", "doc_id", "serial", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256"))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose sets of four-word shingles are alike."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=4, percent=80)
@@ -149,6 +160,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_training_order": op2_training_order,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_toxicity": op5_toxicity,
