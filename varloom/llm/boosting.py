@@ -89,7 +89,7 @@ def fit_tree(b: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, bins: int,
     return Tree(feature, threshold, value)
 
 
-def fit_boosted_trees(x: np.ndarray, y: np.ndarray, rounds: int = 120, depth: int = 3, bins: int = 64, rate: float = 0.15, penalty: float = 2.0, least: float = 1.0) -> BoostedTrees:
+def fit_boosted_trees(x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 3, bins: int = 64, rate: float = 0.12, penalty: float = 4.0, least: float = 3.0) -> BoostedTrees:
     edges = bin_edges(x, bins)
     b = binned(x, edges)
     p = np.clip(y.mean() if len(y) else 0.5, 1e-4, 1 - 1e-4)

@@ -38,6 +38,19 @@ def crc_mod(col: Column, mod: int) -> Column:
     return F.crc32(F.encode(col.cast("string"), "UTF-8")) % F.lit(mod)
 
 
+def carry(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None) -> tuple[DataFrame, list[str], list[str], str, str]:
+    """What an operator sends to Python: the id and the kept columns under
+    names that can't clash, and the text once.  Returns (rows, their names in
+    Python, their own names, the text's name in Python, the schema's start)."""
+    own = [id_col, *(c for c in keep or [] if c != id_col)]
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    names = [f"_k{i}" for i in range(len(own))]
+    text = names[own.index(text_col)] if text_col in own else "_text"
+    columns = [F.col(f"`{c}`").alias(n) for c, n in zip(own, names, strict=True)]
+    rows = df.select(*columns) if text_col in own else df.select(*columns, F.col(f"`{text_col}`").alias("_text"))
+    return rows, names, own, text, "".join(f"{n} {kinds[c]}, " for c, n in zip(own, names, strict=True))
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for the frame: plan statistics, no job."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
@@ -165,6 +178,9 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(np.asarray(starts, np.int64) - (ends - counts), counts)
 
 
+_ZSTD = pa.Codec("zstd", 3)
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed blob: byte planes compress well for small or
     sorted numbers."""
@@ -175,7 +191,7 @@ def pack(*arrays: np.ndarray) -> bytes:
         parts.append(np.array([a.size, ord(a.dtype.char)], np.int64).tobytes() + planes)
     raw = np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
     head = np.array([len(parts), len(raw)], np.int64).tobytes()
-    return head + pa.compress(raw, codec="zstd", asbytes=True)
+    return head + _ZSTD.compress(raw, asbytes=True)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORDLIKE, Words, flat_text, slices
+from .common import WORDLIKE, Words, carry, slices
 
 #: Words of a window, and words of the items that one pass over the documents takes along.
 WIDTH, MOST_WORDS = 10, 1_000_000
@@ -147,10 +147,7 @@ HITS = "n_words bigint, hits array<struct<first:bigint,last:bigint>>, items arra
 def find_windows(spark: SparkSession, docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", bench_text: str = "text", width: int = WIDTH, most_words: int = MOST_WORDS, keep: list[str] | None = None) -> DataFrame:
     """(id_col, [keep], n_words, hits, items) for each document: the word
     ranges that windows cover, merged, and the items they come from."""
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    carried = [id_col, *(c for c in keep or [] if c != id_col)]
-    rows = docs.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(carried)), F.col(text_col).alias("_text"))
-    schema = "".join(f"_k{i} {kinds[c]}, " for i, c in enumerate(carried)) + HITS
+    rows, names, own, text, schema = carry(docs, id_col, text_col, keep)
     listed = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
     out: DataFrame | None = None
     groups = 0
@@ -160,8 +157,8 @@ def find_windows(spark: SparkSession, docs: DataFrame, bench: DataFrame, id_col:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            for batch in slices(batches, "_text"):
-                words, begin, window = index.find(batch.column("_text"))
+            for batch in slices(batches, text):
+                words, begin, window = index.find(batch.column(text))
                 n = batch.num_rows
                 hits: list[list[dict]] = [[] for _ in range(n)]
                 owners: list[list[str]] = [[] for _ in range(n)]
@@ -175,17 +172,17 @@ def find_windows(spark: SparkSession, docs: DataFrame, bench: DataFrame, id_col:
                         hits[i].append({"first": a, "last": b})
                     found = np.unique(np.concatenate([index.owners[k] for k in np.unique(window[lo:hi])]))
                     owners[i] = [index.names[k] for k in found]
-                kept = [batch.column(f"_k{i}") for i in range(len(carried))]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(words.counts, pa.int64()), pa.array(hits, listed), pa.array(owners, pa.list_(pa.string()))], [*(f"_k{i}" for i in range(len(carried))), "n_words", "hits", "items"])
+                kept = [batch.column(c) for c in names]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(words.counts, pa.int64()), pa.array(hits, listed), pa.array(owners, pa.list_(pa.string()))], [*names, "n_words", "hits", "items"])
 
-        part = rows.mapInArrow(run, schema)
+        part = rows.mapInArrow(run, schema + HITS)
         out = part if out is None else out.unionByName(part)
         groups += 1
     if groups > 1:
-        # a document's rows of several groups meet again; its key is its kept columns
-        keys = [f"_k{i}" for i in range(len(carried))]
-        out = out.groupBy(*keys).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return out.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(carried)), "n_words", "hits", "items")
+        # a document's rows of several groups meet again; equal rows meet too, and part again by their number
+        keyed = out.groupBy(*names).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), (F.count("*") / groups).cast("int").alias("copies"))
+        out = keyed.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+    return out.select(*(F.col(n).alias(c) for c, n in zip(own, names, strict=True)), "n_words", "hits", "items")
 
 
 def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

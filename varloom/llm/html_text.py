@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import carry, slices
 
 # Element names of HTML by how they behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -305,15 +305,12 @@ def main_text(page: str | None) -> str:
 
 def extract(df: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
     """(id_col, [keep], text): the main text of every page."""
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    carried = [id_col, *(c for c in keep or [] if c != id_col)]
-    names = [f"_k{i}" for i in range(len(carried))]
-    rows = df.select(*(F.col(c).alias(n) for c, n in zip(carried, names, strict=True)), F.col(html_col).alias("_html"))
+    rows, names, own, page, schema = carry(df, id_col, html_col, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_html"):
-            texts = [main_text(x) for x in batch.column("_html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], [*names, "text"])
+        for batch in slices(batches, page):
+            texts = [main_text(x) for x in batch.column(page).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], [*names, "main_text"])
 
-    out = rows.mapInArrow(run, "".join(f"{n} {kinds[c]}, " for c, n in zip(carried, names, strict=True)) + "text string")
-    return out.select(*(F.col(n).alias(c) for c, n in zip(carried, names, strict=True)), "text")
+    out = rows.mapInArrow(run, schema + "main_text string")
+    return out.select(*(F.col(n).alias(c) for c, n in zip(own, names, strict=True)), F.col("main_text").alias("text"))

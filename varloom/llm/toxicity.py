@@ -28,15 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import BoostedTrees, Isotonic, fit_boosted_trees, fit_isotonic
-from .common import slices
+from .common import carry, slices
 from .features import DIGIT, LETTER, PUNCTUATION, UPPER, Texts, byte_set, labelled_sample
 
 #: Labelled rows that the model is fitted on, and terms that the lexicon may have.
 MOST_LABELLED, MOST_TERMS = 20_000, 5_000
 #: Lengths of word beginnings that count as terms, and the least word length for them.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 #: How many toxic documents of the sample hold a term at least, and its least log odds.
-LEAST_TOXIC, LEAST_ODDS = 6, 2.5
+LEAST_TOXIC, LEAST_ODDS = 5, 2.5
 
 # Insults, and words of the second person, of four languages.
 INSULTS = frozenset(
@@ -99,7 +99,15 @@ def learn_terms(sample: DataFrame) -> dict[str, float]:
     odds = F.log((F.col("pos") + 0.5) / (p + 1)) - F.log((F.col("neg") + 0.5) / (n - p + 1))
     found = sample.select("_text", "y").mapInArrow(count, "term string, pos bigint, neg bigint").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     kept = found.where(F.col("pos") >= LEAST_TOXIC).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), F.desc("pos"), "term").limit(MOST_TERMS)
-    return {r["term"]: float(r["odds"]) for r in kept.collect()}
+    terms = {r["term"]: r for r in kept.collect()}
+    # a beginning stays if it marks documents beyond those of its commonest longer term
+    longer: dict[str, int] = {}
+    for term, r in terms.items():
+        stem = term.rstrip("*")
+        for n in BEGINNINGS:
+            if n < len(stem):
+                longer[f"{stem[:n]}*"] = max(longer.get(f"{stem[:n]}*", 0), r["pos"])
+    return {t: float(r["odds"]) for t, r in terms.items() if not t.endswith("*") or r["pos"] - longer.get(t, 0) >= LEAST_TOXIC}
 
 
 def toxicity_features(column: pa.Array, lexicon: dict[str, float]) -> np.ndarray:
@@ -169,14 +177,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic"
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(id_col, [keep], score) of every text."""
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    carried = [id_col, *(c for c in keep or [] if c != id_col)]
-    names = [f"_k{i}" for i in range(len(carried))]
-    rows = docs.select(*(F.col(c).alias(n) for c, n in zip(carried, names, strict=True)), F.col(text_col).alias("_text"))
+    rows, names, own, text, schema = carry(docs, id_col, text_col, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(model(batch.column("_text")), pa.float64())], [*names, "score"])
+        for batch in slices(batches, text):
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(model(batch.column(text)), pa.float64())], [*names, "score"])
 
-    out = rows.mapInArrow(run, "".join(f"{n} {kinds[c]}, " for c, n in zip(carried, names, strict=True)) + "score double")
-    return out.select(*(F.col(n).alias(c) for c, n in zip(carried, names, strict=True)), "score")
+    out = rows.mapInArrow(run, schema + "score double")
+    return out.select(*(F.col(n).alias(c) for c, n in zip(own, names, strict=True)), "score")
