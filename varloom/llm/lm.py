@@ -25,7 +25,8 @@ over all learned documents: nothing is pruned, sampled or capped, and what is
 shuffled grows with the text: a few bytes for each distinct n-gram of a block.
 A frequent n-gram appears once in a block, so no key is hot.
 
-Words are known by 64-bit hashes, pairs and triples by 56 bits.
+Words are known by 64-bit hashes; pairs and triples by so many bits that one
+n-gram in 2^SPARE_BITS shares its key with another, at any size of the corpus.
 
 Cases: a null or empty text is its end token alone; repeated rows are learned
 and scored each; texts of any length are whole (a longer text than a block is a
@@ -45,24 +46,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, Words, mix, pack, pack_sorted, pick_parts, ragged, slices, unpack, unpack_sorted, use_checkpoints
+from .common import SPACED, Words, mix, pack, pack_sorted, pick_parts, plan_bytes, slices, unpack, unpack_sorted, use_checkpoints
 
 #: Text bytes of a block, and input bytes that a bucket stands for.
 BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 4 << 20
+#: Bits of a key beyond those that number the input's n-grams (about one for each two bytes of input).
+SPARE_BITS = 16
 #: Bins of the histogram of counts: powers of two.
 BINS = 48
 
 # Hashes of the end and start tokens and odd multipliers; a word's hash meets the first two by chance only.
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 MULTIPLIERS = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-SHORT = np.uint64(8)
 
 
 class Tokens:
     """A block's tokens: each text's words, then one end.  ``keys`` has, for
-    orders 1 to 3, the key of the n-gram that ends at each token."""
+    orders 1 to 3, the key of the n-gram that ends at each token; keys of pairs
+    and triples have ``cut`` bits less than 64."""
 
-    def __init__(self, codes: np.ndarray, lengths: np.ndarray, vocabulary: np.ndarray):
+    def __init__(self, codes: np.ndarray, lengths: np.ndarray, vocabulary: np.ndarray, cut: int):
         counts = lengths.astype(np.int64) + 1
         self.ends = np.cumsum(counts)
         self.begins = self.ends - counts
@@ -83,13 +86,13 @@ class Tokens:
         self.first = np.zeros(len(hashes), bool)
         self.first[self.begins] = True
         triple = mix(second * MULTIPLIERS[1] ^ pair)
-        self.keys = [hashes, pair >> SHORT << SHORT, triple >> SHORT << SHORT]
+        self.keys = [hashes, pair >> np.uint64(cut), triple >> np.uint64(cut)]
 
 
-def bucket_slices(keys: np.ndarray, bits: int) -> np.ndarray:
+def bucket_slices(keys: np.ndarray, bits: int, cut: int) -> np.ndarray:
     """Where each bucket's keys begin in the sorted keys: a bucket is the keys'
     top bits."""
-    tops = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    tops = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits - cut)
     return np.concatenate([[0], np.searchsorted(keys, tops), [len(keys)]])
 
 
@@ -101,14 +104,18 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column, block_byt
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 32
+        serial = TaskContext.get().partitionId() << 32
 
         def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
             words = Words(table["_text"], SPACED)
-            coded = pack(words.counts.astype(np.int32), words.codes, words.hashes())
+            # frequent words get small numbers, which compress well
+            order = np.argsort(-np.bincount(words.codes, minlength=len(words.vocabulary)), kind="stable")
+            number = np.empty(len(order), np.int32)
+            number[order] = np.arange(len(order), dtype=np.int32)
+            coded = pack(words.counts.astype(np.int32), number[words.codes], words.hashes()[order])
             one = lambda name: pa.ListArray.from_arrays(pa.array([0, table.num_rows], pa.int32()), table[name].combine_chunks())
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), one("_id"), one("_learn"), pa.array([coded], pa.binary())], ["block", "ids", "learned", "coded"])
+            return pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), one("_id"), one("_learn"), pa.array([coded], pa.binary())], ["block", "ids", "learned", "coded"])
 
         held: list[pa.RecordBatch] = []
         size = 0
@@ -117,26 +124,26 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column, block_byt
             size += part.column("_text").nbytes
             if size >= block_bytes:
                 yield block(held)
-                held, size, number = [], 0, number + 1
+                held, size, serial = [], 0, serial + 1
         if held:
             yield block(held)
 
     return rows.mapInArrow(code, f"block bigint, ids array<{kind.simpleString()}>, learned array<boolean>, coded binary")
 
 
-def tokens_of(coded: bytes) -> Tokens:
+def tokens_of(coded: bytes, cut: int) -> Tokens:
     lengths, codes, vocabulary = unpack(coded)
-    return Tokens(codes, lengths, vocabulary)
+    return Tokens(codes, lengths, vocabulary, cut)
 
 
-def questions(coded: DataFrame, bits: int) -> DataFrame:
+def questions(coded: DataFrame, bits: int, cut: int) -> DataFrame:
     """(bucket, block, blob): a block's distinct n-grams with its own training
     counts, by bucket."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                tokens = tokens_of(batch.column("coded")[row].as_py())
+                tokens = tokens_of(batch.column("coded")[row].as_py(), cut)
                 learned = batch.column("learned")[row].values.to_numpy(zero_copy_only=False).astype(bool)
                 taught = np.repeat(learned, tokens.ends - tokens.begins)
                 parts = []
@@ -146,13 +153,13 @@ def questions(coded: DataFrame, bits: int) -> DataFrame:
                     own, times = np.unique(keys[taught & ~tokens.first if n == 2 else taught], return_counts=True)
                     counts = np.zeros(len(distinct), np.uint32)
                     counts[np.searchsorted(distinct, own)] = times
-                    parts.append((distinct, counts, bucket_slices(distinct, bits), SHORT if n else np.uint64(0)))
+                    parts.append((distinct, counts, bucket_slices(distinct, bits, cut if n else 0)))
                 block = batch.column("block")[row].as_py()
                 made = []
                 for b in range(1 << bits):
                     arrays = []
-                    for distinct, counts, at, shift in parts:
-                        arrays += [pack_sorted(distinct[at[b] : at[b + 1]] >> shift), counts[at[b] : at[b + 1]]]
+                    for distinct, counts, at in parts:
+                        arrays += [pack_sorted(distinct[at[b] : at[b + 1]]), counts[at[b] : at[b + 1]]]
                     if any(map(len, arrays)):
                         made.append((b, block, pack(*arrays)))
                     if len(made) >= 64 or b + 1 == 1 << bits and made:
@@ -205,7 +212,7 @@ def answers(asked: DataFrame) -> DataFrame:
             distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
             totals = np.bincount(where, np.concatenate([x[2 * order + 1] for x in blobs]), len(distinct)).astype(np.int64)
             facts.append(facts_of(totals))
-            given = totals[where]
+            given = totals[where].astype(np.uint32)
             at = 0
             for reply, k in zip(replies, keys, strict=True):
                 reply.append(given[at : at + len(k)])
@@ -258,8 +265,9 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     use_checkpoints(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     bits = math.ceil(math.log2(pick_parts(docs, bucket_bytes, 64)))
+    cut = 64 - min(64, max(bits + 8, math.ceil(math.log2(max(2, plan_bytes(docs) // 2))) + SPARE_BITS))
     coded = blocks(docs, id_col, text_col, learn, block_bytes).checkpoint()
-    replies = answers(questions(coded, bits)).checkpoint()
+    replies = answers(questions(coded, bits, cut)).checkpoint()
     totals = replies.where("block IS NULL").select(F.posexplode("facts").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x"))
     facts = np.zeros(3 * (3 + BINS), np.int64)
     for row in totals.collect():  # one row for each of the facts
@@ -271,12 +279,12 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.combine_chunks()
-        tokens = tokens_of(left["coded"][0].as_py())
+        tokens = tokens_of(left["coded"][0].as_py(), cut)
         replied = [unpack(x.as_py()) for x in right.sort_by("bucket")["blob"]]
         counts = []
         for order, keys in enumerate(tokens.keys):
             where = np.unique(keys, return_inverse=True)[1]
-            counts.append(np.concatenate([r[order] for r in replied])[where])
+            counts.append(np.concatenate([r[order] for r in replied])[where].astype(np.int64))
         base, model = traverse(counts, tokens, n, v, texts, exponents)
         total = lambda x: np.add.reduceat(x, tokens.begins)
         return pa.table({
