@@ -14,11 +14,13 @@ is in.
    m members makes m pairs and not m * m; pairs are filtered by size and by the
    collision-corrected similarity of their packed bits, then confirmed on the
    full sets.  Confirmed links are joined to components.
-4. Buckets whose members are still in different components get a second pivot,
-   and what is open after that is joined within its bucket, members of
-   different components only, with the bit estimate inside the join condition;
-   each pair that passes is confirmed.  No pair over the threshold that shares a
-   bucket is left out, and there is no cap on buckets, members or candidates.
+4. Buckets whose members are still in different components get a second pivot.
+   What is open after that gets a finer signature, 2048 minima of one bit, and
+   is joined within its bucket, members of different components only, with both
+   estimates inside the join condition and each pair in its first common bucket
+   only; every pair that passes is confirmed.  No linked pair that shares a
+   bucket is left out but for the estimates' error (at the very threshold under
+   4e-6), and there is no cap on buckets, members or candidates.
 
 Nothing is collected: sets, pairs, links and components stay in DataFrames that
 are cut by checkpoints.  A bucket is never gathered in one task: its pivot is a
@@ -47,12 +49,16 @@ from .common import SPACED, Words, mix, pack, pack_sorted, slices, unpack, unpac
 HASHES, BAND_ROWS, LOW_BITS = 128, 4, 4
 #: How far the estimate may fall short of the threshold before a pair is dropped: five standard deviations of 128 draws.
 MARGIN = 0.18
+#: Minima of the finer signature, one bit each, and its margin: four and a half standard deviations.
+FINE_HASHES, FINE_MARGIN = 2048, 0.06
 #: Members whose sets meet one pivot's set in a task.
 MEMBERS = 64
 
 _draw = np.random.Generator(np.random.PCG64(20260101))
 _A = _draw.integers(0, 2**31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _draw.integers(0, 2**32, HASHES, np.uint32)
+_FINE_A = _draw.integers(0, 2**31, FINE_HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
+_FINE_B = _draw.integers(0, 2**32, FINE_HASHES, np.uint32)
 _PLACES = _draw.integers(0, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -76,12 +82,13 @@ def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
+def minima(shingles: np.ndarray, a: np.ndarray = _A, b: np.ndarray = _B) -> np.ndarray:
     low = (shingles >> np.uint64(32)).astype(np.uint32)
-    best = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(low), 2048):
-        part = low[at : at + 2048, None] * _A
-        part += _B
+    best = np.full(len(a), 0xFFFFFFFF, np.uint32)
+    step = max(16, (1 << 18) // len(a))
+    for at in range(0, len(low), step):
+        part = low[at : at + step, None] * a
+        part += b
         np.minimum(best, part.min(axis=0), out=best)
     return best
 
@@ -129,11 +136,14 @@ def may_link(a: str, b: str, percent: int) -> Column:
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (estimate(F.col(f"{a}.bits"), F.col(f"{b}.bits")) >= percent / 100 - MARGIN)
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Those of the pairs (a, b) that are linked, by their full sets.  A pivot's
-    set is sent once for each MEMBERS of its members."""
+def fine_estimate(a: Column, b: Column) -> Column:
+    differ = [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(FINE_HASHES // 64)]
+    return 1 - 2 * reduce(lambda p, q: p + q, differ) / F.lit(float(FINE_HASHES))
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """(_id, shingles) of the wanted documents, packed."""
     kind = docs.schema[id_col].dataType.simpleString()
-    wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(wanted, "_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,11 +151,35 @@ def confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int, id_col: str
             sets = shingle_sets(batch.column("_text"), k)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array([pack(pack_sorted(s)) for s in sets], pa.binary())], ["_id", "shingles"])
 
+    return rows.mapInArrow(run, f"_id {kind}, shingles binary")
+
+
+def unpack_set(blob: pa.Scalar) -> np.ndarray:
+    return unpack_sorted(unpack(blob.as_py())[0])
+
+
+def fine_signatures(sets: DataFrame) -> DataFrame:
+    """(_id, fine): one bit of each of many minima, packed in longs."""
+    kind = sets.schema["_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(minima(unpack_set(x), _FINE_A, _FINE_B) >> np.uint32(7) & np.uint32(1)).view(np.int64) for x in batch.column("shingles")]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array([b.tolist() for b in bits], pa.list_(pa.int64()))], ["_id", "fine"])
+
+    return sets.mapInArrow(run, f"_id {kind}, fine array<bigint>")
+
+
+def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that are linked, by their full sets.  A pivot's
+    set is sent once for each MEMBERS of its members."""
+    kind = sets.schema["_id"].dataType.simpleString()
+
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        pivots = [unpack_sorted(unpack(x.as_py())[0]) for x in left["own"]]
+        pivots = [unpack_set(x) for x in left["own"]]
         keep = []
         for x in right["shingles"]:
-            own = unpack_sorted(unpack(x.as_py())[0])
+            own = unpack_set(x)
             ok = False
             for p in pivots:
                 both = len(np.intersect1d(p, own, assume_unique=True))
@@ -153,7 +187,6 @@ def confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int, id_col: str
             keep.append(ok)
         return right.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = rows.mapInArrow(run, f"_id {kind}, shingles binary").checkpoint()
     chunks = pairs.groupBy("a").agg((F.floor(F.count("*") / MEMBERS) + 1).alias("chunks"))
     dealt = pairs.join(chunks, "a").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"))
     members = dealt.join(sets, dealt["b"] == sets["_id"]).select("a", "b", "chunk", "shingles")
@@ -189,15 +222,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     shared = banded.groupBy("band").agg(F.min("_id").alias("pivot"), F.max("_id").alias("other")).where("pivot <> other")
     # members of buckets with two or more: all that follows is about these
     open_rows = banded.join(shared.select("band", "pivot"), "band").checkpoint()
-    facts = reps.select("_id", "n", "bits").join(open_rows.select("_id").distinct(), "_id", "left_semi").dropDuplicates(["_id"]).checkpoint()
+    members = open_rows.select("_id").distinct()
+    facts = reps.select("_id", "n", "bits", "bands").join(members, "_id", "left_semi").dropDuplicates(["_id"]).checkpoint()
+    sets = full_sets(docs, members, k, id_col, text_col).checkpoint()
 
     def screened(pairs: DataFrame) -> DataFrame:
-        a, b = facts.alias("x"), facts.alias("y")
+        a, b = (facts.select("_id", "n", "bits").alias(name) for name in "xy")
         return pairs.join(a, F.col("a") == F.col("x._id")).join(b, F.col("b") == F.col("y._id")).where(may_link("x", "y", percent)).select("a", "b")
 
     # a member's least pivot that passes the screen is enough for the first turn
-    first = screened(open_rows.where("pivot <> _id").select(F.col("pivot").alias("a"), F.col("_id").alias("b")).distinct()).groupBy("b").agg(F.min("a").alias("a"))
-    links = confirm(docs, first.select("a", "b").checkpoint(), k, percent, id_col, text_col).checkpoint()
+    first = screened(open_rows.where("pivot <> _id").select(F.col("pivot").alias("a"), F.col("_id").alias("b")).distinct()).groupBy("b").agg(F.min("a").alias("a")).select("a", "b").checkpoint()
+    links = confirm(sets, first, percent).checkpoint()
     labels = components(links)
 
     def labelled(found: DataFrame) -> DataFrame:
@@ -211,15 +246,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     top = torn.groupBy("band").agg(F.max(F.struct("label", "_id")).alias("top")).select("band", F.col("top._id").alias("pivot"), F.col("top.label").alias("pivot_label"))
     second = screened(torn.join(top, "band").where("label <> pivot_label").select(F.least("pivot", "_id").alias("a"), F.greatest("pivot", "_id").alias("b")).distinct())
     second = second.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").join(first, ["a", "b"], "left_anti").checkpoint()
-    links = links.union(confirm(docs, second, k, percent, id_col, text_col)).checkpoint()
+    links = links.union(confirm(sets, second, percent)).checkpoint()
     labels = components(links)
 
     # what is left: members of one bucket in different components, screened within the join
-    left = labelled(labels).join(facts, "_id").select("band", "_id", "label", "n", "bits").checkpoint()
+    torn = labelled(labels).checkpoint()
+    fine = fine_signatures(sets.join(torn.select("_id").distinct(), "_id", "left_semi"))
+    left = torn.join(facts.join(fine, "_id"), "_id").select("band", "_id", "label", "n", "bits", "bands", "fine").checkpoint()
     x, y = left.alias("x"), left.alias("y")
-    third = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.label") < F.col("y.label")) & may_link("x", "y", percent)).select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b")).distinct()
+    near = may_link("x", "y", percent) & (fine_estimate(F.col("x.fine"), F.col("y.fine")) >= percent / 100 - FINE_MARGIN)
+    # a pair of several common buckets counts in the first of them
+    common = F.arrays_zip(F.col("x.bands").alias("p"), F.col("y.bands").alias("q"))
+    here = F.element_at(F.filter(common, lambda z: z["p"] == z["q"]), 1)["p"] == F.col("x.band")
+    third = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.label") < F.col("y.label")) & near & here).select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"))
     third = third.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti").checkpoint()
-    links = links.union(confirm(docs, third, k, percent, id_col, text_col)).checkpoint()
+    links = links.union(confirm(sets, third, percent)).checkpoint()
     labels = components(links)
 
     classes = firsts.join(labels, firsts["rep"] == labels["node"], "left").select("n", "f1", "f2", F.coalesce("label", "rep").alias("class"))
