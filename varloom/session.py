@@ -20,6 +20,10 @@ SETTINGS = {
 }
 
 
+#: Rows of an Arrow batch: batches of texts are megabytes each, and a worker holds a few.
+ARROW_ROWS, TEXT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1200"
+
+
 def session(master: str = "local[*]", **more: str) -> SparkSession:
     builder = SparkSession.builder.master(master).appName("varloom")
     for key, value in {**SETTINGS, **more}.items():
@@ -31,6 +35,8 @@ def ship(spark: SparkSession) -> SparkSession:
     """Sends the package's sources to the executors, once for each context,
     so that Python workers find it wherever they run."""
     context = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS) == "10000":  # the default; a session's own choice stays
+        spark.conf.set(ARROW_ROWS, TEXT_ROWS)
     if getattr(context, "_varloom_shipped", False):
         return spark
     root = Path(__file__).resolve().parent
@@ -44,3 +50,11 @@ def ship(spark: SparkSession) -> SparkSession:
     context.addPyFile(archive)
     context._varloom_shipped = True
     return spark
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Checkpoints go to the shared folder the cluster names; only a session
+    without one (tests, a single machine) gets a temporary folder."""
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="varloom-"))
