@@ -59,7 +59,7 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, decoded again."""
     ship(spark)
     rank_file, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    out = bpe.decode(bpe.encode(docs, rank_file, pattern), rank_file, pattern)
+    out = bpe.decode(bpe.encode(docs, rank_file, pattern), rank_file)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

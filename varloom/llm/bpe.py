@@ -23,7 +23,7 @@ whatever their names, are not looked at; an empty table gives an empty one.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,10 @@ from .common import buffers, flat_text, from_buffers, ragged, slices
 
 #: Characters of a chunk, and by how many it reaches into the next one.
 CHUNK_CHARS, OVERLAP_CHARS = 32_768, 512
-#: Distinct segments that a worker remembers; a full memory starts anew.
-REMEMBERED = 150_000
+#: Text bytes that are encoded at once.
+ENCODE_BYTES = 4 << 20
+#: Distinct segments that are encoded in one call.
+JOINED = 65_536
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -44,6 +46,30 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+class Decoder:
+    """The bytes of each id; made once in each Python worker."""
+
+    _made: dict[str, Decoder] = {}
+
+    def __init__(self, path: str):
+        ranks = load_ranks(path)
+        table: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        for piece, rank in ranks.items():
+            table[rank] = piece
+        self.table = pa.array(table, pa.large_binary())
+        self.lengths = np.array([len(x or b"") for x in table], np.int64)
+
+    @classmethod
+    def of(cls, path: str) -> Decoder:
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The raw bytes of the ids, joined."""
+        return buffers(self.table.take(pa.array(ids)))[0] if len(ids) else np.zeros(0, np.uint8)
+
+
 class Encoder:
     """One vocabulary file and pattern; made once in each Python worker."""
 
@@ -52,16 +78,9 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         import tiktoken
 
-        self.ranks = load_ranks(path)
         self.pattern = regex.compile(pattern)
-        self.engine = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
-        size = max(self.ranks.values(), default=-1) + 1
-        table: list[bytes | None] = [None] * size
-        for piece, rank in self.ranks.items():
-            table[rank] = piece
-        self.table = pa.array(table, pa.large_binary())
-        self.lengths = np.array([len(x or b"") for x in table], np.int64)
-        self.memory: dict[str, bytes] = {}
+        self.engine = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
+        self.lengths = Decoder.of(path).lengths
 
     @classmethod
     def of(cls, path: str, pattern: str) -> Encoder:
@@ -73,26 +92,41 @@ class Encoder:
         """Ends of the text's pre-tokens, in characters."""
         return [m.end() for m in self.pattern.finditer(text)]
 
-    def encode_distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """ids of the pieces one after another, and how many each has."""
-        memory, out = self.memory, []
-        ordinary = self.engine.encode_ordinary
-        for piece in pieces:
-            ids = memory.get(piece)
-            if ids is None:
-                if len(memory) >= REMEMBERED:
-                    memory.clear()
-                ids = memory[piece] = np.array(ordinary(piece), np.uint32).tobytes()
-            out.append(ids)
-        counts = np.fromiter(map(len, out), np.int64, len(out)) // 4
-        return np.frombuffer(b"".join(out), np.uint32), counts
+    def encode_distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """ids of the pieces one after another, and how many each has.  Pieces
+        that begin at a sync point keep their pre-tokens whatever stands before
+        them, so they are encoded as one text and told apart by their bytes."""
+        raw, offsets = buffers(pieces)
+        n = len(pieces)
+        safe = np.zeros(n, bool)
+        safe[np.isin(offsets[:-1], sync_points(raw))] = True
+        found: list[np.ndarray] = []
+        counts = np.zeros(n, np.int64)
+        order = np.concatenate([np.flatnonzero(safe), np.flatnonzero(~safe)])
+        joined, bounds = buffers(pieces.take(pa.array(order[: safe.sum()])))
+        for at in range(0, len(bounds) - 1, JOINED):
+            part = bounds[at : at + JOINED + 1]
+            ids = np.array(self.engine.encode_ordinary(joined[part[0] : part[-1]].tobytes().decode()), np.uint32)
+            ends = np.cumsum(self.lengths[ids])
+            each = np.searchsorted(ends, part[1:] - part[0], "right")
+            counts[order[at : at + len(part) - 1]] = np.diff(np.concatenate([[0], each]))
+            found.append(ids)
+        for k in order[safe.sum() :].tolist():
+            ids = np.array(self.engine.encode_ordinary(pieces[k].as_py()), np.uint32)
+            counts[k] = len(ids)
+            found.append(ids)
+        flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        # back into the order of the pieces
+        starts = np.empty(n, np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        return flat[ragged(starts, counts)], counts
 
     def encode_pieces(self, pieces: pa.Array, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of consecutive pieces, and the id offsets of the owners, whose
         pieces start at ``owner[i]``."""
         coded = pieces.dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        ids, counts = self.encode_distinct(coded.dictionary.to_pylist())
+        ids, counts = self.encode_distinct(coded.dictionary)
         starts = np.concatenate([[0], np.cumsum(counts)])
         each = counts[codes] if len(codes) else np.zeros(0, np.int64)
         flat = ids[ragged(starts[codes], each)] if len(codes) else ids
@@ -101,25 +135,27 @@ class Encoder:
 
     def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         raw, offsets = buffers(flat_text(texts))
-        cuts = np.union1d(sync_points(raw), offsets)
         if len(raw) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+        flags = np.zeros(len(raw) + 1, bool)
+        flags[sync_points(raw)] = True
+        flags[offsets] = True
+        cuts = np.flatnonzero(flags)
         return self.encode_pieces(from_buffers(raw, cuts), np.searchsorted(cuts, offsets))
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The raw bytes of the ids, joined."""
-        if not len(ids):
-            return np.zeros(0, np.uint8)
-        return buffers(self.table.take(pa.array(ids)))[0]
+
+#: Bytes that begin an ordinary character: not white space, nor the lead of a character that may be.
+_ORDINARY = np.zeros(256, bool)
+_ORDINARY[0x21:0x7F] = True
+_ORDINARY[0xC3:] = True
+_ORDINARY[0xE1:0xE4] = False
 
 
 def sync_points(raw: np.ndarray) -> np.ndarray:
     """Byte positions of single spaces that an ordinary character follows: the
     pattern always starts a pre-token there, whatever stands before.  Lead
     bytes of characters that may be white space don't count as ordinary."""
-    after = raw[1:]
-    ordinary = (after > 0x20) & (after != 0x7F) & ((after < 0x80) | (after >= 0xC3)) & ((after < 0xE1) | (after > 0xE3))
-    return np.flatnonzero((raw[:-1] == 0x20) & ordinary)
+    return np.flatnonzero((raw[:-1] == 0x20) & _ORDINARY[raw[1:]])
 
 
 def stitch(encoder: Encoder, chunks: list[tuple[int, str, np.ndarray]]) -> tuple[str, np.ndarray]:
@@ -147,19 +183,24 @@ def stitch(encoder: Encoder, chunks: list[tuple[int, str, np.ndarray]]) -> tuple
     return whole, known
 
 
-def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
+def little_endian(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return from_buffers(ids.astype("<u4").view(np.uint8), offsets * 4, pa.large_binary()).cast(pa.binary())
+
+
+def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, form: Callable[[np.ndarray, np.ndarray], pa.Array] | None = None, form_type: str = "binary") -> DataFrame:
     """(id_col, ids): ids of every whole text as little-endian unsigned 32-bit
-    integers.  ``path``: a rank file that every executor can read."""
+    integers, or as ``form`` makes them of (ids, offsets of the texts).
+    ``path``: a rank file that every executor can read."""
+    form = form or little_endian
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    schema = f"_id {kind}, ids binary"
+    schema = f"_id {kind}, ids {form_type}"
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path, pattern)
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", ENCODE_BYTES):
             ids, offsets = encoder.encode_texts(batch.column("_text"))
-            packed = from_buffers(ids.astype("<u4").view(np.uint8), offsets * 4, pa.large_binary()).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), packed], ["_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), form(ids, offsets)], ["_id", "ids"])
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path, pattern)
@@ -175,7 +216,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
         cuts = [0, *ends.tolist()]
         pieces = pa.array([text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.large_string())
         ids, _ = encoder.encode_pieces(pieces, np.array([0, len(pieces)]))
-        return pa.table({"_id": table["_id"].slice(0, 1), "ids": pa.array([ids.astype("<u4").tobytes()], pa.binary())})
+        return pa.table({"_id": table["_id"].slice(0, 1), "ids": form(ids, np.array([0, len(ids)]))})
 
     size = F.length("_text")
     small = rows.where(size <= chunk).mapInArrow(short, schema)
@@ -186,18 +227,18 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     return small.unionByName(large).withColumnRenamed("_id", id_col)
 
 
-def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id_col, ids, decoded): the bytes that the ids stand for."""
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path, pattern)
-        for batch in slices(batches, "ids", 2 << 20):
+        decoder = Decoder.of(path)
+        for batch in slices(batches, "ids", 1 << 20):
             raw, offsets = buffers(batch.column("ids").cast(pa.large_binary()))
             ids = np.frombuffer(raw.tobytes(), "<u4").astype(np.int64)
-            ends = np.concatenate([[0], np.cumsum(encoder.lengths[ids])])[offsets // 4]
-            decoded = from_buffers(encoder.decode(ids), ends, pa.large_binary()).cast(pa.binary())
+            ends = np.concatenate([[0], np.cumsum(decoder.lengths[ids])])[offsets // 4]
+            decoded = from_buffers(decoder.decode(ids), ends, pa.large_binary()).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("ids"), decoded], ["_id", "ids", "decoded"])
 
     return rows.mapInArrow(run, f"_id {kind}, ids binary, decoded binary").withColumnRenamed("_id", id_col)

@@ -8,7 +8,6 @@ words of a slice.  Every helper takes a null text as an empty one.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -17,22 +16,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import use_checkpoints
+
+__all__ = ["use_checkpoints"]
+
 #: Text bytes that one step of a vectorised operator holds at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the shared folder the cluster names; only a session
-    without one (tests, a single machine) gets a temporary folder."""
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="varloom-"))
-
-
 def crc_mod(col: Column, mod: int) -> Column:
     """crc32 of the value as text, modulo ``mod``; null for a null value."""
     return F.crc32(F.encode(col.cast("string"), "UTF-8")) % F.lit(mod)
@@ -51,17 +46,6 @@ def carry(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None) ->
     return rows, names, own, text, "".join(f"{n} {kinds[c]}, " for c, n in zip(own, names, strict=True))
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for the frame: plan statistics, no job."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size))
-
-
-def pick_parts(df: DataFrame, bytes_each: int, least: int) -> int:
-    """How many parts keep each near ``bytes_each``; grows with the input."""
-    return max(least, -(-plan_bytes(df) // bytes_each))
-
-
 def flat_text(col: pa.Array) -> pa.Array:
     """The column as large_string with nulls made empty."""
     if isinstance(col, pa.ChunkedArray):
@@ -96,6 +80,8 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES
             to = max(at + 1, int(np.searchsorted(ends, base + most, "right")))
             yield batch.slice(at, to - at)
             at = to
+        # what Arrow's pool holds for later counts as this worker's memory
+        pa.default_memory_pool().release_unused()
 
 
 def byte_table(lower: bool, blank: Iterable[int]) -> bytes:
@@ -173,9 +159,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Indices start, start+1, ... start+count-1 of each run, one after another."""
     counts = np.asarray(counts, np.int64)
-    total = int(counts.sum())
     ends = np.cumsum(counts)
-    return np.arange(total, dtype=np.int64) + np.repeat(np.asarray(starts, np.int64) - (ends - counts), counts)
+    total, far = int(counts.sum()), int((np.asarray(starts, np.int64) + counts).max(initial=0))
+    kind = np.int32 if max(total, far) < 2**31 else np.int64
+    out = np.repeat((np.asarray(starts, np.int64) - (ends - counts)).astype(kind), counts)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 _ZSTD = pa.Codec("zstd", 3)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from .common import SPACED, Words, buffers, flat_text, from_buffers, mix
 
+#: Text bytes whose features are computed at once: some thirty arrays of a number per word.
+FEATURE_BYTES = 4 << 20
+
 # Very frequent words of four languages.
 STOP_WORDS = frozenset(
     "the of and to in a is that it was for on are as with be at by this have from or an not "
@@ -24,7 +27,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, learn: Colu
     kept = labels.select(F.col(id_col).alias("_id"), F.col(target).cast("int").alias("y")).where("y IS NOT NULL AND _id IS NOT NULL").dropDuplicates(["_id"])
     drawn = kept.where(learn).orderBy(F.xxhash64("_id"), "_id").limit(most)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return rows.join(drawn, "_id").select("_id", "_text", "y")
+    # at most ``most`` ids: a bound that does not depend on the table
+    return rows.join(F.broadcast(drawn), "_id").select("_id", "_text", "y")
 
 
 class Texts:

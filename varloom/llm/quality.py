@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .boosting import AdditiveModel, fit_additive, sigmoid
 from .common import slices
-from .features import QUALITY_NAMES, labelled_sample, quality_features
+from .features import FEATURE_BYTES, QUALITY_NAMES, labelled_sample, quality_features
 
 #: Labelled rows that the model is fitted on.
 MOST_LABELLED = 20_000
@@ -33,7 +33,7 @@ def feature_rows(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of a bounded sample, on the driver, by id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", FEATURE_BYTES):
             x = quality_features(batch.column("_text"))
             yield pa.RecordBatch.from_arrays([batch.column("_id").cast(pa.string()), pa.array(x.tolist(), pa.list_(pa.float64())), batch.column("y")], ["i", "x", "y"])
 
@@ -51,7 +51,7 @@ def score(docs: DataFrame, model: AdditiveModel, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", FEATURE_BYTES):
             p = sigmoid(model.raw(quality_features(batch.column("_text"))))
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(p, pa.float64())], ["_id", "score"])
 

@@ -17,7 +17,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rank_file, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ids = bpe.encode(read_table(spark, sf_dir, "documents"), rank_file, pattern)
-    out = bpe.decode(ids, rank_file, pattern)
+    out = bpe.decode(ids, rank_file)
     return out.select(
         "doc_id",
         (F.octet_length("ids").cast("long") / 4).cast("long").alias("n_tokens"),
@@ -61,7 +61,7 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     training order."""
     import public_tokenizers
 
-    ids = bpe.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, chunk=1 << 20)
+    ids = bpe.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, chunk=1 << 20, form=training_order.id_form(50_256), form_type="struct<n:bigint,body:binary>")
     path = training_order.shared_path(spark, "training-order")
     training_order.materialise(ids, path, end_id=50_256, key="varloom epoch 0")
     return training_order.read_from(spark, path).select("slot", "shard", "doc_id", "serial", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256"))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .boosting import BoostedTrees, Isotonic, fit_boosted_trees, fit_isotonic
 from .common import carry, slices
-from .features import DIGIT, LETTER, PUNCTUATION, UPPER, Texts, byte_set, labelled_sample
+from .features import FEATURE_BYTES, DIGIT, LETTER, PUNCTUATION, UPPER, Texts, byte_set, labelled_sample
 
 #: Labelled rows that the model is fitted on, and terms that the lexicon may have.
 MOST_LABELLED, MOST_TERMS = 20_000, 5_000
@@ -73,7 +73,7 @@ def learn_terms(sample: DataFrame) -> dict[str, float]:
     """Log odds of the terms that mark toxic documents of the sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", FEATURE_BYTES):
             t = Texts(batch.column("_text"))
             toxic = batch.column("y").to_numpy(zero_copy_only=False) == 1
             terms: dict[str, int] = {}
@@ -163,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic"
     lexicon = learn_terms(sample.where(part < 9))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", FEATURE_BYTES):
             x = toxicity_features(batch.column("_text"), lexicon)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(x.tolist(), pa.list_(pa.float64())), batch.column("y"), batch.column("part")], ["i", "x", "y", "part"])
 
@@ -180,7 +180,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     rows, names, own, text, schema = carry(docs, id_col, text_col, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, FEATURE_BYTES):
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(model(batch.column(text)), pa.float64())], [*names, "score"])
 
     out = rows.mapInArrow(run, schema + "score double")

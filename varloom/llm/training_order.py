@@ -22,14 +22,14 @@ from __future__ import annotations
 import hashlib
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buffers, mix, slices, use_checkpoints
+from .common import mix, slices, use_checkpoints
 
 #: Ids of a sequence, sequences of a row of a shard, and of a shard.
 LENGTH, STRIPE, SHARD = 512, 256, 65_536
@@ -84,6 +84,23 @@ class Permutation:
         return self._walk(slots, True) if len(slots) else np.zeros(0, np.int64)
 
 
+def id_width(end_id: int) -> int:
+    return 2 if end_id < 1 << 16 else 4
+
+
+def id_form(end_id: int) -> Callable[[np.ndarray, np.ndarray], pa.Array]:
+    """How an encoder hands ids over: 16-bit where they fit, squeezed."""
+    width = id_width(end_id)
+
+    def form(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        narrow = ids.astype(f"<u{width}")
+        at = offsets.tolist()
+        bodies = pa.array([squeezed(narrow[a:b].tobytes()) for a, b in zip(at, at[1:], strict=False)], pa.binary())
+        return pa.StructArray.from_arrays([pa.array(np.diff(offsets), pa.int64()), bodies], ["n", "body"])
+
+    return form
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder among the checkpoints, which all executors share."""
     use_checkpoints(spark)
@@ -91,25 +108,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(encoded: DataFrame, path: str, end_id: int, key: str, id_col: str = "doc_id", ids_col: str = "ids", length: int = LENGTH, stripe: int = STRIPE, shard: int = SHARD) -> int:
-    """Writes the shards of (id_col, ids: little-endian unsigned 32-bit) to
-    ``path``; returns the number of sequences.  ``shard`` is a multiple of
-    ``stripe``."""
+    """Writes the shards of (id_col, ids: struct of their number and their
+    squeezed little-endian bytes, see ``id_form``) to ``path``; returns the
+    number of sequences.  ``shard`` is a multiple of ``stripe``."""
     spark = encoded.sparkSession
     use_checkpoints(spark)
     kind = encoded.schema[id_col].dataType.simpleString()
-    width = 2 if end_id < 1 << 16 else 4
-    rows = encoded.select(F.col(id_col).alias("_id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("_ids"))
-
-    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_ids", 4 << 20):
-            raw, offsets = buffers(batch.column("_ids").cast(pa.large_binary()))
-            ids = np.frombuffer(raw.tobytes(), "<u4").astype(f"<u{width}")
-            at = (offsets // 4).tolist()
-            packed = [squeezed(ids[a:b].tobytes()) for a, b in zip(at, at[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(np.diff(offsets) // 4, pa.int64()), pa.array(packed, pa.binary())], ["_id", "n", "packed"])
-
-    held = rows.mapInArrow(narrow, f"_id {kind}, n bigint, packed binary").checkpoint()
-    each = held.groupBy(F.spark_partition_id().alias("part")).agg(F.sum((F.col("n") + 1 + length - 1 - F.pmod(F.col("n"), F.lit(length))) / length).cast("long").alias("sequences"))
+    width = id_width(end_id)
+    held = encoded.select(F.col(id_col).alias("_id"), F.col(ids_col).alias("packed")).checkpoint()
+    n_ids = F.col("packed.n")
+    each = held.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(F.floor(n_ids / length) + 1).alias("sequences"))
     firsts, total = {}, 0
     for row in sorted(each.collect(), key=lambda r: r["part"]):  # one number per partition
         firsts[row["part"]] = total
@@ -121,9 +129,9 @@ def materialise(encoded: DataFrame, path: str, end_id: int, key: str, id_col: st
         from pyspark import TaskContext
 
         number = firsts.get(TaskContext.get().partitionId(), 0)
-        for batch in slices(batches, "packed", 1 << 20):
+        for batch in slices(batches, "body", 1 << 20):
             docs, serials, lengths, bodies = [], [], [], []
-            for i, (n, packed) in enumerate(zip(batch.column("n").to_pylist(), batch.column("packed").to_pylist(), strict=True)):
+            for i, (n, packed) in enumerate(zip(batch.column("n").to_pylist(), batch.column("body").to_pylist(), strict=True)):
                 ids = np.frombuffer(restored(packed, n * width), f"<u{width}") if n else np.zeros(0, f"<u{width}")
                 count = n // length + 1
                 full = np.full(count * length, end_id, f"<u{width}")
@@ -167,7 +175,7 @@ def materialise(encoded: DataFrame, path: str, end_id: int, key: str, id_col: st
         if waiting:
             yield made(pa.Table.from_batches(held))
 
-    placed = held.mapInArrow(cut, f"slot bigint, _id {kind}, serial int, n int, body binary")
+    placed = held.select("_id", "packed.n", "packed.body").mapInArrow(cut, f"slot bigint, _id {kind}, serial int, n int, body binary")
     dealt = placed.repartitionById(max(1, -(-total // shard)), F.expr(f"cast(slot div {shard} as int)")).sortWithinPartitions("slot")
     striped = dealt.mapInArrow(stripes, f"shard bigint, stripe bigint, first_slot bigint, ids array<{kind}>, serials array<int>, lengths array<int>, tokens binary")
     striped.write.option("compression", "zstd").parquet(path)
@@ -178,7 +186,12 @@ def read_from(spark: SparkSession, path: str, id_col: str = "doc_id", first_slot
     """(slot, shard, id_col, serial, n_tokens, tokens) of every sequence from
     ``first_slot`` on; earlier rows of the shards are skipped by the scan."""
     rows = spark.read.parquet(path).where(F.col("stripe") >= first_slot // stripe)
-    stride = F.octet_length("tokens") / F.size("ids")
-    each = rows.select("shard", "first_slot", "tokens", stride.cast("int").alias("stride"), F.posexplode(F.arrays_zip("ids", "serials", "lengths")).alias("at", "x"))
-    out = each.select((F.col("first_slot") + F.col("at")).alias("slot"), "shard", F.col("x.ids").alias(id_col), F.col("x.serials").alias("serial"), F.col("x.lengths").alias("n_tokens"), F.expr("substring(tokens, at * stride + 1, stride)").alias("tokens"))
-    return out.where(F.col("slot") >= first_slot)
+    stride = F.floor(F.octet_length("tokens") / F.size("ids")).cast("int")
+    parts = F.arrays_zip("ids", "serials", "lengths")
+
+    def one(x: Column, i: Column) -> Column:
+        return F.struct((F.col("first_slot") + i).alias("slot"), x["ids"].alias(id_col), x["serials"].alias("serial"), x["lengths"].alias("n_tokens"), F.substring(F.col("tokens"), i * F.col("stride") + 1, F.col("stride")).alias("tokens"))
+
+    # a sequence takes its own bytes along, not its row's
+    each = rows.withColumn("stride", stride).select("shard", F.inline(F.transform(parts, one)))
+    return each.where(F.col("slot") >= first_slot).select("slot", "shard", id_col, "serial", "n_tokens", "tokens")
