@@ -8,10 +8,16 @@ from dataclasses import dataclass
 import numpy as np
 
 
+#: What a split must gain in the loss: less is noise of single labels.
+LEAST_GAIN = 3.0
+
+
 def bin_edges(x: np.ndarray, bins: int) -> list[np.ndarray]:
     """Inner quantile edges of each column; a value's bin is the number of
     edges below it."""
     out = []
+    if not len(x):
+        return [np.zeros(0) for _ in range(x.shape[1])]
     for column in x.T:
         at = np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1]))
         low = np.unique(column)
@@ -67,7 +73,7 @@ def fit_tree(b: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, bins: int,
     node = np.zeros(len(b), np.int64)
     for level in range(depth):
         first, width = (1 << level) - 1, 1 << level
-        best = np.full(width, 1e-9)
+        best = np.full(width, LEAST_GAIN)
         local = node - first
         for f in range(b.shape[1]):
             cell = local * bins + b[:, f]
@@ -89,7 +95,7 @@ def fit_tree(b: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, bins: int,
     return Tree(feature, threshold, value)
 
 
-def fit_boosted_trees(x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 3, bins: int = 64, rate: float = 0.12, penalty: float = 4.0, least: float = 3.0) -> BoostedTrees:
+def fit_boosted_trees(x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 3, bins: int = 64, rate: float = 0.12, penalty: float = 2.0, least: float = 1.0) -> BoostedTrees:
     edges = bin_edges(x, bins)
     b = binned(x, edges)
     p = np.clip(y.mean() if len(y) else 0.5, 1e-4, 1 - 1e-4)

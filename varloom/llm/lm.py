@@ -46,11 +46,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, Words, mix, pack, pack_sorted, pick_parts, plan_bytes, slices, unpack, unpack_sorted, use_checkpoints
+from .common import SPACED, Words, mix, pack, pack_sorted, slices, unpack, unpack_sorted, use_checkpoints
 
-#: Text bytes of a block, and input bytes that a bucket stands for.
-BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 4 << 20
-#: Bits of a key beyond those that number the input's n-grams (about one for each two bytes of input).
+#: Text bytes of a block, and text bytes that a bucket stands for.
+BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
+#: Bits of a key beyond those that number the corpus' n-grams (about one for each four bytes of text).
 SPARE_BITS = 16
 #: Bins of the histogram of counts: powers of two.
 BINS = 48
@@ -97,7 +97,7 @@ def bucket_slices(keys: np.ndarray, bits: int, cut: int) -> np.ndarray:
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column, block_bytes: int) -> DataFrame:
-    """Coded blocks: (block, ids, learned, coded)."""
+    """Coded blocks: (block, ids, learned, bytes of their texts, coded)."""
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.coalesce(learn, F.lit(True)).alias("_learn"))
 
@@ -106,7 +106,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column, block_byt
 
         serial = TaskContext.get().partitionId() << 32
 
-        def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        def block(held: list[pa.RecordBatch], size: int) -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
             words = Words(table["_text"], SPACED)
             # frequent words get small numbers, which compress well
@@ -115,7 +115,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column, block_byt
             number[order] = np.arange(len(order), dtype=np.int32)
             coded = pack(words.counts.astype(np.int32), number[words.codes], words.hashes()[order])
             one = lambda name: pa.ListArray.from_arrays(pa.array([0, table.num_rows], pa.int32()), table[name].combine_chunks())
-            return pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), one("_id"), one("_learn"), pa.array([coded], pa.binary())], ["block", "ids", "learned", "coded"])
+            return pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), one("_id"), one("_learn"), pa.array([size], pa.int64()), pa.array([coded], pa.binary())], ["block", "ids", "learned", "bytes", "coded"])
 
         held: list[pa.RecordBatch] = []
         size = 0
@@ -123,12 +123,12 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column, block_byt
             held.append(part)
             size += part.column("_text").nbytes
             if size >= block_bytes:
-                yield block(held)
+                yield block(held, size)
                 held, size, serial = [], 0, serial + 1
         if held:
-            yield block(held)
+            yield block(held, size)
 
-    return rows.mapInArrow(code, f"block bigint, ids array<{kind.simpleString()}>, learned array<boolean>, coded binary")
+    return rows.mapInArrow(code, f"block bigint, ids array<{kind.simpleString()}>, learned array<boolean>, bytes bigint, coded binary")
 
 
 def tokens_of(coded: bytes, cut: int) -> Tokens:
@@ -264,17 +264,17 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     use_checkpoints(spark)
     kind = docs.schema[id_col].dataType.simpleString()
-    bits = math.ceil(math.log2(pick_parts(docs, bucket_bytes, 64)))
-    cut = 64 - min(64, max(bits + 8, math.ceil(math.log2(max(2, plan_bytes(docs) // 2))) + SPARE_BITS))
     coded = blocks(docs, id_col, text_col, learn, block_bytes).checkpoint()
+    held = coded.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.sum(F.size(F.filter("learned", lambda x: x))), F.lit(0)).alias("taught")).first()
+    bits = math.ceil(math.log2(max(64, held["bytes"] / bucket_bytes)))
+    cut = 64 - min(64, max(bits + 8, math.ceil(math.log2(max(2, held["bytes"] / 4))) + SPARE_BITS))
     replies = answers(questions(coded, bits, cut)).checkpoint()
     totals = replies.where("block IS NULL").select(F.posexplode("facts").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x"))
     facts = np.zeros(3 * (3 + BINS), np.int64)
     for row in totals.collect():  # one row for each of the facts
         facts[row["at"]] = row["x"]
     facts = facts.reshape(3, -1)
-    taught = coded.select(F.coalesce(F.sum(F.size(F.filter("learned", lambda x: x))), F.lit(0)).alias("d")).first()
-    n, v, texts = int(facts[0][1]), int(facts[0][0]), int(taught["d"])
+    n, v, texts = int(facts[0][1]), int(facts[0][0]), int(held["taught"])
     exponents = solve_exponents(facts)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
