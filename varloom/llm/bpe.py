@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, flat_text, from_buffers, ragged, slices
+from .common import buffers, flat_text, from_buffers, give_back, ragged, slices
 
 #: Characters of a chunk, and by how many it reaches into the next one.
 CHUNK_CHARS, OVERLAP_CHARS = 32_768, 512
@@ -216,6 +216,8 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
         cuts = [0, *ends.tolist()]
         pieces = pa.array([text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.large_string())
         ids, _ = encoder.encode_pieces(pieces, np.array([0, len(pieces)]))
+        del pieces, text, ends, cuts, chunks
+        give_back()
         return pa.table({"_id": table["_id"].slice(0, 1), "ids": form(ids, np.array([0, len(ids)]))})
 
     size = F.length("_text")
