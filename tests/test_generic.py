@@ -110,10 +110,13 @@ def test_peptides_and_headers(spark):
     assert sorted(one(spark, P.kmers(F.lit("ABAB*A"), 3))) == ["ABA", "BAB"]
     near = P.around(F.lit("A" * 60 + "PEPTIDE" + "C" * 60), F.lit(63))
     assert one(spark, P.spans(near["window"], F.lit("PEPTIDE"), near["at"])) and not one(spark, P.spans(near["window"], F.lit("CCCCCC"), near["at"]))
-    assert shuffle_one("AKPRGAK") == shuffle_one("AKPRGAK") and sorted(shuffle_one("ABCDEFGHK")) == sorted("ABCDEFGHK")
+    d = shuffle_one("ACDEFKGHPILMRNQ")
+    assert d != "ACDEFKGHPILMRNQ" and d[5] == "K" and d[8] == "P" and d[12] == "R" and d[-1] == "Q" and sorted(d[:6]) == sorted("ACDEFK") and sorted(shuffle_one("ABCDEFGHK")) == sorted("ABCDEFGHK")
     assert one(spark, headers.sanitised(F.lit(" a b/c "))) == "a_b_c" and one(spark, headers.sanitised(F.lit("//"))) == "NA"
     assert one(spark, headers.wrapped(F.lit("A" * 61))) == "A" * 60 + "\nA"
     assert one(spark, headers.header_map(F.lit("x VT=SNV GN=A VT=MNV"))) == {"VT": "MNV", "GN": "A"}
     u = one(spark, headers.uniprot_fields(F.lit("sp|P1|A_HUMAN Some protein OS=Homo sapiens OX=9606 GN=AB PE=1 SV=2")))
     assert (u["accession"], u["description"], u["os"], u["gn"]) == ("P1", "Some protein", "Homo sapiens", "AB")
-    assert compare.compare_pair("MABC", "ABC")[0] == "identical_after_met_trim" and compare.compare_pair("ABCDEF", "CDE")[0] == "isoform_extension" and compare.compare_pair("AAAA", "CCCC")[0] == "divergent"
+    body = "ACDEFGHIKLMNPQRSTVWY" * 3 + "WYVTSRQPNMLKIHGFEDCA"
+    assert compare.compare_pair("GG" + body[:50] + "W" + body[51:], body + "TT")[:3] == ("offset_isoform", 0.9875, -2)
+    assert compare.compare_pair("MABC", "ABC")[0] == "identical_after_met_trim" and compare.compare_pair("ABCDEF", "CDE")[:3] == ("isoform_extension", 1.0, -2) and compare.compare_pair("AAAA", "CCCC")[0] == "divergent"

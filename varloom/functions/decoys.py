@@ -3,27 +3,38 @@
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .peptides import CUT
+
+CUT_PATTERN = re.compile(CUT)
+
+
+def mixed(piece: str, draw: random.Random, tries: int) -> str:
+    """A tryptic fragment shuffled but for its last residue and its prolines:
+    either could make or undo a cut.  A result equal to the fragment is tried
+    again; fragments with fewer than two movable residues stay."""
+    places = [i for i, c in enumerate(piece[:-1]) if c != "P"]
+    if len(places) > 1:
+        for _ in range(tries):
+            origins = places.copy()
+            draw.shuffle(origins)
+            moved = dict(zip(places, origins, strict=True))
+            made = "".join(piece[moved.get(i, i)] for i in range(len(piece)))
+            if made != piece:
+                return made
+    return piece
+
 
 def shuffle_one(seq: str, tries: int = 10, seed: int = 0) -> str:
-    """Residues shuffled but for P and the residue before it... none moves over
-    a cut: K, R and P keep their places and so does the last residue.  The
-    generator starts anew for each sequence, so results don't depend on order."""
-    free = [i for i, c in enumerate(seq[:-1]) if c not in "KRP"]
-    letters = [seq[i] for i in free]
+    """All fragments shuffled in turn; the generator starts anew for each
+    protein, so a result doesn't depend on its place."""
     draw = random.Random(seed)
-    out = list(seq)
-    for _ in range(tries):
-        draw.shuffle(letters)
-        for i, c in zip(free, letters, strict=True):
-            out[i] = c
-        if "".join(out) != seq:
-            break
-    return "".join(out)
+    return "".join(mixed(piece, draw, tries) for piece in CUT_PATTERN.split(seq) if piece)
 
 
 def shuffled(df: DataFrame, column: str) -> DataFrame:

@@ -245,19 +245,25 @@ def circles(events: DataFrame, transcripts: DataFrame, chunks: DataFrame, min_aa
     )
 
 
-def biotype_class(biotype: Column) -> Column:
-    b = F.lower(biotype)
-    return F.when(b.contains("pseudogene"), "NC_PSEUDOGENE").when(b.contains("lncrna") | b.contains("lincrna") | b.contains("antisense") | b.contains("processed_transcript"), "NC_LNCRNA").otherwise("NC_ALTORF")
+# Words of biotypes and the class they stand for, in order; and biotypes of RNAs that are not read.
+BIOTYPE_WORDS = {"pseudogene": "NC_PSEUDOGENE", "lncrna": "NC_LNCRNA", "lincrna": "NC_LNCRNA", "antisense": "NC_LNCRNA", "processed_transcript": "NC_LNCRNA", "retained_intron": "NC_LNCRNA"}
+UNREAD_BIOTYPES = ("mirna", "snrna", "snorna", "rrna", "trna", "misc_rna", "scarna", "srna", "vault_rna", "ribozyme")
 
 
-#: Transcripts too short or too structured to be read.
-SKIPPED = "(?i)mirna|snrna|snorna|rrna|trna|scarna|misc_rna|vault|ribozyme"
+def biotype_class(biotype: Column) -> Column:
+    """A non-coding biotype's class; null for none, coding and unread ones."""
+    b = F.lower(F.trim(F.coalesce(biotype, F.lit(""))))
+    out = F.lit("NC_ALTORF")
+    for word, kind in reversed(BIOTYPE_WORDS.items()):
+        out = F.when(b.contains(word), kind).otherwise(out)
+    return F.when(~b.isin("", "protein_coding") & ~b.rlike("|".join(UNREAD_BIOTYPES)), out)
 
 
 def noncanonical(transcripts: DataFrame, sequences: DataFrame, known: DataFrame, min_aa: int = 30, require_atg: bool = True, per_transcript: int = 1) -> DataFrame:
     """Open frames of non-coding transcripts and of the untranslated regions of
     coding ones, but for those equal to a known (sequence) protein."""
-    seq = transcripts.join(sequences, "tx_id").where(~F.col("tx_biotype").rlike(SKIPPED))
+    readable = F.col("is_coding") | biotype_class(F.col("tx_biotype")).isNotNull()
+    seq = transcripts.where(readable).join(sequences, "tx_id")
     cds_len = 3 * F.length(S.protein_of(F.substring("tx_seq", (F.col("cds_off") + 1).cast("int"), F.length("tx_seq")))) + 3
     part = lambda name, text, off: F.struct(F.lit(name).alias("region"), text.alias("nt"), off.cast("bigint").alias("off"))
     whole = F.array(part("transcript", F.col("tx_seq"), F.lit(0)))
@@ -276,11 +282,16 @@ def noncanonical(transcripts: DataFrame, sequences: DataFrame, known: DataFrame,
 
 def sec_termination(transcripts: DataFrame, sequences: DataFrame, min_aa: int = 8) -> DataFrame:
     """Selenoproteins read with their Sec codon as a stop."""
-    t = transcripts.where("is_coding AND size(sec_sites) > 0 AND cds_off IS NOT NULL").join(sequences, "tx_id")
-    nt = F.substring("tx_seq", (F.col("cds_off") + 1).cast("int"), F.length("tx_seq"))
-    read = t.select("*", S.protein_of(nt).alias("short"), S.protein_of(nt, sec=S.sec_codons(F.col("exons"), F.col("strand"), F.col("sec_sites"), F.col("cds_off"))).alias("full"))
-    kept = read.where((F.length("short") >= min_aa) & (F.length("short") < F.length("full")))
-    return records(kept, variant_id=F.lit(None), seq_id=F.concat_ws("_", F.lit("SEC"), "tx_id"), sequence=F.col("short"), variant_class=F.lit("SEC_TERMINATION"), consequence=F.lit("selenocysteine_termination"), gene=F.col("gene_name"), transcript=F.col("tx_id"), protein_change=F.concat(F.lit("p.U"), (F.length("short") + 1).cast("string"), F.lit("*")), variant_pos_aa=F.length("short"), ref_protein_len=F.length("full"), source=F.lit("annotation"), novel_start=F.length("short"), novel_end=F.length("short"), ref_protein=F.col("full"), notes=F.array(F.lit("Sec_read_as_stop")))
+    t = transcripts.where("is_coding AND size(sec_sites) > 0 AND cds_off IS NOT NULL").join(sequences, "tx_id").withColumn("sec", S.sec_codons(F.col("exons"), F.col("strand"), F.col("sec_sites"), F.col("cds_off")))
+    nt, mito = F.substring("tx_seq", (F.col("cds_off") + 1).cast("int"), F.length("tx_seq")), is_mito("chrom")
+    read = t.select("*", S.protein_of(nt, mito).alias("short"), S.protein_of(nt, mito, F.col("sec")).alias("full"))
+    kept = read.where((F.length("short") >= min_aa) & (F.col("short") != F.col("full")))
+    n = F.length("short")
+    return records(
+        kept, variant_id=F.lit(None), seq_id=F.concat_ws("_", F.lit("SECT"), F.coalesce("gene_name", "gene_id"), "tx_id"), sequence=F.col("short"), variant_class=F.lit("SEC_TERMINATION"), consequence=F.lit("selenocysteine_termination"), gene=F.coalesce("gene_name", "gene_id"), transcript=F.col("tx_id"),
+        protein_change=F.concat(F.lit("p.U"), (n + 1).cast("string"), F.lit("*")), variant_pos_aa=n, ref_protein_len=F.length("full"), locus=F.concat("chrom", F.lit(":"), F.col("start").cast("string"), F.lit("-"), F.col("end").cast("string")), source=F.lit("reference_annotation"), novel_start=n, novel_end=n, ref_protein=F.col("full"),
+        notes=F.array(F.lit("selenocysteine_termination"), F.concat(F.lit("readthrough_length_"), F.length("full").cast("string"))),
+    )
 
 
 # ------------------------------------------------------------------ combinations

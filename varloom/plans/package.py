@@ -14,8 +14,8 @@ from ..functions import headers as H
 from ..functions import peptides as P
 from ..operators import relational as R
 
-#: Classes from most to least specific; classes that are not listed rank last.
-CLASS_PRIORITY = ("FUSION", "AS_SE", "AS_RI", "AS_A3", "AS_A5", "AS_MX", "AS_AF", "AS_AL", "RNA_EDITING", "INDEL", "MNV", "SNV", "CIRCRNA", "SEC_TERMINATION", "REFERENCE")
+# Classes in the order in which one names a sequence that several reach; others rank last.
+CLASS_PRIORITY = ("FUSION", "INDEL", "SNV", "MNV", "RNA_EDITING", "AS_SE", "AS_RI", "AS_MX", "AS_A3", "AS_A5", "AS_AF", "AS_AL", "CIRCRNA", "SEC_TERMINATION", "REFERENCE")
 UNCHANGED = ("synonymous", "5_prime_UTR", "3_prime_UTR")
 
 
@@ -123,7 +123,7 @@ def annotated(entry: DataFrame, peptides: DataFrame, drop_nmd: bool = False, dro
     out = entry.join(counts, "digest", "left").fillna(0, ["n_peptides", "n_novel", "n_variant_peptides", "n_novel_vs_normal"])
     if drop_nmd:
         out = out.where("NOT coalesce(nmd = 'likely', false)")
-    return out.where("n_novel > 0") if drop_known else out
+    return out.where("n_novel > 0 OR variant_class = 'REFERENCE'") if drop_known else out
 
 
 def funnel(peptides: DataFrame) -> DataFrame:
