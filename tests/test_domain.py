@@ -88,6 +88,27 @@ def test_splicing_matches_and_constructs(spark, world):
     assert not any(k[0] == "built" for k in got)
 
 
+EVENT = "variant_id string, event_id string, event_type string, gene_id string, chrom string, strand string, groups array<array<bigint>>, source string, confidence double"
+
+
+def test_isoform_is_built_where_none_is_annotated(spark, world):
+    (s1, e1), (s2, e2), _ = world["facts"]["plus"]["exons"]
+    ev = spark.createDataFrame([("ri", "ri", "RI", "PLUS", "chr1", "+", [[s1], [e1 - 3, s2 + 3], [e2]], "t", None)], EVENT)
+    chunks = reference.genome(spark, str(world["folder"] / "genome.fa"))
+    (r,) = B.splicing(ev, world["tx"], world["seqs"], chunks=chunks).collect()
+    assert r["consequence"] == "RI_constructed_isoform" and len(r["sequence"]) == len(PLUS) + 20
+    assert r["sequence"].startswith(PLUS[:20]) and r["sequence"].endswith(PLUS[20:])
+
+
+def test_circle(spark, world):
+    s2, e2 = world["facts"]["plus"]["exons"][1]
+    c = spark.createDataFrame([("c", "chr1", s2, e2, "+", "PLUS", "t", None), ("none", "chr1", s2 + 1, e2, "+", "PLUS", "t", None)], "variant_id string, chrom string, start bigint, end bigint, strand string, gene string, source string, confidence double")
+    chunks = reference.genome(spark, str(world["folder"] / "genome.fa"))
+    (r,) = B.circles(c, world["tx"], chunks, require_atg=False).collect()
+    assert r["variant_id"] == "c" and r["sequence"] == PLUS[20:40] * 3 and r["protein_change"] == "p.bsj@21"
+    assert "crosses_backsplice_junction" in r["notes"] and "translation_cycles_2" in r["notes"]
+
+
 def test_fusion(spark, world):
     _, e1 = world["facts"]["plus"]["exons"][0]
     pair = spark.createDataFrame([("f", "PLUS", "chr1", e1, "MINUS", "chr2", world["facts"]["minus_end"] - 20 - 60, "t", None)], "variant_id string, gene1 string, chrom1 string, pos1 bigint, gene2 string, chrom2 string, pos2 bigint, source string, confidence double")
