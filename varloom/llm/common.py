@@ -8,6 +8,7 @@ words of a slice.  Every helper takes a null text as an empty one.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -68,6 +69,25 @@ def from_buffers(raw: np.ndarray | bytes, offsets: np.ndarray, kind: pa.DataType
     return pa.Array.from_buffers(kind or pa.large_string(), len(offsets) - 1, [None, off, pa.py_buffer(raw)])
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a worker waits for its next task
+    with what its allocators hold, and that counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc() -> ctypes.CDLL | None:
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        return libc if hasattr(libc, "malloc_trim") else None
+    except OSError:  # another system's allocator does without
+        return None
+
+
+_LIBC = _libc()
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about ``most`` text bytes; a longer row
     stays whole and alone."""
@@ -80,8 +100,8 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES
             to = max(at + 1, int(np.searchsorted(ends, base + most, "right")))
             yield batch.slice(at, to - at)
             at = to
-        # what Arrow's pool holds for later counts as this worker's memory
-        pa.default_memory_pool().release_unused()
+        del batch, col
+        give_back()
 
 
 def byte_table(lower: bool, blank: Iterable[int]) -> bytes:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .common import SPACED, Words, buffers, flat_text, from_buffers, mix
 
 #: Text bytes whose features are computed at once: some thirty arrays of a number per word.
-FEATURE_BYTES = 4 << 20
+FEATURE_BYTES = 2 << 20
 
 # Very frequent words of four languages.
 STOP_WORDS = frozenset(

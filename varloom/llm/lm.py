@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, Words, mix, pack, pack_sorted, slices, unpack, unpack_sorted, use_checkpoints
+from .common import SPACED, Words, give_back, mix, pack, pack_sorted, slices, unpack, unpack_sorted, use_checkpoints
 
 #: Text bytes of a block, and text bytes that a bucket stands for.
 BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
@@ -154,6 +154,7 @@ def questions(coded: DataFrame, bits: int, cut: int) -> DataFrame:
                     counts = np.zeros(len(distinct), np.uint32)
                     counts[np.searchsorted(distinct, own)] = times
                     parts.append((distinct, counts, bucket_slices(distinct, bits, cut if n else 0)))
+                give_back()
                 block = batch.column("block")[row].as_py()
                 made = []
                 for b in range(1 << bits):
@@ -218,6 +219,7 @@ def answers(asked: DataFrame) -> DataFrame:
                 reply.append(given[at : at + len(k)])
                 at += len(k)
         rows = len(blobs)
+        give_back()
         bucket = table["bucket"][0].as_py()
         return pa.table({
             "bucket": pa.array([bucket] * (rows + 1), pa.int32()),
@@ -286,6 +288,8 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
             where = np.unique(keys, return_inverse=True)[1]
             counts.append(np.concatenate([r[order] for r in replied])[where].astype(np.int64))
         base, model = traverse(counts, tokens, n, v, texts, exponents)
+        del replied
+        give_back()
         total = lambda x: np.add.reduceat(x, tokens.begins)
         return pa.table({
             "_id": left["ids"].combine_chunks().values,

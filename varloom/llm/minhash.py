@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, Words, mix, pack, pack_sorted, slices, unpack, unpack_sorted, use_checkpoints
+from .common import SPACED, Words, give_back, mix, pack, pack_sorted, slices, unpack, unpack_sorted, use_checkpoints
 
 HASHES, BAND_ROWS, LOW_BITS = 128, 4, 4
 #: How far the estimate may fall short of the threshold before a pair is dropped: five standard deviations of 128 draws.
@@ -166,6 +166,7 @@ def fine_signatures(sets: DataFrame) -> DataFrame:
         for batch in batches:
             bits = [np.packbits(minima(unpack_set(x), _FINE_A, _FINE_B) >> np.uint32(7) & np.uint32(1)).view(np.int64) for x in batch.column("shingles")]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array([b.tolist() for b in bits], pa.list_(pa.int64()))], ["_id", "fine"])
+            give_back()
 
     return sets.mapInArrow(run, f"_id {kind}, fine array<bigint>")
 

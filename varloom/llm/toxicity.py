@@ -33,6 +33,8 @@ from .features import FEATURE_BYTES, DIGIT, LETTER, PUNCTUATION, UPPER, Texts, b
 
 #: Labelled rows that the model is fitted on, and terms that the lexicon may have.
 MOST_LABELLED, MOST_TERMS = 20_000, 5_000
+#: Text bytes whose terms are counted at once: a term is a Python string.
+TERM_BYTES = 1 << 20
 #: Lengths of word beginnings that count as terms, and the least word length for them.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 #: How many toxic documents of the sample hold a term at least, and its least log odds.
@@ -73,7 +75,7 @@ def learn_terms(sample: DataFrame) -> dict[str, float]:
     """Log odds of the terms that mark toxic documents of the sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", FEATURE_BYTES):
+        for batch in slices(batches, "_text", TERM_BYTES):
             t = Texts(batch.column("_text"))
             toxic = batch.column("y").to_numpy(zero_copy_only=False) == 1
             terms: dict[str, int] = {}
