@@ -231,6 +231,24 @@ def test_secret_scan_layers_and_spans(spark, odd, none):
     assert secrets_scan.scan(odd).count() == len(ODD) and secrets_scan.scan(none).count() == 0
 
 
+def test_secret_scan_url_safe_words():
+    rng = np.random.default_rng(7)
+    for i in range(60):
+        noise = "".join(chr(int(c)) for c in rng.integers(32, 127, 40))
+        inner = f"{noise} é?>~ password = hunter2hunter2X {noise[::-1]}".encode()
+        gnu = bytearray(gzip.compress(inner, mtime=0))
+        gnu[9] = 3  # the OS byte of GNU gzip
+        for data in (inner, zlib.compress(inner), gzip.compress(inner, mtime=0), bytes(gnu)):
+            for coded in (base64.urlsafe_b64encode(data).decode(), base64.b64encode(data).decode()):
+                for before in ("see ", "a-name_of-it:"):
+                    found = secrets_scan.scan_text(f"{before}{coded} after")
+                    assert any(secrets_scan.KINDS[k] == "assign" and len(before) <= a < b <= len(before) + len(coded) for a, b, k, _ in found), (i, coded)
+    # one alphabet alone, joined to a name by a sign of the other
+    coded = base64.b64encode(b"password = hunter2hunter2X").decode()
+    for text in (f"abc_{coded}", f"some-longer-name-of-it-{coded}", f"a/folder/of/some/length_{coded}"):
+        assert secrets_scan.scan_text(text), text
+
+
 def test_training_order(spark, odd, none):
     for n in (1, 2, 3, 17, 4_096, 10_001):
         p = training_order.Permutation(n, "k")

@@ -42,7 +42,9 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPED = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+")
 _ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-_BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# what one alphabet alone makes of a word that has signs of the other: a name and a word joined by a sign
+_ONE_ALPHABET = ((re.compile(r"[-_]"), re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")), (re.compile(r"[+/]"), re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")))
 _PLAIN = re.compile(rb"[\t\n\r\x20-\x7E\x80-\xFF]*\Z")
 
 
@@ -145,9 +147,20 @@ def unpack_bytes(data: bytes) -> bytes | None:
         return None
 
 
+def base64_words(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of every run of both alphabets, whole, and of the runs of
+    one alphabet within it."""
+    for m in _BASE64.finditer(text):
+        yield m.span()
+        for other, own in _ONE_ALPHABET:
+            if other.search(text, *m.span()):
+                for x in own.finditer(text, *m.span()):
+                    yield x.span()
+
+
 def unwrap_base64(layer: Layer) -> Iterator[Layer]:
-    for m in _BASE64.finditer(layer.text):
-        word = m[0].rstrip("=")
+    for start, end in base64_words(layer.text):
+        word = layer.text[start:end].rstrip("=")
         if len(word) % 4 == 1:
             continue
         coded = word.replace("-", "+").replace("_", "/") + "=" * (-len(word) % 4)
@@ -171,13 +184,13 @@ def unwrap_base64(layer: Layer) -> Iterator[Layer]:
         if not text:
             continue
         if packed:
-            a, b = layer.span(m.start(), m.end())
+            a, b = layer.span(start, end)
             yield Layer(text, np.full(len(text), a), np.full(len(text), b), layer.depth + 1)
         else:
             sizes = np.array([len(c.encode()) for c in text]) if len(text) < len(data) else np.ones(len(text), np.int64)
             ends = np.cumsum(sizes)
             begins = ends - sizes
-            lo, hi = m.start() + begins * 4 // 3, np.minimum(m.start() + -(-ends * 4 // 3), m.start() + len(word))
+            lo, hi = start + begins * 4 // 3, np.minimum(start + -(-ends * 4 // 3), start + len(word))
             if layer.first is None:
                 yield Layer(text, lo, hi, layer.depth + 1)
             else:
