@@ -249,6 +249,32 @@ def test_secret_scan_url_safe_words():
         assert secrets_scan.scan_text(text), text
 
 
+def test_secret_scan_wrapped_words():
+    rng = np.random.default_rng(8)
+    noise = "".join(chr(int(c)) for c in rng.integers(97, 123, 400))
+    secret = "password = hunter2hunter2X"
+    for lead in range(30):
+        inner = f"{noise[:lead]} é {secret} {noise}".encode()
+        for data in (inner, zlib.compress(inner), gzip.compress(inner, mtime=0)):
+            for encode in (base64.b64encode, base64.urlsafe_b64encode):
+                coded = encode(data).decode()
+                for width, feed in ((76, "\n"), (64, "\r\n"), (64, "\r"), (20, "\n  "), (61, "\n")):
+                    body = feed.join(coded[i : i + width] for i in range(0, len(coded), width))
+                    for before, after in (("the key:\n\n", "\n\nend"), ("-----BEGIN MESSAGE-----\n", "\n-----END MESSAGE-----\n"), ("see\nthis\n", "\nof mine"), ("key: ", "")):
+                        found = secrets_scan.scan_text(before + body + after)
+                        whole = [(a, b) for a, b, k, d in found if secrets_scan.KINDS[k] == "assign" and d == 1]
+                        assert whole and all(len(before) <= a < b <= len(before) + len(body) for a, b in whole), (lead, width, before)
+                        if data is inner:
+                            # the range holds the secret's own signs and no more than a sign on either side
+                            at = inner.index(secret.encode())
+                            place = lambda n: n + n // width * len(feed)  # noqa: B023, E731
+                            assert (len(before) + place(at * 4 // 3), len(before) + place(-(-(at + len(secret)) * 4 // 3) - 1) + 1) in whole
+    # lines that are words of their own are still read as such
+    lines = [base64.b64encode(f"token={c * 14}".encode()).decode() for c in "ab"]
+    assert [(a, b) for a, b, _, _ in secrets_scan.scan_text("\n".join(lines)) if b <= len(lines[0]) or a > len(lines[0])] == [(0, 27), (29, 56)]
+    assert secrets_scan.scan_text("word\n" * 50_000) == []
+
+
 def test_training_order(spark, odd, none):
     for n in (1, 2, 3, 17, 4_096, 10_001):
         p = training_order.Permutation(n, "k")

@@ -3,7 +3,10 @@
 A text is the first layer of a worklist.  Each layer is scanned for secrets,
 then unwrapped: percent escapes and Unicode escapes are decoded in place within
 the layer, base64 words are decoded into layers of their own, and gzip or zlib
-data in them are unpacked.  New layers join the list until none is left; a layer
+data in them are unpacked.  Lines of base64 with single line breaks between them
+are also joined to words: all lines together, and each stretch of lines of equal
+length with the shorter line that ends it, as text around wrapped base64 may look
+like base64, too.  New layers join the list until none is left; a layer
 whose content was seen before in the text is not taken again, so cycles end, and
 every layer is shorter than what it came from or unpacked under a bound.
 
@@ -43,6 +46,9 @@ _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPED = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+")
 _ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# the rest of a base64 line and the lines after it; it starts where a line's last run starts
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n|\n|\r)[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
 # what one alphabet alone makes of a word that has signs of the other: a name and a word joined by a sign
 _ONE_ALPHABET = ((re.compile(r"[-_]"), re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")), (re.compile(r"[+/]"), re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")))
 _PLAIN = re.compile(rb"[\t\n\r\x20-\x7E\x80-\xFF]*\Z")
@@ -135,14 +141,14 @@ def unwrap_escapes(layer: Layer) -> Layer | None:
     return _in_place(layer, found)
 
 
-def unpack_bytes(data: bytes) -> bytes | None:
-    """gzip or zlib data unpacked, or None."""
+def unpack_bytes(data: bytes) -> tuple[bytes, int] | None:
+    """gzip or zlib data unpacked and how many bytes it took, or None."""
     if data[:2] != b"\x1f\x8b" and not (len(data) > 2 and data[0] & 0x0F == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0):
         return None
     try:
         machine = zlib.decompressobj(47)
         out = machine.decompress(data, MOST_UNPACKED)
-        return out if machine.eof else None
+        return (out, len(data) - len(machine.unused_data)) if machine.eof else None
     except zlib.error:
         return None
 
@@ -158,44 +164,90 @@ def base64_words(text: str) -> Iterator[tuple[int, int]]:
                     yield x.span()
 
 
+def wrapped_words(text: str) -> Iterator[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
+    """The (start, end) of neighbouring lines, and the words (first line, line
+    behind the last) they may form, longer ones first."""
+    for m in _WRAPPED.finditer(text):
+        if m.end() - m.start() < 16:
+            continue
+        lines = [x.span() for x in _RUN.finditer(text, *m.span())]
+        sizes = [b - a for a, b in lines]
+        lines[-1] = lines[-1][0], m.end()
+        # a line such as -----BEGIN X----- is not the data's
+        armour = [i for i, (a, b) in enumerate(lines) if text.find("-----", a, b) >= 0]
+        words = {(0, len(lines)), *((i + 1, j) for i, j in zip([-1, *armour], [*armour, len(lines)], strict=True))}
+        i = 0
+        while i < len(lines):
+            j = i + 1
+            while j < len(lines) and sizes[j] == sizes[i]:
+                j += 1
+            for end in [j, j + 1] if j < len(lines) and sizes[j] < sizes[i] else [j]:
+                words.add((i, end))
+                if i == 1:
+                    # the first line may begin behind other text
+                    words.add((0, end))
+            i = j
+        yield lines, sorted(((i, j) for i, j in words if j - i > 1), key=lambda w: (w[0], -w[1]))
+
+
 def unwrap_base64(layer: Layer) -> Iterator[Layer]:
     for start, end in base64_words(layer.text):
-        word = layer.text[start:end].rstrip("=")
-        if len(word) % 4 == 1:
-            continue
-        coded = word.replace("-", "+").replace("_", "/") + "=" * (-len(word) % 4)
-        try:
-            data = binascii.a2b_base64(coded, strict_mode=True)
-        except binascii.Error:
-            # stray low bits at the end: take the whole quanta
-            try:
-                data = binascii.a2b_base64(coded)
-            except binascii.Error:
+        for inner, _ in decoded(layer, [(start, end)]):
+            yield inner
+    for lines, words in wrapped_words(layer.text):
+        at = np.cumsum([0, *(b - a for a, b in lines)]).tolist()
+        read: list[tuple[int, int]] = []
+        for i, j in words:
+            read = [w for w in read if w[1] > i]
+            # part of a text that was read whole
+            if at[j] - at[i] < 16 or any(j <= w[1] and (at[i] - at[w[0]]) % 4 == 0 for w in read):
                 continue
-        packed, layers = False, 0
-        while (inner := unpack_bytes(data)) is not None and layers < 8:
-            data, packed, layers = inner, True, layers + 1
-        if not _PLAIN.match(data):
-            continue
+            for inner, packed in decoded(layer, lines[i:j]):
+                yield inner
+                if not packed:
+                    read.append((i, j))
+
+
+def decoded(layer: Layer, lines: list[tuple[int, int]]) -> Iterator[tuple[Layer, bool]]:
+    """The layer that a word, of one or more lines, holds, and whether it was
+    packed."""
+    word = "".join([layer.text[a:b] for a, b in lines]).rstrip("=")
+    if len(word) % 4 == 1:
+        return
+    coded = word.replace("-", "+").replace("_", "/") + "=" * (-len(word) % 4)
+    try:
+        data = binascii.a2b_base64(coded, strict_mode=True)
+    except binascii.Error:
+        # stray low bits at the end: take the whole quanta
         try:
-            text = data.decode()
-        except UnicodeDecodeError:
-            continue
-        if not text:
-            continue
-        if packed:
-            a, b = layer.span(start, end)
-            yield Layer(text, np.full(len(text), a), np.full(len(text), b), layer.depth + 1)
-        else:
-            sizes = np.array([len(c.encode()) for c in text]) if len(text) < len(data) else np.ones(len(text), np.int64)
-            ends = np.cumsum(sizes)
-            begins = ends - sizes
-            lo, hi = start + begins * 4 // 3, np.minimum(start + -(-ends * 4 // 3), start + len(word))
-            if layer.first is None:
-                yield Layer(text, lo, hi, layer.depth + 1)
-            else:
-                spans = [layer.span(int(x), int(y)) for x, y in zip(lo, hi, strict=True)]
-                yield Layer(text, np.array([s[0] for s in spans]), np.array([s[1] for s in spans]), layer.depth + 1)
+            data = binascii.a2b_base64(coded)
+        except binascii.Error:
+            return
+    taken, layers, whole = 0, 0, len(data)
+    while (inner := unpack_bytes(data)) is not None and layers < 8:
+        data, taken, layers = inner[0], taken or inner[1], layers + 1
+    if not _PLAIN.match(data):
+        return
+    try:
+        text = data.decode()
+    except UnicodeDecodeError:
+        return
+    if not text:
+        return
+    # where each sign of the word stands
+    at = np.concatenate([np.arange(a, b, dtype=np.int64) for a, b in lines])
+    if taken:
+        a, b = layer.span(lines[0][0], lines[-1][1] if taken == whole else int(at[-(-taken * 4 // 3) - 1]) + 1)
+        yield Layer(text, np.full(len(text), a), np.full(len(text), b), layer.depth + 1), True
+    else:
+        sizes = np.array([len(c.encode()) for c in text]) if len(text) < len(data) else np.ones(len(text), np.int64)
+        ends = np.cumsum(sizes)
+        begins = ends - sizes
+        lo, hi = at[begins * 4 // 3], at[np.minimum(-(-ends * 4 // 3), len(word)) - 1] + 1
+        if layer.first is not None:
+            spans = [layer.span(int(x), int(y)) for x, y in zip(lo, hi, strict=True)]
+            lo, hi = np.array([s[0] for s in spans]), np.array([s[1] for s in spans])
+        yield Layer(text, lo, hi, layer.depth + 1), False
 
 
 def scan_text(text: str) -> list[tuple[int, int, int, int]]:
