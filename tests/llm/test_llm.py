@@ -339,6 +339,26 @@ def test_html_extraction(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_html_article_below_wrappers():
+    long = "A paragraph of the article which goes on for some words, as paragraphs do in a text of this kind."
+    body = f"<p>{long}</p><p>{long}</p>"
+    twice = f"{long}\n{long}"
+    for name in ("with-sidebar", "header-fixed", "overflow-hidden", "sidebar", "search", "hidden-xs", "has-comments", "side header", "page-header site-header", "sidebarLayout"):
+        for attribute in ("class", "id"):
+            for inner in (f"<article>{body}</article>", f"<main>{body}</main>", f'<div itemprop="articleBody">{body}</div>', f'<div role="main">{body}</div>'):
+                page = f'<html><body><div {attribute}="{name}"><div class="inner">{inner}</div></div></body></html>'
+                assert html_text.main_text(page) == twice, (name, inner)
+    for name in ("with-sidebar", "header-fixed", "overflow-hidden", "sidebar-layout"):
+        assert html_text.main_text(f"<div class='{name}'>{body}</div>") == twice
+    # what is not the page's own stays out
+    own = f"<main><article>{body}</article></main>"
+    for tag in ("nav", "aside", "footer", "form"):
+        assert html_text.main_text(f"{own}<{tag} class='x'><article>{body}</article></{tag}>") == twice
+    for name in ("sidebar", "cookie-notice", "comments", "related", "site-footer", "left-sidebar"):
+        assert html_text.main_text(f"{own}<div class='{name}'>{body}</div>") == twice
+    assert html_text.main_text(f"{own}<div id='comments' class='comments-area'><ol><li class='comment'><article class='comment-body'>{body}</article></li></ol></div>") == twice
+
+
 def test_minimum_cut_is_minimal():
     rng = np.random.default_rng(4)
     for _ in range(40):

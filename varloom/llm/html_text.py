@@ -8,7 +8,11 @@ words, link density, length, sentence marks, notice phrases) into a cost for
 calling it boilerplate and a cost for calling it content.  These are the
 capacities to the two terminals.  Blocks that follow each other, and blocks
 that share a parent, are joined by smoothness edges, weak across the border of
-two regions of the page.  A maximum flow separates content from boilerplate with
+two regions of the page.  An article or main element starts anew whatever class
+words say of what stands around it, unless a navigation, aside, footer or form
+element does or, for an article, a list of comments, related pages or
+advertisements; names of several words (with-sidebar, site-header) say less than
+whole ones.  A maximum flow separates content from boilerplate with
 the least total cost.
 
 The text is the content blocks in page order, joined by one newline, with
@@ -57,6 +61,15 @@ AGAINST = frozenset(
     "newsletter subscribe subscription signup login form search comment comments commentlist disqus reply replies respond responses discussion "
     "share sharing social related recommended recommendations outbrain taboola pagination pager toolbar skip hidden".split()
 )
+#: Those whose articles are not the page's own, and elements and roles whose content never is.
+OTHERS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion promoted newsletter "
+    "comment comments commentlist disqus reply replies respond responses discussion related recommended recommendations outbrain taboola".split()
+)
+BARRED = frozenset("nav aside footer form button dialog menu".split())
+BARRED_ROLES = frozenset(role for role, evidence in BY_ROLE.items() if evidence < 0)
+#: Words that make a name of several words tell of the page's state or layout.
+STATES = frozenset("with without has have no is not are fixed sticky open opened closed collapsed enabled disabled visible overflow active layout container wrapper wrap page content".split())
 FOR = frozenset("article articlebody content post entry story maincontent body text main prose".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Phrases of notices and legal lines.
@@ -77,6 +90,7 @@ class Element:
     region: int
     key: int
     link: bool
+    barred: int
 
 
 @dataclass(slots=True)
@@ -87,17 +101,38 @@ class Block:
     parent: int
 
 
-def _own_evidence(tag: str, attributes: str, inside: bool) -> tuple[float, bool]:
-    """(evidence, hidden) of an element by its name and attributes; ``inside``:
-    an article holds it already."""
+def _against(value: str) -> float:
+    """What the names in a class or id say against the text within."""
+    worst = 0.0
+    for name in value.split():
+        words = [w.lower() for w in _NAME_WORD.findall(name)]
+        bad = [w in AGAINST for w in words]
+        if all(bad):
+            worst = min(worst, -9.0 if bad else 0.0)
+        elif any(bad) and not STATES.intersection(words):
+            # the last word is what a name is about
+            worst = min(worst, -5.0 if bad[-1] else -2.0)
+    return worst
+
+
+def _own_evidence(tag: str, attributes: str, inside: bool) -> tuple[float, bool, bool, int]:
+    """(evidence, hidden, main, barred) of an element by its name and
+    attributes; ``inside``: an article holds it already; ``main``: it starts
+    the page's own text; ``barred``: 2 if nothing within does, 1 if no article
+    within does."""
     evidence = BY_TAG.get(tag, 0.0)
     hidden = False
+    main = tag in ("article", "main")
+    barred = 2 if tag in BARRED else 0
     if attributes and not attributes.isspace():
         for m in _ATTRIBUTE.finditer(attributes):
             name = m[1].lower()
             value = m[2] or m[3] or m[4] or ""
             if name == "role":
-                evidence += BY_ROLE.get(value.strip().lower(), 0.0)
+                role = value.strip().lower()
+                evidence += BY_ROLE.get(role, 0.0)
+                main |= role in ("main", "article")
+                barred = 2 if role in BARRED_ROLES else barred
             elif name == "style":
                 hidden |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE) is not None
             elif name == "hidden":
@@ -106,19 +141,22 @@ def _own_evidence(tag: str, attributes: str, inside: bool) -> tuple[float, bool]
                 hidden |= value.lower() == "true"
             elif name == "itemprop":
                 evidence += 3.0 if value == "articleBody" else 0.0
+                main |= value == "articleBody"
             elif tag not in ("html", "body") and tag not in HEADINGS:
-                words = {w.lower() for w in _NAME_WORD.findall(value)}
-                if words & AGAINST:
-                    evidence -= 9.0
-                elif words & FOR:
+                against = _against(value)
+                if against:
+                    evidence += against
+                elif FOR.intersection(w.lower() for w in _NAME_WORD.findall(value)):
                     evidence += 1.0
+                if any(w.lower() in OTHERS for w in value.split()):
+                    barred = max(barred, 1)
     if inside and evidence > 0:
         evidence = min(evidence, 1.0)
-    return evidence, hidden
+    return evidence, hidden, main, barred
 
 
 def blocks_of(page: str) -> list[Block]:
-    stack = [Element("", 0.0, False, 0, 0, False)]
+    stack = [Element("", 0.0, False, 0, 0, False, 0)]
     out: list[Block] = []
     pieces: list[str] = []
     linked = 0
@@ -212,13 +250,17 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[i].tag in SCOPE and not (ends and stack[i].tag in ("td", "th")):
                     break
         up = stack[-1]
-        own, hidden = _own_evidence(tag, m[3], up.evidence > 2.5)
+        own, hidden, main, barred = _own_evidence(tag, m[3], up.evidence > 2.5)
+        above = up.evidence
+        if main and above < 0.0 and up.barred < (1 if tag == "article" else 2):
+            above = 0.0
         made += 1
         region = up.region
-        if abs(own) >= 3.0:
+        if abs(own) >= 3.0 or above != up.evidence:
             regions += 1
             region = regions
-        stack.append(Element(tag, max(-12.0, min(6.0, up.evidence + own)) if up.evidence > -6.0 else up.evidence, up.unseen or hidden or tag in UNSEEN, region, made, up.link or tag == "a"))
+        evidence = max(-12.0, min(6.0, above + own)) if above > -6.0 else above
+        stack.append(Element(tag, evidence, up.unseen or hidden or tag in UNSEEN, region, made, up.link or tag == "a", max(up.barred, barred)))
     flush(holder())
     return out
 
