@@ -275,6 +275,27 @@ def test_secret_scan_wrapped_words():
     assert secrets_scan.scan_text("word\n" * 50_000) == []
 
 
+def test_secret_scan_has_no_caps():
+    secret = b"password = hunter2hunter2X"
+    deep = secret
+    for i in range(30):
+        deep = (gzip.compress, zlib.compress)[i % 2](deep)
+    filler = b"many words of no use\n" * 50_000
+    cases = {
+        "deep": deep, "large": gzip.compress(filler * 20 + secret + filler * 20), "end": zlib.compress(filler * 40 + secret), "large twice": gzip.compress(gzip.compress(filler * 20 + secret, 0) + b""),
+        "members": gzip.compress(b"one") + gzip.compress(secret), "control": b"\x1b[1m\x00" + secret + b"\x00 \xff\xfe", "packed control": zlib.compress(b"\x00\xff" + secret + b"\x00"),
+        "coded": gzip.compress(b"\x00" + filler * 20 + base64.b64encode(zlib.compress(secret)) + b"\n"),
+    }
+    for name, data in cases.items():
+        coded = base64.b64encode(data).decode()
+        found = secrets_scan.scan_text(f"see {coded}. end")
+        assert [secrets_scan.KINDS[k] for _, _, k, _ in found] == ["assign"] and all(4 <= a < b <= 4 + len(coded) for a, b, _, _ in found), name
+    at = cases["control"].index(secret)
+    coded = base64.b64encode(cases["control"]).decode()
+    assert secrets_scan.scan_text(coded)[0][:2] == (at * 4 // 3, -(-(at + len(secret)) * 4 // 3))
+    assert secrets_scan.scan_text("see " + base64.b64encode(deep[:-9]).decode()) == []
+
+
 def test_training_order(spark, odd, none):
     for n in (1, 2, 3, 17, 4_096, 10_001):
         p = training_order.Permutation(n, "k")

@@ -14,17 +14,25 @@ Each layer carries, per character, the code points of the *original* text it
 stems from; a secret found at any depth is reported as the smallest original
 range that holds it.  Base spans are those of depth 0.
 
+Packed data are unpacked as often as they are packed, until content comes back
+that was there before.  A layer need not be text throughout: bytes that are not
+UTF-8 stand in it as single signs.  An unpacked layer of more than MOST_UNPACKED
+bytes is a stream that is scanned in windows of that size, OVERLAP bytes of each
+again in the next one, so only a coded word longer than that may be cut.
+
 Cases: a null text is an empty one; texts of any length are whole; equal spans
-of several layers count once; an unpacked layer of more than MOST_UNPACKED
-bytes, a decompression bomb, is left packed; an empty table gives an empty one;
+of several layers count once; an empty table gives an empty one;
 other input columns are not looked at.
 """
 
 from __future__ import annotations
 
 import binascii
+import hashlib
+import itertools
 import re
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +43,8 @@ from pyspark.sql import functions as F
 from .common import carry, slices
 
 KINDS = ("assign", "access", "hex")
-#: Bytes that one packed layer may unpack to.
-MOST_UNPACKED = 16 << 20
+#: Bytes of an unpacked layer that are held at once, and of them those seen again in the next window.
+MOST_UNPACKED, OVERLAP = 16 << 20, 4 << 20
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 # a run that is long enough starts where the run starts, so the least length can stand in the pattern
@@ -52,6 +60,8 @@ _RUN = re.compile(r"[A-Za-z0-9+/_-]+")
 # what one alphabet alone makes of a word that has signs of the other: a name and a word joined by a sign
 _ONE_ALPHABET = ((re.compile(r"[-_]"), re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")), (re.compile(r"[+/]"), re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")))
 _PLAIN = re.compile(rb"[\t\n\r\x20-\x7E\x80-\xFF]*\Z")
+# no secret, plain or wrapped, is shorter
+_READABLE = re.compile(rb"[\t\n\r\x20-\x7E]{16}")
 
 
 class Layer:
@@ -141,16 +151,86 @@ def unwrap_escapes(layer: Layer) -> Layer | None:
     return _in_place(layer, found)
 
 
-def unpack_bytes(data: bytes) -> tuple[bytes, int] | None:
-    """gzip or zlib data unpacked and how many bytes it took, or None."""
-    if data[:2] != b"\x1f\x8b" and not (len(data) > 2 and data[0] & 0x0F == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0):
-        return None
+def looks_packed(data: bytes) -> bool:
+    return data[:2] == b"\x1f\x8b" or len(data) > 2 and data[0] & 0x0F == 8 and data[0] >> 4 <= 7 and (data[0] << 8 | data[1]) % 31 == 0
+
+
+class Unpacked:
+    """The parts of what gzip (all members) or zlib data in parts hold;
+    ``taken`` counts the bytes they took.  Raises zlib.error where the data
+    are broken or cut off."""
+
+    def __init__(self, parts: Iterator[bytes]):
+        self.parts, self.taken = parts, 0
+
+    def __iter__(self) -> Iterator[bytes]:
+        machine, many = zlib.decompressobj(47), None
+        for part in self.parts:
+            many = part[:2] == b"\x1f\x8b" if many is None else many
+            while True:
+                out = machine.decompress(part, 1 << 20)
+                rest = machine.unused_data if machine.eof else machine.unconsumed_tail
+                self.taken += len(part) - len(rest)
+                part = rest
+                if out:
+                    yield out
+                if machine.eof:
+                    if not many or part[:2] != b"\x1f\x8b":
+                        return
+                    machine = zlib.decompressobj(47)
+                elif not part and len(out) < 1 << 20:
+                    break
+        if not machine.eof:
+            raise zlib.error("cut off")
+
+
+def unpacked(data: bytes) -> tuple[int, bytes, Iterator[bytes]]:
+    """(bytes taken of the data, 0 if they are not packed; what is in them when
+    all that is packed is unpacked, or its first MOST_UNPACKED bytes; more)."""
+    taken, more, seen = 0, iter(()), set()
+    while looks_packed(data):
+        key = hashlib.blake2b(data).digest()
+        if key in seen:
+            break
+        seen.add(key)
+        machine = Unpacked(itertools.chain([data], more))
+        parts, held, size = iter(machine), [], 0
+        try:
+            while size < MOST_UNPACKED and (part := next(parts, None)) is not None:
+                held.append(part)
+                size += len(part)
+        except zlib.error:
+            break
+        data, more, taken = b"".join(held), parts, taken or machine.taken
+    return taken, data, more
+
+
+def windows(data: bytes, more: Iterator[bytes]) -> Iterator[bytes]:
+    """The windows after the first one."""
+    held, size = [data[-OVERLAP:]], OVERLAP
     try:
-        machine = zlib.decompressobj(47)
-        out = machine.decompress(data, MOST_UNPACKED)
-        return (out, len(data) - len(machine.unused_data)) if machine.eof else None
+        for part in more:
+            held.append(part)
+            size += len(part)
+            if size >= MOST_UNPACKED:
+                data = b"".join(held)
+                yield data
+                held, size = [data[-OVERLAP:]], OVERLAP
     except zlib.error:
-        return None
+        pass
+    if len(held) > 1:
+        yield b"".join(held)
+
+
+def text_of(data: bytes) -> str | None:
+    """Bytes as text, if there may be something to find; those that are not
+    UTF-8 are a surrogate each."""
+    if _PLAIN.match(data):
+        try:
+            return data.decode()
+        except UnicodeDecodeError:
+            pass
+    return data.decode(errors="surrogateescape") if _READABLE.search(data) else None
 
 
 def base64_words(text: str) -> Iterator[tuple[int, int]]:
@@ -223,24 +303,19 @@ def decoded(layer: Layer, lines: list[tuple[int, int]]) -> Iterator[tuple[Layer,
             data = binascii.a2b_base64(coded)
         except binascii.Error:
             return
-    taken, layers, whole = 0, 0, len(data)
-    while (inner := unpack_bytes(data)) is not None and layers < 8:
-        data, taken, layers = inner[0], taken or inner[1], layers + 1
-    if not _PLAIN.match(data):
-        return
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return
-    if not text:
-        return
+    whole = len(data)
+    taken, data, more = unpacked(data)
     # where each sign of the word stands
     at = np.concatenate([np.arange(a, b, dtype=np.int64) for a, b in lines])
     if taken:
         a, b = layer.span(lines[0][0], lines[-1][1] if taken == whole else int(at[-(-taken * 4 // 3) - 1]) + 1)
-        yield Layer(text, np.full(len(text), a), np.full(len(text), b), layer.depth + 1), True
-    else:
-        sizes = np.array([len(c.encode()) for c in text]) if len(text) < len(data) else np.ones(len(text), np.int64)
+        for part in itertools.chain([data], windows(data, more)):
+            text = text_of(part)
+            if text:
+                yield Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)), layer.depth + 1), True
+    elif text := text_of(data):
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        sizes = np.where((code >= 0xDC80) & (code < 0xDD00), 1, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)).astype(np.int64)
         ends = np.cumsum(sizes)
         begins = ends - sizes
         lo, hi = at[begins * 4 // 3], at[np.minimum(-(-ends * 4 // 3), len(word)) - 1] + 1
@@ -250,28 +325,40 @@ def decoded(layer: Layer, lines: list[tuple[int, int]]) -> Iterator[tuple[Layer,
         yield Layer(text, lo, hi, layer.depth + 1), False
 
 
+def _inner(layer: Layer) -> Iterator[Layer]:
+    if "%" in layer.text and (x := unwrap_percent(layer)) is not None:
+        yield x
+    if "\\" in layer.text and (x := unwrap_escapes(layer)) is not None:
+        yield x
+    yield from unwrap_base64(layer)
+
+
+def _key(text: str) -> str | bytes:
+    return text if len(text) < 64 else hashlib.blake2b(text.encode("utf-8", "surrogatepass")).digest()
+
+
 def scan_text(text: str) -> list[tuple[int, int, int, int]]:
     """(start, end, kind's number, depth) of every secret, each range and kind
     once with its least depth, by start, then kind, then end."""
     spans: dict[tuple[int, int, int], int] = {}
-    seen = {text}
-    work = [Layer(text, None, None, 0)]
+    seen = {_key(text)}
+    work = deque([iter([Layer(text, None, None, 0)])])
     while work:
-        layer = work.pop(0)
+        layer = next(work[0], None)
+        if layer is None:
+            work.popleft()
+            continue
+        if layer.depth:
+            key = _key(layer.text)
+            if key in seen:
+                continue
+            seen.add(key)
         for kind, a, b in base_spans(layer.text):
             a, b = layer.span(a, b)
             key = (a, KINDS.index(kind), b)
             spans[key] = min(spans.get(key, layer.depth), layer.depth)
-        inner: list[Layer | None] = []
-        if "%" in layer.text:
-            inner.append(unwrap_percent(layer))
-        if "\\" in layer.text:
-            inner.append(unwrap_escapes(layer))
-        inner += unwrap_base64(layer)
-        for x in inner:
-            if x is not None and x.text not in seen:
-                seen.add(x.text)
-                work.append(x)
+        # what is in a window of a stream comes before the next window, so that one window is held
+        (work.appendleft if len(layer.text) >= OVERLAP else work.append)(_inner(layer))
     return [(a, b, k, spans[a, k, b]) for a, k, b in sorted(spans)]
 
 
