@@ -185,6 +185,17 @@ def test_b_bit_estimate_is_near(spark):
         assert abs(((x == y).mean() - 1 / 16) / (15 / 16) - share) < 0.2
 
 
+def test_fine_screen_keeps_tiny_pairs(spark):
+    rng = np.random.default_rng(5)
+    fine = lambda x: np.packbits(minhash.minima(x, minhash._FINE_A, minhash._FINE_B) >> np.uint32(7) & np.uint32(1)).view(np.int64).tolist()
+    sets = [rng.integers(0, 2**63, 5, np.uint64) for _ in range(1500)]
+    rows = [((4, fine(s[:4])), (5, fine(s))) for s in sets]
+    kind = "struct<n:bigint,fine:array<bigint>>"
+    df = spark.createDataFrame(rows, f"x {kind}, y {kind}")
+    assert df.where(minhash.fine_estimate(F.col("x.fine"), F.col("y.fine")) >= 0.8 - minhash.FINE_MARGIN).count() < len(sets)
+    assert df.where(minhash.may_link_finely("x", "y", 80)).count() == len(sets)
+
+
 def test_decontamination_equals_brute_force(spark, odd, none):
     rng = np.random.default_rng(2)
     text = lambda n: " ".join(f"t{x}" for x in rng.integers(0, 30, n))

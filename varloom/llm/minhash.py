@@ -18,9 +18,11 @@ is in.
    What is open after that gets a finer signature, 2048 minima of one bit, and
    is joined within its bucket, members of different components only, with both
    estimates inside the join condition and each pair in its first common bucket
-   only; every pair that passes is confirmed.  No linked pair that shares a
-   bucket is left out but for the estimates' error (at the very threshold under
-   4e-6), and there is no cap on buckets, members or candidates.
+   only; every pair that passes is confirmed.  One-bit draws of tiny sets depend
+   on each other, so a pair with a set of fewer than FINE_LEAST shingles is
+   confirmed without the finer estimate.  No linked pair that shares a bucket is
+   left out but for the estimates' error, and there is no cap on buckets, members
+   or candidates.
 
 Nothing is collected: sets, pairs, links and components stay in DataFrames that
 are cut by checkpoints.  A bucket is never gathered in one task: its pivot is a
@@ -51,6 +53,8 @@ HASHES, BAND_ROWS, LOW_BITS = 128, 4, 4
 MARGIN = 0.18
 #: Minima of the finer signature, one bit each, and its margin: four and a half standard deviations.
 FINE_HASHES, FINE_MARGIN = 2048, 0.06
+#: Shingles that both sets have at least where the finer estimate decides.
+FINE_LEAST = 20
 #: Members whose sets meet one pivot's set in a task.
 MEMBERS = 64
 
@@ -141,6 +145,12 @@ def fine_estimate(a: Column, b: Column) -> Column:
     return 1 - 2 * reduce(lambda p, q: p + q, differ) / F.lit(float(FINE_HASHES))
 
 
+def may_link_finely(a: str, b: str, percent: int) -> Column:
+    """What a linked pair passes in the last turn, besides may_link."""
+    tiny = F.least(F.col(f"{a}.n"), F.col(f"{b}.n")) < FINE_LEAST
+    return tiny | (fine_estimate(F.col(f"{a}.fine"), F.col(f"{b}.fine")) >= percent / 100 - FINE_MARGIN)
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """(_id, shingles) of the wanted documents, packed."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -255,7 +265,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     fine = fine_signatures(sets.join(torn.select("_id").distinct(), "_id", "left_semi"))
     left = torn.join(facts.join(fine, "_id"), "_id").select("band", "_id", "label", "n", "bits", "bands", "fine").checkpoint()
     x, y = left.alias("x"), left.alias("y")
-    near = may_link("x", "y", percent) & (fine_estimate(F.col("x.fine"), F.col("y.fine")) >= percent / 100 - FINE_MARGIN)
+    near = may_link("x", "y", percent) & may_link_finely("x", "y", percent)
     # a pair of several common buckets counts in the first of them
     common = F.arrays_zip(F.col("x.bands").alias("p"), F.col("y.bands").alias("q"))
     here = F.element_at(F.filter(common, lambda z: z["p"] == z["q"]), 1)["p"] == F.col("x.band")
