@@ -104,20 +104,25 @@ def test_media_reads_other_lacings_and_unknown_sizes():
     assert [p.timestamp_ms for p in m.packets][:6] == [7, 7, 7, 12, 12, 12]
 
 
-def test_lm_equals_the_explicit_automaton(spark, odd, docs, none):
-    both = docs.select("doc_id", "text").union(odd.select(F.col("doc_id") + 10_000, "text")).union(odd.select("doc_id", "text").where("doc_id > 100"))
-    out = lm.score(both, crc_mod(F.col("doc_id"), 7) != 2, block_bytes=1 << 16).collect()
-    texts = {r["doc_id"]: [w.decode() for w in words_of(r["text"])] for r in both.collect()}
-    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
-    model = lm.BackoffAutomaton([t for i, t in texts.items() if not held[i]])
-    assert len(out) == len(texts)
-    for r in out:
-        words = texts[r["doc_id"]]
-        assert r["n_tokens"] == len(words) + 1 and r["train_tokens"] == model.n
-        base = sum(math.log10((model.counts.get((w,), 0) + 1) / (model.n + model.v + 1)) for w in [*words, model.end])
-        assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(model.score(words))
-    assert sum(r["score"] - r["base_score"] for r in out if held[r["doc_id"]]) > 0
+@pytest.mark.parametrize("sizes", [{"block_bytes": 1 << 16}, {"block_bytes": 1 << 15, "bucket_bytes": 1 << 12, "fan": 4}, {"block_bytes": 1 << 14, "bucket_bytes": 1 << 15, "fan": 16}])
+def test_lm_equals_the_explicit_automaton(spark, odd, docs, none, sizes):
+    """In one hop, in four and in two, with words and pairs of one block, of
+    many, and dealt by triples."""
+    more = spark.createDataFrame([(30_000, "w " * 3_000), (30_001, "unseen zq zq unseen"), (30_002, "a b c " * 700), (None, "a null id is learned"), (30_002, "a b c")], "doc_id bigint, text string")
+    both = docs.select("doc_id", "text").union(odd.select(F.col("doc_id") + 10_000, "text")).union(more)
+    out = lm.score(both.withColumn("_id", F.lit("clash")).withColumn("unit", F.lit(1)), crc_mod(F.col("doc_id"), 7) != 2, **sizes).collect()
+    rows = [(r["doc_id"], tuple(words_of(r["text"]))) for r in both.collect()]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    model = lm.BackoffAutomaton([list(t) for i, t in rows if not held(i)])
+    want = sorted(((-1 if i is None else i), len(t) + 1, sum((w,) in model.counts for w in [*t, model.end]), model.score(list(t)), sum(math.log10((model.counts.get((w,), 0) + 1) / (model.n + model.v + 1)) for w in [*t, model.end])) for i, t in rows)
+    got = sorted(((-1 if r["doc_id"] is None else r["doc_id"]), r["n_tokens"], r["n_known"], r["score"], r["base_score"]) for r in out)
+    assert len(got) == len(want) and {r["train_tokens"] for r in out} == {model.n}
+    for x, y in zip(got, want):
+        assert x[:3] == y[:3] and x[3:] == pytest.approx(y[3:])
+    assert sum(r["score"] - r["base_score"] for r in out if held(r["doc_id"])) > 0
     assert lm.score(none, F.lit(True)).count() == 0
+    # nothing learned: one unknown word has all the weight
+    assert {r["score"] for r in lm.score(more, F.lit(False)).collect()} == {0.0}
 
 
 def test_lm_weights_sum_to_one():

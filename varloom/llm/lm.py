@@ -17,22 +17,36 @@ adding log10 weights.
 
 The automaton of a large corpus is neither shipped nor held anywhere as a whole.
 Documents are cut into blocks of bounded size; a block asks for exactly those
-n-grams that its own texts can meet.  The questions, which also carry the
-block's own training counts, go to buckets by n-gram hash; a bucket adds up the
-counts of all blocks and answers each.  The answers meet the block again, and
-there form the part of the automaton that its texts traverse.  All counts are
-over all learned documents: nothing is pruned, sampled or capped, and what is
-shuffled grows with the text: a few bytes for each distinct n-gram of a block.
-A frequent n-gram appears once in a block, so no key is hot.
-
-Words are known by 64-bit hashes; pairs and triples by so many bits that one
-n-gram in 2^SPARE_BITS shares its key with another, at any size of the corpus.
+states and arcs that its own texts can meet, and traverses them.
+
+1. Words.  A block sends its distinct words with its own training counts to
+   buckets by hash; a bucket adds the counts of all blocks up and numbers the
+   words, frequent ones first.
+2. N-grams.  A block sends its distinct triples of word numbers, with its own
+   training counts, to buckets by the hash of their last two words, so that a
+   bucket adds up triples and pairs at once.  Triples of two frequent words
+   (any pair that could fill a noticeable share of a bucket) are dealt by the
+   whole triple, and their pairs are sent on their own: no key is hot.  N-grams
+   with a word that only this block has are counted where they are.
+3. Automaton.  The answers meet the block again, which numbers its states and
+   arcs and lets all texts advance together, token by token.  Long texts go in
+   lanes; as a state is a history of two words at most, a lane that starts two
+   tokens early is in the right state when it begins.
+
+A unit sends to at most FAN buckets.  A corpus that needs more takes further
+hops: the parts that FAN units have for one bucket are merged to a unit again,
+which sends on by the next bits of the hash, and answers come back the same way.
+So the number of parts is units times FAN for each hop, in proportion to the
+corpus, and neither a unit nor a bucket grows with it.  All counts are over all
+learned documents, 64-bit and exact: words are compared as strings and n-grams
+by word numbers, nothing is pruned, sampled or capped.
 
 Cases: a null or empty text is its end token alone; repeated rows are learned
 and scored each; texts of any length are whole (a longer text than a block is a
 block); a document with a null id is learned; an empty table gives an empty one,
 a corpus without learned documents gives the uniform unknown word; other
-columns, whatever their names, are not looked at.
+columns, whatever their names, are not looked at.  Word numbers have 32 bits:
+more than four billion distinct words are an error.
 """
 
 from __future__ import annotations
@@ -40,64 +54,285 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, Words, give_back, mix, pack, pack_sorted, slices, unpack, unpack_sorted, use_checkpoints
+from .common import SPACED, Words, buffers, from_buffers, give_back, mix, pack, slices, unpack, use_checkpoints
 
-#: Text bytes of a block, and text bytes that a bucket stands for.
-BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
-#: Bits of a key beyond those that number the corpus' n-grams (about one for each four bytes of text).
-SPARE_BITS = 16
+#: Text bytes of a block, text bytes that a bucket stands for, and buckets that a unit sends to.
+BLOCK_BYTES, BUCKET_BYTES, FAN = 12 << 20, 16 << 20, 4096
+#: Buckets at least, so that small corpora are worked on in parallel.
+LEAST_BUCKETS = 16
+#: A pair whose words are both more frequent than this share of a bucket's tokens is dealt by triples.
+HOT_SHARE = 0.25
 #: Bins of the histogram of counts: powers of two.
 BINS = 48
-
-# Hashes of the end and start tokens and odd multipliers; a word's hash meets the first two by chance only.
-END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
+#: Tokens that a lane of the traversal has at most, and those before it that find its state.
+LANE, WARM = 512, 2
+
+# Word numbers with a meaning: no training word, start, end, before the start, and all words before a pair.
+UNKNOWN, START, END, BEFORE, ANY, FIRST_WORD = 0, 1, 2, 3, 4, 5
+_HALF = np.uint64(32)
+_LOW = np.uint64(0xFFFFFFFF)
+# Odd multipliers.
 MULTIPLIERS = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
-class Tokens:
-    """A block's tokens: each text's words, then one end.  ``keys`` has, for
-    orders 1 to 3, the key of the n-gram that ends at each token; keys of pairs
-    and triples have ``cut`` bits less than 64."""
+# ------------------------------------------------------------------ what is counted
+
+
+class Vocabulary:
+    """Words as what is counted: a content is (words, counts, how many units
+    have them), sorted."""
+
+    @staticmethod
+    def hashes(content: tuple) -> np.ndarray:
+        import xxhash
+
+        hash64 = xxhash.xxh3_64_intdigest
+        words = content[0].cast(pa.large_binary()).to_pylist()
+        return np.fromiter(map(hash64, words), np.uint64, len(words))
+
+    @staticmethod
+    def take(content: tuple, at: np.ndarray) -> tuple:
+        return content[0].take(pa.array(at)), content[1][at], content[2][at]
+
+    @staticmethod
+    def pack(content: tuple) -> bytes:
+        raw, offsets = buffers(content[0])
+        return pack(raw, np.diff(offsets).astype(np.uint32), *content[1:])
+
+    @staticmethod
+    def unpack(blob: bytes) -> tuple:
+        raw, lengths, counts, units = unpack(blob)
+        return from_buffers(raw, np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])), counts, units
+
+    @staticmethod
+    def merge(contents: list[tuple]) -> tuple[tuple, list[np.ndarray]]:
+        """The contents as one, and where each one's entries are in it."""
+        coded = pa.concat_arrays([c[0] for c in contents]).dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        totals, units = (np.bincount(codes, np.concatenate([c[i] for c in contents]), len(coded.dictionary)).astype(np.uint64) for i in (1, 2))
+        order = pc.sort_indices(coded.dictionary).to_numpy()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        ends = np.cumsum([len(c[1]) for c in contents])
+        return (coded.dictionary.take(pa.array(order)), totals[order], units[order]), np.split(place[codes], ends[:-1])
+
+    @staticmethod
+    def answer(content: tuple, bucket: int, buckets: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """(number and total of each word and whether one unit alone has it,
+        facts of the totals)."""
+        _, totals, units = content
+        order = np.argsort(-totals.astype(np.int64), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        numbers = rank * buckets + bucket + FIRST_WORD
+        if len(numbers) and numbers[totals > 0].max(initial=0) > int(_LOW):
+            raise ValueError("more distinct words than 32-bit numbers")
+        return [np.where(totals > 0, numbers, UNKNOWN).astype(np.uint32), totals, units == 1], np.concatenate([facts_of(totals), np.zeros(2 * FACTS, np.int64)])
+
+
+class Triples:
+    """Triples of word numbers as what is counted: a content is (pairs of the
+    last two, first words, counts, whether dealt by triple), sorted by the
+    first two."""
+
+    @staticmethod
+    def hashes(content: tuple) -> np.ndarray:
+        pairs, firsts, _, hot = content
+        by_pair = mix(pairs * MULTIPLIERS[0])
+        return np.where(hot, mix(by_pair ^ firsts.astype(np.uint64) * MULTIPLIERS[1]), by_pair)
+
+    @staticmethod
+    def take(content: tuple, at: np.ndarray) -> tuple:
+        return tuple(c[at] for c in content)
+
+    @staticmethod
+    def pack(content: tuple) -> bytes:
+        pairs, firsts, counts, hot = content
+        new = np.ones(len(pairs), bool)
+        new[1:] = pairs[1:] != pairs[:-1]
+        at = np.flatnonzero(new)
+        high = (pairs[at] >> _HALF).astype(np.uint32)
+        return pack(np.diff(high, prepend=np.uint32(0)), (pairs[at] & _LOW).astype(np.uint32), np.diff(at, append=len(pairs)).astype(np.uint32), firsts, counts, hot)
+
+    @staticmethod
+    def unpack(blob: bytes) -> tuple:
+        high, low, each, firsts, counts, hot = unpack(blob)
+        pairs = np.cumsum(high, dtype=np.uint32).astype(np.uint64) << _HALF | low
+        return np.repeat(pairs, each), firsts, counts, hot
+
+    @staticmethod
+    def merge(contents: list[tuple]) -> tuple[tuple, list[np.ndarray]]:
+        pairs, firsts, counts, hot = (np.concatenate([c[i] for c in contents]) for i in range(4))
+        own, pair_at = np.unique(pairs, return_inverse=True)
+        keys, where = np.unique(pair_at.astype(np.uint64) << _HALF | firsts, return_inverse=True)
+        totals = np.bincount(where, counts, len(keys)).astype(np.uint64)
+        by_triple = np.zeros(len(keys), bool)
+        by_triple[where] = hot
+        ends = np.cumsum([len(c[1]) for c in contents])
+        return (own[(keys >> _HALF).astype(np.int64)], (keys & _LOW).astype(np.uint32), totals, by_triple), np.split(where, ends[:-1])
+
+    @staticmethod
+    def answer(content: tuple, bucket: int, buckets: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """(total of each triple and of its pair, facts of both)."""
+        pairs, firsts, totals, hot = content
+        new = np.ones(len(pairs), bool)
+        new[1:] = pairs[1:] != pairs[:-1]
+        at = np.cumsum(new) - 1
+        # a pair that is sent on its own has its total there; its triples are elsewhere, or here by chance
+        own = np.where(hot, 0, totals)
+        pair_totals = np.bincount(at, own, int(new.sum())).astype(np.uint64) if len(at) else np.zeros(0, np.uint64)
+        facts = np.concatenate([np.zeros(FACTS, np.int64), facts_of(pair_totals), facts_of(totals[(firsts != BEFORE) & (firsts != ANY)])])
+        return [totals, pair_totals[at]], facts
 
-    def __init__(self, codes: np.ndarray, lengths: np.ndarray, vocabulary: np.ndarray, cut: int):
-        counts = lengths.astype(np.int64) + 1
-        self.ends = np.cumsum(counts)
-        self.begins = self.ends - counts
-        hashes = np.empty(int(self.ends[-1]) if len(counts) else 0, np.uint64)
-        is_end = np.zeros(len(hashes), bool)
-        is_end[self.ends - 1] = True
-        hashes[is_end] = END
-        hashes[~is_end] = vocabulary[codes]
-        before = np.empty_like(hashes)
-        before[1:] = hashes[:-1]
-        before[self.begins] = START
-        second = np.empty_like(hashes)
-        second[2:] = hashes[:-2]
-        second[self.begins] = START
-        later = self.begins + 1
-        second[later[later < self.ends]] = START
-        pair = mix(before * MULTIPLIERS[0] + hashes)
-        self.first = np.zeros(len(hashes), bool)
-        self.first[self.begins] = True
-        triple = mix(second * MULTIPLIERS[1] ^ pair)
-        self.keys = [hashes, pair >> np.uint64(cut), triple >> np.uint64(cut)]
 
+def facts_of(totals: np.ndarray) -> np.ndarray:
+    """Of an order's counts: how many n-grams, their sum, how many of 1, and
+    the sum of those in each bin."""
+    seen = totals[totals > 0].astype(np.int64)
+    bins = np.bincount(np.frexp(seen.astype(float))[1] - 1, seen, BINS)
+    return np.concatenate([[len(seen), int(seen.sum()), int((seen == 1).sum())], bins]).astype(np.int64)
+
+
+FACTS = 3 + BINS
+
+
+# ------------------------------------------------------------------ sums over all units
+
+
+PART = "bucket bigint, unit bigint, blob binary, facts array<bigint>"
+
+
+def part_rows(rows: list[tuple[int, int, bytes]], facts: np.ndarray | None = None, bucket: int = 0) -> pa.Table:
+    """Rows of PART; facts come in a row without a unit, for any bucket."""
+    buckets, units, blobs = zip(*rows, strict=True) if rows else ((), (), ())
+    more = [] if facts is None else [facts.tolist()]
+    none = [None] * len(more)
+    return pa.table({
+        "bucket": pa.array([*buckets, *(bucket for _ in more)], pa.int64()), "unit": pa.array([*units, *none], pa.int64()),
+        "blob": pa.array([*blobs, *none], pa.large_binary()).cast(pa.binary()), "facts": pa.array([None] * len(rows) + more, pa.list_(pa.int64())),
+    })
+
+
+def told_apart(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """(the rows of units, the sum of the facts) of a bucket's rows."""
+    own = pc.is_valid(table["unit"])
+    facts = np.zeros(3 * FACTS, np.int64)
+    for row in table.filter(pc.invert(own))["facts"]:
+        facts += np.array(row.as_py(), np.int64)
+    return table.filter(own), facts
+
+
+def dealt(kind: type, content: tuple, shift: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the entries by their bucket, where each bucket begins): a
+    bucket is ``width`` bits of the hash after the first ``shift``."""
+    buckets = (kind.hashes(content) << np.uint64(shift) >> np.uint64(64 - width)).astype(np.uint16)
+    order = np.argsort(buckets, kind="stable")
+    return order, np.searchsorted(buckets[order], np.arange((1 << width) + 1))
+
+
+def parts_of(kind: type, content: tuple, unit: int, prefix: int, shift: int, width: int) -> list[tuple[int, int, bytes]]:
+    """A unit's content, one row for each bucket that it has entries for."""
+    order, at = dealt(kind, content, shift, width)
+    return [(prefix << width | b, unit, kind.pack(kind.take(content, order[at[b] : at[b + 1]]))) for b in range(1 << width) if at[b] < at[b + 1]]
+
+
+def put_together(kind: type, content: tuple, shift: int, width: int, answers: pa.Table) -> list[np.ndarray]:
+    """The answers of a unit's parts in the order of its content."""
+    replied = [unpack(x.as_py()) for x in answers.sort_by("bucket")["blob"]]
+    order, _ = dealt(kind, content, shift, width)
+    out = []
+    for columns in zip(*replied, strict=True):
+        joined = np.concatenate(columns)
+        column = np.empty(len(joined), joined.dtype)
+        column[order] = joined
+        out.append(column)
+    return out
+
+
+def hops(bits: int, fan: int) -> list[int]:
+    """How many bits of the hash each hop takes."""
+    most = max(1, int(math.log2(fan)))
+    n = max(1, -(-bits // most))
+    return [bits // n + (i < bits % n) for i in range(n)]
+
+
+def resolve(asked: DataFrame, kind: type, widths: list[int], units: int, done: int = 0) -> DataFrame:
+    """The answers of all parts, as PART, with each bucket's facts.  ``asked``
+    are parts by the first of ``widths``."""
+    buckets = 1 << done + sum(widths)
+    if len(widths) == 1:
+
+        def last(table: pa.Table) -> pa.Table:
+            bucket = table["bucket"][0].as_py()
+            table, facts = told_apart(table.combine_chunks())
+            if not table.num_rows:
+                return part_rows([], facts, bucket)
+            content, places = kind.merge([kind.unpack(x.as_py()) for x in table["blob"]])
+            replies, found = kind.answer(content, bucket, buckets)
+            made = part_rows([(bucket, unit, pack(*(r[p] for r in replies))) for unit, p in zip(table["unit"].to_pylist(), places, strict=True)], facts + found, bucket)
+            del content, places, replies
+            give_back()
+            return made
+
+        return asked.groupBy("bucket").applyInArrow(last, PART)
+
+    width, *rest = widths
+    fan = 1 << width
+    teams = max(1, -(-units // fan))
+    # the parts that a team of units has for one bucket are a unit of the next hop
+    team = F.col("bucket") * teams + F.pmod(F.xxhash64("unit"), F.lit(teams))
+    parts = asked.withColumn("team", team).checkpoint()
+    shift = done + width
+
+    def on(table: pa.Table) -> pa.Table:
+        team, bucket = table["team"][0].as_py(), table["bucket"][0].as_py()
+        table, facts = told_apart(table.combine_chunks())
+        if not table.num_rows:
+            return part_rows([], facts, bucket << rest[0])
+        content, _ = kind.merge([kind.unpack(x.as_py()) for x in table["blob"]])
+        made = part_rows(parts_of(kind, content, team, bucket, shift, rest[0]), facts, bucket << rest[0])
+        del content
+        give_back()
+        return made
 
-def bucket_slices(keys: np.ndarray, bits: int, cut: int) -> np.ndarray:
-    """Where each bucket's keys begin in the sorted keys: a bucket is the keys'
-    top bits."""
-    tops = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits - cut)
-    return np.concatenate([[0], np.searchsorted(keys, tops), [len(keys)]])
+    further = parts.groupBy("team").applyInArrow(on, PART)
+    answered = resolve(further, kind, rest, teams << width, shift).checkpoint()
+
+    def back(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.combine_chunks()
+        content, places = kind.merge([kind.unpack(x.as_py()) for x in left["blob"]])
+        replies = put_together(kind, content, shift, rest[0], right)
+        made = part_rows([(b, unit, pack(*(r[p] for r in replies))) for b, unit, p in zip(left["bucket"].to_pylist(), left["unit"].to_pylist(), places, strict=True)])
+        del content, places, replies
+        give_back()
+        return made
+
+    out = parts.where("unit IS NOT NULL").groupBy("team").cogroup(answered.where("unit IS NOT NULL").groupBy("unit")).applyInArrow(back, PART)
+    return out.unionByName(answered.where("unit IS NULL"))
+
+
+def summed_facts(replies: DataFrame) -> np.ndarray:
+    """Facts by order: one number for each of them reaches the driver."""
+    totals = replies.where("unit IS NULL").select(F.posexplode("facts").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x"))
+    facts = np.zeros(3 * FACTS, np.int64)
+    for row in totals.collect():
+        facts[row["at"]] = row["x"]
+    return facts.reshape(3, -1)
+
+
+# ------------------------------------------------------------------ blocks
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column, block_bytes: int) -> DataFrame:
-    """Coded blocks: (block, ids, learned, bytes of their texts, coded)."""
+    """Coded blocks: (unit, ids, learned, bytes of their texts, coded)."""
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.coalesce(learn, F.lit(True)).alias("_learn"))
 
@@ -113,9 +348,10 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column, block_byt
             order = np.argsort(-np.bincount(words.codes, minlength=len(words.vocabulary)), kind="stable")
             number = np.empty(len(order), np.int32)
             number[order] = np.arange(len(order), dtype=np.int32)
-            coded = pack(words.counts.astype(np.int32), number[words.codes], words.hashes()[order])
+            raw, offsets = buffers(words.vocabulary.cast(pa.large_string()).take(pa.array(order)))
+            coded = pack(words.counts.astype(np.int32), number[words.codes], raw, np.diff(offsets).astype(np.uint32))
             one = lambda name: pa.ListArray.from_arrays(pa.array([0, table.num_rows], pa.int32()), table[name].combine_chunks())
-            return pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), one("_id"), one("_learn"), pa.array([size], pa.int64()), pa.array([coded], pa.binary())], ["block", "ids", "learned", "bytes", "coded"])
+            return pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), one("_id"), one("_learn"), pa.array([size], pa.int64()), pa.array([coded], pa.binary())], ["unit", "ids", "learned", "bytes", "coded"])
 
         held: list[pa.RecordBatch] = []
         size = 0
@@ -128,57 +364,117 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column, block_byt
         if held:
             yield block(held, size)
 
-    return rows.mapInArrow(code, f"block bigint, ids array<{kind.simpleString()}>, learned array<boolean>, bytes bigint, coded binary")
-
-
-def tokens_of(coded: bytes, cut: int) -> Tokens:
-    lengths, codes, vocabulary = unpack(coded)
-    return Tokens(codes, lengths, vocabulary, cut)
-
-
-def questions(coded: DataFrame, bits: int, cut: int) -> DataFrame:
-    """(bucket, block, blob): a block's distinct n-grams with its own training
-    counts, by bucket."""
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                tokens = tokens_of(batch.column("coded")[row].as_py(), cut)
-                learned = batch.column("learned")[row].values.to_numpy(zero_copy_only=False).astype(bool)
-                taught = np.repeat(learned, tokens.ends - tokens.begins)
-                parts = []
-                for n, keys in enumerate(tokens.keys):
-                    distinct = np.unique(keys)
-                    # a text's first token has no history of two words
-                    own, times = np.unique(keys[taught & ~tokens.first if n == 2 else taught], return_counts=True)
-                    counts = np.zeros(len(distinct), np.uint32)
-                    counts[np.searchsorted(distinct, own)] = times
-                    parts.append((distinct, counts, bucket_slices(distinct, bits, cut if n else 0)))
-                give_back()
-                block = batch.column("block")[row].as_py()
-                made = []
-                for b in range(1 << bits):
-                    arrays = []
-                    for distinct, counts, at in parts:
-                        arrays += [pack_sorted(distinct[at[b] : at[b + 1]]), counts[at[b] : at[b + 1]]]
-                    if any(map(len, arrays)):
-                        made.append((b, block, pack(*arrays)))
-                    if len(made) >= 64 or b + 1 == 1 << bits and made:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*made, strict=True), (pa.int32(), pa.int64(), pa.binary()), strict=True)], ["bucket", "block", "blob"])
-                        made = []
+    return rows.mapInArrow(code, f"unit bigint, ids array<{kind.simpleString()}>, learned array<boolean>, bytes bigint, coded binary")
 
-    return coded.select("block", "learned", "coded").mapInArrow(ask, "bucket int, block bigint, blob binary")
 
+class Block:
+    """A block's texts as tokens: words by their place in the block's
+    vocabulary, which ends with the end token."""
 
-ANSWER = "bucket int, block bigint, blob binary, facts array<bigint>"
+    def __init__(self, coded: bytes, learned: np.ndarray):
+        lengths, codes, raw, sizes = unpack(coded)
+        self.words = from_buffers(raw, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]))
+        counts = lengths.astype(np.int64) + 1
+        self.ends = np.cumsum(counts)
+        self.begins = self.ends - counts
+        self.tokens = np.full(int(self.ends[-1]) if len(counts) else 0, len(self.words), np.int32)
+        is_word = np.ones(len(self.tokens), bool)
+        is_word[self.ends - 1] = False
+        self.tokens[is_word] = codes
+        self.taught = np.repeat(learned, counts)
+        self.first = np.zeros(len(self.tokens), bool)
+        self.first[self.begins] = True
 
-
-def facts_of(totals: np.ndarray) -> np.ndarray:
-    """Of an order's counts: how many n-grams, their sum, how many of 1, and
-    the sum of those in each bin."""
-    seen = totals[totals > 0]
-    bins = np.bincount(np.frexp(seen.astype(float))[1] - 1, seen, BINS)
-    return np.concatenate([[len(seen), seen.sum(), (seen == 1).sum()], bins]).astype(np.int64)
+    def vocabulary(self) -> tuple[tuple, np.ndarray]:
+        """The words that are asked for, sorted, with the block's own training
+        counts; and which words of the block they are."""
+        order = pc.sort_indices(self.words).to_numpy().astype(np.int64)
+        own = np.bincount(self.tokens[self.taught], minlength=len(self.words) + 1)[:-1]
+        return (self.words.take(pa.array(order)), own[order].astype(np.uint64), np.ones(len(order), np.uint64)), order
+
+    def number(self, answers: pa.Table, width: int, texts: int) -> None:
+        """Takes the answers to the vocabulary: numbers and totals of the words."""
+        content, order = self.vocabulary()
+        self.numbers, self.totals = np.zeros(len(order) + 1, np.uint64), np.zeros(len(order) + 1, np.int64)
+        self.numbers[-1], self.totals[-1] = END, texts
+        # words that no other block has, in learned texts or others
+        self.local = np.zeros(len(order) + 1, bool)
+        if len(order):
+            self.numbers[order], self.totals[order], self.local[order] = put_together(Vocabulary, content, 0, width, answers)
+
+    def grams(self, texts: int, hot_least: float) -> None:
+        """Finds the distinct pairs and triples: ``pair`` and ``triple`` have
+        each token's; unknown words make no n-gram that was learned."""
+        word = self.numbers[self.tokens]
+        before = np.empty_like(word)
+        before[1:] = word[:-1]
+        before[self.first] = START
+        second = np.empty_like(word)
+        second[1:] = before[:-1]
+        second[self.first] = BEFORE
+        self.pairs, pair = np.unique(before << _HALF | word, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        self.keys, triple = np.unique(pair.astype(np.uint64) << _HALF | second, return_inverse=True)
+        self.triple = triple.astype(np.int32)
+        del word, before, second, pair, triple
+        of_triple = (self.keys >> _HALF).astype(np.int64)
+        self.own = np.bincount(self.triple[self.taught], minlength=len(self.keys)).astype(np.uint64)
+        # by pair: known, of this block alone, and of two frequent words
+        by_number = np.argsort(self.numbers, kind="stable")
+        find = lambda x: by_number[np.searchsorted(self.numbers, x, sorter=by_number)]
+        high, low = self.pairs >> _HALF, self.pairs & _LOW
+        starts = high == START
+        a, b = find(np.where(starts, np.uint64(END), high)), find(low)
+        known = (high != UNKNOWN) & (low != UNKNOWN)
+        local = known & (self.local[a] & ~starts | self.local[b])
+        count_a = np.where(starts, texts, self.totals[a])
+        hot = known & ~local & (np.minimum(count_a, self.totals[b]) > hot_least)
+        self.alone = local[of_triple]
+        self.asked = known[of_triple] & ~self.alone & ((self.keys & _LOW) != UNKNOWN)
+        self.known, self.hot = known, hot
+
+    def question(self) -> tuple[tuple, np.ndarray]:
+        """What is asked for, sorted, with the block's own training counts."""
+        of_triple = (self.keys >> _HALF).astype(np.int64)
+        at = np.flatnonzero(self.asked)
+        pairs, firsts = self.pairs[of_triple[at]], (self.keys[at] & _LOW).astype(np.uint32)
+        own_pair = np.bincount(of_triple, self.own, len(self.pairs)).astype(np.uint64)
+        # pairs sent on their own: those of frequent words, and those of which no triple is asked for
+        has = np.zeros(len(self.pairs), bool)
+        has[of_triple[at]] = True
+        needed = np.zeros(len(self.pairs), bool)
+        needed[of_triple[~self.alone]] = True
+        single = np.flatnonzero(needed & self.known & (self.hot | ~has))
+        keys = np.concatenate([pairs, self.pairs[single]])
+        firsts = np.concatenate([firsts, np.full(len(single), ANY, np.uint32)])
+        counts = np.concatenate([self.own[at], np.where(self.hot[single], own_pair[single], 0)])
+        hot = np.concatenate([self.hot[of_triple[at]], np.zeros(len(single), bool)])
+        order = np.lexsort((firsts, keys))
+        return (keys[order], firsts[order], counts[order], hot[order]), np.concatenate([at, -1 - single])[order]
+
+    def own_facts(self) -> np.ndarray:
+        """Facts of the n-grams that no other block has."""
+        of_triple = (self.keys >> _HALF).astype(np.int64)
+        pairs = np.bincount(of_triple[self.alone], self.own[self.alone], len(self.pairs)).astype(np.uint64)
+        firsts = self.keys & _LOW
+        return np.concatenate([np.zeros(FACTS, np.int64), facts_of(pairs), facts_of(self.own[self.alone & (firsts != BEFORE)])])
+
+    def count(self, answers: pa.Table, width: int) -> None:
+        """Takes the answers: ``pair_totals`` and ``triple_totals``."""
+        of_triple = (self.keys >> _HALF).astype(np.int64)
+        self.triple_totals = np.where(self.alone, self.own, 0).astype(np.int64)
+        self.pair_totals = np.bincount(of_triple, self.triple_totals, len(self.pairs)).astype(np.int64)
+        content, at = self.question()
+        if len(at):
+            totals, of_pair = (x.astype(np.int64) for x in put_together(Triples, content, 0, width, answers))
+            triples, singles = at >= 0, at < 0
+            self.triple_totals[at[triples]] = totals[triples]
+            cold = triples & ~content[3]
+            self.pair_totals[of_triple[at[cold]]] = of_pair[cold]
+            self.pair_totals[-1 - at[singles]] = of_pair[singles]
+
+
+# ------------------------------------------------------------------ the automaton
 
 
 def share(count: np.ndarray, exponent: float) -> np.ndarray:
@@ -199,108 +495,157 @@ def solve_exponents(facts: np.ndarray) -> tuple[float, float]:
     return found[0], found[1]
 
 
-def answers(asked: DataFrame) -> DataFrame:
-    """The corpus counts of what each block asked for, in its order, and one
-    row per bucket (block null) with its part of the corpus' facts."""
-
-    def answer(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        blobs = [unpack(x.as_py()) for x in table["blob"]]
-        replies: list[list[np.ndarray]] = [[] for _ in blobs]
-        facts = []
-        for order in range(3):
-            keys = [unpack_sorted(x[2 * order]) for x in blobs]
-            distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
-            totals = np.bincount(where, np.concatenate([x[2 * order + 1] for x in blobs]), len(distinct)).astype(np.int64)
-            facts.append(facts_of(totals))
-            given = totals[where].astype(np.uint32)
-            at = 0
-            for reply, k in zip(replies, keys, strict=True):
-                reply.append(given[at : at + len(k)])
-                at += len(k)
-        rows = len(blobs)
-        give_back()
-        bucket = table["bucket"][0].as_py()
-        return pa.table({
-            "bucket": pa.array([bucket] * (rows + 1), pa.int32()),
-            "block": pa.array([*table["block"].to_pylist(), None], pa.int64()),
-            "blob": pa.array([*(pack(*r) for r in replies), None], pa.binary()),
-            "facts": pa.array([*[None] * rows, np.concatenate(facts).tolist()], pa.list_(pa.int64())),
-        })
-
-    return asked.groupBy("bucket").applyInArrow(answer, ANSWER)
-
-
-def traverse(counts: list[np.ndarray], tokens: Tokens, n: int, v: int, taught_texts: int, exponents: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
-    """(base, model) log10 weights of the tokens.  All texts of a block advance
-    together: the state that stands before each token is the longest history
-    that the model has; level by level, tokens with an arc take it and the
-    others take the failure arc down."""
-    c1, c2, c3 = counts
-    base = (c1 + 1.0) / (n + v + 1.0)
-    before = lambda c, start: np.where(tokens.first, start, np.concatenate([[0], c[:-1]]))
-    state1 = before(c1, taught_texts)
-    state2 = np.where(tokens.first, 0, before(c2, 0))
-    share1, share2 = share(state1, exponents[0]), share(state2, exponents[1])
-    arc2 = np.where(state1 > 0, (1 - share1) * c2 / np.maximum(state1, 1) + share1 * base, base)
-    arc3 = (1 - share2) * c3 / np.maximum(state2, 1) + share2 * arc2
-    total = np.zeros(len(c1))
-    waiting = np.ones(len(c1), bool)
-    for state, count, arc, left in ((state2, c3, arc3, share2), (state1, c2, arc2, share1)):
-        there = waiting & (state > 0)
-        take = there & (count > 0)
-        fail = there & (count == 0)
-        total[take] += np.log10(arc[take])
-        total[fail] += np.log10(left[fail])
-        waiting &= ~take
-    total[waiting] += np.log10(base[waiting])
-    return np.log10(base), total
+class Automaton:
+    """The states and arcs that a block's texts can meet.
+
+    State 0 is the empty history; then come the words, the start, and the
+    pairs.  ``down`` and ``fail`` are the failure arcs' ends and log10 weights.
+    An arc of level k leaves a history of k words: ``arc[k]`` has the log10
+    weights of the block's words, pairs and triples and ``there[k]`` which of
+    them are arcs; what stands for a word, pair or triple leads to ``to``."""
+
+    LEVELS: ClassVar = (2, 1, 0)
+
+    def __init__(self, block: Block, n: int, v: int, texts: int, exponents: tuple[float, float]):
+        words, pairs = len(block.totals), len(block.pairs)
+        end = words - 1
+        of_triple = (block.keys >> _HALF).astype(np.int64)
+        # words and pairs by the tokens that have them
+        pair_word, pair_before = np.zeros(pairs, np.int64), np.zeros(pairs, np.int64)
+        pair_word[block.pair] = block.tokens
+        before = np.concatenate([[words], block.tokens[:-1]])
+        before[block.first] = words
+        pair_before[block.pair] = before
+        triple_before = np.zeros(len(block.keys), np.int64)
+        triple_before[block.triple] = np.concatenate([[0], block.pair[:-1]])
+        base = (block.totals + 1.0) / (n + v + 1.0)
+        followed = np.concatenate([block.totals, [texts]])
+        followed[end] = 0
+        pair_followed = np.where(pair_word == end, 0, block.pair_totals)
+        history = followed[pair_before]
+        left = share(history, exponents[0])
+        p2 = (1 - left) * block.pair_totals / np.maximum(history, 1) + left * base[pair_word]
+        begins = (block.keys & _LOW) == BEFORE
+        history = np.where(begins, 0, pair_followed[triple_before])
+        left = share(history, exponents[1])
+        p3 = (1 - left) * block.triple_totals / np.maximum(history, 1) + left * p2[of_triple]
+        self.base = np.log10(base)
+        self.arc = [self.base, np.log10(p2), np.log10(p3)]
+        self.there = [np.ones(words, bool), block.pair_totals > 0, (block.triple_totals > 0) & ~begins]
+        # states: 0, then words and the start, then pairs
+        self.levels = np.array([0, 1, words + 2])
+        word_state = np.where(followed > 0, np.arange(1, words + 2), 0)
+        pair_state = np.where(pair_followed > 0, np.arange(words + 2, words + 2 + pairs), word_state[pair_word])
+        self.start = int(word_state[words])
+        self.down = np.concatenate([np.zeros(words + 2, np.int64), word_state[pair_word]])
+        self.fail = np.log10(np.concatenate([[1.0], share(followed, exponents[0]), share(pair_followed, exponents[1])]))
+        self.to = [word_state[:words], pair_state, pair_state[of_triple]]
+
+    def traverse(self, block: Block) -> np.ndarray:
+        """log10 weight of every token.  All lanes go on by a token at a time,
+        each with its own state."""
+        met = (block.tokens, block.pair, block.triple)
+        sizes = block.ends - block.begins
+        lanes = -(-sizes // LANE)
+        text = np.repeat(np.arange(len(sizes)), lanes)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        begin = block.begins[text] + nth * LANE
+        stop = np.minimum(begin + LANE, block.ends[text])
+        at = np.where(nth > 0, begin - WARM, begin)
+        order = np.argsort(at - stop, kind="stable")
+        at, begin, stop, nth = at[order], begin[order], stop[order], nth[order]
+        state = np.where(nth > 0, 0, self.start)
+        length = stop - at
+        weights = np.zeros(len(block.tokens))
+        for step in range(int(length.max(initial=0))):
+            k = int(np.searchsorted(-length, -step, "left"))
+            here, s = at[:k] + step, state[:k]
+            weight, after = np.zeros(k), np.zeros(k, np.int64)
+            waiting = np.ones(k, bool)
+            for level in self.LEVELS:
+                some = np.flatnonzero(waiting & (s >= self.levels[level]))
+                arcs = met[level][here[some]]
+                taken = self.there[level][arcs]
+                go, arcs = some[taken], arcs[taken]
+                weight[go] += self.arc[level][arcs]
+                after[go] = self.to[level][arcs]
+                waiting[go] = False
+                if level:
+                    back = some[~taken]
+                    weight[back] += self.fail[s[back]]
+                    s[back] = self.down[s[back]]
+            state[:k] = after
+            own = here >= begin[:k]
+            weights[here[own]] = weight[own]
+        return weights
 
 
 SCORES = "n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, fan: int = FAN, least: int = LEAST_BUCKETS) -> DataFrame:
     """(id_col, n_tokens, n_known, train_tokens, base_score, score) of every
     text, by a model learned from the rows where ``learn`` holds."""
     spark = docs.sparkSession
     use_checkpoints(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     coded = blocks(docs, id_col, text_col, learn, block_bytes).checkpoint()
-    held = coded.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.sum(F.size(F.filter("learned", lambda x: x))), F.lit(0)).alias("taught")).first()
-    bits = math.ceil(math.log2(max(64, held["bytes"] / bucket_bytes)))
-    cut = 64 - min(64, max(bits + 8, math.ceil(math.log2(max(2, held["bytes"] / 4))) + SPARE_BITS))
-    replies = answers(questions(coded, bits, cut)).checkpoint()
-    totals = replies.where("block IS NULL").select(F.posexplode("facts").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x"))
-    facts = np.zeros(3 * (3 + BINS), np.int64)
-    for row in totals.collect():  # one row for each of the facts
-        facts[row["at"]] = row["x"]
-    facts = facts.reshape(3, -1)
-    n, v, texts = int(facts[0][1]), int(facts[0][0]), int(held["taught"])
+    held = coded.agg(F.count("*").alias("units"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.sum(F.size(F.filter("learned", lambda x: x))), F.lit(0)).alias("taught")).first()
+    texts, units = int(held["taught"]), int(held["units"])
+    widths = hops(math.ceil(math.log2(max(least, held["bytes"] / bucket_bytes))), fan)
+    width, buckets = widths[0], 1 << sum(widths)
+
+    def block_of(coded: pa.Scalar, learned: pa.Scalar) -> Block:
+        return Block(coded.as_py(), learned.values.to_numpy(zero_copy_only=False).astype(bool))
+
+    def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for unit, learned, blob in zip(batch.column("unit").to_pylist(), batch.column("learned"), batch.column("coded"), strict=True):
+                content, _ = block_of(blob, learned).vocabulary()
+                yield from part_rows(parts_of(Vocabulary, content, unit, 0, 0, width)).to_batches()
+                give_back()
+
+    words = resolve(coded.select("unit", "learned", "coded").mapInArrow(ask_words, PART), Vocabulary, widths, units).checkpoint()
+    facts = summed_facts(words)
+    facts[0] += facts_of(np.array([texts], np.uint64))  # the end token
+    n, v = int(facts[0][1]), int(facts[0][0])
+    hot_least = HOT_SHARE * n / buckets
+
+    def ask_grams(left: pa.Table, right: pa.Table) -> pa.Table:
+        block = block_of(left["coded"][0], left["learned"][0])
+        block.number(right, width, texts)
+        block.grams(texts, hot_least)
+        unit = left["unit"][0].as_py()
+        made = part_rows(parts_of(Triples, block.question()[0], unit, 0, 0, width), block.own_facts(), unit % (1 << width))
+        del block
+        give_back()
+        return made
+
+    answered = words.where("unit IS NOT NULL").select("unit", "bucket", "blob")
+    asked = coded.select("unit", "learned", "coded").groupBy("unit").cogroup(answered.groupBy("unit")).applyInArrow(ask_grams, PART)
+    grams = resolve(asked, Triples, widths, units).checkpoint()
+    facts += summed_facts(grams)
     exponents = solve_exponents(facts)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = left.combine_chunks()
-        tokens = tokens_of(left["coded"][0].as_py(), cut)
-        replied = [unpack(x.as_py()) for x in right.sort_by("bucket")["blob"]]
-        counts = []
-        for order, keys in enumerate(tokens.keys):
-            where = np.unique(keys, return_inverse=True)[1]
-            counts.append(np.concatenate([r[order] for r in replied])[where].astype(np.int64))
-        base, model = traverse(counts, tokens, n, v, texts, exponents)
-        del replied
-        give_back()
-        total = lambda x: np.add.reduceat(x, tokens.begins)
-        return pa.table({
-            "_id": left["ids"].combine_chunks().values,
-            "n_tokens": pa.array(tokens.ends - tokens.begins, pa.int64()),
-            "n_known": pa.array(total((counts[0] > 0).astype(np.int64)), pa.int64()),
-            "base_score": total(base),
-            "score": total(model),
+        block = block_of(left["coded"][0], left["learned"][0])
+        of_words = pc.field("about") == "words"
+        block.number(right.filter(of_words), width, texts)
+        block.grams(texts, hot_least)
+        block.count(right.filter(~of_words), width)
+        automaton = Automaton(block, n, v, texts, exponents)
+        model = automaton.traverse(block)
+        total = lambda x: np.add.reduceat(x, block.begins)
+        made = pa.table({
+            "_id": left["ids"].combine_chunks().values, "n_tokens": pa.array(block.ends - block.begins, pa.int64()),
+            "n_known": pa.array(total((block.totals > 0)[block.tokens].astype(np.int64)), pa.int64()), "base_score": total(automaton.base[block.tokens]), "score": total(model),
         })
+        del block, automaton, model
+        give_back()
+        return made
 
-    asked = coded.groupBy("block").cogroup(replies.where("block IS NOT NULL").groupBy("block"))
-    out = asked.applyInArrow(run, f"_id {kind}, {SCORES}")
+    replies = answered.withColumn("about", F.lit("words")).unionByName(grams.where("unit IS NOT NULL").select("unit", "bucket", "blob", F.lit("grams").alias("about")))
+    out = coded.groupBy("unit").cogroup(replies.groupBy("unit")).applyInArrow(run, f"_id {kind}, {SCORES}")
     return out.select(F.col("_id").alias(id_col), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
