@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -57,26 +58,43 @@ def test_packing_and_words():
 
 
 def test_bpe_equals_the_library(spark, odd, docs, none):
+    """Chunks in one task, and dealt to all tasks (more than 100 characters)."""
     enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
-    for df in (odd, docs):
+    clash = docs.select("doc_id", "text", F.lit("x").alias("_row"), F.lit(1).alias("_at"), F.lit("y").alias("_ends"))
+    for df, sizes in ((odd, {}), (odd, {"chunk": 40, "overlap": 8, "spread": 100}), (clash, {}), (clash, {"chunk": 300, "overlap": 20, "spread": 1_000})):
+        df = df.union(df)
         texts = {r["doc_id"]: r["text"] or "" for r in df.collect()}
-        out = bpe.decode(bpe.encode(df, RANKS, PATTERN), RANKS).collect()
-        assert len(out) == len(texts)
+        out = bpe.decode(bpe.encode(df, RANKS, PATTERN, **sizes), RANKS).collect()
+        assert len(out) == 2 * len(texts)
         for r in out:
             assert np.frombuffer(r["ids"], "<u4").tolist() == enc.encode_ordinary(texts[r["doc_id"]])
             assert bytes(r["decoded"]) == texts[r["doc_id"]].encode()
     assert bpe.encode(none, RANKS, PATTERN).count() == 0
+    rows = spark.createDataFrame([(None, "a null id")], "doc_id bigint, text string")
+    assert [r["doc_id"] for r in bpe.encode(rows, RANKS, PATTERN).collect()] == [None]
 
 
 def test_bpe_stitches_small_chunks():
     e = bpe.Encoder.of(RANKS, PATTERN)
     rng = np.random.default_rng(3)
-    for _ in range(60):
-        text = "".join(rng.choice(list("aab  \n'lr1.é")) for _ in range(int(rng.integers(1, 400))))
+    for i in range(600):
+        text = "".join(rng.choice(list("aab  \n'lr1.é" if i % 3 else "aaaaaaaaaaab"), int(rng.integers(1, 400))))
         chunk, overlap = int(rng.integers(5, 40)), int(rng.integers(1, 12))
-        parts = [(a, text[a : a + chunk + overlap]) for a in range(0, len(text), chunk)]
-        whole, ends = bpe.stitch(e, [(a, t, np.array(e.boundaries(t), np.int64)) for a, t in parts])
-        assert whole == text and ends.tolist() == e.boundaries(text)
+        assert e.pre_tokens(text, chunk, overlap) == e.split(text)
+    assert e.encode(["a" * 100, "b"]) == e.encode(["a" * 100]) + e.encode(["b"])
+    for pattern in (r"(?<=a)b", r"\ba", r"^a", r"(a)b", r"(?P<x>a)"):
+        with pytest.raises(ValueError):
+            bpe.check_pattern(pattern)
+
+
+def test_bpe_stitch_is_linear():
+    e = bpe.Encoder.of(RANKS, PATTERN)
+    for unit in ("x", "some words, 12 of them. "):
+        text = unit * (8_000_000 // len(unit))
+        chunks = [(at, e.boundaries(text[at : at + 8_704])) for at in range(0, len(text), 8_192)]
+        start = time.perf_counter()
+        ends = bpe.stitch(e, text, chunks, 8_704)
+        assert time.perf_counter() - start < 4 and ends[-1] == len(text)
 
 
 def test_media_round_trip(spark, odd, docs, none):
