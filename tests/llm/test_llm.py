@@ -178,7 +178,10 @@ def brute_classes(texts, k, percent):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-def test_minhash_equals_brute_force(spark, odd, docs, none):
+@pytest.mark.parametrize(("k", "share"), [(4, 3), (5, 256)])
+def test_minhash_equals_brute_force(spark, odd, docs, none, k, share, monkeypatch):
+    """With whole buckets in the last turn, and with buckets in many shares."""
+    monkeypatch.setattr(minhash, "SHARE", share)
     rng = np.random.default_rng(5)
     base = [f"w{x}" for x in rng.integers(0, 5_000, 120)]
     chain, near = list(base), []
@@ -190,13 +193,17 @@ def test_minhash_equals_brute_force(spark, odd, docs, none):
             edit[j] = f"e{i}-{j}"
         near.append(" ".join(edit))
     extra = spark.createDataFrame([(20_000 + i, t) for i, t in enumerate(near + ["a b", "A  b", "b a"])], "doc_id bigint, text string")
+    clash = lambda x: x.withColumn("_id", F.lit(0)).withColumn("band", F.lit("x")).withColumn("n", F.lit(1)).withColumn("label", F.lit(2))
     df = docs.select("doc_id", "text").limit(60).union(odd.select(F.col("doc_id") + 10_000, "text")).union(extra)
     texts = {r["doc_id"]: r["text"] for r in df.collect()}
-    for k in (4, 5):
-        out = minhash.near_duplicates(df, k=k, percent=80).collect()
-        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_classes(texts, k, 80)
-        assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
+    out = minhash.near_duplicates(clash(df), k=k, percent=80).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_classes(texts, k, 80)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
     assert minhash.near_duplicates(none).count() == 0
+    # null ids, repeated rows, and an id with two texts
+    rows = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (2, "g h i j k l"), (3, "g h i j k l")], "doc_id bigint, text string")
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0, r["kept"]) for r in minhash.near_duplicates(rows).collect())
+    assert got == [(0, 2, 0, True)] * 2 + [(1, 2, 1, True)] * 2 + [(2, 2, 1, False), (2, 2, 2, True), (3, 2, 2, False)]
 
 
 def test_b_bit_estimate_is_near(spark):

@@ -18,7 +18,9 @@ is in.
    What is open after that gets a finer signature, 2048 minima of one bit, and
    is joined within its bucket, members of different components only, with both
    estimates inside the join condition and each pair in its first common bucket
-   only; every pair that passes is confirmed.  One-bit draws of tiny sets depend
+   only; every pair that passes is confirmed.  A bucket of many open members is
+   cut into shares there: each member is in one share and meets all others in
+   it, so no task has a whole bucket.  One-bit draws of tiny sets depend
    on each other, so a pair with a set of fewer than FINE_LEAST shingles is
    confirmed without the finer estimate.  No linked pair that shares a bucket is
    left out but for the estimates' error, and there is no cap on buckets, members
@@ -26,12 +28,13 @@ is in.
 
 Nothing is collected: sets, pairs, links and components stay in DataFrames that
 are cut by checkpoints.  A bucket is never gathered in one task: its pivot is a
-minimum with partial aggregation and the joins on its key are ordinary ones that
-adaptive execution splits.
+minimum with partial aggregation, and what is found of a bucket is written
+before rows are joined to it, so that adaptive execution can split the join.
 
 Cases: a null or empty text, or one without words, has an empty set and is
 linked with nothing; texts of any length are whole; rows with the same text are
-linked; rows that share an id count as one document; a null id is its own class
+linked; rows that share an id with equal texts are alike, and with different ones
+each has the class of its own text; a null id is its own class
 and never the name of one; an empty table gives an empty one; other columns,
 whatever their names, are not looked at.
 """
@@ -55,8 +58,8 @@ MARGIN = 0.18
 FINE_HASHES, FINE_MARGIN = 2048, 0.06
 #: Shingles that both sets have at least where the finer estimate decides.
 FINE_LEAST = 20
-#: Members whose sets meet one pivot's set in a task.
-MEMBERS = 64
+#: Members whose sets meet one pivot's set in a task, and open members of a share of a bucket.
+MEMBERS, SHARE = 64, 256
 
 _draw = np.random.Generator(np.random.PCG64(20260101))
 _A = _draw.integers(0, 2**31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -198,8 +201,9 @@ def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             keep.append(ok)
         return right.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    chunks = pairs.groupBy("a").agg((F.floor(F.count("*") / MEMBERS) + 1).alias("chunks"))
-    dealt = pairs.join(chunks, "a").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"))
+    # hubs are written first: joined to rows within the plan of their count, their rows would stay in one task
+    hubs = pairs.groupBy("a").agg((F.floor(F.count("*") / MEMBERS) + 1).alias("chunks")).where("chunks > 1").checkpoint()
+    dealt = pairs.join(hubs, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("chunks", F.lit(1))).alias("chunk"))
     members = dealt.join(sets, dealt["b"] == sets["_id"]).select("a", "b", "chunk", "shingles")
     pivots = dealt.select(F.col("a").alias("pivot"), F.col("chunk").alias("part")).distinct().join(sets.select(F.col("_id").alias("pivot"), F.col("shingles").alias("own")), "pivot")
     return pivots.groupBy("pivot", "part").cogroup(members.groupBy("a", "chunk")).applyInArrow(compare, f"a {kind}, b {kind}")
@@ -230,11 +234,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     firsts = filled.groupBy("n", "f1", "f2").agg(F.min("_id").alias("rep"))
     reps = filled.join(firsts.withColumnRenamed("rep", "_id").select("_id", "n", "f1", "f2"), ["_id", "n", "f1", "f2"], "left_semi").dropDuplicates(["_id", "n", "f1", "f2"])
     banded = reps.select("_id", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("_id").alias("pivot"), F.max("_id").alias("other")).where("pivot <> other")
+    shared = banded.groupBy("band").agg(F.min("_id").alias("pivot"), F.max("_id").alias("other")).where("pivot <> other").select("band", "pivot").checkpoint()
     # members of buckets with two or more: all that follows is about these
-    open_rows = banded.join(shared.select("band", "pivot"), "band").checkpoint()
+    open_rows = banded.join(shared, "band").checkpoint()
     members = open_rows.select("_id").distinct()
-    facts = reps.select("_id", "n", "bits", "bands").join(members, "_id", "left_semi").dropDuplicates(["_id"]).checkpoint()
+    facts = reps.select("_id", "n", "bits", "bands").join(members, "_id", "left_semi").checkpoint()
     sets = full_sets(docs, members, k, id_col, text_col).checkpoint()
 
     def screened(pairs: DataFrame) -> DataFrame:
@@ -246,33 +250,38 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     links = confirm(sets, first, percent).checkpoint()
     labels = components(links)
 
-    def labelled(found: DataFrame) -> DataFrame:
-        """Members of buckets that still hold several components."""
+    def labelled(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members of buckets that still hold several components, and those
+        buckets with how many."""
         named = open_rows.join(found, open_rows["_id"] == found["node"], "left").select("band", "_id", F.coalesce("label", "_id").alias("label"))
-        torn = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        return named.join(torn.select("band"), "band", "left_semi")
-
-    torn = labelled(labels).checkpoint()
-    # second turn: in each open bucket the member with the largest id of the largest label meets the members of other labels
-    top = torn.groupBy("band").agg(F.max(F.struct("label", "_id")).alias("top")).select("band", F.col("top._id").alias("pivot"), F.col("top.label").alias("pivot_label"))
-    second = screened(torn.join(top, "band").where("label <> pivot_label").select(F.least("pivot", "_id").alias("a"), F.greatest("pivot", "_id").alias("b")).distinct())
-    second = second.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").join(first, ["a", "b"], "left_anti").checkpoint()
-    links = links.union(confirm(sets, second, percent)).checkpoint()
-    labels = components(links)
-
-    # what is left: members of one bucket in different components, screened within the join
-    torn = labelled(labels).checkpoint()
-    fine = fine_signatures(sets.join(torn.select("_id").distinct(), "_id", "left_semi"))
-    left = torn.join(facts.join(fine, "_id"), "_id").select("band", "_id", "label", "n", "bits", "bands", "fine").checkpoint()
-    x, y = left.alias("x"), left.alias("y")
-    near = may_link("x", "y", percent) & may_link_finely("x", "y", percent)
-    # a pair of several common buckets counts in the first of them
-    common = F.arrays_zip(F.col("x.bands").alias("p"), F.col("y.bands").alias("q"))
-    here = F.element_at(F.filter(common, lambda z: z["p"] == z["q"]), 1)["p"] == F.col("x.band")
-    third = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.label") < F.col("y.label")) & near & here).select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"))
-    third = third.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti").checkpoint()
-    links = links.union(confirm(sets, third, percent)).checkpoint()
-    labels = components(links)
+        torn = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members")).where("low <> high").select("band", "members").checkpoint()
+        return named.join(torn.select("band"), "band", "left_semi").checkpoint(), torn
+
+    open_members, torn = labelled(labels)
+    if torn.limit(1).count():
+        # second turn: in each open bucket the member with the largest id of the largest label meets the members of other labels
+        top = open_members.groupBy("band").agg(F.max(F.struct("label", "_id")).alias("top")).select("band", F.col("top._id").alias("pivot"), F.col("top.label").alias("pivot_label")).checkpoint()
+        second = screened(open_members.join(top, "band").where("label <> pivot_label").select(F.least("pivot", "_id").alias("a"), F.greatest("pivot", "_id").alias("b")).distinct())
+        second = second.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").join(first, ["a", "b"], "left_anti").checkpoint()
+        links = links.union(confirm(sets, second, percent)).checkpoint()
+        labels = components(links)
+        open_members, torn = labelled(labels)
+    if torn.limit(1).count():
+        # what is left: members of one bucket in different components, screened within the join
+        fine = fine_signatures(sets.join(open_members.select("_id").distinct(), "_id", "left_semi"))
+        shares = torn.select("band", F.ceil(F.col("members") / SHARE).cast("int").alias("shares"))
+        left = open_members.join(shares, "band").join(facts.join(fine, "_id"), "_id").select("band", "_id", "label", "n", "bits", "bands", "fine", "shares").checkpoint()
+        x = left.withColumn("part", F.pmod(F.xxhash64("_id"), "shares").cast("int")).alias("x")
+        y = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).alias("y")
+        near = may_link("x", "y", percent) & may_link_finely("x", "y", percent)
+        # a pair of several common buckets counts in the first of them
+        common = F.arrays_zip(F.col("x.bands").alias("p"), F.col("y.bands").alias("q"))
+        here = F.element_at(F.filter(common, lambda z: z["p"] == z["q"]), 1)["p"] == F.col("x.band")
+        in_share = (F.col("x.band") == F.col("y.band")) & (F.col("x.part") == F.col("y.part"))
+        third = x.join(y, in_share & (F.col("x.label") < F.col("y.label")) & near & here).select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b")).distinct()
+        third = third.join(links, ["a", "b"], "left_anti").join(first, ["a", "b"], "left_anti").checkpoint()
+        links = links.union(confirm(sets, third, percent)).checkpoint()
+        labels = components(links)
 
     classes = firsts.join(labels, firsts["rep"] == labels["node"], "left").select("n", "f1", "f2", F.coalesce("label", "rep").alias("class"))
     out = signed.join(classes, ["n", "f1", "f2"], "left")
