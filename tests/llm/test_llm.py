@@ -7,6 +7,7 @@ import math
 import re
 import time
 import zlib
+from html import unescape
 
 import numpy as np
 import public_tokenizers
@@ -249,6 +250,12 @@ def test_decontamination_equals_brute_force(spark, odd, none):
                             owners.add(str(k))
             want.append((r["doc_id"], len(w), len(hit), tuple(sorted(owners))))
         assert sorted((r["doc_id"], r["n_words"], r["n_hit"], tuple(sorted(r["items"]))) for r in out) == sorted(want)
+    # a template that all items share, its words rarer in documents than the items' own; clashing names and a null id
+    shared = " ".join(f"rare{i}" for i in range(9))
+    bench2 = spark.createDataFrame([(i, f"{shared} t{i}") for i in range(300)], "item_id bigint, text string")
+    rows2 = spark.createDataFrame([(None, f"t1 {shared} t7 t8"), (1, " ".join(f"t{i}" for i in range(300)) * 5), (2, f"{shared} none")], "doc_id bigint, text string")
+    got = decontam.find_windows(spark, rows2.withColumn("_text", F.lit("x")).withColumn("hits", F.lit(1)).withColumn("items", F.lit(2)), bench2, keep=["text"])
+    assert [(r["doc_id"], r["items"], decontam._merged(*map(np.array, zip(*[tuple(h) for h in r["hits"]]))) if r["hits"] else []) for r in got.orderBy("n_words").collect()] == [(2, [], []), (None, ["7"], [(1, 11)]), (1, [], [])]
     assert decontam.find_windows(spark, none, bench).count() == 0
     empty = spark.createDataFrame([], "item_id bigint, text string")
     assert decontam.find_windows(spark, df, empty).where("size(hits) > 0").count() == 0
@@ -421,6 +428,31 @@ def test_html_article_below_wrappers():
     assert html_text.main_text(f"{own}<div id='comments' class='comments-area'><ol><li class='comment'><article class='comment-body'>{body}</article></li></ol></div>") == twice
 
 
+def test_html_references_hidden_text_and_paragraph_classes():
+    assert html_text.main_text("<article><p>AT&<b>amp;</b>T &amp; others are here.</p></article>") == "AT&amp;T & others are here."
+    kept = html_text.main_text("<article><p>Shown text of the article.</p><p style='display:none'>Hidden text of it.</p></article><div hidden><p>A menu of words.</p></div>")
+    assert kept == "Shown text of the article.\nHidden text of it."
+    for name in ("side", "share", "notice", "response", "legal"):
+        assert html_text.main_text(f"<article><p>One paragraph.</p><p class='{name}'>Another one.</p></article>") == "One paragraph.\nAnother one."
+
+
+def test_html_learns_from_the_pages(spark):
+    rng = np.random.default_rng(6)
+    content, other = rng.integers(0, 200, html_text.CELLS).astype(float), rng.integers(0, 200, html_text.CELLS).astype(float)
+    w, x = html_text.fit_weights(content, other), html_text.cell_features()
+    loss = lambda w: -(content * np.log(boosting.sigmoid(x @ w)) + other * np.log(1 - boosting.sigmoid(x @ w))).sum() + html_text.STATED_EXAMPLES / 2 * ((w - html_text.STATED) ** 2).sum()
+    assert all(loss(w) <= loss(w + d) + 1e-9 for d in rng.normal(0, 0.05, (50, len(w))))
+    assert np.allclose(html_text.fit_weights(np.zeros(html_text.CELLS), np.zeros(html_text.CELLS)), html_text.STATED)
+    pages = spark.read.parquet(f"{SF}/pages.parquet").withColumn("_html", F.lit("clash")).withColumn("main_text", F.lit(1))
+    weights = html_text.learn(pages)
+    assert weights[4] < 0 < weights[3] and html_text.learn(pages.limit(0)).tolist() == html_text.STATED.tolist()
+    for r in html_text.extract(pages, keep=["url", "html"]).collect():
+        # what is between the article's tags, cut at its paragraphs: all that these pages need
+        inner = re.search("<article>(.*)</article>", r["html"], re.DOTALL)[1].replace("<br>", " ")
+        want = [" ".join(unescape(re.sub("<[^>]*>", "", part)).split()) for part in re.split("</?(?:p|h1)[^>]*>", inner)]
+        assert r["text"] == "\n".join(x for x in want if x)
+
+
 def test_minimum_cut_is_minimal():
     rng = np.random.default_rng(4)
     for _ in range(40):

@@ -5,15 +5,18 @@ window if it has fewer).  A document holds a window only if it holds all its
 words, so it is enough to join on the necessary prefix of a window's words
 ordered by rarity, which for containment is the rarest one.  Rarity is counted
 over all documents.  Where a prefix word occurs in a document, the positional
-bound puts the window's start at the occurrence minus the word's place in the
-window; the length bound drops starts from which the window does not fit in the
-document; what is left is verified word by word over the window's extent.
+bound puts a window's start at the occurrence minus the word's place in it, once
+for each place and length that windows of this prefix have and not for each
+window; the length bound drops starts from which nothing of that length fits in
+the document; the words from there are looked up by their hash among the group's
+windows, and what is found is verified word by word.
 
 The benchmark's windows go to the tasks in groups of items of at most
-``most_words`` words each, so what is shipped at once has a bound that does not
-depend on the benchmark's size; documents are read once for each group (one
-group for benchmarks of up to a million words) and the groups' hits are united.
-No document row is shuffled but for the ones hit by several groups.
+``most_words`` words each, so what the driver holds and ships at once has a bound
+that does not depend on the benchmark's size (one group for benchmarks of up to a
+million words, and the only one).  Documents are read once for each group; with
+several, the rows are numbered and written, each group's hits are written before
+the next group is made, and only hits are shuffled and joined to their rows.
 
 Cases: null or empty texts have no words; an item without words has no window;
 a document without words is clean; equal items all count; very long texts are
@@ -23,14 +26,14 @@ empty one; other columns, whatever their names, are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORDLIKE, Words, carry, slices
+from .common import WORDLIKE, Words, carry, mix, slices, use_checkpoints
 
 #: Words of a window, and words of the items that one pass over the documents takes along.
 WIDTH, MOST_WORDS = 10, 1_000_000
@@ -78,13 +81,31 @@ class WindowIndex:
             self.words[k, : len(r)] = r
         # order by rarity, ties by word number: the first of that order is the prefix
         rarity = np.where(self.words >= 0, counts[self.words] * (len(number) + 1) + self.words, np.iinfo(np.int64).max)
-        self.place = rarity.argmin(axis=1)
-        prefix = self.words[np.arange(len(rows)), self.place]
-        order = np.argsort(prefix, kind="stable")
-        self.by_prefix = order
-        self.starts = np.searchsorted(prefix[order], np.arange(len(number) + 1))
+        place = rarity.argmin(axis=1)
+        prefix = self.words[np.arange(len(rows)), place]
+        # where a window may start around its prefix word: (place, length), each once for a word
+        shapes = np.unique(np.column_stack([prefix, place, self.lengths]), axis=0) if len(rows) else np.zeros((0, 3), np.int64)
+        self.places, self.sizes = shapes[:, 1], shapes[:, 2]
+        self.starts = np.searchsorted(shapes[:, 0], np.arange(len(number) + 1))
+        self.by_hash, seed = np.zeros(0, np.int64), 0
+        while len(self.by_hash) < len(rows) or not seed:
+            # windows are distinct, so equal hashes are chance: another draw ends it
+            draw = np.random.Generator(np.random.PCG64(seed))
+            self.word_codes = draw.integers(0, 2**63, len(number) + 1, np.uint64)
+            self.place_codes = draw.integers(0, 2**63, width, np.uint64) * np.uint64(2) + np.uint64(1)
+            hashes = self.hashes(self.words.T)
+            self.window_hashes, self.by_hash = np.unique(hashes, return_index=True)
+            seed += 1
         self.owners = [np.array(sorted(set(windows[r])), np.int64) for r in rows]
 
+    def hashes(self, columns: Iterable[np.ndarray]) -> np.ndarray:
+        """Hashes of runs of words, given as word numbers by place; -1 is no word."""
+        total = None
+        for word, code in zip(columns, self.place_codes, strict=False):
+            part = np.where(word < 0, np.uint64(0), mix(self.word_codes[word] * code))
+            total = part if total is None else total + part
+        return total
+
     def find(self, texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
         """(words of the texts, window starts among those words, windows)."""
         words = Words(texts, WORDLIKE)
@@ -100,22 +121,24 @@ class WindowIndex:
         first, last = words.offsets[text_of], words.offsets[text_of + 1]
         found_at, found_window = [], []
         for k in range(int(n_at.max(initial=0))):
+            # at most one turn for each place and length
             some = n_at[flat[at]] > k
             at, first, last = at[some], first[some], last[some]
-            if not len(at):
-                break
-            window = self.by_prefix[self.starts[flat[at]] + k]
-            begin = at - self.place[window]
-            fits = (begin >= first) & (begin + self.lengths[window] <= last)
-            begin, window = begin[fits], window[fits]
-            for j in range(self.words.shape[1]):
-                want = self.words[window, j]
-                same = (want < 0) | (flat[np.minimum(begin + j, len(flat) - 1)] == want)
-                begin, window = begin[same], window[same]
-                if not len(begin):
-                    break
-            found_at.append(begin)
-            found_window.append(window)
+            shape = self.starts[flat[at]] + k
+            begin, size = at - self.places[shape], self.sizes[shape]
+            fits = (begin >= first) & (begin + size <= last)
+            begin, size = begin[fits], size[fits]
+            if not len(begin):
+                continue
+            runs = [np.where(j < size, flat[np.minimum(begin + j, len(flat) - 1)], -1) for j in range(self.words.shape[1])]
+            hashes = self.hashes(runs)
+            there = np.minimum(np.searchsorted(self.window_hashes, hashes), len(self.window_hashes) - 1)
+            window = self.by_hash[there]
+            same = self.window_hashes[there] == hashes
+            for j, run in enumerate(runs):
+                same &= self.words[window, j] == run
+            found_at.append(begin[same])
+            found_window.append(window[same])
         if not found_at:
             return words, np.zeros(0, np.int64), np.zeros(0, np.int64)
         return words, np.concatenate(found_at), np.concatenate(found_window)
@@ -149,13 +172,13 @@ def find_windows(spark: SparkSession, docs: DataFrame, bench: DataFrame, id_col:
     ranges that windows cover, merged, and the items they come from."""
     rows, names, own, text, schema = carry(docs, id_col, text_col, keep)
     listed = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-    out: DataFrame | None = None
-    groups = 0
-    for items in [*grouped_items(bench, item_col, bench_text, most_words)] or [[]]:
-        frequency = word_frequency(docs, text_col, {w for _, ws in items for w in ws}) if items else {}
+
+    def marked(rows: DataFrame, items: list[tuple[str, list[bytes]]], names: list[str], schema: str) -> DataFrame:
+        """The rows with the hits of a group's windows."""
+        frequency = word_frequency(rows, text, {w for _, ws in items for w in ws}) if items else {}
         shared = spark.sparkContext.broadcast(WindowIndex(items, frequency, width))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in slices(batches, text):
                 words, begin, window = index.find(batch.column(text))
@@ -175,13 +198,28 @@ def find_windows(spark: SparkSession, docs: DataFrame, bench: DataFrame, id_col:
                 kept = [batch.column(c) for c in names]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(words.counts, pa.int64()), pa.array(hits, listed), pa.array(owners, pa.list_(pa.string()))], [*names, "n_words", "hits", "items"])
 
-        part = rows.mapInArrow(run, schema + HITS)
-        out = part if out is None else out.unionByName(part)
-        groups += 1
-    if groups > 1:
-        # a document's rows of several groups meet again; equal rows meet too, and part again by their number
-        keyed = out.groupBy(*names).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), (F.count("*") / groups).cast("int").alias("copies"))
-        out = keyed.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+        return rows.mapInArrow(run, schema + HITS)
+
+    groups = grouped_items(bench, item_col, bench_text, most_words)
+    group, following = next(groups, []), next(groups, None)
+    if following is None:
+        out = marked(rows, group, names, schema)
+    else:
+        use_checkpoints(spark)
+        numbered = rows.withColumn("_n", F.monotonically_increasing_id()).checkpoint()
+        found: DataFrame | None = None
+        counted: DataFrame | None = None
+        while group:
+            part = marked(numbered.select("_n", text), group, ["_n"], "_n bigint, ")
+            # the words are counted once; of each group only hits are kept
+            written = (part if counted is None else part.where("size(hits) > 0")).checkpoint()
+            counted = written.select("_n", "n_words") if counted is None else counted
+            hit = written.where("size(hits) > 0").select("_n", "hits", "items")
+            found = hit if found is None else found.unionByName(hit)
+            group, following = following, next(groups, None)
+        united = found.groupBy("_n").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+        none = lambda name, kind: F.coalesce(name, F.array().cast(kind)).alias(name)
+        out = numbered.join(counted, "_n").join(united, "_n", "left").select(*names, "n_words", none("hits", "array<struct<first:bigint,last:bigint>>"), none("items", "array<string>"))
     return out.select(*(F.col(n).alias(c) for c, n in zip(own, names, strict=True)), "n_words", "hits", "items")
 
 

@@ -2,11 +2,16 @@
 
 A page is tokenised into tags and text; a stack with the usual implied ends
 (an open <p> ends at the next block, an end tag closes what it encloses) gives
-each text block its chain of elements.  A small additive classifier turns what
-stands around a block (article or navigation elements, roles, class and id
-words, link density, length, sentence marks, notice phrases) into a cost for
-calling it boilerplate and a cost for calling it content.  These are the
-capacities to the two terminals.  Blocks that follow each other, and blocks
+each text block its chain of elements.  A logistic classifier turns a block's
+text (length, sentence marks, link density, kind of element, notice phrases)
+and what stands around it (article or navigation elements, roles, class and id
+words) into a cost for calling it boilerplate and a cost for calling it content.
+The weights of the text are learned from the pages themselves: blocks within
+article and main elements are examples of content, those within nav, aside,
+footer, form and the like are examples of boilerplate; all of the table's blocks
+are counted by their features, and only the counts reach the driver.  Where
+there are few examples, the weights stay near the stated ones.  The costs are
+the capacities to the two terminals.  Blocks that follow each other, and blocks
 that share a parent, are joined by smoothness edges, weak across the border of
 two regions of the page.  An article or main element starts anew whatever class
 words say of what stands around it, unless a navigation, aside, footer or form
@@ -16,7 +21,10 @@ whole ones.  A maximum flow separates content from boilerplate with
 the least total cost.
 
 The text is the content blocks in page order, joined by one newline, with
-character references decoded and white space within a block made one space.
+character references decoded within each run of text and white space within a
+block made one space.  Hidden elements and class words of a paragraph's own
+speak against a text, but within an article they don't decide alone.  Costs that
+are equal leave a block out, and so does a tie of the cut.
 
 Cases: a null or empty page, or one without text, gives an empty string; pages
 of any length are whole; broken or cut off markup is closed at its end; repeated
@@ -32,10 +40,12 @@ from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .boosting import sigmoid
 from .common import carry, slices
 
 # Element names of HTML by how they behave.
@@ -81,6 +91,52 @@ _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 SIBLINGS, NEIGHBOURS, ACROSS, SCALE = 0.7, 1.0, 0.05, 1000
 
+#: Elements that hold text themselves; and words that a paragraph of the page's own text may well have in its class.
+PARAGRAPHS = frozenset("p li dt dd td th blockquote pre figcaption caption h1 h2 h3 h4 h5 h6 span em strong b i".split())
+AMBIGUOUS = frozenset("side share sharing notice notices response responses reply replies respond legal search hidden skip rail foot header form alert alerts discussion comment comments related social disclaimer banner header footer".split())
+#: Weights of a block's text that are learned: for a constant, the length, a sentence mark at the end, a heading or paragraph, links and notices.
+STATED = np.array([-0.8, 1.0, 0.5, 0.5, -3.0, -2.0])
+#: How many examples the stated weights stand for, and how far the text alone may speak for or against a block.
+STATED_EXAMPLES, MOST_TEXT = 40.0, 2.5
+#: Lengths are told apart by halves of the square root of the number of words, up to this many.
+LENGTHS = 9
+CELLS = LENGTHS << 4
+
+
+def cell_features() -> np.ndarray:
+    """The features of each cell: what ``cell_of`` numbers."""
+    n = np.arange(CELLS)
+    bit = lambda k: (n >> k & 1).astype(float)
+    return np.column_stack([np.ones(CELLS), (n >> 4) / (LENGTHS - 1) * 2, bit(0), bit(1), bit(2), bit(3)])
+
+
+def cell_of(text: str, tag: str, linked: int) -> int:
+    words = text.count(" ") + 1
+    length = min(LENGTHS - 1, int(2 * words**0.5))
+    ends, plain = text[-1] in ".!?…»”\"", tag in HEADINGS or tag == "p"
+    return length << 4 | ends | plain << 1 | (linked > 0.5 * len(text)) << 2 | (words < 40 and NOTICE.search(text) is not None) << 3
+
+
+def fit_weights(content: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Weights from the examples' counts by cell: logistic regression by
+    Newton's steps, drawn towards the stated weights."""
+    x, w = cell_features(), STATED.copy()
+    n = content + other
+    for _ in range(25):
+        p = sigmoid(x @ w)
+        slope = x.T @ (content - n * p) - STATED_EXAMPLES * (w - STATED)
+        bend = (x * (n * p * (1 - p))[:, None]).T @ x + STATED_EXAMPLES * np.eye(len(w))
+        step = np.linalg.solve(bend, slope)
+        w = w + np.clip(step, -1.0, 1.0)
+        if np.abs(step).max() < 1e-9:
+            break
+    return w
+
+
+def text_evidence(weights: np.ndarray) -> list[float]:
+    """What the text says, by cell."""
+    return np.clip(cell_features() @ weights, -MOST_TEXT, MOST_TEXT).tolist()
+
 
 @dataclass(slots=True)
 class Element:
@@ -91,24 +147,28 @@ class Element:
     key: int
     link: bool
     barred: int
+    own: bool
 
 
 @dataclass(slots=True)
 class Block:
     text: str
     evidence: float
+    cell: int
+    example: int
     region: int
     parent: int
 
 
-def _against(value: str) -> float:
+def _against(value: str, paragraph: bool) -> float:
     """What the names in a class or id say against the text within."""
     worst = 0.0
     for name in value.split():
         words = [w.lower() for w in _NAME_WORD.findall(name)]
         bad = [w in AGAINST for w in words]
         if all(bad):
-            worst = min(worst, -9.0 if bad else 0.0)
+            doubtful = paragraph and AMBIGUOUS.issuperset(words)
+            worst = min(worst, (-2.0 if doubtful else -9.0) if bad else 0.0)
         elif any(bad) and not STATES.intersection(words):
             # the last word is what a name is about
             worst = min(worst, -5.0 if bad[-1] else -2.0)
@@ -143,7 +203,7 @@ def _own_evidence(tag: str, attributes: str, inside: bool) -> tuple[float, bool,
                 evidence += 3.0 if value == "articleBody" else 0.0
                 main |= value == "articleBody"
             elif tag not in ("html", "body") and tag not in HEADINGS:
-                against = _against(value)
+                against = _against(value, tag in PARAGRAPHS)
                 if against:
                     evidence += against
                 elif FOR.intersection(w.lower() for w in _NAME_WORD.findall(value)):
@@ -156,7 +216,7 @@ def _own_evidence(tag: str, attributes: str, inside: bool) -> tuple[float, bool,
 
 
 def blocks_of(page: str) -> list[Block]:
-    stack = [Element("", 0.0, False, 0, 0, False, 0)]
+    stack = [Element("", 0.0, False, 0, 0, False, 0, False)]
     out: list[Block] = []
     pieces: list[str] = []
     linked = 0
@@ -166,21 +226,10 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked
         if not pieces:
             return
-        text = " ".join(html.unescape("".join(pieces)).split())
+        text = " ".join("".join(pieces).split())
         if text:
-            words = text.count(" ") + 1
-            share = min(1.0, linked / len(text))
-            e = holder.evidence - 0.8
-            e += min(2.0, 0.5 * words ** 0.5)
-            if text[-1] in ".!?…»”\"":
-                e += 0.5
-            if holder.tag in HEADINGS or holder.tag == "p":
-                e += 0.5
-            if share > 0.5:
-                e -= 3.0
-            if words < 40 and NOTICE.search(text):
-                e -= 2.0
-            out.append(Block(text, e, holder.region, holder.key))
+            example = -1 if holder.barred == 2 else 1 if holder.own and not holder.barred else 0
+            out.append(Block(text, holder.evidence, cell_of(text, holder.tag, linked), example, holder.region, holder.key))
         pieces.clear()
         linked = 0
 
@@ -199,6 +248,7 @@ def blocks_of(page: str) -> list[Block]:
         m = _TOKEN.search(page, at)
         text = page[at : m.start()] if m else page[at:]
         if text and not stack[-1].unseen:
+            text = html.unescape(text)
             pieces.append(text)
             if stack[-1].link:
                 linked += len(text.strip())
@@ -259,8 +309,10 @@ def blocks_of(page: str) -> list[Block]:
         if abs(own) >= 3.0 or above != up.evidence:
             regions += 1
             region = regions
-        evidence = max(-12.0, min(6.0, above + own)) if above > -6.0 else above
-        stack.append(Element(tag, evidence, up.unseen or hidden or tag in UNSEEN, region, made, up.link or tag == "a", max(up.barred, barred)))
+        evidence = max(-12.0, min(6.0, above + own - 3.0 * hidden)) if above > -6.0 else above
+        # hidden text outside of the page's own text is a menu, a dialogue or a form
+        unseen = up.unseen or hidden and not up.own or tag in UNSEEN
+        stack.append(Element(tag, evidence, unseen, region, made, up.link or tag == "a", max(up.barred, barred), main or up.own))
     flush(holder())
     return out
 
@@ -327,12 +379,16 @@ def minimum_cut(source: list[int], sink: list[int], edges: list[tuple[int, int,
                     left[e ^ 1] += flow
 
 
-def main_text(page: str | None) -> str:
+def main_text(page: str | None, by_text: list[float] | None = None) -> str:
+    """The page's own text; ``by_text``: the evidence of each cell, by the
+    stated weights if there is none."""
     blocks = blocks_of(page or "")
     if not blocks:
         return ""
-    source = [round(SCALE * max(0.0, b.evidence)) for b in blocks]
-    sink = [round(SCALE * max(0.0, -b.evidence)) for b in blocks]
+    by_text = by_text or text_evidence(STATED)
+    evidence = [b.evidence + by_text[b.cell] for b in blocks]
+    source = [round(SCALE * max(0.0, e)) for e in evidence]
+    sink = [round(SCALE * max(0.0, -e)) for e in evidence]
     edges = []
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):
@@ -345,13 +401,36 @@ def main_text(page: str | None) -> str:
     return "\n".join(b.text for b, keep in zip(blocks, content, strict=True) if keep)
 
 
-def extract(df: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """(id_col, [keep], text): the main text of every page."""
+def learn(df: DataFrame, html_col: str = "html") -> np.ndarray:
+    """Weights from the examples of all pages: one row of counts for each
+    cell reaches the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((2, CELLS), np.int64)
+        for batch in slices(batches, "_html"):
+            for x in batch.column("_html"):
+                for b in blocks_of(x.as_py() or ""):
+                    if b.example:
+                        found[int(b.example > 0), b.cell] += 1
+        some = np.flatnonzero(found.sum(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(found[1, some]), pa.array(found[0, some])], ["cell", "content", "other"])
+
+    counted = df.select(F.col(f"`{html_col}`").alias("_html")).mapInArrow(count, "cell bigint, content bigint, other bigint")
+    content, other = np.zeros(CELLS), np.zeros(CELLS)
+    for row in counted.groupBy("cell").agg(F.sum("content").alias("content"), F.sum("other").alias("other")).collect():
+        content[row["cell"]], other[row["cell"]] = row["content"], row["other"]
+    return fit_weights(content, other)
+
+
+def extract(df: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: list[str] | None = None, weights: np.ndarray | None = None) -> DataFrame:
+    """(id_col, [keep], text): the main text of every page, by the given weights
+    or those learned from the pages."""
     rows, names, own, page, schema = carry(df, id_col, html_col, keep)
+    by_text = text_evidence(learn(df, html_col) if weights is None else weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, page):
-            texts = [main_text(x) for x in batch.column(page).to_pylist()]
+            texts = [main_text(x.as_py(), by_text) for x in batch.column(page)]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], [*names, "main_text"])
 
     out = rows.mapInArrow(run, schema + "main_text string")
