@@ -41,7 +41,7 @@ CHUNK_CHARS, OVERLAP_CHARS, SPREAD_CHARS = 8_192, 512, 1 << 20
 #: Text bytes that are encoded at once.
 ENCODE_BYTES = 2 << 20
 #: Distinct pieces whose ids a worker keeps, and characters of a piece that is kept at most; others are encoded anew.
-KEPT_PIECES, KEPT_CHARS = 500_000, 64
+KEPT_PIECES, KEPT_CHARS = 100_000, 64
 #: What a pattern must not have: the boundaries behind a common one would depend on what is before it.
 _LOOKS_BACK = re.compile(r"\(\?<[=!]|\\[bBAGK]|(?<![\[\\])\^|\(\?P?<\w")
 
