@@ -8,6 +8,7 @@ import re
 import time
 import zlib
 from html import unescape
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -350,7 +351,7 @@ def test_training_order(spark, odd, none):
         slots = p.slots(np.arange(n))
         assert sorted(slots.tolist()) == list(range(n)) and (p.index_of(slots) == np.arange(n)).all()
     assert (training_order.Permutation(5_000, "a").slots(np.arange(5_000)) != training_order.Permutation(5_000, "b").slots(np.arange(5_000))).any()
-    ids = bpe.encode(odd, RANKS, PATTERN, form=training_order.id_form(50_256), form_type="struct<n:bigint,body:binary>")
+    ids = training_order.token_ids(odd, RANKS, PATTERN, 50_256)
     path = training_order.shared_path(spark, "order")
     total = training_order.materialise(ids, path, 50_256, "k", length=16, stripe=8, shard=64)
     rows = training_order.read_from(spark, path, stripe=8).collect()
@@ -362,6 +363,22 @@ def test_training_order(spark, odd, none):
         assert got == [*want, 50_256]
     tail = training_order.read_from(spark, path, first_slot=total - 5, stripe=8)
     assert sorted(r["slot"] for r in tail.collect()) == list(range(total - 5, total))
+    # every slot is the permutation's of the documents' order, and a begun folder is gone on with
+    assert spark.read.parquet(f"{path}/order").first()["n"] == total and not Path(path.removeprefix("file:"), "ids").exists()
+    order = training_order.Permutation(total, "k")
+    numbers = {(r["doc_id"], r["serial"]): int(order.index_of(np.array([r["slot"]]))[0]) for r in rows}
+    assert sorted(numbers.values()) == list(range(total)) and all(numbers[i, k] == numbers[i, 0] + k for i, k in numbers)
+    again = training_order.shared_path(spark, "order")
+    sizes = {"length": 16, "stripe": 8, "shard": 64, "wave": 2}
+    assert training_order.materialise(ids, again, 50_256, "k", **sizes) == total
+    waves = sorted(Path(again.removeprefix("file:"), "shards").iterdir())
+    assert len(waves) == -(-total // 128) and training_order.materialise(ids.limit(0), again, 50_256, "k", **sizes) == total
+    assert sorted(map(str, training_order.read_from(spark, again, stripe=8).collect())) == sorted(map(str, rows))
+    with pytest.raises(ValueError):
+        training_order.materialise(ids, again, 50_256, "other", **sizes)
+    half = training_order.shared_path(spark, "order")
+    training_order.numbered_ids(ids, "doc_id", "ids", 16).write.parquet(f"{half}/ids")
+    assert training_order.materialise(ids, half, 50_256, "k", **sizes) == total
     path = training_order.shared_path(spark, "order")
     assert training_order.materialise(bpe.encode(none, RANKS, PATTERN, form=training_order.id_form(50_256), form_type="struct<n:bigint,body:binary>"), path, 50_256, "k") == 0
     assert training_order.read_from(spark, path).count() == 0

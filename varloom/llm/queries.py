@@ -61,7 +61,7 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     training order."""
     import public_tokenizers
 
-    ids = bpe.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, form=training_order.id_form(50_256), form_type="struct<n:bigint,body:binary>")
+    ids = training_order.token_ids(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50_256)
     path = training_order.shared_path(spark, "training-order")
     training_order.materialise(ids, path, end_id=50_256, key="varloom epoch 0")
     return training_order.read_from(spark, path).select("slot", "shard", "doc_id", "serial", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256"))

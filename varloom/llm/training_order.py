@@ -3,7 +3,8 @@
 Token ids of every document, closed by an end id, are cut into sequences of one
 fixed length, the last one padded with the end id.  Sequences are numbered 0 to
 N - 1 in input order: each partition counts its own, and only one number per
-partition is added up.  A keyed Feistel network over the least even number of
+partition is added up.  That order is written with the ids and stays, whatever
+later runs do.  A keyed Feistel network over the least even number of
 bits that holds N, walked in cycles until it lands below N, gives each sequence
 a global slot: a bijection, known from the key alone, with no sort and no random
 numbers to store.  Slots go to range partitions by exact arithmetic; each writes
@@ -11,6 +12,12 @@ one shard: rows of STRIPE sequences, each of which takes the same number of
 bytes, in slot order.  A reader finds slot s in row s div STRIPE at byte
 (s mod STRIPE) * stride, and resumes anywhere by a filter that reaches the scan.
 
+A folder holds ``ids`` (while it is made), ``order`` (N, the key and the sizes),
+``shards`` by waves of at most WAVE shards, and a mark in ``done`` for each wave
+that is complete.  A run that finds a folder begun goes on with it: ids and order
+are taken as they are and complete waves are left out; another key or size than
+the folder's is an error.
+
 Cases: a null or empty text is one sequence of end ids; texts of any length are
 whole; repeated rows have sequences of their own; a null id is kept as it is; an
 empty table writes no row and reads as an empty table; other columns, whatever
@@ -19,6 +26,7 @@ their names, are not looked at.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import uuid
@@ -29,10 +37,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import load_ranks
 from .common import mix, slices, use_checkpoints
 
 #: Ids of a sequence, sequences of a row of a shard, and of a shard.
 LENGTH, STRIPE, SHARD = 512, 256, 65_536
+#: Shards that are shuffled at once; a larger order is written in several waves, each a job of its own.
+WAVE = 65_536
 ROUNDS = 6
 
 
@@ -101,49 +112,126 @@ def id_form(end_id: int) -> Callable[[np.ndarray, np.ndarray], pa.Array]:
     return form
 
 
+def token_ids(df: DataFrame, path: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, ids) of every whole text, as ``id_form`` has them, by the
+    tokenizer library itself.  ``path``: a rank file that every executor can
+    read."""
+    form = id_form(end_id)
+    kind = df.schema[id_col].dataType.simpleString()
+    rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        engine = library(path, pattern)
+        for batch in slices(batches, "_text"):
+            coded = [np.array(engine.encode_ordinary(x.as_py()), "<u4") for x in batch.column("_text")]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in coded], dtype=np.int64)])
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), form(np.concatenate(coded), offsets)], ["_id", "ids"])
+
+    return rows.mapInArrow(run, f"_id {kind}, ids struct<n:bigint,body:binary>").withColumnRenamed("_id", id_col)
+
+
+@functools.cache
+def library(path: str, pattern: str):
+    """The library's encoder, made once in each Python worker."""
+    import tiktoken
+
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder among the checkpoints, which all executors share."""
     use_checkpoints(spark)
     return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(encoded: DataFrame, path: str, end_id: int, key: str, id_col: str = "doc_id", ids_col: str = "ids", length: int = LENGTH, stripe: int = STRIPE, shard: int = SHARD) -> int:
+def written(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at the path, or None where there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.parquet(path) if there else None
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def numbered_ids(encoded: DataFrame, id_col: str, ids_col: str, length: int) -> DataFrame:
+    """(_id, n, body, part, before): each document with its partition and the
+    sequences that come before its own there."""
+    kind = encoded.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, held = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            each = batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64) // length + 1
+            ends = held + np.cumsum(each)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_id", "n", "body")), pa.array(np.full(len(each), part), pa.int32()), pa.array(ends - each, pa.int64())], ["_id", "n", "body", "part", "before"])
+            held = int(ends[-1]) if len(ends) else held
+
+    packed = F.col(ids_col)
+    return encoded.select(F.col(id_col).alias("_id"), packed["n"].alias("n"), packed["body"].alias("body")).mapInArrow(run, f"_id {kind}, n bigint, body binary, part int, before bigint")
+
+
+def materialise(encoded: DataFrame, path: str, end_id: int, key: str, id_col: str = "doc_id", ids_col: str = "ids", length: int = LENGTH, stripe: int = STRIPE, shard: int = SHARD, wave: int = WAVE) -> int:
     """Writes the shards of (id_col, ids: struct of their number and their
-    squeezed little-endian bytes, see ``id_form``) to ``path``; returns the
-    number of sequences.  ``shard`` is a multiple of ``stripe``."""
+    squeezed little-endian bytes, see ``id_form``) to the folder ``path``, or
+    goes on with what is there; returns the number of sequences.  ``shard`` is
+    a multiple of ``stripe``."""
     spark = encoded.sparkSession
-    use_checkpoints(spark)
     kind = encoded.schema[id_col].dataType.simpleString()
     width = id_width(end_id)
-    held = encoded.select(F.col(id_col).alias("_id"), F.col(ids_col).alias("packed")).checkpoint()
-    n_ids = F.col("packed.n")
-    each = held.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(F.floor(n_ids / length) + 1).alias("sequences"))
-    firsts, total = {}, 0
-    for row in sorted(each.collect(), key=lambda r: r["part"]):  # one number per partition
-        firsts[row["part"]] = total
-        total += row["sequences"]
+    asked = (key, length, stripe, shard, end_id, wave)
+    order_row = written(spark, f"{path}/order")
+    if order_row is None:
+        # what a run that was ended left of the ids is not whole
+        numbered_ids(encoded, id_col, ids_col, length).write.mode("overwrite").option("compression", "none").parquet(f"{path}/ids")
+        held = spark.read.parquet(f"{path}/ids")
+        parts = held.groupBy("part").agg(F.max(F.col("before") + F.floor(F.col("n") / length) + 1).alias("sequences"))
+        counts = {row["part"]: row["sequences"] for row in parts.collect()}  # one number per partition
+        spark.createDataFrame([(sum(counts.values()), *asked)], "n bigint, key string, length int, stripe int, shard int, end_id int, wave int").coalesce(1).write.parquet(f"{path}/order")
+        order_row = written(spark, f"{path}/order")
+    total, *known = order_row.first()
+    if tuple(known) != asked:
+        raise ValueError(f"{path} holds another order: {tuple(known)} and not {asked}")
+    waves = -(-max(1, -(-total // shard)) // wave)
+    missing = [k for k in range(waves) if written(spark, f"{path}/done/{k}") is None]
+    if not missing:
+        removed(spark, f"{path}/ids")
+        return total
+    held = spark.read.parquet(f"{path}/ids")
+    parts = held.groupBy("part").agg(F.max(F.col("before") + F.floor(F.col("n") / length) + 1).alias("sequences")).collect()
+    firsts, at = [], 0
+    for row in sorted(parts, key=lambda x: x["part"]):
+        firsts.append((row["part"], at))
+        at += row["sequences"]
+    # a number for each partition that wrote ids
+    starts = spark.createDataFrame(firsts, "part int, first bigint")
+    placed_ids = held.join(F.broadcast(starts), "part").select("_id", "n", "body", (F.col("first") + F.col("before")).alias("number"))
     order = Permutation(max(1, total), key)
     stride = length * width
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = firsts.get(TaskContext.get().partitionId(), 0)
+    def cut(batches: Iterator[pa.RecordBatch], low: int, high: int) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "body", 1 << 20):
-            docs, serials, lengths, bodies = [], [], [], []
-            for i, (n, packed) in enumerate(zip(batch.column("n").to_pylist(), batch.column("body").to_pylist(), strict=True)):
-                ids = np.frombuffer(restored(packed, n * width), f"<u{width}") if n else np.zeros(0, f"<u{width}")
+            docs, serials, lengths, bodies, found = [], [], [], [], []
+            for i, (n, packed, number) in enumerate(zip(batch.column("n").to_pylist(), batch.column("body").to_pylist(), batch.column("number").to_pylist(), strict=True)):
                 count = n // length + 1
+                slots = order.slots(np.arange(number, number + count))
+                inside = np.flatnonzero((slots >= low) & (slots < high)).tolist()
+                if not inside:
+                    continue
                 full = np.full(count * length, end_id, f"<u{width}")
-                full[:n] = ids
+                full[:n] = np.frombuffer(restored(packed, n * width), f"<u{width}") if n else 0
                 data = full.tobytes()
-                for k in range(count):
+                found.append(slots[inside])
+                for k in inside:
                     docs.append(i)
                     serials.append(k)
                     lengths.append(min(length, n + 1 - k * length))
                     bodies.append(squeezed(data[k * stride : (k + 1) * stride]))
-            slots = order.slots(np.arange(number, number + len(docs)))
-            number += len(docs)
+            slots = np.concatenate(found) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), batch.column("_id").take(pa.array(docs, pa.int64())), pa.array(serials, pa.int32()), pa.array(lengths, pa.int32()), pa.array(bodies, pa.binary())], ["slot", "_id", "serial", "n", "body"])
 
     def stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,17 +263,22 @@ def materialise(encoded: DataFrame, path: str, end_id: int, key: str, id_col: st
         if waiting:
             yield made(pa.Table.from_batches(held))
 
-    placed = held.select("_id", "packed.n", "packed.body").mapInArrow(cut, f"slot bigint, _id {kind}, serial int, n int, body binary")
-    dealt = placed.repartitionById(max(1, -(-total // shard)), F.expr(f"cast(slot div {shard} as int)")).sortWithinPartitions("slot")
-    striped = dealt.mapInArrow(stripes, f"shard bigint, stripe bigint, first_slot bigint, ids array<{kind}>, serials array<int>, lengths array<int>, tokens binary")
-    striped.write.option("compression", "zstd").parquet(path)
+    for k in missing:
+        low, high = k * wave * shard, min(total, (k + 1) * wave * shard)
+        placed = placed_ids.mapInArrow(functools.partial(cut, low=low, high=high), f"slot bigint, _id {kind}, serial int, n int, body binary")
+        dealt = placed.repartitionById(max(1, -(-(high - low) // shard)), F.expr(f"cast((slot - {low}) div {shard} as int)")).sortWithinPartitions("slot")
+        striped = dealt.mapInArrow(stripes, f"shard bigint, stripe bigint, first_slot bigint, ids array<{kind}>, serials array<int>, lengths array<int>, tokens binary")
+        # a wave that was ended is written anew
+        striped.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/shards/wave={k}")
+        spark.createDataFrame([(k,)], "wave int").coalesce(1).write.mode("overwrite").parquet(f"{path}/done/{k}")
+    removed(spark, f"{path}/ids")
     return total
 
 
 def read_from(spark: SparkSession, path: str, id_col: str = "doc_id", first_slot: int = 0, stripe: int = STRIPE) -> DataFrame:
     """(slot, shard, id_col, serial, n_tokens, tokens) of every sequence from
     ``first_slot`` on; earlier rows of the shards are skipped by the scan."""
-    rows = spark.read.parquet(path).where(F.col("stripe") >= first_slot // stripe)
+    rows = spark.read.parquet(f"{path}/shards").where(F.col("stripe") >= first_slot // stripe)
     stride = F.floor(F.octet_length("tokens") / F.size("ids")).cast("int")
     parts = F.arrays_zip("ids", "serials", "lengths")
 
