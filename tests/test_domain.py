@@ -171,7 +171,9 @@ def test_release_and_checks(spark, world, tmp_path):
     made = B.small_variants(v, world["tx"], world["seqs"])
     manifest = v.select("variant_id", "variant_class", F.struct(F.lit(None).cast("double").alias("af")).alias("small"))
     kept, outcomes = package.dispositions(manifest, made)
-    assert {r["variant_id"]: r["outcome"] for r in outcomes.collect()} == {"v0": "protein_built", "v1": "protein_built", "v2": "synonymous_only"}
+    assert {r["variant_id"]: r["outcome"] for r in outcomes.collect()} == {"v0": "protein_built", "v1": "protein_built", "v2": "protein_built"}
+    _, strict = package.dispositions(manifest, made, keep_unchanged=False)
+    assert {r["variant_id"]: (r["outcome"], r["n_proteins"]) for r in strict.collect()} == {"v0": ("protein_built", 1), "v1": ("protein_built", 1), "v2": ("synonymous_only", 0)}
     ordered = package.write_order(package.with_reference(kept)).cache()
     entry = package.entries(ordered)
     ref = spark.createDataFrame([(PLUS,)], "sequence string").select(F.explode(B.P.digest("sequence")).alias("p")).select(B.P.fold("p").alias("k"))
@@ -197,6 +199,28 @@ def test_release_and_checks(spark, world, tmp_path):
         checks.run_checks({}, skip=("I99",))
 
 
+def test_outcomes_follow_the_first_that_holds(spark):
+    m = spark.createDataFrame([(i, "SNV", (af,)) for i, af in (("built", None), ("utr", 0.5), ("syn", 0.5), ("both", 0.5), ("short", 0.5), ("silent", 0.5), ("rare", 0.01), ("none", 0.5), ("bad", 0.5), ("mixed", 0.5))], "variant_id string, variant_class string, small struct<af:double>")
+    long = "A" * 20
+    rows = [("built", long, "missense", "G1.2"), ("built", "AA", "missense", "G1.2"), ("built", long, "synonymous", "G1.2"), ("utr", long, "5_prime_UTR", "G1"), ("utr", long, "3_prime_UTR", "G1"), ("syn", long, "synonymous", "G1"), ("both", long, "synonymous", "G1"), ("both", long, "5_prime_UTR", "G1"), ("short", "AA", "missense", "G1"), ("short", long, "missense", "G9"), ("silent", long, "missense", "G9"), ("rare", long, "missense", "G1"), ("mixed", "AA", "synonymous", "G1"), ("mixed", long, "synonymous", "")]
+    records = spark.createDataFrame(rows, "variant_id string, sequence string, consequence string, gene string")
+    kept, out = package.dispositions(m, records, 8, False, 0.1, spark.createDataFrame([("G1",)], "gene string"), spark.createDataFrame([("bad", "no position")], "variant_id string, detail string"))
+    got = {r["variant_id"]: (r["outcome"], r["n_proteins"], r["detail"]) for r in out.collect()}
+    assert got == {
+        "built": ("protein_built", 1, "missense;synonymous"), "utr": ("utr_variant", 0, "3_prime_UTR;5_prime_UTR"), "syn": ("synonymous_only", 0, "no residue changes"), "both": ("synonymous_or_utr", 0, "5_prime_UTR;synonymous"), "short": ("below_min_length", 0, "<8 aa"),
+        "silent": ("filtered", 0, "missense"), "rare": ("below_min_af", 0, "af=0.01<0.1"), "none": ("no_protein", 0, ""), "bad": ("error", 0, "no position"), "mixed": ("synonymous_only", 0, "no residue changes"),
+    }
+    assert [r["variant_id"] for r in kept.collect()] == ["built"]
+
+
+def test_deletions_over_an_exon_end(spark, world):
+    (s1, e1), (s2, _), _ = world["facts"]["plus"]["exons"]
+    v = variants(spark, [("chr1", e1 - 1, "ACGT", "A"), ("chr1", s2 - 2, "ACG", "A"), ("chr1", e1 + 5, "A", "C")])
+    none = v.select("variant_id", "variant_class", F.lit(0).alias("n_proteins"), F.lit("no_protein").alias("outcome"), F.lit("").alias("detail"))
+    got = {r["variant_id"]: r["outcome"] for r in package.without_protein(none, v, world["tx"]).collect()}
+    assert got == {"v0": "crosses_splice_junction", "v1": "not_in_coding_exon", "v2": "not_in_coding_exon"}
+
+
 def test_candidates_by_name_and_place(spark, world):
     v = variants(spark, [("chr1", 150, "C", "A")]).withColumn("genes", F.lit("MINUS"))
     assert [r["tx_id"] for r in annotate.candidates(v, world["tx"]).collect()] == ["T_MINUS"]

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,10 +53,11 @@ def top_rows(df: DataFrame, keys: list[str], order: list[Column], k: int) -> Dat
 
 
 def tiered_lookup(probe: DataFrame, key: str, index: DataFrame, index_key: str, tier: str) -> DataFrame:
-    """Matches of each probe key in its best tier only."""
-    joined = probe.join(index, probe[key] == index[index_key])
-    best = joined.groupBy(probe[key].alias("_k")).agg(F.min(tier).alias("_best"))
-    return joined.join(best, (joined[key] == best["_k"]) & (joined[tier] == best["_best"])).drop("_k", "_best")
+    """Matches of each probe key in its best tier only.  The best tier is a
+    property of the index, so it is found there and probes are joined once."""
+    best = index.groupBy(F.col(index_key).alias("_k")).agg(F.min(tier).alias("_best"))
+    top = index.join(best, (index[index_key] == best["_k"]) & (index[tier] == best["_best"])).drop("_k", "_best")
+    return probe.join(top, probe[key] == top[index_key])
 
 
 def divide(required: DataFrame, owner: str, item: str, observed: DataFrame, observed_item: str) -> DataFrame:
@@ -73,20 +78,53 @@ def upper_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return out.groupBy(*keys).agg(F.min(value).alias("upper_median"))
 
 
+def _local_numbers(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows with their place in their partition (_row) and their number
+    within their key there (_local), of partitions sorted by key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, last, run_start = 0, None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            new = np.zeros(n, bool)
+            first = tuple(batch.column(k)[0] for k in keys)
+            new[0] = last is None or any(a.as_py() != b.as_py() for a, b in zip(first, last, strict=True))
+            for k in keys:
+                a, b = batch.column(k).slice(1), batch.column(k).slice(0, n - 1)
+                same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+                new[1:] |= ~same.to_numpy(zero_copy_only=False)
+            at = np.arange(row, row + n)
+            starts = np.maximum.accumulate(np.where(new, at, run_start if not new[0] else row))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at), pa.array(at - starts + 1)], [*batch.schema.names, "_row", "_local"])
+            row, last, run_start = row + n, tuple(batch.column(k)[n - 1] for k in keys), int(starts[-1])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
+    return placed.mapInArrow(run, f"{schema}, _row bigint, _local bigint")
+
+
 def dense_numbers(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """Numbers 1, 2, ... within each key by ``order``, without one task per
     key: rows are range-partitioned by key and order, numbered within each
-    partition and moved by what earlier partitions hold of the key.  Writes a
-    checkpoint, so both passes see the same partitions."""
+    partition in one pass, and moved by what earlier partitions hold of the key.
+    Writes a checkpoint, so both passes see the same partitions.  Only a key at
+    a partition's start can go on from an earlier one, so the moves are one row
+    for each partition at most."""
     use_checkpoints(df.sparkSession)
     by = [*keys, *order]
     placed = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_part", F.spark_partition_id()).checkpoint()
-    counts = placed.groupBy("_part", *keys).agg(F.count("*").alias("_c"))
-    before = F.sum("_c").over((Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_c")
-    local = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order))
-    joined = placed.withColumn("_local", local).join(offsets, ["_part", *keys])
-    return joined.withColumn(name, (F.col("_local") + F.col("_before")).cast("bigint")).drop("_part", "_local", "_before")
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_all"))
+    numbered = _local_numbers(placed, keys)
+    # what a partition begins and ends with: a row for each partition
+    ends = numbered.groupBy("_part").agg(F.max_by(F.struct(key.alias("key"), F.col("_local").alias("n")), F.col("_row")).alias("last"), F.min_by(key, F.col("_row")).alias("first"))
+    so_far = F.sum("last.n").over(Window.partitionBy("last.key").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
+    in_order = Window.partitionBy(F.lit(0)).orderBy("_part")
+    # a partition's first key goes on from the one before it, if that ends with the same key
+    behind = ends.withColumn("upto", so_far).select(F.col("_part").alias("_at"), F.col("first").alias("_key"), F.lag("last.key").over(in_order).alias("earlier"), F.lag("upto").over(in_order).alias("_before"))
+    moves = F.broadcast(behind.where(F.col("_key").eqNullSafe(F.col("earlier"))).drop("earlier"))  # a row for each partition at most
+    joined = numbered.join(moves, (F.col("_part") == F.col("_at")) & key.eqNullSafe(F.col("_key")), "left")
+    return joined.withColumn(name, (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("bigint")).drop("_part", "_row", "_local", "_at", "_key", "_before")
 
 
 def partition_faults(whole: DataFrame, parts: DataFrame, key: str, part: str) -> DataFrame:
@@ -100,11 +138,12 @@ def partition_faults(whole: DataFrame, parts: DataFrame, key: str, part: str) ->
 
 def jaccard_pairs(items: DataFrame, owner: str, item: str) -> DataFrame:
     """(a, b, n_a, n_b, n_both, jaccard) of owners that share items: exact set
-    sizes.  Owners are few (tools, classes); items are grouped, not joined."""
-    distinct = items.select(owner, item).distinct()
-    sizes = distinct.groupBy(owner).agg(F.count("*").alias("n"))
-    owners = distinct.groupBy(item).agg(F.array_sort(F.collect_set(owner)).alias("o"))
-    both = owners.where(F.size("o") > 1).select(F.explode("o").alias("a"), "o").select("a", F.explode("o").alias("b")).where("a < b").groupBy("a", "b").agg(F.count("*").alias("n_both"))
-    x, y = sizes.select(F.col(owner).alias("a"), F.col("n").alias("n_a")), sizes.select(F.col(owner).alias("b"), F.col("n").alias("n_b"))
-    out = both.join(x, "a").join(y, "b")
-    return out.select("a", "b", "n_a", "n_b", "n_both", (F.col("n_both") / (F.col("n_a") + F.col("n_b") - F.col("n_both"))).alias("jaccard"))
+    sizes.  Owners are few (tools, classes): items are grouped once, to the set
+    of their owners, and all counts are sums over those sets."""
+    held = items.groupBy(item).agg(F.array_sort(F.collect_set(owner)).alias("o")).groupBy("o").agg(F.count("*").alias("n"))
+    pairs = held.select("n", "o", F.explode("o").alias("a")).select("n", "a", F.explode("o").alias("b")).where("a <= b").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    # a row for each pair of owners: their own sizes are on the diagonal
+    sizes = F.map_from_entries(F.collect_list(F.when(F.col("a") == F.col("b"), F.struct("a", "n"))))
+    every = pairs.agg(sizes.alias("sizes"), F.collect_list(F.when(F.col("a") < F.col("b"), F.struct("a", "b", "n"))).alias("pairs"))
+    out = every.select("sizes", F.explode("pairs").alias("p")).select("p.a", "p.b", F.col("sizes")[F.col("p.a")].alias("n_a"), F.col("sizes")[F.col("p.b")].alias("n_b"), F.col("p.n").alias("n_both"))
+    return out.withColumn("jaccard", F.col("n_both") / (F.col("n_a") + F.col("n_b") - F.col("n_both")))

@@ -12,10 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import digestion as D
 from ..functions import headers as H
 from ..functions import peptides as P
 from ..functions import sequence as S
 from ..operators import relational as R
+from . import checks, package, truth
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -57,39 +59,36 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "lang", "source", "n_chars", P.protein_like("text").alias("seq"))
 
 
-def peptides(df: DataFrame, *keep: str) -> DataFrame:
-    """One row per (entry, distinct peptide)."""
-    return df.select(*keep, F.explode(P.digest("seq")).alias("p"))
+def as_entries(df: DataFrame, *classes: str) -> DataFrame:
+    """Release entries: the document's number, its classes and a variant position."""
+    pos = F.lit(1) + F.col("n_chars") % F.length("seq")
+    kept = df.where(F.length("seq") > 0)
+    return kept.select(F.col("doc_id").alias("entry_id"), F.col("source").alias("variant_class"), F.array(*classes or ["source"]).alias("classes"), pos.alias("variant_pos_aa"), F.col("seq").alias("sequence"))
 
 
 def reference_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bench = table(spark, sf_dir, "benchmark").select(P.protein_like("text").alias("seq"))
-    return peptides(bench).select(P.fold("p").alias("k")).distinct()
+    return package.peptide_keys(table(spark, sf_dir, "benchmark").select(P.protein_like("text").alias("sequence")))
 
 
 @query(f"""WITH s AS (SELECT doc_id AS id, {SQL_SEQ} AS seq FROM documents), {sql_peptides("pep", "s")}
 SELECT id AS doc_id, p AS peptide FROM pep""")
 def tryptic_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return peptides(entries(spark, sf_dir), "doc_id").withColumnRenamed("p", "peptide")
+    return D.digested(entries(spark, sf_dir), "seq", ["doc_id"]).select("doc_id", "peptide")
 
 
 @query(f"""WITH s AS (SELECT doc_id AS id, {SQL_SEQ} AS seq FROM documents), {sql_peptides("pep", "s")}
 SELECT id AS doc_id, count(*) AS n_peptides, avg(length(p)) AS mean_length, max(length(p)) AS longest FROM pep GROUP BY id""")
 def digest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Count and mean length of each entry's peptides, without exploding them."""
-    lengths = F.transform(P.digest("seq"), F.length)
-    sized = entries(spark, sf_dir).select("doc_id", lengths.alias("l")).where(F.size("l") > 0)
-    total = F.aggregate("l", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return sized.select("doc_id", F.size("l").cast("bigint").alias("n_peptides"), (total / F.size("l")).alias("mean_length"), F.array_max("l").cast("bigint").alias("longest"))
+    """Count and mean length of each entry's peptides."""
+    return D.digest_sizes(entries(spark, sf_dir), "seq", ["doc_id"])
 
 
 @query(f"""WITH s AS (SELECT doc_id AS id, {SQL_SEQ} AS seq FROM documents), b AS (SELECT item_id AS id, {SQL_SEQ} AS seq FROM benchmark),
 {sql_peptides("pep", "s")}, {sql_peptides("ref", "b")}, r AS (SELECT DISTINCT replace(p, 'I', 'L') AS k FROM ref)
 SELECT id AS doc_id, count(*) AS n_novel, min(p) AS example FROM pep WHERE replace(p, 'I', 'L') NOT IN (SELECT k FROM r) GROUP BY id""")
 def novel_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = peptides(entries(spark, sf_dir), "doc_id").withColumn("k", P.fold("p"))
-    novel = found.join(reference_keys(spark, sf_dir), "k", "left_anti")
-    return novel.groupBy("doc_id").agg(F.count("*").alias("n_novel"), F.min("p").alias("example"))
+    rows = package.peptide_rows(as_entries(entries(spark, sf_dir)), reference_keys(spark, sf_dir), fields=("entry_id",))
+    return rows.where("novel").groupBy(F.col("entry_id").alias("doc_id")).agg(F.count("*").alias("n_novel"), F.min("peptide").alias("example"))
 
 
 FUNNEL_SQL = f"""WITH s AS (SELECT doc_id AS id, {SQL_SEQ} AS seq, source, n_chars FROM documents), b AS (SELECT item_id AS id, {SQL_SEQ} AS seq FROM benchmark),
@@ -107,37 +106,22 @@ SELECT source AS class, count(*) AS novel_vs_reference, count(*) FILTER (NOT in_
 FROM f JOIN u USING (k) WHERE n = 1 GROUP BY source"""
 
 
-def positioned(df: DataFrame, *keep: str) -> DataFrame:
-    """Peptides of proteins with a variant position, and whether they cover it."""
-    pos = (F.lit(1) + F.col("n_chars") % F.length("seq")).cast("int")
-    # the window is a column of its own below the generator, or it would be cut anew for each peptide
-    near = df.where(F.length("seq") > 0).select(*keep, P.around(F.col("seq"), pos).alias("near"), P.digest("seq").alias("ps"))
-    rows = near.select(*keep, "near", F.explode("ps").alias("p"))
-    return rows.select(*keep, "p", P.spans(F.col("near.window"), F.col("p"), F.col("near.at")).alias("spanning"))
-
-
 @query(FUNNEL_SQL)
 def candidate_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Novel peptides, those not in normal tissue, those over the variant and
     those of one entry only, nested, by class of the first entry."""
     every = entries(spark, sf_dir)
-    normal = peptides(every.where(F.col("source") == NORMAL)).select(P.fold("p").alias("k")).distinct().withColumn("in_normal", F.lit(True))
-    rows = positioned(every.where(F.col("source") != NORMAL), "doc_id", "source").withColumn("k", P.fold("p"))
-    novel = rows.join(reference_keys(spark, sf_dir), "k", "left_anti")
-    by_key = novel.groupBy("k").agg(F.min_by(F.struct("source", "spanning"), F.struct("doc_id", "p")).alias("first"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    flagged = by_key.join(normal, "k", "left").select(F.col("first.source").alias("class"), F.coalesce("in_normal", F.lit(False)).alias("in_normal"), F.col("first.spanning").alias("spanning"), (F.col("lo") == F.col("hi")).alias("single"))
-    fresh = ~F.col("in_normal")
-    return flagged.groupBy("class").agg(
-        F.count("*").alias("novel_vs_reference"), F.count_if(fresh).alias("not_in_normal_tissue"),
-        F.count_if(fresh & F.col("spanning")).alias("variant_spanning"), F.count_if(fresh & F.col("spanning") & F.col("single")).alias("proteotypic"),
-    )
+    normal = package.peptide_keys(every.where(F.col("source") == NORMAL), "seq")
+    rows = package.peptide_rows(as_entries(every.where(F.col("source") != NORMAL)), reference_keys(spark, sf_dir), normal, fields=("entry_id", "variant_class"))
+    return package.funnel(rows, ("variant_class",)).withColumnRenamed("variant_class", "class")
 
 
 @query(f"""WITH s AS (SELECT doc_id AS id, {SQL_SEQ} AS seq, n_chars FROM documents), {sql_peptides("pep", "s")},
 e AS (SELECT id, p, seq, 1 + n_chars % length(seq) AS pos FROM pep JOIN s USING (id))
 SELECT id AS doc_id, p AS peptide FROM e WHERE len(list_filter(range(greatest(1, pos - length(p) + 1), pos + 1), lambda i: substr(seq, i, length(p)) = p)) > 0""")
 def spanning_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return positioned(entries(spark, sf_dir), "doc_id").where("spanning").select("doc_id", F.col("p").alias("peptide"))
+    rows = D.digested(as_entries(entries(spark, sf_dir)), "sequence", ["entry_id"], position="variant_pos_aa")
+    return rows.where("spanning").select(F.col("entry_id").alias("doc_id"), "peptide")
 
 
 @query(f"""WITH s AS (SELECT doc_id AS id, {SQL_SEQ} AS seq, lang, source FROM documents), b AS (SELECT item_id AS id, {SQL_SEQ} AS seq FROM benchmark),
@@ -147,9 +131,8 @@ SELECT class, count(DISTINCT k) AS n_added FROM (SELECT lang AS class, k FROM n
 def search_space_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct new peptides of the release and of every class that reaches
     them; classes overlap."""
-    rows = peptides(entries(spark, sf_dir), "lang", "source").withColumn("k", P.fold("p")).join(reference_keys(spark, sf_dir), "k", "left_anti")
-    classes = rows.select("k", F.explode(F.array("lang", "source", F.lit("release"))).alias("class")).distinct()
-    return classes.groupBy("class").agg(F.count("*").alias("n_added"))
+    rows = package.peptide_rows(as_entries(entries(spark, sf_dir), "lang", "source"), reference_keys(spark, sf_dir), fields=("entry_id", "classes"))
+    return package.search_space(rows)
 
 
 @query(f"""WITH s AS (SELECT lang, {SQL_SEQ} AS seq FROM documents),
@@ -157,8 +140,7 @@ m AS (SELECT DISTINCT lang, substr(seq, i, 7) AS m FROM s, unnest(range(1, lengt
 n AS (SELECT lang, count(*) AS n FROM m GROUP BY lang), b AS (SELECT x.lang AS a, y.lang AS b, count(*) AS n_both FROM m x JOIN m y ON x.m = y.m AND x.lang < y.lang GROUP BY ALL)
 SELECT a, b, na.n AS n_a, nb.n AS n_b, n_both, n_both / (na.n + nb.n - n_both) AS jaccard FROM b JOIN n na ON na.lang = a JOIN n nb ON nb.lang = b""")
 def kmer_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = entries(spark, sf_dir).select("lang", F.explode(P.kmers("seq", 7)).alias("m"))
-    return R.jaccard_pairs(rows, "lang", "m")
+    return R.jaccard_pairs(D.kmer_items(entries(spark, sf_dir), "seq", "lang", 7), "lang", "item")
 
 
 @query(f"""WITH s AS (SELECT doc_id, {SQL_SEQ} AS seq FROM documents), f AS (SELECT doc_id, seq, {SQL_FRAGMENTS} AS fr FROM s)
@@ -327,24 +309,37 @@ def manifest_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 PRIORITY = ("src3", "src1", "src0", "src7", "src2")
 
 
-@query(f"""WITH d AS (SELECT md5(text) AS seq, doc_id, source, coalesce(list_position([{', '.join(repr(x) for x in PRIORITY)}], source), 99) AS rank FROM documents)
-SELECT seq, arg_min(source, rank * 10000000000 + doc_id) AS class, min(doc_id) AS kept, count(*) AS n_members, string_agg(DISTINCT source, ',' ORDER BY source) AS classes FROM d GROUP BY seq""")
-def class_priority_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rank = F.array_position(F.array(*(F.lit(x) for x in PRIORITY)), F.col("source"))
-    rows = table(spark, sf_dir, "documents").select(F.md5("text").alias("seq"), "doc_id", "source", F.when(rank > 0, rank).otherwise(99).alias("rank"))
-    return rows.groupBy("seq").agg(
-        F.min_by("source", F.struct("rank", "doc_id")).alias("class"), F.min("doc_id").alias("kept"), F.count("*").alias("n_members"),
-        F.array_join(F.array_sort(F.collect_set("source")), ",").alias("classes"),
-    )
+#: Records of documents: a class, an id that several share, a place and a sequence.
+SQL_RECORDS = "SELECT lang || '_' || source AS seq_id, source AS variant_class, lpad(CAST(doc_id AS VARCHAR), 10, '0') AS locus, text AS sequence, doc_id FROM documents WHERE text <> ''"
+SQL_ORDERED = f"""r AS ({SQL_RECORDS}), o1 AS (SELECT *, variant_class || '_' || lpad(CAST(row_number() OVER (PARTITION BY variant_class ORDER BY seq_id, locus) AS VARCHAR), 6, '0') AS serial FROM r),
+ o AS (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY serial) AS k, min(serial) OVER (PARTITION BY variant_class, sequence) AS kept_serial FROM o1)"""
+SQL_RANK = f"coalesce(list_position([{', '.join(repr(x) for x in PRIORITY)}], variant_class), 99)"
+
 
+def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").where("text <> ''")
+    none = {c: F.lit(None).cast("string").alias(c) for c in ("transcript", "variant_id", "consequence", "gene", "protein_change", "source", "nmd")}
+    return docs.select(F.concat_ws("_", "lang", "source").alias("seq_id"), F.col("source").alias("variant_class"), F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("locus"), F.col("text").alias("sequence"), F.lit(None).cast("bigint").alias("variant_pos_aa"), F.lit(None).cast("double").alias("confidence"), *none.values())
 
-@query("""SELECT doc_id, CASE WHEN n = 1 THEN base ELSE base || '_dup' || n END AS seq_id, upper(lang) || '_' || CASE WHEN s < 1000000 THEN lpad(CAST(s AS VARCHAR), 6, '0') ELSE CAST(s AS VARCHAR) END AS serial FROM (
- SELECT doc_id, lang, base, row_number() OVER (PARTITION BY base ORDER BY doc_id) AS n, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS s FROM (SELECT doc_id, lang, lang || '_' || source AS base FROM documents))""")
+
+@query(f"""WITH {SQL_ORDERED} SELECT locus, serial, CASE WHEN k = 1 THEN seq_id ELSE seq_id || '_dup' || k END AS entry_id, kept_serial, serial = kept_serial AS kept FROM o""")
 def serial_and_dup_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "documents").select("doc_id", "lang", F.concat_ws("_", "lang", "source").alias("base"))
-    numbered = R.dense_numbers(R.dense_numbers(base, ["lang"], ["doc_id"], "s"), ["base"], ["doc_id"], "n")
-    serial = F.when(F.col("s") < 1_000_000, F.lpad(F.col("s").cast("string"), 6, "0")).otherwise(F.col("s").cast("string"))
-    return numbered.select("doc_id", F.when(F.col("n") == 1, F.col("base")).otherwise(F.concat("base", F.lit("_dup"), F.col("n").cast("string"))).alias("seq_id"), F.concat(F.upper("lang"), F.lit("_"), serial).alias("serial"))
+    """Serials within classes, ids made unique, and the record that stands for
+    each class and sequence."""
+    return package.write_order(document_records(spark, sf_dir)).select("locus", "serial", "entry_id", "kept_serial", "kept")
+
+
+@query(f"""WITH {SQL_ORDERED} SELECT sha256(sequence) AS digest, first(variant_class ORDER BY {SQL_RANK}, serial) AS variant_class, first(serial ORDER BY {SQL_RANK}, serial) AS serial, count(*) AS n_records, string_agg(DISTINCT variant_class, ',' ORDER BY variant_class) AS classes FROM o GROUP BY sequence""")
+def class_priority_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One entry for each sequence, of the best ranked class that reaches it."""
+    found = package.entries(package.write_order(document_records(spark, sf_dir)), PRIORITY)
+    return found.select("digest", "variant_class", "serial", "n_records", F.array_join("classes", ",").alias("classes"))
+
+
+@query(f"""WITH {SQL_ORDERED} SELECT kept_serial, serial, locus, first_value(locus) OVER (PARTITION BY kept_serial ORDER BY serial) AS kept_locus FROM o QUALIFY serial <> kept_serial""")
+def merged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which records were merged into which."""
+    return package.merged_loci(package.write_order(document_records(spark, sf_dir))).select("kept_serial", "serial", "locus", "kept_locus")
 
 
 @query("""SELECT event_type, count(*) AS n_in, count(*) FILTER (af IS NULL) AS n_unknown, count(*) FILTER (af IS NULL OR af >= 0.25) AS n_kept FROM (
@@ -356,85 +351,89 @@ def af_filter_null_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("event_type").agg(F.count("*").alias("n_in"), F.count_if(F.col("af").isNull()).alias("n_unknown"), F.count_if(F.col("af").isNull() | (F.col("af") >= 0.25)).alias("n_kept"))
 
 
-SQL_OUTCOME = "CASE WHEN n_proteins > 4 THEN 'protein_built' WHEN n_proteins > 0 AND all_r THEN 'synonymous_only' WHEN n_proteins > 0 AND some_f THEN 'utr_variant' WHEN n_proteins > 0 THEN 'filtered' WHEN o_orderstatus = 'P' THEN 'not_in_coding_exon' ELSE 'no_protein' END"
+#: Orders as variants with a frequency, their lines as protein records: a third of the suppliers is not expressed, a status stands for rows that could not be read.
+SQL_DISPOSITION = """SELECT variant_id, variant_class, CAST(n_proteins AS BIGINT) AS n_proteins, CASE WHEN low THEN 'below_min_af' WHEN failed THEN 'error' WHEN n IS NULL THEN 'no_protein' WHEN n_proteins > 0 THEN 'protein_built'
+  WHEN n_same > 0 AND same IN ('5_prime_UTR', '3_prime_UTR') THEN 'utr_variant' WHEN n_same > 0 AND same = 'synonymous' THEN 'synonymous_only' WHEN n_same > 0 THEN 'synonymous_or_utr' WHEN n_short > 0 THEN 'below_min_length' ELSE 'filtered' END AS outcome,
+ CASE WHEN low THEN 'af=' || af || '<0.05' WHEN failed THEN 'unreadable' WHEN n IS NULL THEN '' WHEN n_proteins > 0 THEN names WHEN n_same > 0 AND same = 'synonymous' THEN 'no residue changes' WHEN n_same > 0 THEN same WHEN n_short > 0 THEN '<20 aa' ELSE names END AS detail FROM (
+ SELECT v.*, n, coalesce(CASE WHEN NOT low THEN kept END, 0) AS n_proteins, n_same, n_short, same, names FROM (
+  SELECT CAST(o_orderkey AS VARCHAR) AS variant_id, o_orderpriority AS variant_class, CASE WHEN o_orderkey % 7 <> 0 THEN (o_orderkey % 50) / 100 END AS af, coalesce(o_orderkey % 7 <> 0 AND (o_orderkey % 50) / 100 < 0.05, false) AS low, o_orderstatus = 'P' AS failed FROM orders) v LEFT JOIN (
+  SELECT variant_id, count(*) AS n, count(*) FILTER (reason IS NULL) AS kept, count(*) FILTER (reason = 'unchanged') AS n_same, count(*) FILTER (reason = 'short') AS n_short,
+   coalesce(string_agg(DISTINCT consequence, ';' ORDER BY consequence) FILTER (reason = 'unchanged'), '') AS same, string_agg(DISTINCT consequence, ';' ORDER BY consequence) AS names FROM (
+   SELECT CAST(l_orderkey AS VARCHAR) AS variant_id, c AS consequence, CASE WHEN l_suppkey % 3 = 0 THEN 'silent' WHEN l_quantity < 20 THEN 'short' WHEN c <> 'missense' THEN 'unchanged' END AS reason FROM (
+    SELECT *, CASE WHEN l_returnflag = 'R' THEN 'synonymous' WHEN l_returnflag = 'A' THEN '5_prime_UTR' ELSE 'missense' END AS c FROM lineitem)) GROUP BY variant_id) b ON b.variant_id = v.variant_id)"""
 
 
-def outcome() -> Column:
-    some = F.col("n_proteins") > 0
-    return (
-        F.when(F.col("n_proteins") > 4, "protein_built").when(some & F.col("all_r"), "synonymous_only").when(some & F.col("some_f"), "utr_variant")
-        .when(some, "filtered").when(F.col("o_orderstatus") == "P", "not_in_coding_exon").otherwise("no_protein")
-    )
-
-
-SQL_DISPOSITION = f"""SELECT o_orderkey, o_orderpriority AS class, n_proteins, {SQL_OUTCOME} AS outcome FROM (
- SELECT o_orderkey, o_orderstatus, o_orderpriority, count(l_orderkey) AS n_proteins, coalesce(bool_and(l_returnflag = 'R'), false) AS all_r, coalesce(bool_or(l_linestatus = 'F'), false) AS some_f
- FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL)"""
-
-
-def dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.bool_and(F.col("l_returnflag") == "R").alias("all_r"), F.bool_or(F.col("l_linestatus") == "F").alias("some_f"))
-    joined = table(spark, sf_dir, "orders").join(built, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn("n_proteins", F.coalesce("n", F.lit(0)))
-    return joined.select("o_orderkey", F.col("o_orderpriority").alias("class"), "n_proteins", outcome().alias("outcome"))
+def dispositions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(manifest, outcomes)."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    manifest = orders.select(key.cast("string").alias("variant_id"), F.col("o_orderpriority").alias("variant_class"), F.struct(F.when(key % 7 != 0, (key % 50) / 100).alias("af")).alias("small"))
+    consequence = F.when(F.col("l_returnflag") == "R", "synonymous").when(F.col("l_returnflag") == "A", "5_prime_UTR").otherwise("missense")
+    records = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("variant_id"), F.repeat(F.lit("A"), F.col("l_quantity").cast("int")).alias("sequence"), consequence.alias("consequence"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string"), F.lit(".1")).alias("gene"))
+    suppliers = table(spark, sf_dir, "lineitem").select("l_suppkey").distinct().where("l_suppkey % 3 <> 0")
+    failed = orders.where("o_orderstatus = 'P'").select(key.cast("string").alias("variant_id"), F.lit("unreadable").alias("detail"))
+    _, outcomes = package.dispositions(manifest, records, 20, False, 0.05, suppliers.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("gene")), failed)
+    return manifest, outcomes
 
 
 @query(SQL_DISPOSITION)
 def disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every input exactly once, with the first outcome that fits."""
-    return dispositions(spark, sf_dir)
+    return dispositions(spark, sf_dir)[1]
 
 
-OUTCOMES = ("protein_built", "synonymous_only", "utr_variant", "filtered", "not_in_coding_exon", "no_protein")
+@query(f"""SELECT coalesce(variant_class, 'TOTAL') AS variant_class, count(*) AS n_input, CAST(sum(n_proteins) AS BIGINT) AS n_proteins, {', '.join(f"count(*) FILTER (outcome = '{o}') AS {o}" for o in checks.LABELS)},
+ count(*) FILTER (outcome = 'protein_built') / count(*) AS rate FROM ({SQL_DISPOSITION}) GROUP BY ROLLUP (variant_class)""")
+def recovery_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.recovery(dispositions(spark, sf_dir)[1])
 
 
-@query(f"""SELECT coalesce(class, 'TOTAL') AS class, count(*) AS n_input, CAST(sum(n_proteins) AS BIGINT) AS n_proteins, {', '.join(f"count(*) FILTER (outcome = '{o}') AS {o}" for o in OUTCOMES)},
- count(*) FILTER (outcome = 'protein_built') / count(*) AS rate FROM ({SQL_DISPOSITION}) GROUP BY ROLLUP (class)""")
-def recovery_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = [F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES]
-    rolled = dispositions(spark, sf_dir).rollup("class").agg(F.count("*").alias("n_input"), F.sum("n_proteins").alias("n_proteins"), *counts)
-    return rolled.withColumn("class", F.coalesce("class", F.lit("TOTAL"))).withColumn("rate", F.col("protein_built") / F.col("n_input"))
+def sql_violation(check: str, text: str, key: str, source: str) -> str:
+    """One row for the rows of ``source``, as the checks word it."""
+    return f"SELECT '{check}' AS check_name, 'error' AS severity, count(*) || ' {text}: ' || min(CAST({key} AS VARCHAR)) || CASE WHEN count(*) > 1 THEN ' ... ' || max(CAST({key} AS VARCHAR)) ELSE '' END AS message FROM ({source}) HAVING count(*) > 0"
+
+
+_SQL_FAULTY = "SELECT CAST(o_orderkey AS VARCHAR) AS variant_id FROM orders WHERE o_orderkey % 17 <> 0 UNION ALL SELECT 'alien' || o_orderkey FROM orders WHERE o_orderkey % 41 = 0 UNION ALL SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 23 = 1"
 
 
-@query("""SELECT 'orders_without_lines' AS check_name, count(*) AS n FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
-UNION ALL SELECT 'lines_without_order', count(*) FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))
-UNION ALL SELECT 'repeated_lines', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""")
+@query(f"""WITH m AS (SELECT CAST(o_orderkey AS VARCHAR) AS variant_id FROM orders), o AS ({_SQL_FAULTY})
+{sql_violation('I2', 'inputs without outcome', 'variant_id', 'SELECT variant_id FROM m WHERE variant_id NOT IN (SELECT variant_id FROM o)')}
+UNION ALL {sql_violation('I2', 'outcomes without input', 'variant_id', 'SELECT variant_id FROM o WHERE variant_id NOT IN (SELECT variant_id FROM m)')}
+UNION ALL {sql_violation('I2', 'inputs with several outcomes', 'variant_id', 'SELECT variant_id FROM o GROUP BY variant_id HAVING count(*) > 1')}""")
 def reconcile_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    keys = lines.select("l_orderkey").distinct()
-    named = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("check_name"), "n")
-    a = named(orders.join(keys, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti"), "orders_without_lines")
-    b = named(keys.join(orders, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti"), "lines_without_order")
-    c = named(lines.groupBy("l_orderkey", "l_linenumber").count().where("count > 1"), "repeated_lines")
-    return a.union(b).union(c)
-
-
-@query("""WITH p AS (SELECT doc_id, lang AS part FROM documents WHERE doc_id % 17 <> 0 UNION ALL SELECT doc_id, 'extra' FROM documents WHERE doc_id % 23 = 0 UNION ALL SELECT doc_id + 1000000000, 'alien' FROM documents WHERE doc_id % 41 = 0)
-SELECT (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM p)) AS n_missing, (SELECT count(DISTINCT doc_id) FROM p WHERE doc_id NOT IN (SELECT doc_id FROM documents)) AS n_extra,
- (SELECT count(*) FROM (SELECT doc_id FROM (SELECT DISTINCT doc_id, part FROM p) GROUP BY doc_id HAVING count(*) > 1)) AS n_several""")
+    """The release check of outcomes, on outcomes with a fault of each kind."""
+    manifest, outcomes = dispositions(spark, sf_dir)
+    number = F.col("variant_id").cast("bigint")
+    alien = outcomes.where(number % 41 == 0).withColumn("variant_id", F.concat(F.lit("alien"), "variant_id"))
+    return checks.i2_disposition(manifest, outcomes.where(number % 17 != 0).unionByName(alien).unionByName(outcomes.where(number % 23 == 1)))
+
+
+@query(f"""WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS entry_id FROM documents), p AS (SELECT CAST(doc_id AS VARCHAR) AS entry_id, lang AS part FROM documents WHERE doc_id % 17 <> 0 UNION ALL SELECT CAST(doc_id AS VARCHAR), 'extra' FROM documents WHERE doc_id % 23 = 0 UNION ALL SELECT 'alien' || doc_id, 'alien' FROM documents WHERE doc_id % 41 = 0)
+{sql_violation('I1', 'entries in no class file', 'entry_id', 'SELECT entry_id FROM d WHERE entry_id NOT IN (SELECT entry_id FROM p)')}
+UNION ALL {sql_violation('I1', 'entries of class files only', 'entry_id', 'SELECT entry_id FROM p WHERE entry_id NOT IN (SELECT entry_id FROM d)')}
+UNION ALL {sql_violation('I1', 'entries in several class files', 'entry_id', 'SELECT entry_id FROM p GROUP BY entry_id HAVING count(DISTINCT part) > 1')}""")
 def partition_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts made with one fault of each kind: left out, foreign, in two parts."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    parts = docs.where("doc_id % 17 <> 0").select("doc_id", F.col("lang").alias("part")).union(docs.where("doc_id % 23 = 0").select("doc_id", F.lit("extra"))).union(docs.where("doc_id % 41 = 0").select(F.col("doc_id") + 1_000_000_000, F.lit("alien")))
-    return R.partition_faults(docs, parts, "doc_id", "part")
+    """The release check of class files, on parts with one fault of each kind:
+    left out, foreign, in two parts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("entry_id"), F.col("lang").alias("class"))
+    parts = docs.where("doc_id % 17 <> 0").union(docs.where("doc_id % 23 = 0").withColumn("class", F.lit("extra"))).union(docs.where("doc_id % 41 = 0").withColumn("entry_id", F.concat(F.lit("alien"), "entry_id")).withColumn("class", F.lit("alien")))
+    return checks.i1_partition(docs.select("entry_id"), parts.select("entry_id", "class"))
 
 
 @query("""WITH req AS (SELECT DISTINCT l_orderkey AS ev, l_partkey AS j FROM lineitem WHERE l_returnflag = 'R'), obs AS (SELECT l_partkey AS j, count(DISTINCT l_suppkey % 20) AS tissues FROM lineitem WHERE l_linestatus = 'F' AND l_quantity > 20 GROUP BY ALL)
-SELECT ev, count(*) AS n_required, min(tissues) AS min_tissues FROM req LEFT JOIN obs USING (j) GROUP BY ev HAVING count(*) = count(tissues)""")
+SELECT ev, min(tissues) AS min_tissues FROM req LEFT JOIN obs USING (j) GROUP BY ev HAVING count(*) = count(tissues)""")
 def junction_division(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events all of whose junctions were observed, with the least support."""
     lines = table(spark, sf_dir, "lineitem")
-    need = lines.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("ev"), F.col("l_partkey").alias("j")).distinct()
-    seen = lines.where("l_linestatus = 'F' AND l_quantity > 20").groupBy(F.col("l_partkey").alias("j")).agg(F.count_distinct(F.col("l_suppkey") % 20).alias("tissues"))
-    # semi-join reduction: only wanted junctions are counted
-    wanted = seen.join(need.select("j").distinct(), "j", "left_semi")
-    whole = R.divide(need, "ev", "j", wanted, "j")
-    return need.join(wanted, "j").join(whole, "ev").groupBy("ev", "n_required").agg(F.min("tissues").alias("min_tissues"))
+    need = lines.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("event_id"), F.col("l_partkey").alias("junction")).distinct()
+    seen = lines.where("l_linestatus = 'F' AND l_quantity > 20").groupBy(F.col("l_partkey").alias("junction")).agg(F.count_distinct(F.col("l_suppkey") % 20).alias("tissues"))
+    return truth.normal_events(need, seen).withColumnsRenamed({"event_id": "ev", "tissues": "min_tissues"})
 
 
-@query("""SELECT l_shipmode_ AS class, upper_median, n FROM (SELECT l_returnflag || l_linestatus AS l_shipmode_, list(l_extendedprice ORDER BY l_extendedprice)[count(*) // 2 + 1] AS upper_median, count(*) AS n FROM lineitem GROUP BY 1)""")
+@query("""SELECT variant_class, min(c) AS low, max(c) AS high, list(c ORDER BY c)[count(*) // 2 + 1] AS upper_median FROM (SELECT l_returnflag || l_linestatus AS variant_class, l_extendedprice AS c FROM lineitem) GROUP BY 1""")
 def upper_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("class"), "l_extendedprice")
-    return R.upper_median(rows, ["class"], "l_extendedprice").join(rows.groupBy("class").agg(F.count("*").alias("n")), "class")
+    rows = table(spark, sf_dir, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("variant_class"), F.col("l_extendedprice").alias("confidence"))
+    return checks.confidence_profile(rows)
 
 
 @query("""WITH g AS (SELECT l_suppkey, l_returnflag, max(l_quantity) AS support, string_agg(DISTINCT l_linestatus, '|' ORDER BY l_linestatus) AS kinds, arg_min(l_orderkey, l_orderkey * 100 + l_linenumber) AS first_order, count(*) AS n FROM lineitem GROUP BY ALL)
@@ -449,16 +448,17 @@ def union_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.crossJoin(F.broadcast(top)).where("n >= 3").select("l_suppkey", "l_returnflag", "support", "kinds", "first_order", "n", (F.col("n") / F.col("top")).alias("share"))
 
 
-@query("""WITH t AS (SELECT lang, toxic = 1 AS truth, position('trash' in lower(text)) > 0 OR position('stupid' in lower(text)) > 0 AS said FROM labels JOIN documents USING (doc_id)), c AS (
- SELECT coalesce(lang, 'TOTAL') AS lang, count(*) AS n, count(*) FILTER (truth AND said) AS tp, count(*) FILTER (truth AND NOT said) AS fn, count(*) FILTER (NOT truth AND said) AS fp FROM t GROUP BY ROLLUP (lang))
-SELECT lang, n, tp, fn, fp, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END AS recall, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END AS precision FROM c""")
+@query("""WITH t AS (SELECT lang AS category, toxic = 1 AS truth, n_chars % 3 <> 0 AS observed, position('trash' in lower(text)) > 0 OR position('stupid' in lower(text)) > 0 AS said FROM labels JOIN documents USING (doc_id)), c AS (
+ SELECT coalesce(category, 'TOTAL') AS category, count(*) AS n, count(*) FILTER (observed AND truth = said) AS n_found, count(*) FILTER (observed) AS seen FROM t GROUP BY ROLLUP (category))
+SELECT category, n, n_found, n_found / n AS recall, CASE WHEN seen > 0 THEN n_found / seen END AS precision FROM c""")
 def recall_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", (F.lower("text").contains("trash") | F.lower("text").contains("stupid")).alias("said"))
-    t = table(spark, sf_dir, "labels").select("doc_id", (F.col("toxic") == 1).alias("truth")).join(docs, "doc_id")
-    said, truth = F.col("said"), F.col("truth")
-    c = t.rollup("lang").agg(F.count("*").alias("n"), F.count_if(truth & said).alias("tp"), F.count_if(truth & ~said).alias("fn"), F.count_if(~truth & said).alias("fp"))
-    ratio = lambda a, b: F.when(b > 0, a / b)
-    return c.select(F.coalesce("lang", F.lit("TOTAL")).alias("lang"), "n", "tp", "fn", "fp", ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"), ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"))
+    """Labels as asserted changes, words as observed ones, in two spellings;
+    a third of the places is not observed."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", (F.lower("text").contains("trash") | F.lower("text").contains("stupid")).alias("said"))
+    rows = table(spark, sf_dir, "labels").select("doc_id", "toxic").join(docs, "doc_id")
+    asserted = rows.select(F.col("doc_id").cast("string").alias("locus"), F.when(F.col("toxic") == 1, "p.(Lys1Glu)").otherwise("p.Lys1Arg").alias("change"), F.col("lang").alias("category"))
+    observed = rows.where("n_chars % 3 <> 0").select(F.concat(F.lit("chr"), F.col("doc_id").cast("string")).alias("locus"), F.array(F.lit("p.A9V"), F.when(F.col("said"), "p.K1E").otherwise("K1R")).alias("changes"))
+    return truth.accuracy(truth.score(asserted, observed))
 
 
 # ---------------------------------------------------------------- combinations
@@ -490,14 +490,14 @@ def combo_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("tx").agg(F.count("*").alias("n"), F.bool_or(F.coalesce(F.col("nxt") < F.col("start") + F.col("len"), F.lit(False))).alias("clash"))
 
 
-@query("""WITH f AS (SELECT DISTINCT l_partkey AS g1, (l_partkey * 7 + l_suppkey) % (SELECT count(*) FROM part) AS g2, l_quantity AS bp FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45), o AS (
+@query("""WITH f AS (SELECT DISTINCT l_partkey AS g1, (l_partkey * 7 + l_suppkey) % (SELECT count(*) FROM part) AS g2, l_quantity AS bp FROM lineitem), o AS (
  SELECT g1 AS g5, g2 AS g3, bp FROM f UNION ALL SELECT g2, g1, bp FROM f)
 SELECT g5, g3, CAST(bp AS BIGINT) AS bp, a.p_brand AS brand5, b.p_brand AS brand3, a.p_size * 3 + b.p_size AS junction FROM o JOIN part a ON a.p_partkey = g5 JOIN part b ON b.p_partkey = g3 WHERE a.p_size >= 5""")
 def fusion_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both orders of each pair, each partner looked up on its own."""
     part = table(spark, sf_dir, "part")
     n = part.agg(F.count("*").alias("n_parts"))
-    pairs = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' AND l_quantity > 45").crossJoin(F.broadcast(n)).select(F.col("l_partkey").alias("g1"), ((F.col("l_partkey") * 7 + F.col("l_suppkey")) % F.col("n_parts")).alias("g2"), F.col("l_quantity").cast("bigint").alias("bp")).distinct()
+    pairs = table(spark, sf_dir, "lineitem").crossJoin(F.broadcast(n)).select(F.col("l_partkey").alias("g1"), ((F.col("l_partkey") * 7 + F.col("l_suppkey")) % F.col("n_parts")).alias("g2"), F.col("l_quantity").cast("bigint").alias("bp")).distinct()
     both = pairs.select("bp", F.explode(F.array(F.struct(F.col("g1").alias("g5"), F.col("g2").alias("g3")), F.struct(F.col("g2").alias("g5"), F.col("g1").alias("g3")))).alias("o")).select("o.*", "bp")
     five = part.where("p_size >= 5").select(F.col("p_partkey").alias("g5"), F.col("p_brand").alias("brand5"), F.col("p_size").alias("s5"))
     three = part.select(F.col("p_partkey").alias("g3"), F.col("p_brand").alias("brand3"), F.col("p_size").alias("s3"))
@@ -558,11 +558,12 @@ def header_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", H.joined(first, {"VT": F.upper("lang"), "GN": F.col("source"), "CONF": confidence}).alias("header"))
 
 
-@query("""SELECT md5(text) AS seq, string_agg(doc_id || '/' || source || '/' || lang, ';' ORDER BY doc_id) AS variants, count(*) AS n FROM documents GROUP BY text""")
+@query(f"""WITH {SQL_ORDERED} SELECT sha256(sequence) AS digest, string_agg(serial || '/' || variant_class || '/' || locus, ';' ORDER BY serial) AS variants, length(first(sequence)) AS length, count(*) AS n FROM o GROUP BY sequence""")
 def provenance_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = F.struct("doc_id", F.concat_ws("/", F.col("doc_id").cast("string"), "source", "lang").alias("v"))
-    grouped = table(spark, sf_dir, "documents").groupBy(F.md5("text").alias("seq")).agg(F.array_sort(F.collect_list(one)).alias("vs"))
-    return grouped.select("seq", F.array_join(F.transform("vs", lambda x: x["v"]), ";").alias("variants"), F.size("vs").cast("bigint").alias("n"))
+    ordered = package.write_order(document_records(spark, sf_dir))
+    nested = package.provenance(ordered, package.entries(ordered, PRIORITY))
+    said = F.transform("variants", lambda v: F.concat_ws("/", v["serial"], v["variant_class"], v["locus"]))
+    return nested.select("digest", F.array_join(said, ";").alias("variants"), F.col("length").cast("bigint").alias("length"), F.size("variants").cast("bigint").alias("n"))
 
 
 @query("""SELECT doc_id, len(string_split(text, chr(10))) AS n_lines, max(length(l)) AS longest, count(DISTINCT length(l)) AS n_lengths FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS l FROM documents) GROUP BY doc_id, text""")

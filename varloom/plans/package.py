@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import digestion as D
 from ..functions import headers as H
 from ..functions import peptides as P
 from ..operators import relational as R
@@ -24,50 +25,81 @@ def rank_of(variant_class: Column, priority: tuple[str, ...] = CLASS_PRIORITY) -
     return F.when(at > 0, at).otherwise(99)
 
 
-def dispositions(manifest: DataFrame, records: DataFrame, least_aa: int = 8, keep_unchanged: bool = True, min_af: float | None = None, expressed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(kept records, one outcome for each variant).  Frequency, expression,
-    length and change are tested in this order, and the first that fails gives
-    the reason; an unknown frequency and an unnamed gene pass."""
+def low_frequency(least: float | None) -> Column:
+    """Whether the manifest states a frequency under the least: an unknown one
+    is not a low one."""
     af = F.col("small.af")
-    low = (af.isNotNull() & (af < min_af)) if min_af is not None else F.lit(False)
-    flags = records.join(manifest.select("variant_id", low.alias("low_af")), "variant_id", "left")
+    return F.coalesce(af < least, F.lit(False)) if least is not None else F.lit(False)
+
+
+def dispositions(manifest: DataFrame, records: DataFrame, least_aa: int = 8, keep_unchanged: bool = True, min_af: float | None = None, expressed: DataFrame | None = None, failed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(kept records, one outcome for each variant).
+
+    Records are tested for expression, length and change in this order; an
+    unnamed gene passes.  A variant with a record that is kept is built,
+    whatever became of its others; else records that change nothing decide,
+    then short ones, then any.  ``failed`` (variant_id, detail) are rows that
+    could not be read."""
+    slim = manifest.select("variant_id", "variant_class", low_frequency(min_af).alias("low_af"), F.col("small.af").cast("string").alias("af_text"))
+    tested = records.join(slim.where("low_af").select("variant_id"), "variant_id", "left_anti")
+    silent = F.lit(False)
     if expressed is not None:
-        named = expressed.select(F.col("gene").alias("_g")).distinct().withColumn("_on", F.lit(True))
-        flags = flags.join(named, F.substring_index("gene", ".", 1) == F.col("_g"), "left").withColumn("silent", (F.coalesce("gene", F.lit("")) != "") & F.col("_on").isNull()).drop("_g", "_on")
+        genes = expressed.select(F.col("gene").alias("_g")).distinct()
+        named = tested.join(genes.withColumn("_on", F.lit(True)), F.col("gene") == F.col("_g"), "left").drop("_g")
+        tested = named.join(genes.withColumn("_bare", F.lit(True)), F.substring_index("gene", ".", 1) == F.col("_g"), "left").drop("_g")
+        silent = (F.coalesce("gene", F.lit("")) != "") & F.col("_on").isNull() & F.col("_bare").isNull()
+    same = F.col("consequence").isin(*UNCHANGED) & F.lit(not keep_unchanged)
+    reason = F.when(silent, "not_expressed").when(F.length("sequence") < least_aa, "too_short").when(same, "unchanged")
+    judged = tested.withColumn("reason", reason)
+    kept = judged.where("reason IS NULL").select(records.columns)
+    kinds = lambda c: F.array_sort(F.collect_set(c))
+    of = lambda why: F.col("reason") == why
+    by = judged.groupBy("variant_id").agg(F.count_if(F.col("reason").isNull()).alias("n_proteins"), F.count_if(of("unchanged")).alias("n_same"), F.count_if(of("too_short")).alias("n_short"), kinds(F.when(of("unchanged"), F.col("consequence"))).alias("same"), kinds("consequence").alias("all"))
+    joined = slim.join(by, "variant_id", "left")
+    if failed is not None:
+        joined = joined.join(failed.groupBy("variant_id").agg(F.min("detail").alias("failure")), "variant_id", "left")
     else:
-        flags = flags.withColumn("silent", F.lit(False))
-    same = F.col("consequence").isin(*UNCHANGED)
-    reason = F.when(F.col("low_af"), "below_min_af").when(F.col("silent"), "not_expressed").when(F.length("sequence") < least_aa, "below_min_length").when(same & F.lit(not keep_unchanged), "unchanged")
-    judged = flags.withColumn("reason", reason)
-    kept = judged.where("reason IS NULL").drop("reason", "low_af", "silent")
-    by = judged.groupBy("variant_id").agg(
-        F.count_if(F.col("reason").isNull()).alias("n_proteins"), F.min("reason").alias("any_reason"), F.count_distinct("reason").alias("n_reasons"),
-        F.bool_and(F.col("consequence") == "synonymous").alias("all_syn"), F.bool_and(F.col("consequence").isin("5_prime_UTR", "3_prime_UTR")).alias("all_utr"), F.bool_and(same).alias("all_same"),
-        F.array_join(F.array_sort(F.collect_set("consequence")), ";").alias("detail"),
-    )
-    joined = manifest.select("variant_id", "variant_class", low.alias("low_af")).join(by, "variant_id", "left")
-    outcome = (
-        F.when(F.col("low_af"), "below_min_af").when(F.col("n_proteins").isNull(), "no_protein")
-        .when(F.col("all_utr"), "utr_variant").when(F.col("all_syn"), "synonymous_only").when(F.col("all_same"), "synonymous_or_utr").when(F.col("n_proteins") > 0, "protein_built")
-        .when(F.col("n_reasons") == 1, F.col("any_reason")).otherwise("filtered")
-    )
-    return kept, joined.select("variant_id", "variant_class", F.coalesce("n_proteins", F.lit(0)).alias("n_proteins"), outcome.alias("outcome"), F.coalesce("detail", F.lit("")).alias("detail"))
+        joined = joined.withColumn("failure", F.lit(None).cast("string"))
+    names, only = F.array_join("all", ";"), F.array_join("same", ";")
+    utr = F.size(F.array_except("same", F.array(F.lit("5_prime_UTR"), F.lit("3_prime_UTR")))) == 0
+    # each case with what it is called and what is said of it
+    cases = [
+        (F.col("low_af"), "below_min_af", F.concat(F.lit("af="), "af_text", F.lit(f"<{min_af}"))),
+        (F.col("failure").isNotNull(), "error", F.col("failure")),
+        (F.col("all").isNull(), "no_protein", F.lit("")),
+        (F.col("n_proteins") > 0, "protein_built", names),
+        ((F.col("n_same") > 0) & utr, "utr_variant", only),
+        ((F.col("n_same") > 0) & (only == "synonymous"), "synonymous_only", F.lit("no residue changes")),
+        (F.col("n_same") > 0, "synonymous_or_utr", only),
+        (F.col("n_short") > 0, "below_min_length", F.lit(f"<{least_aa} aa")),
+    ]
+    outcome, detail = F.lit("filtered"), names
+    for when, name, said in reversed(cases):
+        outcome, detail = F.when(when, name).otherwise(outcome), F.when(when, said).otherwise(detail)
+    return kept, joined.select("variant_id", "variant_class", F.coalesce("n_proteins", F.lit(0)).cast("bigint").alias("n_proteins"), outcome.alias("outcome"), F.coalesce(detail, F.lit("")).alias("detail"))
 
 
 def without_protein(outcomes: DataFrame, variants: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """Says why a variant gave none: no transcript there, not exonic, or over a
-    splice junction."""
+    """Says why a small variant gave none: no coding transcript there, a
+    reference allele that starts in an exon and ends outside of it, or no exon."""
     from ..functions import sequence as S
     from ..sources.reference import bare_contig
 
     missing = outcomes.where("outcome = 'no_protein'").select("variant_id").join(variants, "variant_id").withColumn("contig", bare_contig(F.col("chrom")))
     slim = transcripts.where("is_coding").select("start", "end", "exons", "strand", bare_contig(F.col("chrom")).alias("tx_contig"))
     over = R.interval_join(missing, slim, "pos", "start", "end", [("contig", "tx_contig")])
-    inside = S.genomic_to_tx(F.col("exons"), F.col("strand"), F.col("pos")).isNotNull() | S.genomic_to_tx(F.col("exons"), F.col("strand"), F.col("pos") + F.length("ref") - 1).isNotNull()
-    why = over.groupBy("variant_id").agg(F.bool_or(inside).alias("touches"))
-    joined = outcomes.join(missing.select("variant_id", F.lit(True).alias("small")), "variant_id", "left").join(why, "variant_id", "left")
-    better = F.when(F.col("small") & F.col("touches").isNull(), "no_coding_transcript_at_locus").when(F.col("touches"), "crosses_splice_junction").when(F.col("small"), "not_in_coding_exon").otherwise(F.col("outcome"))
-    return joined.select("variant_id", "variant_class", "n_proteins", better.alias("outcome"), "detail")
+    within = lambda n: S.tx_interval(F.col("exons"), F.col("strand"), F.col("pos"), n).isNotNull()
+    length = F.length("ref")
+    crosses = (length > 1) & within(F.lit(1)) & ~within(length)
+    why = over.groupBy("variant_id").agg(F.bool_or(crosses).alias("crosses"), F.count("*").alias("n_near"))
+    joined = outcomes.join(missing.select("variant_id", length.alias("span")), "variant_id", "left").join(why, "variant_id", "left")
+    small, near = F.col("span").isNotNull(), F.col("n_near").isNotNull()
+    outcome = F.when(small & ~near, "no_coding_transcript_at_locus").when(F.col("crosses"), "crosses_splice_junction").when(small, "not_in_coding_exon").otherwise(F.col("outcome"))
+    detail = (
+        F.when(small & ~near, "no coding transcript spans the position").when(F.col("crosses"), F.concat("span", F.lit(" bases of reference run over the end of an exon")))
+        .when(small, F.concat("n_near", F.lit(" coding transcripts span the position, none with an exon there"))).otherwise(F.col("detail"))
+    )
+    return joined.select("variant_id", "variant_class", "n_proteins", outcome.alias("outcome"), detail.alias("detail"))
 
 
 def with_reference(kept: DataFrame) -> DataFrame:
@@ -102,13 +134,15 @@ def entries(ordered: DataFrame, priority: tuple[str, ...] = CLASS_PRIORITY) -> D
     return g.select("digest", "f.*", "classes", F.filter("classes", lambda c: c != F.col("f.variant_class")).alias("also"), "n_records")
 
 
-def peptide_rows(entry: DataFrame, reference: DataFrame, normal: DataFrame | None = None, missed: int = 2, least: int = 6, most: int = 50) -> DataFrame:
-    """(entry fields, peptide, key, novel, spanning, in_normal): each entry's
-    peptides against the reference's keys (k) and the normal tissue's (k)."""
-    near = entry.select("digest", "entry_id", "variant_class", "gene", "locus", "protein_change", "classes", F.col("variant_pos_aa").isNull().alias("anywhere"), P.around(F.col("sequence"), F.coalesce("variant_pos_aa", F.lit(1)).cast("int"), most).alias("near"), P.digest("sequence", missed, least, most).alias("ps"))
-    each = near.select("*", F.explode("ps").alias("peptide")).drop("ps")
-    spanning = F.col("anywhere") | P.spans(F.col("near.window"), F.col("peptide"), F.col("near.at"))
-    rows = each.withColumn("spanning", spanning).withColumn("k", P.fold("peptide")).drop("near", "anywhere")
+ENTRY_FIELDS = ("digest", "entry_id", "variant_class", "gene", "locus", "protein_change", "classes")
+
+
+def peptide_rows(entry: DataFrame, reference: DataFrame, normal: DataFrame | None = None, missed: int = 2, least: int = 6, most: int = 50, fields: tuple[str, ...] = ENTRY_FIELDS) -> DataFrame:
+    """(entry fields, peptide, k, novel, spanning, in_normal): each entry's
+    peptides against the reference's keys (k) and the normal tissue's (k).
+    Every peptide of an entry without a variant position spans it."""
+    rows = D.digested(entry, "sequence", list(fields), missed, least, most, "variant_pos_aa" if "variant_pos_aa" in entry.columns else None)
+    rows = rows.withColumn("k", P.fold("peptide"))
     flag = lambda keys, name: keys.select("k").distinct().withColumn(name, F.lit(True))
     out = rows.join(flag(reference, "known"), "k", "left").withColumn("novel", F.col("known").isNull()).drop("known")
     if normal is None:
@@ -116,6 +150,11 @@ def peptide_rows(entry: DataFrame, reference: DataFrame, normal: DataFrame | Non
     return out.join(flag(normal, "n"), "k", "left").withColumn("in_normal", F.col("n").isNotNull()).drop("n")
 
 
+def peptide_keys(proteins: DataFrame, seq: str = "sequence", missed: int = 2, least: int = 6, most: int = 50) -> DataFrame:
+    """(k): the folded peptides of proteins."""
+    return D.digested(proteins, seq, [], missed, least, most).select(P.fold("peptide").alias("k")).distinct()
+
+
 def annotated(entry: DataFrame, peptides: DataFrame, drop_nmd: bool = False, drop_known: bool = False) -> DataFrame:
     """Entries with their peptide counts and an example, the least of them."""
     fresh = F.col("novel") & F.col("spanning")
@@ -126,18 +165,36 @@ def annotated(entry: DataFrame, peptides: DataFrame, drop_nmd: bool = False, dro
     return out.where("n_novel > 0 OR variant_class = 'REFERENCE'") if drop_known else out
 
 
-def funnel(peptides: DataFrame) -> DataFrame:
-    """One row: novel keys, those not in normal tissue, those over a variant,
-    those of one entry; flags are those of a key's first entry."""
-    by = peptides.where("novel").groupBy("k").agg(F.min_by(F.struct("in_normal", "spanning"), F.struct("entry_id", "peptide")).alias("f"), F.count_distinct("entry_id").alias("n"))
+def first_flags(peptides: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """(k, f, n): what a novel key's first entry says of it, and how many
+    entries have it; ``also`` are further fields of that entry."""
+    first = F.min_by(F.struct("in_normal", "spanning", *also), F.struct("entry_id", "peptide"))
+    ends = (F.min("entry_id") == F.max("entry_id")).alias("single")
+    return peptides.where("novel").groupBy("k").agg(first.alias("f"), ends)
+
+
+def funnel(peptides: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Novel keys, those not in normal tissue, those over a variant, those of
+    one entry: one row, or one for each of the fields ``by`` of the first entry."""
+    found = first_flags(peptides, by)
     fresh = ~F.col("f.in_normal")
-    return by.agg(F.count("*").alias("novel_vs_reference"), F.count_if(fresh).alias("not_in_normal_tissue"), F.count_if(fresh & F.col("f.spanning")).alias("variant_spanning"), F.count_if(fresh & F.col("f.spanning") & (F.col("n") == 1)).alias("proteotypic"))
+    return found.groupBy(*(F.col(f"f.{c}").alias(c) for c in by)).agg(F.count("*").alias("novel_vs_reference"), F.count_if(fresh).alias("not_in_normal_tissue"), F.count_if(fresh & F.col("f.spanning")).alias("variant_spanning"), F.count_if(fresh & F.col("f.spanning") & F.col("single")).alias("proteotypic"))
+
+
+def candidate_table(peptides: DataFrame) -> DataFrame:
+    """A row for each novel key: its first entry's peptide, gene and place, in
+    how many entries it is, and its flags; ordered by gene and peptide."""
+    first = F.min_by(F.struct("peptide", "entry_id", "variant_class", "gene", "locus", "protein_change", "spanning", "in_normal"), F.struct("entry_id", "peptide"))
+    found = peptides.where("novel").groupBy("k").agg(first.alias("f"), F.count_distinct("entry_id").alias("n_entries"))
+    return found.select("f.*", "n_entries", (F.col("n_entries") == 1).alias("proteotypic")).orderBy("gene", "peptide")
 
 
 def search_space(peptides: DataFrame) -> DataFrame:
-    """Distinct new keys of the release and of each class that reaches them."""
-    rows = peptides.where("novel").select("k", F.explode(F.concat(F.array(F.lit("release")), "classes")).alias("class")).distinct()
-    return rows.groupBy("class").agg(F.count("*").alias("n_added"))
+    """Distinct new keys of the release and of each class that reaches them; a
+    key's classes are gathered before they are counted, so a key is shuffled
+    once."""
+    keys = peptides.where("novel").groupBy("k").agg(F.array_distinct(F.flatten(F.collect_set("classes"))).alias("classes"))
+    return keys.select(F.explode(F.concat(F.array(F.lit("release")), "classes")).alias("class")).groupBy("class").agg(F.count("*").alias("n_added"))
 
 
 def summary(entry: DataFrame) -> DataFrame:

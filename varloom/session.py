@@ -53,8 +53,13 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def use_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the shared folder the cluster names; only a session
-    without one (tests, a single machine) gets a temporary folder."""
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="varloom-"))
+    """Checkpoints go to the shared folder the cluster names.  A session that
+    names none gets a temporary folder on a single machine; on a cluster that
+    is an error, as executors would not see each other's files."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not (context.master == "local" or context.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
+    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="varloom-"))
