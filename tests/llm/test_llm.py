@@ -10,6 +10,7 @@ import zlib
 from html import unescape
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -17,7 +18,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from varloom.llm import bpe, boosting, decontam, html_text, lm, media, minhash, quality, secrets_scan, toxicity, training_order
+from varloom.llm import bpe, boosting, decontam, features, html_text, lm, media, minhash, quality, queries, secrets_scan, toxicity, training_order
 from varloom.llm.common import Words, crc_mod, pack, pack_sorted, slices, unpack, unpack_sorted
 
 SF = "/root/testdata/sf0.001"
@@ -351,7 +352,7 @@ def test_training_order(spark, odd, none):
         slots = p.slots(np.arange(n))
         assert sorted(slots.tolist()) == list(range(n)) and (p.index_of(slots) == np.arange(n)).all()
     assert (training_order.Permutation(5_000, "a").slots(np.arange(5_000)) != training_order.Permutation(5_000, "b").slots(np.arange(5_000))).any()
-    ids = training_order.token_ids(odd, RANKS, PATTERN, 50_256)
+    ids = training_order.token_ids(odd, RANKS, PATTERN, 50_256, length=16)
     path = training_order.shared_path(spark, "order")
     total = training_order.materialise(ids, path, 50_256, "k", length=16, stripe=8, shard=64)
     rows = training_order.read_from(spark, path, stripe=8).collect()
@@ -377,10 +378,11 @@ def test_training_order(spark, odd, none):
     with pytest.raises(ValueError):
         training_order.materialise(ids, again, 50_256, "other", **sizes)
     half = training_order.shared_path(spark, "order")
-    training_order.numbered_ids(ids, "doc_id", "ids", 16).write.parquet(f"{half}/ids")
-    assert training_order.materialise(ids, half, 50_256, "k", **sizes) == total
+    other = training_order.numbered_ids(bpe.encode(odd, RANKS, PATTERN, form=training_order.id_form(50_256), form_type="struct<n:bigint,body:binary>"), length=16)
+    ids.limit(3).write.parquet(f"{half}/ids")
+    assert training_order.materialise(other, half, 50_256, "k", **sizes) == total
     path = training_order.shared_path(spark, "order")
-    assert training_order.materialise(bpe.encode(none, RANKS, PATTERN, form=training_order.id_form(50_256), form_type="struct<n:bigint,body:binary>"), path, 50_256, "k") == 0
+    assert training_order.materialise(training_order.token_ids(none, RANKS, PATTERN, 50_256), path, 50_256, "k") == 0
     assert training_order.read_from(spark, path).count() == 0
 
 
@@ -481,6 +483,48 @@ def test_minimum_cut_is_minimal():
         assert cost(html_text.minimum_cut(s, t, edges)) == best
 
 
+@pytest.mark.parametrize("name", ["lm_base_columns", "secret_base_columns", "bpe_decoded_columns", "media_payload_columns", "op9_html_extraction", "op4_benchmark_decontamination"])
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for f in Path(SF).glob("*.parquet"):
+        con.sql(f"create view {f.stem} as select * from '{f}'")
+    rel = con.sql(queries.ORACLE_SQL[name])
+    df = queries.QUERIES[name](spark, SF)
+    columns = sorted(df.columns)
+    assert sorted(rel.columns) == columns
+    theirs = sorted(tuple(row[rel.columns.index(c)] for c in columns) for row in rel.fetchall())
+    assert sorted(tuple(r) for r in df.select(columns).collect()) == theirs
+
+
+def test_samples_with_ties_and_repeats(spark):
+    docs = spark.createDataFrame([(1, "b", 0), (1, "a", 0), (2, None, 0), (3, "c", 0), (None, "d", 0)], "doc_id bigint, text string, y int")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, None), (4, 1), (None, 1)], "doc_id bigint, toxic int")
+    got = {(r["_id"], r["_text"], r["y"]) for r in features.labelled_sample(docs, labels, "toxic", F.lit(True), 10).collect()}
+    assert got == {(1, "a", 1), (2, None, 0)}
+    assert features.labelled_sample(docs, labels, "toxic", F.lit(True), 1).count() == 1
+
+
+def test_pipeline_stages_on_odd_rows(spark, none):
+    """Nulls in every column, empty and long texts, ties, repeated rows, columns
+    with clashing names, and no rows at all."""
+    import corpus_pipeline
+
+    rows = [(1, "a b c d e f g", "en", "s", 13), (1, "a b c d e f g", "en", "s", 13), (2, "a b c d e f g", None, None, None), (None, None, None, None, None), (3, "", "", "", 0), (None, "a null id of its own", "en", "s", 20), (4, "w " * 60_000 + "password = hunter2hunter2X", "en", "s", 120_026), (5, "zz y x", "de", "t", 6)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame(rows, schema)
+    clash = {c: F.lit("clash") for c in ("_id", "_text", "_row", "_gone", "score", "hits", "spans", "ids", "n", "band")}
+    for df in (docs, docs.withColumns(clash), docs.limit(0)):
+        held = df
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            held = stage(spark, held, SF).checkpoint()
+            assert held.columns == df.columns, name
+        if df.limit(1).count():
+            kept = sorted((r["doc_id"] or 0, (r["text"] or "")[-12:]) for r in held.collect())
+            assert kept == [(0, ""), (0, " of its own".rjust(12, "d")), (1, "b c d e f g".rjust(12)), (1, "b c d e f g".rjust(12)), (3, ""), (4, "w w [ASSIGN]"), (5, "zz y x")]
+        final = corpus_pipeline.STAGES[-1][1](spark, held, SF)
+        assert final.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and final.count() == held.count()
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 

@@ -4,6 +4,7 @@ import pytest
 from fixture import MINUS, MITO, PLUS, SELENO, build
 from pyspark.sql import functions as F
 
+from varloom.session import use_checkpoints
 from varloom.plans import annotate, build as B, checks, package
 from varloom.sources import evidence, reference
 
@@ -168,7 +169,8 @@ def test_other_scans_and_first_wins(spark, tmp_path):
 def test_release_and_checks(spark, world, tmp_path):
     g = world["facts"]["plus"]["genomic"]
     v = variants(spark, [("chr1", g(32), "C", "A"), ("chr1", g(44), "G", "A"), ("chr1", g(28), "A", "G")])
-    made = B.small_variants(v, world["tx"], world["seqs"])
+    use_checkpoints(spark)
+    made = B.small_variants(v, world["tx"], world["seqs"]).checkpoint()
     manifest = v.select("variant_id", "variant_class", F.struct(F.lit(None).cast("double").alias("af")).alias("small"))
     kept, outcomes = package.dispositions(manifest, made)
     assert {r["variant_id"]: r["outcome"] for r in outcomes.collect()} == {"v0": "protein_built", "v1": "protein_built", "v2": "protein_built"}

@@ -5,45 +5,71 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from . import config as C
 from . import detect as D
+from . import release
+from .functions import sequence as S
 from .plans import build as B
-from .plans import checks, package
-from .session import session, ship
+from .plans import checks, package, profile, report
+from .runlog import RunLog, human_bytes, write_lines
+from .session import session, ship, use_checkpoints
 from .sources import evidence, reference
 from .species import species
 
 
+class Refused(SystemExit):
+    """A run that its settings or inputs don't allow: exit code 2."""
+
+    def __init__(self, text: str):
+        print(text, file=sys.stderr)
+        super().__init__(2)
+
+
 def run(cfg: C.RunConfig, spark=None) -> dict[str, str]:
     """The whole conversion; returns the state of each check.
 
-    parse -> translate -> outcomes -> package -> checks; each step is a lazy
-    plan but for the records, which are checkpointed because serials need them
-    as they are."""
+    parse -> translate -> outcomes -> package -> validate -> checks; each step
+    is a lazy plan but for the records, which are written because serials need
+    them as they are.  A builder that fails makes its variants errors and
+    leaves the others as they are."""
     get = cfg.get
-    species(get("translate", "species"))
+    log = RunLog("run", settings=cfg.values)
+    code = get("translate", "genetic_code")
+    try:
+        organism = species(get("translate", "species"), **({} if code in (None, C.AUTO) else {"nuclear_code": int(code)}))
+    except ValueError as e:
+        raise Refused(str(e)) from None
     found = D.detect_folder(get("inputs", "folder")) if get("inputs", "folder") else []
     if get("reference", "dir"):
         found += D.detect_folder(get("reference", "dir"))
     explicit = {**{r: get("inputs", r) for r in D.EVIDENCE}, **{r: get("reference", r) for r in D.REFERENCE}}
     plan = D.plan(found, explicit)
     if plan["problems"] and not get("validate", "force"):
-        raise SystemExit("\n".join(plan["problems"]))
+        raise Refused("\n".join(plan["problems"]))
     spark = ship(spark or session())
+    use_checkpoints(spark)
     chosen = plan["selected"]
+    for role, path in chosen.items():
+        log.add_input(role, path)
     manifest = evidence.read_manifest(spark, chosen)
     if get("translate", "classes"):
         manifest = manifest.where(F.col("variant_class").isin(get("translate", "classes")))
+    if get("translate", "limit"):
+        manifest = manifest.orderBy("variant_ord").limit(get("translate", "limit"))
     manifest = manifest.cache()
     transcripts = reference.read_gtf(spark, chosen["annotation"], coding_only=not get("translate", "include_noncanonical")).cache()
     chunks = reference.genome(spark, chosen["genome"])
     sequences = reference.transcript_sequences(transcripts, chunks).cache()
-    records = build_records(cfg, manifest, transcripts, sequences, chunks).checkpoint()
+    records, failed = isolated(cfg, manifest, transcripts, sequences, chunks, log)
+    too_many = combined_share(records, get("translate", "max_combined_fraction"))
+    if too_many is not None:
+        raise Refused(too_many)
     expressed = reference.expressed_genes(spark, get("translate", "expression"), get("translate", "min_expression")) if get("translate", "expression") else None
-    kept, outcomes = package.dispositions(manifest, records.where("variant_id IS NOT NULL"), get("translate", "min_aa"), get("translate", "keep_unchanged"), get("translate", "min_af"), expressed)
+    kept, outcomes = package.dispositions(manifest, records.where("variant_id IS NOT NULL"), get("translate", "min_aa"), get("translate", "keep_unchanged"), get("translate", "min_af"), expressed, failed)
     small = small_variants_of(manifest)
     outcomes = package.without_protein(outcomes, small, transcripts).cache()
     ordered = package.write_order(package.with_reference(kept.unionByName(records.where("variant_id IS NULL")))).cache()
@@ -51,14 +77,91 @@ def run(cfg: C.RunConfig, spark=None) -> dict[str, str]:
     known = ordered.where("variant_class = 'REFERENCE'").select("sequence")
     if proteins is not None:
         known = known.union(proteins.select("sequence"))
-    keys = known.select(F.explode(B.P.digest("sequence")).alias("p")).select(B.P.fold("p").alias("k"))
     entry = package.entries(ordered)
-    peptides = package.peptide_rows(entry, keys).cache()
+    normal = reference.peptide_list(spark, get("translate", "normal_peptides")) if get("translate", "normal_peptides") else None
+    peptides = package.peptide_rows(entry, package.peptide_keys(known), normal).cache()
     entry = package.annotated(entry, peptides, get("output", "drop_nmd"), get("output", "drop_non_novel")).cache()
     path = f"{get('output', 'dir')}/{get('output', 'name')}"
-    package.write_release(spark, entry, peptides, ordered, path, get("output", "header_style"), get("output", "decoys"))
+    extra = None
+    if proteins is not None and get("output", "append_reference"):
+        whole = reference.fasta(spark, chosen["proteome"]).select("header", "sequence").where(F.col("header").rlike("^(sp|tr)\\|"))
+        extra = package.appended_reference(entry, whole)
+    built = transcripts.join(ordered.where(F.col("consequence").endswith("_annotated_isoform")).select(F.col("transcript").alias("tx_id")).distinct(), "tx_id", "left_semi")
+    package.write_release(spark, entry, peptides, ordered, path, get("output", "header_style"), get("output", "decoys"), organism, get("output", "split_by_type"), extra, normal is not None, built, tuple(get("output", "extra_files") or ()))
     outcomes.write.mode("overwrite").option("sep", "\t").option("header", True).csv(f"{path}_disposition")
-    return audit(spark, path, entry, manifest, outcomes, records, tuple(get("validate", "skip_invariant") or ()))
+    tables = validation(spark, manifest, ordered, proteins, chosen)
+    for name, table in tables.items():
+        package_rows(table).write.mode("overwrite").option("sep", "\t").option("header", True).csv(f"{path}_validation/{name}")
+    least = get("validate", "min_translation_agreement")
+    if get("output", "reports"):
+        for name, lines in (("input", report.quality(manifest)), ("recovery", report.recovered(manifest, outcomes, records, entry)), ("validation", report.validated(tables, least))):
+            write_lines(spark, lines, f"{path}_reports/{name}")
+    more = {"I2": lambda: checks.i2_disposition(manifest, outcomes), "I7": lambda: checks.i7_unchanged(records)}
+    if "translations" in tables:
+        more["I6"] = lambda: checks.i6_agreement(tables["translations"], least)
+    _, states = release.audit(spark, path, tuple(get("validate", "skip_invariant") or ()), more)
+    for row in outcomes.groupBy("variant_class", "outcome").count().collect():
+        log.count(f"outcome.{row['variant_class']}.{row['outcome']}", row["count"])
+    log.outputs.append(path)
+    write_lines(spark, log.record(spark, "error" if any(v.startswith("FAIL") for v in states.values()) else "ok").splitlines(), f"{path}_run")
+    return states
+
+
+def isolated(cfg: C.RunConfig, manifest, transcripts, sequences, chunks, log: RunLog):
+    """(records, failed): each builder's records, written one builder at a time;
+    a builder that fails is logged, and its variants are errors.  So are small
+    variants whose alleles are not bases."""
+    spark = manifest.sparkSession
+    bad = lambda c: F.coalesce(~F.col(c).rlike("^[ACGTN]+$"), F.lit(False))
+    unreadable = manifest.where(bad("small.ref") | bad("small.alt") | bad("edit.ref") | bad("edit.alt"))
+    failed = unreadable.select("variant_id", F.lit("alleles are not bases").alias("detail"))
+    made = None
+    for kind, where, build in builders(cfg, manifest, transcripts, sequences, chunks):
+        try:
+            done = build().checkpoint()
+        except Exception as e:  # one kind of evidence that fails must not end the run
+            name = type(e).__name__
+            log.count(f"error.{kind}")
+            log.say(f"{kind} failed: {name}: {str(e).splitlines()[0] if str(e) else ''}")
+            if where is not None:
+                failed = failed.unionByName(manifest.where(where).select("variant_id", F.lit(name).alias("detail")))
+            continue
+        log.count(f"records.{kind}", done.count())
+        made = done if made is None else made.unionByName(done)
+    if made is None:
+        made = B.records(spark.createDataFrame([], "variant_id string"))
+    return made, failed
+
+
+def combined_share(records, most: float | None) -> str | None:
+    """What speaks against the run if combinations are too large a share."""
+    if most is None:
+        return None
+    n = records.agg(F.count("*").alias("all"), F.count_if(F.col("variant_class") == "COMBO").alias("combos")).first()
+    share = n["combos"] / n["all"] if n["all"] else 0.0
+    return f"combinations are {share:.2%} of the records ({n['combos']} of {n['all']}), more than translate.max_combined_fraction allows ({most:.2%})" if share > most else None
+
+
+def validation(spark, manifest, ordered, proteins, chosen) -> dict:
+    """Tables of what the references allow to compare: residues at edited
+    sites, translations, and closest entries."""
+    tables = {}
+    if proteins is not None:
+        edits = manifest.where("edit IS NOT NULL").select("variant_id", F.explode("edit.aachange").alias("x"))
+        change = S.hgvs_change(F.col("x.protein"))
+        sites = edits.select(F.col("variant_id").alias("site_id"), F.col("x.gene").alias("gene"), change.alias("c")).where("c IS NOT NULL")
+        tables["residues"] = checks.residue_check(sites.select("site_id", "gene", F.col("c")["pos"].alias("pos"), F.col("c")["ref"].alias("residue")), proteins)
+        own = ordered.where("variant_class = 'REFERENCE' OR consequence LIKE '%annotated_isoform'")
+        tables["matches"] = checks.best_match(own, proteins)
+    if chosen.get("translations"):
+        tables["translations"] = checks.translation_agreement(ordered, reference.translations(spark, chosen["translations"]))
+    return tables
+
+
+def package_rows(table):
+    """A table's rows with its structs' fields as columns."""
+    plain = [F.col(f"{f.name}.*") if f.dataType.typeName() == "struct" else F.col(f.name) for f in table.schema]
+    return table.select(*plain)
 
 
 def small_variants_of(manifest):
@@ -67,33 +170,36 @@ def small_variants_of(manifest):
     return manifest.withColumn("v", small).where("v IS NOT NULL AND v.ref RLIKE '^[ACGTN]+$' AND v.alt RLIKE '^[ACGTN]+$'").select("variant_id", "variant_class", "source", F.coalesce("genes", F.lit("")).alias("genes"), "confidence", "v.chrom", "v.pos", "v.ref", "v.alt", "v.phase_set", "v.haplotypes")
 
 
-def build_records(cfg: C.RunConfig, manifest, transcripts, sequences, chunks):
+def builders(cfg: C.RunConfig, manifest, transcripts, sequences, chunks):
+    """(kind, whose variants, how) of each builder that the settings ask for."""
     get = lambda k: cfg.get("translate", k)
     small = small_variants_of(manifest)
     own = lambda kind, *cols: manifest.where(f"{kind} IS NOT NULL").select("variant_id", "source", "confidence", *cols)
-    made = B.small_variants(small, transcripts, sequences, get("transcript_mode"))
-    made = made.unionByName(B.fusions(own("fusion", "fusion.*"), transcripts, sequences))
-    made = made.unionByName(B.splicing(own("splice", "splice.*"), transcripts, sequences, get("construct_isoforms"), chunks=chunks))
-    made = made.unionByName(B.circles(own("circle", "circle.*"), transcripts, chunks))
+    yield "small_variants", "small IS NOT NULL OR edit IS NOT NULL", lambda: B.small_variants(small, transcripts, sequences, get("transcript_mode"))
+    yield "fusions", "fusion IS NOT NULL", lambda: B.fusions(own("fusion", "fusion.*"), transcripts, sequences)
+    yield "splicing", "splice IS NOT NULL", lambda: B.splicing(own("splice", "splice.*"), transcripts, sequences, get("construct_isoforms"), chunks=chunks)
+    yield "circles", "circle IS NOT NULL", lambda: B.circles(own("circle", "circle.*"), transcripts, chunks)
     if get("combine"):
-        made = made.unionByName(B.combinations(small, transcripts, sequences, get("max_combined"), get("combine_missed_cleavages"), allow_unphased=get("allow_unphased")))
+        yield "combinations", None, lambda: B.combinations(small, transcripts, sequences, get("max_combined"), get("combine_missed_cleavages"), allow_unphased=get("allow_unphased"))
     if get("include_sec_termination"):
-        made = made.unionByName(B.sec_termination(transcripts, sequences, get("min_aa")))
+        yield "sec_termination", None, lambda: B.sec_termination(transcripts, sequences, get("min_aa"))
     if get("include_noncanonical"):
         known = transcripts.where("is_coding").join(sequences, "tx_id").select(B.S.protein_of(F.expr("substring(tx_seq, cast(cds_off as int) + 1)")).alias("sequence"))
-        made = made.unionByName(B.noncanonical(transcripts, sequences, known, get("noncanonical_min_aa"), not get("noncanonical_any_start")))
-    return made
+        yield "noncanonical", None, lambda: B.noncanonical(transcripts, sequences, known, get("noncanonical_min_aa"), not get("noncanonical_any_start"))
+
+
+PROFILES = {"small_variants": profile.vcf_profile, "genome": profile.fasta_profile, "proteome": profile.fasta_profile, "translations": profile.translation_audit, "annotation": profile.gtf_audit, "regions": profile.region_profile}
 
 
-def audit(spark, path: str, entry, manifest, outcomes, records, skip: tuple[str, ...] = ()) -> dict[str, str]:
-    listed = lambda: spark.read.option("sep", "\t").csv(f"{path}/MANIFEST").toDF("sha256", "file", "bytes")
-    both = entry.withColumn("is_decoy", F.lit(False)).unionByName(package.decoys(entry))
-    parts = entry.select("entry_id", package.split_class(F.col("variant_class"), F.col("entry_id")).alias("class"))
-    made = {
-        "I1": lambda: checks.i1_partition(entry, parts), "I2": lambda: checks.i2_disposition(manifest, outcomes), "I3": lambda: checks.i3_counts(entry, {}), "I4": lambda: checks.i4_unique(entry),
-        "I5": lambda: checks.i5_layout(reference.fasta(spark, f"{path}/target")), "I7": lambda: checks.i7_unchanged(records), "I8": lambda: checks.i8_checksums(listed(), package.checksums(spark, path)), "I9": lambda: checks.i9_decoys(both),
-    }
-    return {name: f"{state} {text}".strip() for name, state, text in checks.run_checks(made, skip)}
+def inspect(spark, path: str) -> list[str]:
+    """What a file is, and the profile of its content."""
+    found = D.detect(Path(path))
+    lines = [f"# {found.path.name}", "", f"{found.role} ({found.why}), {human_bytes(found.path.stat().st_size)}"]
+    if found.role in PROFILES:
+        return lines + report.section("Profile", PROFILES[found.role](spark, path))
+    if found.role in ("rna_editing", "fusion", "splicing", "circrna"):
+        return lines + report.section("Profile", profile.table_profile(evidence.table(spark, path, evidence.separator(spark, path))))
+    return lines
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -106,6 +212,11 @@ def main(argv: list[str] | None = None) -> int:
     go.add_argument("folder", nargs="?")
     go.add_argument("--config")
     go.add_argument("--set", action="append", default=[], metavar="SECTION.KEY=VALUE")
+    check = sub.add_parser("audit", help="check a written release")
+    check.add_argument("folder")
+    check.add_argument("--skip", default="", help="checks to leave out, by comma")
+    view = sub.add_parser("inspect", help="profile files")
+    view.add_argument("files", nargs="+")
     args = parser.parse_args(argv)
     if args.command == "detect":
         found = D.detect_folder(args.folder)
@@ -113,6 +224,14 @@ def main(argv: list[str] | None = None) -> int:
         rows = [{"file": d.path.name, "role": d.role, "confidence": d.confidence, "why": d.why} for d in found]
         print(json.dumps({"files": rows, **plan}, indent=1) if args.json else "\n".join(f"{r['role']:15} {r['confidence']:.2f} {r['file']} ({r['why']})" for r in rows))
         return int(bool(plan["problems"]))
+    if args.command == "audit":
+        found, states = release.audit(ship(session()), args.folder, tuple(x for x in args.skip.split(",") if x))
+        print("\n".join([*found.problems, *(f"{k} {v}" for k, v in states.items())]))
+        return int(bool(found.problems) or any(v.startswith("FAIL") for v in states.values()))
+    if args.command == "inspect":
+        spark = ship(session())
+        print("\n".join(line for f in args.files for line in inspect(spark, f)))
+        return 0
     overrides = dict(x.split("=", 1) for x in args.set)
     if args.folder:
         overrides["inputs.folder"] = args.folder

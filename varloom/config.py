@@ -27,9 +27,9 @@ KEYS: dict[str, dict[str, Key]] = {
     "reference": {k: Key(str) for k in ("dir", "genome", "annotation", "proteome", "translations")},
     "translate": {
         "transcript_mode": Key(str, "all", ("all", "representative")), "keep_unchanged": Key(bool, True), "genetic_code": Key(str, AUTO), "species": Key(str, "human"), "include_noncanonical": Key(bool, False), "noncanonical_min_aa": Key(int, 30), "noncanonical_any_start": Key(bool, False),
-        "expression": Key(str), "min_expression": Key(float, 0.0), "include_sec_termination": Key(bool, False), "construct_isoforms": Key(bool, True), "combine": Key(bool, True), "max_combined": Key(int, 8), "combine_missed_cleavages": Key(int, 2), "allow_unphased": Key(bool, True), "min_af": Key(float), "min_aa": Key(int, 8), "classes": Key(list),
+        "expression": Key(str), "min_expression": Key(float, 0.0), "include_sec_termination": Key(bool, False), "construct_isoforms": Key(bool, True), "combine": Key(bool, True), "max_combined": Key(int, 8), "combine_missed_cleavages": Key(int, 2), "allow_unphased": Key(bool, True), "min_af": Key(float), "min_aa": Key(int, 8), "classes": Key(list), "limit": Key(int), "max_combined_fraction": Key(float), "normal_peptides": Key(str),
     },
-    "output": {"dir": Key(str, "varloom_output"), "name": Key(str, "variant_proteome"), "header_style": Key(str, "uniprot", ("uniprot", "peff", "pvac", "descriptive")), "decoys": Key(str, "pseudo_reverse", ("none", "reverse", "pseudo_reverse", "shuffle")), "split_by_type": Key(bool, True), "append_reference": Key(bool, True), "drop_nmd": Key(bool, False), "drop_non_novel": Key(bool, False)},
+    "output": {"dir": Key(str, "varloom_output"), "name": Key(str, "variant_proteome"), "header_style": Key(str, "uniprot", ("uniprot", "peff", "pvac", "descriptive")), "decoys": Key(str, "pseudo_reverse", ("none", "reverse", "pseudo_reverse", "shuffle")), "split_by_type": Key(bool, True), "append_reference": Key(bool, True), "drop_nmd": Key(bool, False), "drop_non_novel": Key(bool, False), "reports": Key(bool, True), "extra_files": Key(list)},
     "validate": {"min_translation_agreement": Key(float, 0.9), "skip_invariant": Key(list), "force": Key(bool, False)},
 }
 
@@ -125,4 +125,4 @@ def load(path: str | None = None, overrides: dict[str, Any] | None = None) -> Ru
 
 def _nearest(name: str, known: dict) -> str:
     close = difflib.get_close_matches(name, known, 1)
-    return f"; did you mean {close[0]!r}?" if close else ""
+    return f" (the nearest is {close[0]})" if close else ""

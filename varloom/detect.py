@@ -81,12 +81,14 @@ def detect(path: Path) -> Detection:
         return made("circrna", 0.95, "circle ids")
     if rows and sum(any(re.match(EVENT, x.strip()) for x in r[:4]) for r in rows) >= max(1 if len(rows) < 3 else 2, len(rows) // 2):
         return made("splicing", 0.97, "event ids")
-    genes = [c for c in columns if re.match(r"(?i)gene_?\d|gene[12ab]", c)]
+    genes = [c for c in columns if re.match(r"(?i)gene_?[12ab]\b|[53](?:'|_?prime)?[ _.-]?(?:end[ _.-]?)?gene|gene[ _.-]?[53](?:'|_?prime)?$|(?:left|right)[ _.-]?gene", c)]
     points = [i for i in range(len(columns)) if rows and all(re.match(r"^\w+:\d+$", r[i].strip()) for r in rows[:5] if len(r) > i)]
     if len(genes) >= 2 and len(points) >= 2:
         return made("fusion", 0.95, "two genes and two breakpoints")
-    cells = body[0].split("\t") if body else []
-    if len(cells) >= 3 and cells[1].isdigit() and cells[2].isdigit():
+    cells = [x.split("\t") for x in body if not x.startswith(("track", "browser"))]
+    sound = [c for c in cells if len(c) >= 3 and c[1].isdigit() and c[2].isdigit() and int(c[1]) <= int(c[2])]
+    # a table may have two whole numbers in a row by chance
+    if len(cells) >= 3 and len(sound) >= 0.95 * len(cells):
         return made("regions", 0.9, "intervals")
     return made("unknown", 0.0, "no rule fits")
 

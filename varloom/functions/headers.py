@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..species import Species
 from .sequence import as_column
 
 
@@ -43,6 +46,16 @@ def uniprot(r: dict[str, Column], species: str = "HUMAN", os: str = "Homo sapien
     return joined(F.concat_ws(" ", first, text), base | more)
 
 
+def uniprot_of(species: Species) -> Callable[[dict[str, Column]], Column]:
+    """The same for an organism: reference entries by their class."""
+
+    def render(r: dict[str, Column]) -> Column:
+        own = {"species": species.entry_suffix, "os": species.scientific, "ox": species.taxon}
+        return F.when(r["variant_class"] == "REFERENCE", uniprot(r, **own, reference=True)).otherwise(uniprot(r, **own))
+
+    return render
+
+
 def peff(r: dict[str, Column], prefix: str = "vt") -> Column:
     """The proteomics extended format: backslash keys with bracketed values."""
     field = lambda k, v: F.when(F.length(v.cast("string")) > 0, F.concat(F.lit(f"\\{k}="), v.cast("string")))
@@ -52,10 +65,52 @@ def peff(r: dict[str, Column], prefix: str = "vt") -> Column:
 PEFF_FILE_HEADER = ("# PEFF 1.0", "# //")
 
 
+def peff_file_header(species: Species, entries: int) -> list[str]:
+    """The lines that come before the first entry of such a file."""
+    return [PEFF_FILE_HEADER[0], "# DbName=varloom", "# Prefix=vt", "# DbVersion=1", f"# NumberOfEntries={entries}", "# SequenceType=AA", f"# SpecificKeys=ProteoformDb:class of the variant ({species.scientific})", PEFF_FILE_HEADER[1]]
+
+
 def pvac(r: dict[str, Column]) -> Column:
     return F.concat_ws(".", F.lit("MT"), sanitised(r["gene"]), sanitised(r["transcript"]), sanitised(r["consequence"]), sanitised(r["protein_change"]))
 
 
+def peptide_counts(r: dict[str, Column], normal: bool) -> Column:
+    """What is said of an entry's classes and peptides behind its header."""
+    also = F.when(F.length(r["also"]) > 0, F.concat(F.lit(" ALSO="), r["also"]))
+    fields = {"NOVELPEP": "n_novel", "VARPEP": "n_variant_peptides", "NPEP": "n_peptides"} | ({"NORMPEP": "n_in_normal", "NOVELVSNORM": "n_novel_vs_normal", "VARPEPVSNORM": "n_variant_vs_normal"} if normal else {})
+    return F.concat(F.coalesce(also, F.lit("")), *(F.concat(F.lit(f" {k}="), r[c]) for k, c in fields.items()))
+
+
+#: Patterns that name a gene in headers of several tools, the most explicit first.
+GENE_PATTERNS = ("\\bGN=([A-Za-z0-9_.\\-]+)", "\\bGName=([A-Za-z0-9_.\\-]+)", "gene_symbol:([A-Za-z0-9_.\\-]+)", "gene[:=]([A-Za-z0-9_.\\-]+)")
+
+
+def gene_guess(header: Column | str) -> Column:
+    """The gene that a foreign header seems to name: by a pattern, else the
+    first word of capitals and digits that is no number; NA for none."""
+    h = as_column(header)
+    named = [F.nullif(F.regexp_extract(h, p, 1), F.lit("")) for p in GENE_PATTERNS]
+    words = F.filter(F.split(h, "[|\\s.]"), lambda w: w.rlike("^[A-Z0-9]{2,}(--?[A-Z0-9]{2,})?$") & ~w.rlike("^[0-9]+$"))
+    return F.coalesce(*named, F.get(words, F.lit(0)), F.lit("NA"))
+
+
+def fusion_ends(locus: Column | str) -> Column:
+    """struct(chrom1, pos1, chrom2, pos2) of chrom:pos::chrom:pos; null for
+    other loci."""
+    x = as_column(locus)
+    pattern = "^(.+):([0-9]+)::(.+):([0-9]+)$"
+    part = lambda i: F.regexp_extract(x, pattern, i)
+    return F.when(x.rlike(pattern), F.struct(part(1).alias("chrom1"), part(2).cast("bigint").alias("pos1"), part(3).alias("chrom2"), part(4).cast("bigint").alias("pos2")))
+
+
+def one_locus_note(locus: Column | str, window: int = 1_000_000) -> Column:
+    """What speaks for a read-through: both ends on a chromosome, near each
+    other; null otherwise."""
+    e = fusion_ends(locus)
+    gap = F.abs(e["pos2"] - e["pos1"])
+    return F.when((e["chrom1"] == e["chrom2"]) & (gap <= window), F.concat(F.lit("ends "), F.round(gap / 1000).cast("bigint").cast("string"), F.lit(" kb apart on "), e["chrom1"], F.lit(": a read-through or an event within a cluster is likelier than a fusion of distant genes")))
+
+
 STYLES = {"uniprot": uniprot, "peff": peff, "pvac": pvac, "descriptive": descriptive}
 
 

@@ -28,6 +28,25 @@ def digest(seq: Column | str, missed: int = 2, least: int = 6, most: int = 50) -
     return F.array_distinct(kept)
 
 
+def peptide_spans(seq: Column | str, missed: int = 2, least: int = 6, most: int = 50) -> Column:
+    """Where the tryptic peptides are: structs (start, end) of 0-based residues,
+    the end exclusive, by missed cleavages and then place; repeats count each."""
+    lengths = F.transform(fragments(seq), F.length)
+    ends = F.aggregate(lengths, F.array().cast("array<int>"), lambda acc, n: F.concat(acc, F.array(F.coalesce(F.element_at(F.concat(F.array(F.lit(0)), acc), -1), F.lit(0)) + n)))
+    starts = F.zip_with(ends, lengths, lambda e, n: e - n)
+    runs = [F.zip_with(starts, F.slice(ends, F.lit(k + 1), F.greatest(F.lit(0), F.size(ends))), lambda s, e: F.struct(s.alias("start"), e.alias("end"))) for k in range(missed + 1)]
+    return F.filter(F.concat(*runs), lambda x: (x["end"] - x["start"]).between(least, most))
+
+
+def peptide_bounds(seq: Column | str, at: Column, missed: int = 2, least: int = 6, most: int = 50) -> Column:
+    """The longest tryptic peptide that holds a 0-based residue, the first of
+    equal ones; null for none."""
+    held = F.filter(peptide_spans(seq, missed, least, most), lambda x: (x["start"] <= at) & (at < x["end"]))
+    ranked = F.transform(held, lambda x: F.struct((x["start"] - x["end"]).alias("o"), x["start"].alias("start"), x["end"].alias("end")))
+    best = F.array_min(ranked)
+    return F.when(F.size(held) > 0, F.struct(best["start"].alias("start"), best["end"].alias("end")))
+
+
 def fold(peptide: Column | str) -> Column:
     """I and L weigh the same and count as one."""
     return F.translate(as_column(peptide), "I", "L")

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, Words, buffers, flat_text, from_buffers, mix
+from .common import SPACED, Words, buffers, flat_text, from_buffers, mix, use_checkpoints
 
 #: Text bytes whose features are computed at once: some thirty arrays of a number per word.
 FEATURE_BYTES = 2 << 20
@@ -23,12 +23,16 @@ STOP_WORDS = frozenset(
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, learn: Column, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, _text, y) of at most ``most`` labelled rows that may be learned
-    from: the ones of least id hash, so that the sample is the same each time."""
-    kept = labels.select(F.col(id_col).alias("_id"), F.col(target).cast("int").alias("y")).where("y IS NOT NULL AND _id IS NOT NULL").dropDuplicates(["_id"])
+    from: the ones of least id hash, so that the sample is the same each time.
+    An id with several labels has the greatest, and one with several texts the
+    least.  The sample is written once: the fit reads it several times."""
+    use_checkpoints(docs.sparkSession)
+    kept = labels.select(F.col(id_col).alias("_id"), F.col(target).cast("int").alias("y")).where("y IS NOT NULL AND _id IS NOT NULL").groupBy("_id").agg(F.max("y").alias("y"))
     drawn = kept.where(learn).orderBy(F.xxhash64("_id"), "_id").limit(most)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     # at most ``most`` ids: a bound that does not depend on the table
-    return rows.join(F.broadcast(drawn), "_id").select("_id", "_text", "y")
+    joined = rows.join(F.broadcast(drawn), "_id")
+    return joined.groupBy("_id").agg(F.min("_text").alias("_text"), F.max("y").alias("y")).checkpoint()
 
 
 class Texts:

@@ -69,6 +69,12 @@ _FINE_B = _draw.integers(0, 2**32, FINE_HASHES, np.uint32)
 _PLACES = _draw.integers(0, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """As a join's side, sorted and never sent through the driver: what is small
+    in a small run grows with the documents."""
+    return df.hint("merge")
+
+
 def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     """Each text's distinct shingles, sorted, as 64-bit hashes."""
     words = Words(texts, SPACED)
@@ -157,7 +163,7 @@ def may_link_finely(a: str, b: str, percent: int) -> Column:
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """(_id, shingles) of the wanted documents, packed."""
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(wanted, "_id", "left_semi")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(merged(wanted), "_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
@@ -203,9 +209,9 @@ def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
     # hubs are written first: joined to rows within the plan of their count, their rows would stay in one task
     hubs = pairs.groupBy("a").agg((F.floor(F.count("*") / MEMBERS) + 1).alias("chunks")).where("chunks > 1").checkpoint()
-    dealt = pairs.join(hubs, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("chunks", F.lit(1))).alias("chunk"))
-    members = dealt.join(sets, dealt["b"] == sets["_id"]).select("a", "b", "chunk", "shingles")
-    pivots = dealt.select(F.col("a").alias("pivot"), F.col("chunk").alias("part")).distinct().join(sets.select(F.col("_id").alias("pivot"), F.col("shingles").alias("own")), "pivot")
+    dealt = pairs.join(merged(hubs), "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("chunks", F.lit(1))).alias("chunk"))
+    members = dealt.join(merged(sets), dealt["b"] == sets["_id"]).select("a", "b", "chunk", "shingles")
+    pivots = dealt.select(F.col("a").alias("pivot"), F.col("chunk").alias("part")).distinct().join(merged(sets.select(F.col("_id").alias("pivot"), F.col("shingles").alias("own"))), "pivot")
     return pivots.groupBy("pivot", "part").cogroup(members.groupBy("a", "chunk")).applyInArrow(compare, f"a {kind}, b {kind}")
 
 
@@ -216,10 +222,10 @@ def components(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct().checkpoint()
     labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")).checkpoint()
     while True:
-        around = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m"))
-        nearer = labels.join(around, labels["node"] == around["a"]).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
+        around = both.join(merged(labels), both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m"))
+        nearer = labels.join(merged(around), labels["node"] == around["a"]).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         jump = nearer.select(F.col("node").alias("via"), F.col("label").alias("far"))
-        after = nearer.join(jump, nearer["label"] == jump["via"]).select("node", "old", F.least("label", "far").alias("label")).checkpoint()
+        after = nearer.join(merged(jump), nearer["label"] == jump["via"]).select("node", "old", F.least("label", "far").alias("label")).checkpoint()
         changed = after.where("label <> old").limit(1).count()
         labels = after.select("node", "label")
         if not changed:
@@ -232,18 +238,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     signed = signatures(docs, k, id_col, text_col).checkpoint()
     filled = signed.where("n > 0 AND _id IS NOT NULL")
     firsts = filled.groupBy("n", "f1", "f2").agg(F.min("_id").alias("rep"))
-    reps = filled.join(firsts.withColumnRenamed("rep", "_id").select("_id", "n", "f1", "f2"), ["_id", "n", "f1", "f2"], "left_semi").dropDuplicates(["_id", "n", "f1", "f2"])
+    reps = filled.join(merged(firsts.withColumnRenamed("rep", "_id").select("_id", "n", "f1", "f2")), ["_id", "n", "f1", "f2"], "left_semi").dropDuplicates(["_id", "n", "f1", "f2"])
     banded = reps.select("_id", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("_id").alias("pivot"), F.max("_id").alias("other")).where("pivot <> other").select("band", "pivot").checkpoint()
     # members of buckets with two or more: all that follows is about these
-    open_rows = banded.join(shared, "band").checkpoint()
+    open_rows = banded.join(merged(shared), "band").checkpoint()
     members = open_rows.select("_id").distinct()
-    facts = reps.select("_id", "n", "bits", "bands").join(members, "_id", "left_semi").checkpoint()
+    facts = reps.select("_id", "n", "bits", "bands").join(merged(members), "_id", "left_semi").checkpoint()
     sets = full_sets(docs, members, k, id_col, text_col).checkpoint()
 
     def screened(pairs: DataFrame) -> DataFrame:
         a, b = (facts.select("_id", "n", "bits").alias(name) for name in "xy")
-        return pairs.join(a, F.col("a") == F.col("x._id")).join(b, F.col("b") == F.col("y._id")).where(may_link("x", "y", percent)).select("a", "b")
+        return pairs.join(merged(a), F.col("a") == F.col("x._id")).join(merged(b), F.col("b") == F.col("y._id")).where(may_link("x", "y", percent)).select("a", "b")
 
     # a member's least pivot that passes the screen is enough for the first turn
     first = screened(open_rows.where("pivot <> _id").select(F.col("pivot").alias("a"), F.col("_id").alias("b")).distinct()).groupBy("b").agg(F.min("a").alias("a")).select("a", "b").checkpoint()
@@ -253,24 +259,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     def labelled(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members of buckets that still hold several components, and those
         buckets with how many."""
-        named = open_rows.join(found, open_rows["_id"] == found["node"], "left").select("band", "_id", F.coalesce("label", "_id").alias("label"))
+        named = open_rows.join(merged(found), open_rows["_id"] == found["node"], "left").select("band", "_id", F.coalesce("label", "_id").alias("label"))
         torn = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members")).where("low <> high").select("band", "members").checkpoint()
-        return named.join(torn.select("band"), "band", "left_semi").checkpoint(), torn
+        return named.join(merged(torn.select("band")), "band", "left_semi").checkpoint(), torn
 
     open_members, torn = labelled(labels)
     if torn.limit(1).count():
         # second turn: in each open bucket the member with the largest id of the largest label meets the members of other labels
         top = open_members.groupBy("band").agg(F.max(F.struct("label", "_id")).alias("top")).select("band", F.col("top._id").alias("pivot"), F.col("top.label").alias("pivot_label")).checkpoint()
-        second = screened(open_members.join(top, "band").where("label <> pivot_label").select(F.least("pivot", "_id").alias("a"), F.greatest("pivot", "_id").alias("b")).distinct())
-        second = second.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").join(first, ["a", "b"], "left_anti").checkpoint()
+        second = screened(open_members.join(merged(top), "band").where("label <> pivot_label").select(F.least("pivot", "_id").alias("a"), F.greatest("pivot", "_id").alias("b")).distinct())
+        second = second.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").join(merged(first), ["a", "b"], "left_anti").checkpoint()
         links = links.union(confirm(sets, second, percent)).checkpoint()
         labels = components(links)
         open_members, torn = labelled(labels)
     if torn.limit(1).count():
         # what is left: members of one bucket in different components, screened within the join
-        fine = fine_signatures(sets.join(open_members.select("_id").distinct(), "_id", "left_semi"))
+        fine = fine_signatures(sets.join(merged(open_members.select("_id").distinct()), "_id", "left_semi"))
         shares = torn.select("band", F.ceil(F.col("members") / SHARE).cast("int").alias("shares"))
-        left = open_members.join(shares, "band").join(facts.join(fine, "_id"), "_id").select("band", "_id", "label", "n", "bits", "bands", "fine", "shares").checkpoint()
+        left = open_members.join(merged(shares), "band").join(merged(facts.join(merged(fine), "_id")), "_id").select("band", "_id", "label", "n", "bits", "bands", "fine", "shares").checkpoint()
         x = left.withColumn("part", F.pmod(F.xxhash64("_id"), "shares").cast("int")).alias("x")
         y = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).alias("y")
         near = may_link("x", "y", percent) & may_link_finely("x", "y", percent)
@@ -278,12 +284,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         common = F.arrays_zip(F.col("x.bands").alias("p"), F.col("y.bands").alias("q"))
         here = F.element_at(F.filter(common, lambda z: z["p"] == z["q"]), 1)["p"] == F.col("x.band")
         in_share = (F.col("x.band") == F.col("y.band")) & (F.col("x.part") == F.col("y.part"))
-        third = x.join(y, in_share & (F.col("x.label") < F.col("y.label")) & near & here).select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b")).distinct()
-        third = third.join(links, ["a", "b"], "left_anti").join(first, ["a", "b"], "left_anti").checkpoint()
+        third = x.join(merged(y), in_share & (F.col("x.label") < F.col("y.label")) & near & here).select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b")).distinct()
+        third = third.join(merged(links), ["a", "b"], "left_anti").join(merged(first), ["a", "b"], "left_anti").checkpoint()
         links = links.union(confirm(sets, third, percent)).checkpoint()
         labels = components(links)
 
-    classes = firsts.join(labels, firsts["rep"] == labels["node"], "left").select("n", "f1", "f2", F.coalesce("label", "rep").alias("class"))
-    out = signed.join(classes, ["n", "f1", "f2"], "left")
+    classes = firsts.join(merged(labels), firsts["rep"] == labels["node"], "left").select("n", "f1", "f2", F.coalesce("label", "rep").alias("class"))
+    out = signed.join(merged(classes), ["n", "f1", "f2"], "left")
     component = F.when((F.col("n") > 0) & F.col("_id").isNotNull(), F.col("class")).otherwise(F.col("_id"))
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("_id"), F.lit(True)).alias("kept"))

@@ -7,7 +7,8 @@ driver from the feature rows of at most MOST_LABELLED labelled documents (those
 of least id hash); texts are never collected.
 
 Cases: a null or empty text has the features of no words and gets a score;
-texts of any length are whole; repeated rows are scored each; without labelled
+texts of any length are whole; repeated rows are scored each, and learned once; an id
+with several labels has the greatest; without labelled
 rows every score is one half; an empty table gives an empty one; other columns,
 whatever their names, are not looked at.
 """

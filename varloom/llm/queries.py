@@ -63,7 +63,7 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ids = training_order.token_ids(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50_256)
     path = training_order.shared_path(spark, "training-order")
-    training_order.materialise(ids, path, end_id=50_256, key="varloom epoch 0")
+    training_order.materialise(ids, path, 50_256, "varloom epoch 0")
     return training_order.read_from(spark, path).select("slot", "shard", "doc_id", "serial", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256"))
 
 
@@ -158,6 +158,89 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------------ what SQL can say of these results
+
+
+def lm_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and the base score of the language model's query."""
+    return op1_lm_scoring(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+def secret_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets that stand in the texts as they are."""
+    return op7_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def bpe_decoded_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ids decode to."""
+    return op8_byte_bpe(spark, sf_dir).select("doc_id", "decoded_sha256")
+
+
+def media_payload_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads that are read back."""
+    return op10_media_columns(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32")
+
+
+#: crc32 by its table, which is made by rule: x and rows of (tab).
+SQL_CRC_TABLE = "SELECT list(t ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS t FROM range(256) AS r(i))"
+
+
+def sql_crc32(numbers: str) -> str:
+    """crc32 of a list of bytes, with ``tab`` in scope."""
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {numbers}), lambda c, b: xor(tab[CAST(xor(c, b) & 255 AS BIGINT) + 1], c >> 8)))"
+
+
+ID_CRC = sql_crc32("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")
+
+LM_BASE_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w, {ID_CRC} % 7 = 2 AS held_out FROM documents, ({SQL_CRC_TABLE})),
+t AS (SELECT doc_id, held_out, unnest(w) AS x FROM d), c AS (SELECT x, count(*) FILTER (NOT held_out) AS c FROM t GROUP BY x),
+e AS (SELECT count(*) FILTER (NOT held_out) AS e FROM d), n AS (SELECT e, e + (SELECT sum(c) FROM c) AS n, (SELECT count(*) FROM c WHERE c > 0) + CASE WHEN e > 0 THEN 1 ELSE 0 END AS v FROM e),
+s AS (SELECT doc_id, count(*) AS k, count(*) FILTER (c > 0) AS known, sum(log10(c + 1)) AS l FROM t JOIN c USING (x) GROUP BY doc_id)
+SELECT d.doc_id, held_out, coalesce(k, 0) + 1 AS n_tokens, coalesce(known, 0) + CASE WHEN e > 0 THEN 1 ELSE 0 END AS n_known, CAST(n AS BIGINT) AS train_tokens,
+  round(coalesce(l, 0) + log10(e + 1) - (coalesce(k, 0) + 1) * log10(n + v + 1), 4) AS base_score
+FROM d CROSS JOIN n LEFT JOIN s ON s.doc_id = d.doc_id
+"""
+
+
+def _sql_spans(kind: str, rank: int, pattern: str, keep: str) -> str:
+    """(doc_id, kind, rank, start, end): the pattern's matches, placed by the
+    lengths of the stretches between them."""
+    return f"""SELECT doc_id, '{kind}' AS kind, {rank} AS rank, i, list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS first, m[i] AS hit
+ FROM (SELECT doc_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, {pattern}) AS m, string_split_regex(text, {pattern}) AS g FROM documents WHERE text IS NOT NULL)) WHERE {keep}"""
+
+
+_ANY_CASE = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_SQL_ASSIGN = f"""'({_ANY_CASE})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'"""
+SECRET_BASE_SQL = f"""
+WITH p AS ({_sql_spans("assign", 0, _SQL_ASSIGN, f"length(regexp_extract(m[i], {_SQL_ASSIGN}, 2)) >= 12")}
+UNION ALL {_sql_spans("access", 1, "'AKIA[A-Z0-9]+'", "length(m[i]) >= 18")} UNION ALL {_sql_spans("hex", 2, "'[0-9a-f]+'", "length(m[i]) >= 16")}),
+s AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg(kind || ':' || CAST(first AS BIGINT) || ':' || CAST(first + length(hit) AS BIGINT), ',' ORDER BY first, rank, first + length(hit)) AS listed FROM p GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(listed, '')) AS base_sha256 FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id
+"""
+
+BPE_DECODED_SQL = "SELECT doc_id, sha256(coalesce(text, '')) AS decoded_sha256 FROM documents"
+
+_HEX_BYTE = "16 * (instr('0123456789ABCDEF', substr(tail, 2 * i + 1, 1)) - 1) + instr('0123456789ABCDEF', substr(tail, 2 * i + 2, 1)) - 1"
+_TAIL_CRC = sql_crc32(f"list_transform(range(64), lambda i: CAST({_HEX_BYTE} AS BIGINT))")
+MEDIA_PAYLOAD_SQL = f"""
+WITH b AS (SELECT doc_id, encode(coalesce(text, '')) AS raw, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+q AS (SELECT doc_id, n, raw || unhex(repeat('00', CASE WHEN n = 0 THEN 64 ELSE (64 - n % 64) % 64 END)) AS payload FROM b), h AS (SELECT *, right(hex(payload), 128) AS tail FROM q)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_sha256, CAST({_TAIL_CRC} AS BIGINT) AS tail_crc32 FROM h, ({SQL_CRC_TABLE})
+"""
+
+#: The given pages hold their text in one article of headings and paragraphs, so for them SQL can say the result; it is no extractor for others.
+_SQL_SPACE = "'[\\s\\x0B\\x1C-\\x1F\\x{0085}\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'"
+_SQL_PLAIN = "regexp_replace(regexp_replace(part, '<br>', ' ', 'g'), '<[^>]*>', '', 'g')"
+for _name, _sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+    _SQL_PLAIN = f"replace({_SQL_PLAIN}, '{_name}', '{_sign}')"
+HTML_SQL = f"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS x FROM pages),
+b AS (SELECT page_id, url, list_filter(list_transform(string_split_regex(x, '</?(?:p|h1)(?:\\s[^>]*)?>'), lambda part: trim(regexp_replace({_SQL_PLAIN}, {_SQL_SPACE}, ' ', 'g'))), lambda t: t <> '') AS parts FROM a)
+SELECT page_id, url, array_to_string(parts, chr(10)) AS text, length(array_to_string(parts, chr(10))) AS n_chars FROM b
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_training_order": op2_training_order,
@@ -169,6 +252,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_extraction": op9_html_extraction,
     "op10_media_columns": op10_media_columns,
+    "lm_base_columns": lm_base_columns,
+    "secret_base_columns": secret_base_columns,
+    "bpe_decoded_columns": bpe_decoded_columns,
+    "media_payload_columns": media_payload_columns,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_minhash_dedup": OP3_SQL, "op4_benchmark_decontamination": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_minhash_dedup": OP3_SQL,
+    "op4_benchmark_decontamination": OP4_SQL,
+    "op9_html_extraction": HTML_SQL,
+    "lm_base_columns": LM_BASE_SQL,
+    "secret_base_columns": SECRET_BASE_SQL,
+    "bpe_decoded_columns": BPE_DECODED_SQL,
+    "media_payload_columns": MEDIA_PAYLOAD_SQL,
+}

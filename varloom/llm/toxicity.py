@@ -8,11 +8,12 @@ second-person word, and rates of capitals, punctuation and obfuscation.  Trees
 are fitted on one part of the sample, an isotonic map from raw scores to
 probabilities on another, and the lexicon on a third, so none sees the others'
 labels.  The sample has at most MOST_LABELLED rows (those of least id hash);
-what reaches the driver are the lexicon (at most MOST_TERMS terms) and feature
-rows, never texts.
+what reaches the driver are the terms that mark toxic documents of the sample, all
+of them, and feature rows, never texts.
 
 Cases: a null or empty text has no hits and gets a score; texts of any length
-are whole; repeated rows are scored each; without labelled rows every score is
+are whole; repeated rows are scored each, and learned once; an id with several labels has
+the greatest; without labelled rows every score is
 one half; an empty table gives an empty one; other columns, whatever their
 names, are not looked at.
 """
@@ -31,8 +32,8 @@ from .boosting import BoostedTrees, Isotonic, fit_boosted_trees, fit_isotonic
 from .common import carry, slices
 from .features import FEATURE_BYTES, DIGIT, LETTER, PUNCTUATION, UPPER, Texts, byte_set, labelled_sample
 
-#: Labelled rows that the model is fitted on, and terms that the lexicon may have.
-MOST_LABELLED, MOST_TERMS = 20_000, 5_000
+#: Labelled rows that the model is fitted on.
+MOST_LABELLED = 20_000
 #: Text bytes whose terms are counted at once: a term is a Python string.
 TERM_BYTES = 1 << 20
 #: Lengths of word beginnings that count as terms, and the least word length for them.
@@ -100,8 +101,8 @@ def learn_terms(sample: DataFrame) -> dict[str, float]:
     p, n = totals["p"] or 0, totals["n"]
     odds = F.log((F.col("pos") + 0.5) / (p + 1)) - F.log((F.col("neg") + 0.5) / (n - p + 1))
     found = sample.select("_text", "y").mapInArrow(count, "term string, pos bigint, neg bigint").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    kept = found.where(F.col("pos") >= LEAST_TOXIC).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), F.desc("pos"), "term").limit(MOST_TERMS)
-    terms = {r["term"]: r for r in kept.collect()}
+    kept = found.where(F.col("pos") >= LEAST_TOXIC).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
+    terms = {r["term"]: r for r in sorted(kept.collect(), key=lambda r: (-r["odds"], -r["pos"], r["term"]))}
     # a beginning stays if it marks documents beyond those of its commonest longer term
     longer: dict[str, int] = {}
     for term, r in terms.items():

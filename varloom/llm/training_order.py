@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import load_ranks
-from .common import mix, slices, use_checkpoints
+from .common import mix, ragged, slices, use_checkpoints
 
 #: Ids of a sequence, sequences of a row of a shard, and of a shard.
 LENGTH, STRIPE, SHARD = 512, 256, 65_536
@@ -112,22 +112,42 @@ def id_form(end_id: int) -> Callable[[np.ndarray, np.ndarray], pa.Array]:
     return form
 
 
-def token_ids(df: DataFrame, path: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, ids) of every whole text, as ``id_form`` has them, by the
-    tokenizer library itself.  ``path``: a rank file that every executor can
-    read."""
-    form = id_form(end_id)
+NUMBERED = "n bigint, body binary, part int, before bigint"
+
+
+class Numbering:
+    """The sequences of a partition, counted as its documents come."""
+
+    def __init__(self, length: int):
+        from pyspark import TaskContext
+
+        self.part, self.length, self.held = TaskContext.get().partitionId(), length, 0
+
+    def columns(self, n: np.ndarray) -> list[pa.Array]:
+        """(part, sequences of this partition before each document's own)."""
+        each = n // self.length + 1
+        ends = self.held + np.cumsum(each)
+        self.held = int(ends[-1]) if len(ends) else self.held
+        return [pa.array(np.full(len(n), self.part), pa.int32()), pa.array(ends - each, pa.int64())]
+
+
+def token_ids(df: DataFrame, path: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """(_id, n, body, part, before): the token ids of every whole text, by the
+    tokenizer library itself, squeezed, and their place in the order of the
+    documents.  ``path``: a rank file that every executor can read."""
     kind = df.schema[id_col].dataType.simpleString()
+    width = id_width(end_id)
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        engine = library(path, pattern)
-        for batch in slices(batches, "_text"):
-            coded = [np.array(engine.encode_ordinary(x.as_py()), "<u4") for x in batch.column("_text")]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in coded], dtype=np.int64)])
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), form(np.concatenate(coded), offsets)], ["_id", "ids"])
+        engine, numbering = library(path, pattern), Numbering(length)
+        for batch in slices(batches, "_text", 1 << 20):
+            coded = [engine.encode_to_numpy(x.as_py(), disallowed_special=()).astype(f"<u{width}") for x in batch.column("_text")]
+            n = np.array([len(x) for x in coded], np.int64)
+            bodies = pa.array([squeezed(x.tobytes()) for x in coded], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n), bodies, *numbering.columns(n)], ["_id", "n", "body", "part", "before"])
 
-    return rows.mapInArrow(run, f"_id {kind}, ids struct<n:bigint,body:binary>").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(run, f"_id {kind}, {NUMBERED}")
 
 
 @functools.cache
@@ -156,42 +176,40 @@ def removed(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def numbered_ids(encoded: DataFrame, id_col: str, ids_col: str, length: int) -> DataFrame:
-    """(_id, n, body, part, before): each document with its partition and the
-    sequences that come before its own there."""
+def numbered_ids(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", length: int = LENGTH) -> DataFrame:
+    """The same of ids that another encoder has made: (id_col, ids: struct of
+    their number and their squeezed little-endian bytes, see ``id_form``)."""
     kind = encoded.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, held = TaskContext.get().partitionId(), 0
+        numbering = Numbering(length)
         for batch in batches:
-            each = batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64) // length + 1
-            ends = held + np.cumsum(each)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_id", "n", "body")), pa.array(np.full(len(each), part), pa.int32()), pa.array(ends - each, pa.int64())], ["_id", "n", "body", "part", "before"])
-            held = int(ends[-1]) if len(ends) else held
+            n = batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_id", "n", "body")), *numbering.columns(n)], ["_id", "n", "body", "part", "before"])
 
     packed = F.col(ids_col)
-    return encoded.select(F.col(id_col).alias("_id"), packed["n"].alias("n"), packed["body"].alias("body")).mapInArrow(run, f"_id {kind}, n bigint, body binary, part int, before bigint")
+    return encoded.select(F.col(id_col).alias("_id"), packed["n"].alias("n"), packed["body"].alias("body")).mapInArrow(run, f"_id {kind}, {NUMBERED}")
 
 
-def materialise(encoded: DataFrame, path: str, end_id: int, key: str, id_col: str = "doc_id", ids_col: str = "ids", length: int = LENGTH, stripe: int = STRIPE, shard: int = SHARD, wave: int = WAVE) -> int:
-    """Writes the shards of (id_col, ids: struct of their number and their
-    squeezed little-endian bytes, see ``id_form``) to the folder ``path``, or
-    goes on with what is there; returns the number of sequences.  ``shard`` is
-    a multiple of ``stripe``."""
-    spark = encoded.sparkSession
-    kind = encoded.schema[id_col].dataType.simpleString()
+def materialise(numbered: DataFrame, path: str, end_id: int, key: str, length: int = LENGTH, stripe: int = STRIPE, shard: int = SHARD, wave: int = WAVE) -> int:
+    """Writes the shards of numbered ids (see ``token_ids``) to the folder
+    ``path``, or goes on with what is there; returns the number of sequences.
+    ``shard`` is a multiple of ``stripe``."""
+    spark = numbered.sparkSession
+    kind = numbered.schema["_id"].dataType.simpleString()
     width = id_width(end_id)
     asked = (key, length, stripe, shard, end_id, wave)
     order_row = written(spark, f"{path}/order")
     if order_row is None:
         # what a run that was ended left of the ids is not whole
-        numbered_ids(encoded, id_col, ids_col, length).write.mode("overwrite").option("compression", "none").parquet(f"{path}/ids")
-        held = spark.read.parquet(f"{path}/ids")
-        parts = held.groupBy("part").agg(F.max(F.col("before") + F.floor(F.col("n") / length) + 1).alias("sequences"))
-        counts = {row["part"]: row["sequences"] for row in parts.collect()}  # one number per partition
-        spark.createDataFrame([(sum(counts.values()), *asked)], "n bigint, key string, length int, stripe int, shard int, end_id int, wave int").coalesce(1).write.parquet(f"{path}/order")
+        numbered.write.mode("overwrite").option("compression", "none").parquet(f"{path}/ids")
+        counted = spark.read.parquet(f"{path}/ids").groupBy("part").agg(F.max(F.col("before") + F.floor(F.col("n") / length) + 1).alias("sequences"))
+        firsts, at = [], 0
+        for row in sorted(counted.collect(), key=lambda x: x["part"]):  # one number per partition
+            firsts.append((row["part"], at))
+            at += row["sequences"]
+        spark.createDataFrame(firsts, "part int, first bigint").coalesce(1).write.mode("overwrite").parquet(f"{path}/starts")
+        spark.createDataFrame([(at, *asked)], "n bigint, key string, length int, stripe int, shard int, end_id int, wave int").coalesce(1).write.parquet(f"{path}/order")
         order_row = written(spark, f"{path}/order")
     total, *known = order_row.first()
     if tuple(known) != asked:
@@ -201,37 +219,27 @@ def materialise(encoded: DataFrame, path: str, end_id: int, key: str, id_col: st
     if not missing:
         removed(spark, f"{path}/ids")
         return total
-    held = spark.read.parquet(f"{path}/ids")
-    parts = held.groupBy("part").agg(F.max(F.col("before") + F.floor(F.col("n") / length) + 1).alias("sequences")).collect()
-    firsts, at = [], 0
-    for row in sorted(parts, key=lambda x: x["part"]):
-        firsts.append((row["part"], at))
-        at += row["sequences"]
-    # a number for each partition that wrote ids
-    starts = spark.createDataFrame(firsts, "part int, first bigint")
-    placed_ids = held.join(F.broadcast(starts), "part").select("_id", "n", "body", (F.col("first") + F.col("before")).alias("number"))
+    starts = F.broadcast(spark.read.parquet(f"{path}/starts"))  # a number for each partition that wrote ids
+    placed_ids = spark.read.parquet(f"{path}/ids").join(starts, "part").select("_id", "n", "body", (F.col("first") + F.col("before")).alias("number"))
     order = Permutation(max(1, total), key)
-    stride = length * width
+    stride, end_bytes = length * width, end_id.to_bytes(width, "little")
 
     def cut(batches: Iterator[pa.RecordBatch], low: int, high: int) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "body", 1 << 20):
-            docs, serials, lengths, bodies, found = [], [], [], [], []
-            for i, (n, packed, number) in enumerate(zip(batch.column("n").to_pylist(), batch.column("body").to_pylist(), batch.column("number").to_pylist(), strict=True)):
-                count = n // length + 1
-                slots = order.slots(np.arange(number, number + count))
-                inside = np.flatnonzero((slots >= low) & (slots < high)).tolist()
-                if not inside:
-                    continue
-                full = np.full(count * length, end_id, f"<u{width}")
-                full[:n] = np.frombuffer(restored(packed, n * width), f"<u{width}") if n else 0
-                data = full.tobytes()
-                found.append(slots[inside])
-                for k in inside:
-                    docs.append(i)
-                    serials.append(k)
-                    lengths.append(min(length, n + 1 - k * length))
-                    bodies.append(squeezed(data[k * stride : (k + 1) * stride]))
-            slots = np.concatenate(found) if found else np.zeros(0, np.int64)
+            sizes = batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64)
+            counts = sizes // length + 1
+            slots = order.slots(ragged(batch.column("number").to_numpy(zero_copy_only=False), counts))
+            docs, serials = np.repeat(np.arange(len(sizes)), counts), ragged(np.zeros(len(sizes), np.int64), counts)
+            inside = np.flatnonzero((slots >= low) & (slots < high))
+            slots, docs, serials = slots[inside], docs[inside], serials[inside]
+            lengths = np.minimum(length, sizes[docs] + 1 - serials * length)
+            bodies, at, data = [], -1, b""
+            packed = batch.column("body")
+            for doc, serial in zip(docs.tolist(), serials.tolist(), strict=True):
+                if doc != at:
+                    at, n, count = doc, int(sizes[doc]), int(counts[doc])
+                    data = (restored(packed[doc].as_py(), n * width) if n else b"") + end_bytes * (count * length - n)
+                bodies.append(squeezed(data[serial * stride : (serial + 1) * stride]))
             yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), batch.column("_id").take(pa.array(docs, pa.int64())), pa.array(serials, pa.int32()), pa.array(lengths, pa.int32()), pa.array(bodies, pa.binary())], ["slot", "_id", "serial", "n", "body"])
 
     def stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,7 @@
 A record has seq_id, sequence, variant_class, consequence, gene, transcript,
 protein_change, variant_pos_aa, ref_protein_len, locus, source, confidence,
 novel_start, novel_end, notes and variant_id.  All builders are joins and
-expressions; none runs Python on the executors.
+expressions; only open frames are looked for in Arrow batches.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import peptides as P
 from ..functions import sequence as S
+from ..functions.frames import with_frames
 from ..operators import relational as R
 from ..sources.reference import bare_contig
 from .annotate import aliases, candidates, placement, ranking, representative
@@ -231,8 +232,8 @@ def circles(events: DataFrame, transcripts: DataFrame, chunks: DataFrame, min_aa
     inside = hosts.withColumn("n_all", F.size("exons")).withColumn("exons", F.filter("exons", lambda b: (b["s"] >= F.col("lo")) & (b["e"] <= F.col("hi")))).where("size(exons) > 0").withColumn("host", F.col("tx_id")).withColumn("tx_id", F.concat_ws("|", "variant_id", "tx_id"))
     seqs = inside.join(transcript_sequences(inside, chunks), "tx_id").where(F.length("tx_seq") >= 3)
     period = F.length("tx_seq")
-    orfs = F.filter(S.open_frames(F.repeat(F.col("tx_seq"), F.lit(cycles)), min_aa, require_atg), lambda o: F.floor((o["nt_end"] - 1) / period) > F.floor(o["nt_start"] / period))
-    found = seqs.withColumn("o", orfs).where("size(o) > 0")
+    turned = with_frames(seqs.withColumn("turns", F.repeat(F.col("tx_seq"), F.lit(cycles))), "turns", "o", min_aa, require_atg).drop("turns")
+    found = turned.withColumn("o", F.filter("o", lambda o: F.floor((o["nt_end"] - 1) / period) > F.floor(o["nt_start"] / period))).where("size(o) > 0")
     first = R.first_wins(found, ["variant_id"], [-F.col("n_all"), F.col("host")])
     each = first.select("*", F.explode(F.slice("o", F.lit(1), F.lit(per_event))).alias("x"))
     at = F.greatest(F.lit(1), F.floor((period - F.col("x.nt_start")) / 3) + 1)
@@ -269,8 +270,8 @@ def noncanonical(transcripts: DataFrame, sequences: DataFrame, known: DataFrame,
     whole = F.array(part("transcript", F.col("tx_seq"), F.lit(0)))
     end = F.col("cds_off") + cds_len
     utrs = F.array(part("utr5", F.substring("tx_seq", F.lit(1), F.col("cds_off").cast("int")), F.lit(0)), part("utr3", F.substring("tx_seq", (end + 1).cast("int"), F.length("tx_seq")), end))
-    regions = seq.select("*", F.explode(F.when(F.col("is_coding"), utrs).otherwise(whole)).alias("g"))
-    orfs = regions.select("*", F.explode(F.slice(S.open_frames("g.nt", min_aa, require_atg), F.lit(1), F.lit(per_transcript))).alias("o"))
+    regions = seq.select("*", F.explode(F.when(F.col("is_coding"), utrs).otherwise(whole)).alias("g")).withColumn("nt", F.col("g.nt"))
+    orfs = with_frames(regions, "nt", "frames", min_aa, require_atg).select("*", F.explode(F.slice("frames", F.lit(1), F.lit(per_transcript))).alias("o"))
     fresh = orfs.join(known.select(F.col("sequence").alias("p")).distinct(), F.col("o.protein") == F.col("p"), "left_anti")
     kind = F.when(F.col("g.region") == "transcript", biotype_class(F.col("tx_biotype"))).otherwise("NC_UTR")
     return records(

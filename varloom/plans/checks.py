@@ -117,6 +117,13 @@ def residue_check(sites: DataFrame, proteome: DataFrame) -> DataFrame:
     return best.select("site_id", "gene", F.element_at(F.array(*(F.lit(x) for x in ("no_uniprot_entry", "out_of_range", "mismatch", "match"))), F.col("r") + 1).alias("state"))
 
 
+def site_anchors(residues: DataFrame) -> DataFrame:
+    """(state, n): sites with an entry that agrees, with none in the proteome,
+    and others."""
+    site = residues.groupBy("site_id").agg(F.bool_or(F.col("state") == "match").alias("ok"), F.bool_and(F.col("state") == "no_uniprot_entry").alias("none"))
+    return site.groupBy(F.when(F.col("ok"), "anchored").when(F.col("none"), "absent").otherwise("mismatch").alias("state")).agg(F.count("*").alias("n"))
+
+
 def translation_agreement(built: DataFrame, published: DataFrame) -> DataFrame:
     """(tx_id, same): built reference proteins against the annotation's own."""
     first = R.first_wins(built.where("variant_class = 'REFERENCE' OR consequence LIKE '%annotated_isoform'").select(F.col("transcript").alias("tx_id"), "sequence", "seq_id"), ["tx_id"], [F.col("seq_id")])

@@ -16,6 +16,7 @@ from ..functions import digestion as D
 from ..functions import headers as H
 from ..functions import peptides as P
 from ..functions import sequence as S
+from ..functions.frames import with_frames
 from ..operators import relational as R
 from . import checks, package, truth
 
@@ -291,8 +292,8 @@ o AS (SELECT p_partkey, frame, i, cs[i] AS chunk, CASE WHEN contains(cs[i], 'M')
 k AS (SELECT p_partkey, frame, orf, frame + 3 * off AS nt_start, row_number() OVER (PARTITION BY p_partkey ORDER BY length(orf) DESC, frame, off) AS n FROM o WHERE length(orf) >= 8)
 SELECT p_partkey, CAST(frame AS BIGINT) AS frame, CAST(nt_start AS BIGINT) AS nt_start, orf FROM k WHERE n = 1""")
 def three_frame_orfs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = S.open_frames(P.nucleotides(F.col("p_partkey"), 6), min_aa=8)
-    out = table(spark, sf_dir, "part").select("p_partkey", F.get(found, F.lit(0)).alias("o")).where(F.col("o").isNotNull())
+    found = with_frames(table(spark, sf_dir, "part").select("p_partkey", P.nucleotides(F.col("p_partkey"), 6).alias("nt")), "nt", "found", min_aa=8)
+    out = found.select("p_partkey", F.get("found", F.lit(0)).alias("o")).where(F.col("o").isNotNull())
     return out.select("p_partkey", F.col("o.frame").cast("bigint").alias("frame"), F.col("o.nt_start").cast("bigint").alias("nt_start"), F.col("o.protein").alias("orf"))
 
 

@@ -14,6 +14,7 @@ from ..functions import digestion as D
 from ..functions import headers as H
 from ..functions import peptides as P
 from ..operators import relational as R
+from ..species import KNOWN, Species
 
 # Classes in the order in which one names a sequence that several reach; others rank last.
 CLASS_PRIORITY = ("FUSION", "INDEL", "SNV", "MNV", "RNA_EDITING", "AS_SE", "AS_RI", "AS_MX", "AS_A3", "AS_A5", "AS_AF", "AS_AL", "CIRCRNA", "SEC_TERMINATION", "REFERENCE")
@@ -41,7 +42,8 @@ def dispositions(manifest: DataFrame, records: DataFrame, least_aa: int = 8, kee
     then short ones, then any.  ``failed`` (variant_id, detail) are rows that
     could not be read."""
     slim = manifest.select("variant_id", "variant_class", low_frequency(min_af).alias("low_af"), F.col("small.af").cast("string").alias("af_text"))
-    tested = records.join(slim.where("low_af").select("variant_id"), "variant_id", "left_anti")
+    # an outer join, so that the test below is not pushed into the plan that makes the sequences
+    tested = records.join(slim.select("variant_id", "low_af"), "variant_id", "left")
     silent = F.lit(False)
     if expressed is not None:
         genes = expressed.select(F.col("gene").alias("_g")).distinct()
@@ -49,7 +51,7 @@ def dispositions(manifest: DataFrame, records: DataFrame, least_aa: int = 8, kee
         tested = named.join(genes.withColumn("_bare", F.lit(True)), F.substring_index("gene", ".", 1) == F.col("_g"), "left").drop("_g")
         silent = (F.coalesce("gene", F.lit("")) != "") & F.col("_on").isNull() & F.col("_bare").isNull()
     same = F.col("consequence").isin(*UNCHANGED) & F.lit(not keep_unchanged)
-    reason = F.when(silent, "not_expressed").when(F.length("sequence") < least_aa, "too_short").when(same, "unchanged")
+    reason = F.when(F.col("low_af"), "rare").when(silent, "not_expressed").when(F.length("sequence") < least_aa, "too_short").when(same, "unchanged")
     judged = tested.withColumn("reason", reason)
     kept = judged.where("reason IS NULL").select(records.columns)
     kinds = lambda c: F.array_sort(F.collect_set(c))
@@ -158,8 +160,8 @@ def peptide_keys(proteins: DataFrame, seq: str = "sequence", missed: int = 2, le
 def annotated(entry: DataFrame, peptides: DataFrame, drop_nmd: bool = False, drop_known: bool = False) -> DataFrame:
     """Entries with their peptide counts and an example, the least of them."""
     fresh = F.col("novel") & F.col("spanning")
-    counts = peptides.groupBy("digest").agg(F.count("*").alias("n_peptides"), F.count_if("novel").alias("n_novel"), F.count_if(fresh).alias("n_variant_peptides"), F.count_if(F.col("novel") & ~F.col("in_normal")).alias("n_novel_vs_normal"), F.min(F.when(fresh, F.col("peptide"))).alias("example"))
-    out = entry.join(counts, "digest", "left").fillna(0, ["n_peptides", "n_novel", "n_variant_peptides", "n_novel_vs_normal"])
+    counts = peptides.groupBy("digest").agg(F.count("*").alias("n_peptides"), F.count_if("novel").alias("n_novel"), F.count_if(fresh).alias("n_variant_peptides"), F.count_if(F.col("novel") & ~F.col("in_normal")).alias("n_novel_vs_normal"), F.count_if("in_normal").alias("n_in_normal"), F.count_if(fresh & ~F.col("in_normal")).alias("n_variant_vs_normal"), F.min(F.when(fresh, F.col("peptide"))).alias("example"))
+    out = entry.join(counts, "digest", "left").fillna(0, ["n_peptides", "n_novel", "n_variant_peptides", "n_novel_vs_normal", "n_in_normal", "n_variant_vs_normal"])
     if drop_nmd:
         out = out.where("NOT coalesce(nmd = 'likely', false)")
     return out.where("n_novel > 0 OR variant_class = 'REFERENCE'") if drop_known else out
@@ -209,10 +211,11 @@ def provenance(ordered: DataFrame, entry: DataFrame) -> DataFrame:
     return entry.select("digest", "entry_id", F.length("sequence").alias("length")).join(rows, "digest")
 
 
+DECOY = "DECOY_"
 DECOYS = {"none": None, "reverse": P.reverse_decoy, "pseudo_reverse": P.pseudo_reverse_decoy, "shuffle": "shuffle"}
 
 
-def decoys(entry: DataFrame, method: str = "pseudo_reverse", prefix: str = "DECOY_") -> DataFrame:
+def decoys(entry: DataFrame, method: str = "pseudo_reverse", prefix: str = DECOY) -> DataFrame:
     """One decoy for each target; empty for no method."""
     how = DECOYS[method]
     if how is None:
@@ -235,22 +238,45 @@ def appended_reference(entry: DataFrame, proteome: DataFrame) -> DataFrame:
     return proteome.join(entry.select("sequence").distinct(), "sequence", "left_anti")
 
 
-def fasta_lines(entry: DataFrame, style: str = "uniprot", width: int = 60) -> DataFrame:
-    """(entry_id, value): header and wrapped sequence of each entry."""
-    r = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("entry_id", "serial", "variant_class", "consequence", "gene", "transcript", "protein_change", "locus", "source", "confidence", "sequence")}
-    r["seq_id"] = r["entry_id"]
-    head = H.STYLES[style](r)
+def as_entries(proteins: DataFrame, entry: DataFrame) -> DataFrame:
+    """Proteins (header, sequence) of a reference as entries of their own: the
+    header stays as it is and names them."""
+    own = proteins.select(F.substring_index("header", " ", 1).alias("entry_id"), "header", "sequence")
+    kinds = {f.name: f.dataType for f in entry.schema}
+    return own.select(*((F.col(c) if c in own.columns else F.lit(None).cast(kinds[c])).alias(c) for c in entry.columns), "header")
+
+
+def fasta_lines(entry: DataFrame, style: str = "uniprot", width: int = 60, species: Species = KNOWN["human"], normal: bool = False) -> DataFrame:
+    """(entry_id, value): header and wrapped sequence of each entry.  An entry
+    with a ``header`` keeps it; counts of peptides follow where there are any."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    r = {c: text(c) for c in ("entry_id", "serial", "variant_class", "consequence", "gene", "transcript", "protein_change", "locus", "source", "confidence", "sequence")}
+    r["seq_id"] = F.regexp_replace(r["entry_id"], f"^{DECOY}", "") if "is_decoy" in entry.columns else r["entry_id"]
+    head = (H.uniprot_of(species) if style == "uniprot" else H.STYLES[style])(r)
+    if "n_peptides" in entry.columns:
+        counts = {c: text(c) for c in ("n_novel", "n_variant_peptides", "n_peptides", "n_in_normal", "n_novel_vs_normal", "n_variant_vs_normal")}
+        head = F.concat(head, H.peptide_counts(counts | {"also": F.array_join("also", ",")}, normal))
+    if "is_decoy" in entry.columns:
+        head = F.when(F.col("is_decoy"), F.concat(F.lit(DECOY), head, F.lit(" DECOY=1"))).otherwise(head)
+    if "header" in entry.columns:
+        own = F.when(F.col("is_decoy"), F.concat(F.lit(DECOY), "header", F.lit(" DECOY=1"))).otherwise(F.col("header")) if "is_decoy" in entry.columns else F.col("header")
+        head = F.coalesce(own, head)
     return entry.select("entry_id", F.concat(F.lit(">"), head, F.lit("\n"), H.wrapped("sequence", width)).alias("value"))
 
 
-def write_fasta(entry: DataFrame, path: str, style: str = "uniprot", by_class: bool = False) -> None:
+def write_fasta(entry: DataFrame, path: str, style: str = "uniprot", by_class: bool = False, species: Species = KNOWN["human"], normal: bool = False) -> None:
     """Text parts ordered by id; with ``by_class`` one folder for each class."""
-    lines = fasta_lines(entry, style)
+    lines = fasta_lines(entry, style, species=species, normal=normal)
     if by_class:
         kinds = entry.select("entry_id", split_class(F.col("variant_class"), F.col("entry_id")).alias("class"))
         lines.join(kinds, "entry_id").repartitionByRange("class", "entry_id").sortWithinPartitions("class", "entry_id").select("class", "value").write.mode("overwrite").partitionBy("class").text(path)
-    else:
-        lines.repartitionByRange("entry_id").sortWithinPartitions("entry_id").select("value").write.mode("overwrite").text(path)
+        return
+    if style == "peff":
+        # the file's own lines stand before its first entry
+        ends = entry.agg(F.min("entry_id").alias("first"), F.count("*").alias("n")).first()
+        before = "\n".join(H.peff_file_header(species, ends["n"]))
+        lines = lines.withColumn("value", F.when(F.col("entry_id") == F.lit(ends["first"]), F.concat(F.lit(before + "\n"), "value")).otherwise(F.col("value")))
+    lines.repartitionByRange("entry_id").sortWithinPartitions("entry_id").select("value").write.mode("overwrite").text(path)
 
 
 def isoform_lines(transcripts: DataFrame) -> DataFrame:
@@ -260,20 +286,65 @@ def isoform_lines(transcripts: DataFrame) -> DataFrame:
     return part("exon", "exons").unionByName(part("CDS", "cds"))
 
 
-def write_release(spark: SparkSession, entry: DataFrame, peptides: DataFrame, ordered: DataFrame, path: str, style: str = "uniprot", decoy: str = "pseudo_reverse") -> None:
-    """Tables and FASTA of a release; checksums come last, of what is there."""
-    flagged = entry.withColumn("is_decoy", F.lit(False))
-    write_fasta(entry, f"{path}/target", style)
-    write_fasta(flagged.unionByName(decoys(entry, decoy)), f"{path}/target_decoy", style)
-    write_fasta(entry, f"{path}/by_class", style, by_class=True)
+def record_table(ordered: DataFrame) -> DataFrame:
+    """All records, those merged into others, too."""
+    kinds = dict(ordered.dtypes)
+    return ordered.select(*(F.array_join(c, ";").alias(c) if kinds[c].startswith("array") else F.col(c) for c in ordered.columns if c != "digest"))
+
+
+def class_index(entry: DataFrame) -> DataFrame:
+    """(value): a Markdown table of the class folders."""
+    kinds = entry.groupBy(split_class(F.col("variant_class"), F.col("entry_id")).alias("class")).agg(F.count("*").alias("n")).orderBy("class").collect()  # a row for each class
+    lines = ["| class | entries |", "|---|---|", *(f"| {x['class']} | {x['n']} |" for x in kinds)]
+    return entry.sparkSession.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+
+
+def write_release(spark: SparkSession, entry: DataFrame, peptides: DataFrame, ordered: DataFrame, path: str, style: str = "uniprot", decoy: str = "pseudo_reverse", species: Species = KNOWN["human"], split: bool = True, extra: DataFrame | None = None, normal: bool = False, isoforms: DataFrame | None = None, extra_files: tuple[str, ...] = ()) -> None:
+    """Tables and FASTA of a release; checksums come last, of what is there.
+    ``extra`` are proteins (header, sequence) that are appended to the entries;
+    ``isoforms`` are transcripts whose exons are written."""
+    every = entry if extra is None else entry.withColumn("header", F.lit(None).cast("string")).unionByName(as_entries(extra, entry))
+    flagged = every.withColumn("is_decoy", F.lit(False))
+    write_fasta(every, f"{path}/target", style, species=species, normal=normal)
+    write_fasta(flagged.unionByName(decoys(every, decoy)), f"{path}/target_decoy", style, species=species, normal=normal)
+    if split:
+        write_fasta(every, f"{path}/by_class", style, by_class=True, species=species, normal=normal)
+        class_index(every).write.mode("overwrite").text(f"{path}/by_class_index")
     flat = entry.withColumn("classes", F.array_join("classes", ";")).withColumn("also", F.array_join("also", ";"))
-    for name, table in (("entries", flat), ("search_space", search_space(peptides)), ("summary_by_class", summary(entry)), ("merged_loci", merged_loci(ordered)), ("peptides", peptides.withColumn("classes", F.array_join("classes", ";")))):
+    tables = {
+        "entries": flat, "search_space": search_space(peptides), "summary_by_class": summary(entry), "merged_loci": merged_loci(ordered), "peptides": peptides.withColumn("classes", F.array_join("classes", ";")),
+        "peptide_candidates": candidate_table(peptides), "candidate_funnel": funnel(peptides), "records": record_table(ordered),
+    }
+    for name, table in tables.items():
         table.write.mode("overwrite").option("sep", "\t").option("header", True).csv(f"{path}/{name}")
     provenance(ordered, entry).write.mode("overwrite").json(f"{path}/provenance")
+    if isoforms is not None:
+        isoform_lines(isoforms).orderBy("tx_id", F.desc("f"), "i").select("value").write.mode("overwrite").text(f"{path}/isoforms")
+    for name in extra_files:
+        spark.read.text(name).coalesce(1).write.mode("overwrite").text(f"{path}/extra/{name.rsplit('/', 1)[-1]}")
     checksums(spark, path).write.mode("overwrite").option("sep", "\t").csv(f"{path}/MANIFEST")
 
 
 def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """(sha256, file, bytes) of a release's part files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
-    return files.where(~F.col("path").contains("/MANIFEST/")).select(F.sha2("content", 256).alias("sha256"), F.regexp_replace("path", ".*/([^/]+/[^/]+)$", "$1").alias("file"), F.col("length").alias("bytes"))
+    """(sha256, file, bytes) of a release's part files, read as streams: one
+    buffer of a file is held, so its size has no bound."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    walk = fs.listFiles(fs_path, True)  # a release has some hundred files
+    while walk.hasNext():
+        f = walk.next()
+        name = f.getPath().toString()
+        if f.getPath().getName().startswith("part-") and "/MANIFEST/" not in name:
+            found.append((name, f.getLen()))
+    listed = [(_digest(fs, spark._jvm, name), "/".join(name.rsplit("/", 2)[1:]), size) for name, size in found]
+    return spark.createDataFrame(listed, "sha256 string, file string, bytes bigint")
+
+
+def _digest(fs, jvm, name: str) -> str:
+    """A file's SHA-256 from a stream in the driver's JVM: one buffer is held."""
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(name))
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()

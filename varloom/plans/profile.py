@@ -60,6 +60,13 @@ def genome_audit(spark: SparkSession, path: str) -> DataFrame:
     return fasta(spark, path).select(F.substring_index("header", " ", 1).alias("contig"), F.length("sequence").alias("length"), (F.length("sequence") - F.length(F.replace("sequence", F.lit("N"), F.lit("")))).alias("n_unknown"))
 
 
+def translation_audit(spark: SparkSession, path: str) -> DataFrame:
+    """(fields, entries, trailing_stops): published translations by the number
+    of fields in their headers."""
+    rows = fasta(spark, path)
+    return rows.groupBy(F.size(F.split("header", "\\|")).alias("fields")).agg(F.count("*").alias("entries"), F.count_if(F.col("sequence").endswith("*")).alias("trailing_stops"))
+
+
 def proteome_audit(proteome: DataFrame) -> DataFrame:
     own = proteome.select("db", "accession", F.explode_outer(F.split("gn", " +")).alias("gene"))
     per_gene = own.groupBy("gene").agg(F.count_distinct("accession").alias("n")).agg(F.count_if((F.col("n") > 1) & F.col("gene").isNotNull()).alias("genes_with_several"), F.count_if(F.col("gene").isNull()).alias("without_gene"))

@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import digestion as D
 from ..functions import peptides as P
 from ..functions.sequence import THREE_LETTER
 from ..operators import relational as R
@@ -65,17 +66,71 @@ def accuracy(scored: DataFrame) -> DataFrame:
     return scored.rollup("category").agg(n.alias("n"), hit.alias("n_found"), ratio(hit, n).alias("recall"), ratio(hit, seen).alias("precision")).withColumn("category", F.coalesce("category", F.lit("TOTAL")))
 
 
+# Consequence terms from the most to the least severe, and what they are called here.
+SEVERITY = (
+    "transcript_ablation", "splice_acceptor_variant", "splice_donor_variant", "stop_gained", "frameshift_variant", "stop_lost", "start_lost", "transcript_amplification", "feature_elongation", "feature_truncation", "inframe_insertion", "inframe_deletion", "missense_variant",
+    "protein_altering_variant", "splice_donor_5th_base_variant", "splice_region_variant", "splice_donor_region_variant", "splice_polypyrimidine_tract_variant", "incomplete_terminal_codon_variant", "start_retained_variant", "stop_retained_variant", "synonymous_variant",
+    "coding_sequence_variant", "mature_miRNA_variant", "5_prime_UTR_variant", "3_prime_UTR_variant", "non_coding_transcript_exon_variant", "intron_variant", "NMD_transcript_variant", "non_coding_transcript_variant", "coding_transcript_variant", "upstream_gene_variant", "downstream_gene_variant", "intergenic_variant", "sequence_variant",
+)
+TERMS = {
+    "missense_variant": "missense", "stop_gained": "stop_gained", "stop_lost": "stop_lost", "start_lost": "start_lost", "frameshift_variant": "frameshift", "inframe_insertion": "inframe_insertion", "inframe_deletion": "inframe_deletion", "synonymous_variant": "synonymous",
+    "stop_retained_variant": "synonymous", "start_retained_variant": "synonymous", "5_prime_UTR_variant": "5_prime_UTR", "3_prime_UTR_variant": "3_prime_UTR",
+}
+
+
+def severity(term: Column) -> Column:
+    at = F.array_position(F.array(*(F.lit(t) for t in SEVERITY)), term)
+    return F.when(at > 0, at).otherwise(len(SEVERITY) + 1)
+
+
+def most_severe(terms: Column) -> Column:
+    """The most severe of several terms; empty for none."""
+    ranked = F.array_min(F.transform(terms, lambda t: F.struct(severity(t).alias("rank"), t.alias("term"))))
+    return F.coalesce(ranked["term"], F.lit(""))
+
+
+def consequence_crosscheck(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(variant_id, how, ours, theirs, agrees): ours (variant_id, transcript,
+    consequence) against theirs (variant_id, transcript, terms): on the least
+    shared transcript, else the most severe term of the variant's."""
+    bare = lambda c: F.substring_index(c, ".", 1)
+    a, b = ours.select("variant_id", bare("transcript").alias("tx"), F.col("consequence").alias("ours")), theirs.select("variant_id", bare("transcript").alias("tx"), "terms")
+    shared = R.first_wins(a.join(b, ["variant_id", "tx"]), ["variant_id"], [F.col("tx"), F.col("ours")])
+    rest = a.join(shared.select("variant_id"), "variant_id", "left_anti").groupBy("variant_id").agg(F.array_sort(F.collect_set("ours")).alias("all_ours"))
+    worst = b.groupBy("variant_id").agg(F.array_distinct(F.flatten(F.collect_set("terms"))).alias("terms"))
+    names = F.create_map(*(F.lit(x) for pair in TERMS.items() for x in pair))
+    named = lambda terms: F.try_element_at(names, most_severe(terms))
+    one = shared.select("variant_id", F.lit("shared_transcript").alias("how"), F.array("ours").alias("ours"), named(F.col("terms")).alias("theirs"))
+    other = rest.join(worst, "variant_id").select("variant_id", F.lit("most_severe").alias("how"), F.col("all_ours").alias("ours"), named(F.col("terms")).alias("theirs"))
+    return one.unionByName(other).withColumn("agrees", F.coalesce(F.array_contains("ours", F.col("theirs")), F.lit(False)))
+
+
+def listed_changes(rows: DataFrame, entry: str, chrom: str, change: str) -> DataFrame:
+    """(entry, locus) of tables that list POS:REF>ALT changes by semicolons and
+    name the contig in a column of its own."""
+    pattern = "^\\s*(\\d+):?([ACGTN]+)>([ACGTN]+)\\s*$"
+    each = rows.select(F.col(entry).alias("entry"), F.trim(F.col(chrom)).alias("c"), F.explode(F.split(F.col(change), ";")).alias("x")).where(F.col("x").rlike(pattern))
+    part = lambda i: F.regexp_extract("x", pattern, i)
+    return each.select("entry", normal_locus(F.concat("c", F.lit(":"), part(1), part(2), F.lit(">"), part(3))).alias("locus")).distinct()
+
+
+def combined_entries(changes: DataFrame) -> DataFrame:
+    """One row: how many entries carry more than one variant."""
+    return changes.groupBy("entry").agg(F.count_distinct("locus").alias("n")).agg(F.count_if(F.col("n") > 1).alias("n_combined"))
+
+
 def tool_stats(entries: DataFrame, k: int = 7) -> DataFrame:
     """Per tool: entries, distinct sequences, k-mers and genes of (tool, gene,
     sequence)."""
     plain = entries.groupBy("tool").agg(F.count("*").alias("entries"), F.count_distinct("sequence").alias("sequences"), F.count_distinct("gene").alias("genes"))
-    mers = entries.select("tool", F.explode(P.kmers("sequence", k)).alias("m")).distinct().groupBy("tool").agg(F.count("*").alias("kmers"))
+    long = entries.where(F.length(F.replace("sequence", F.lit("*"), F.lit(""))) >= k)
+    mers = D.kmer_items(long, "sequence", "tool", k).distinct().groupBy("tool").agg(F.count("*").alias("kmers"))
     return plain.join(mers, "tool", "left")
 
 
 def tool_pairs(entries: DataFrame, k: int = 7) -> DataFrame:
     """Jaccard of sequences and of k-mers for each pair of tools."""
-    return R.jaccard_pairs(entries.select("tool", F.col("sequence").alias("x")), "tool", "x").withColumn("of", F.lit("sequences")).unionByName(R.jaccard_pairs(entries.select("tool", F.explode(P.kmers("sequence", k)).alias("x")), "tool", "x").withColumn("of", F.lit("kmers")))
+    return R.jaccard_pairs(entries.select("tool", F.col("sequence").alias("x")), "tool", "x").withColumn("of", F.lit("sequences")).unionByName(R.jaccard_pairs(D.kmer_items(entries, "sequence", "tool", k), "tool", "item").withColumn("of", F.lit("kmers")))
 
 
 def disagreeing_genes(entries: DataFrame, tools: list[str]) -> DataFrame:

@@ -73,7 +73,8 @@ def read_vcf(spark: SparkSession, path: str, require_pass: bool = True, keep: tu
     rows = lines(spark, path).where(~F.col("value").startswith("#")).where(F.size(f) >= 5).select("ord", f.alias("f"))
     part = lambda i: F.get("f", F.lit(i))
     named = rows.select("ord", part(0).alias("chrom"), part(1).try_cast("bigint").alias("pos"), part(2).alias("vcf_id"), F.upper(part(3)).alias("ref"), F.posexplode(F.split(F.upper(part(4)), ",")).alias("k", "alt"), F.coalesce(part(6), F.lit(".")).alias("filter"), F.coalesce(part(7), F.lit("")).alias("info"), part(8).alias("fmt"), part(9).alias("sample"))
-    usable = F.col("pos").isNotNull() & F.col("alt").rlike("^[ACGTN]+$") & F.col("ref").rlike("^[ACGTN]+$")
+    # a reference allele with other letters stays: its variant is reported as an error and not lost
+    usable = F.col("pos").isNotNull() & F.col("alt").rlike("^[ACGTN]+$") & (F.col("ref") != "")
     passed = F.col("filter").isin("", ".") | F.arrays_overlap(F.split("filter", ";"), F.array(*(F.lit(x) for x in keep)))
     found = named.where(usable & (passed if require_pass else F.lit(True))).withColumn("ph", phase(F.col("fmt"), F.col("sample"), F.col("k") + 1))
     locus = F.concat("chrom", F.lit(":"), F.col("pos").cast("string"), "ref", F.lit(">"), "alt")
