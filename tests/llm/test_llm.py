@@ -340,6 +340,13 @@ def test_secret_scan_has_no_caps():
         coded = base64.b64encode(data).decode()
         found = secrets_scan.scan_text(f"see {coded}. end")
         assert [secrets_scan.KINDS[k] for _, _, k, _ in found] == ["assign"] and all(4 <= a < b <= 4 + len(coded) for a, b, _, _ in found), name
+    escaped = "".join(f"%{b:02x}" for b in secret)
+    for text in (f"%FF{escaped}", f"{escaped}%C3", f"%C3%A9%E2%82{escaped}"):
+        at = text.index(escaped)
+        assert [x[:2] for x in secrets_scan.scan_text(f"see {text} end")] == [(4 + at, 4 + at + len(escaped))], text
+    escaped = "".join(f"\\u{b:04x}" for b in secret)
+    for before in (r"\ud800", r"\UFFFFFFFF", r"\udfff\ud83d\ude00"):
+        assert [x[:2] for x in secrets_scan.scan_text(before + escaped + r"\ud83d")] == [(len(before), len(before + escaped))], before
     at = cases["control"].index(secret)
     coded = base64.b64encode(cases["control"]).decode()
     assert secrets_scan.scan_text(coded)[0][:2] == (at * 4 // 3, -(-(at + len(secret)) * 4 // 3))

@@ -16,7 +16,7 @@ range that holds it.  Base spans are those of depth 0.
 
 Packed data are unpacked as often as they are packed, until content comes back
 that was there before.  A layer need not be text throughout: bytes that are not
-UTF-8 stand in it as single signs.  An unpacked layer of more than MOST_UNPACKED
+UTF-8, escaped or coded, and escapes of no character stand in it as single signs.  An unpacked layer of more than MOST_UNPACKED
 bytes is a stream that is scanned in windows of that size, OVERLAP bytes of each
 again in the next one, so only a coded word longer than that may be cut.
 
@@ -117,14 +117,10 @@ def _in_place(layer: Layer, found: list[tuple[int, int, str, list[tuple[int, int
 def unwrap_percent(layer: Layer) -> Layer | None:
     found = []
     for m in _PERCENT.finditer(layer.text):
-        raw = bytes.fromhex(m[0].replace("%", ""))
-        try:
-            text = raw.decode()
-        except UnicodeDecodeError:
-            continue
+        text = bytes.fromhex(m[0].replace("%", "")).decode(errors="surrogateescape")
         own, at = [], m.start()
         for c in text:
-            size = 3 * len(c.encode())
+            size = 3 if "\ud800" <= c <= "\udfff" else 3 * len(c.encode())
             own.append((at, at + size))
             at += size
         found.append((m.start(), m.end(), text, own))
@@ -141,13 +137,9 @@ def unwrap_escapes(layer: Layer) -> Layer | None:
             if 0xD800 <= code < 0xDC00 and k + 1 < len(units) and 0xDC00 <= units[k + 1][2] < 0xE000:
                 code, end, k = 0x10000 + (code - 0xD800 << 10) + units[k + 1][2] - 0xDC00, units[k + 1][1], k + 1
             k += 1
-            if code > 0x10FFFF or 0xD800 <= code < 0xE000:
-                text = []
-                break
-            text.append(chr(code))
+            text.append(chr(code) if code <= 0x10FFFF else "\ufffd")
             own.append((start, end))
-        if text:
-            found.append((m.start(), m.end(), "".join(text), own))
+        found.append((m.start(), m.end(), "".join(text), own))
     return _in_place(layer, found)
 
 
