@@ -113,7 +113,7 @@ def test_header_styles(spark):
 
 def test_comparison_states():
     assert compare.compare_pair("AAA", "AAA").status == "identical" and compare.compare_pair("", "").status == "identical"
-    body = "".join(random.Random(3).choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(300))
+    body = "".join(random.Random(3).choices("ACDEFGHIKLMNPQRSTVWY", k=300))
     moved = compare.compare_pair("GGGG" + body[:150] + "W" + body[151:290], body)
     assert (moved.status, moved.offset) == ("offset_isoform", -4) and moved.first_diff in (1, 155)
     near = compare.compare_pair(body[:10] + ("W" if body[10] != "W" else "Y") + body[11:], body)
@@ -149,7 +149,7 @@ def test_digestion_against_brute_force(spark):
 
 def test_frames_equal_the_expression(spark):
     r = random.Random(4)
-    rows = [(i, "".join(r.choice("ACGTUNacg") for _ in range(r.randrange(0, 300)))) for i in range(60)] + [(99, None)]
+    rows = [(i, "".join(r.choice("ACGTUNacg") for _ in range(r.randrange(0, 300)))) for i in range(180)] + [(999, None)]
     df = spark.createDataFrame(rows, "i int, nt string")
     for atg in (True, False):
         made = with_frames(df, "nt", "f", 3, atg).select("i", "f", open_frames(F.coalesce("nt", F.lit("")), 3, atg).alias("g")).collect()
@@ -191,7 +191,7 @@ def test_union_tables(spark, tmp_path):
 
 def test_exports_and_crosscheck(spark):
     t = spark.createDataFrame([("chr1:5A>G", "G1", "p.K1E"), ("chr1:3T>C", "G2", "p.A2V"), ("x", "G3", "p.A1V")], "locus string, gene string, change string")
-    assert [x["value"].split("\t")[1] for x in exports.truth_vcf(t).collect()][2:] == ["3", "5"]
+    assert [x["value"].split("\t")[1] for x in exports.truth_vcf(t).collect() if not x["value"].startswith("#")] == ["3", "5"]
     assert exports.truth_edits(t).count() == 2
     assert [x["value"] for x in exports.truth_lines(t.limit(1), ["a"]).collect()] == ["# a", "locus\tgene\tchange", "chr1:5A>G\tG1\tp.K1E"]
     p = spark.createDataFrame([("B",), ("A",), ("B",)], "p string")

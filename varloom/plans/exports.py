@@ -39,7 +39,7 @@ def truth_edits(truth: DataFrame) -> DataFrame:
     part = lambda i: F.regexp_extract("locus", pattern, i)
     sound = F.col("locus").rlike(pattern) & F.concat(part(3), part(4)).isin("AG", "TC")
     place = part(2).cast("bigint")
-    return truth.where(sound).select(part(1).alias("Chr"), place.alias("Start"), place.alias("End"), part(3).alias("Ref"), part(4).alias("Alt"), F.lit("exonic").alias("`Func.refGene`"), F.col("gene").alias("`Gene.refGene`"), F.concat_ws(":", "gene", F.lit("."), F.lit("."), F.lit("."), "change").alias("`AAChange.refGene`"))
+    return truth.where(sound).select(part(1).alias("Chr"), place.alias("Start"), place.alias("End"), part(3).alias("Ref"), part(4).alias("Alt"), F.lit("exonic").alias("Func.refGene"), F.col("gene").alias("Gene.refGene"), F.concat_ws(":", "gene", F.lit("."), F.lit("."), F.lit("."), "change").alias("AAChange.refGene"))
 
 
 def truth_lines(truth: DataFrame, remarks: list[str]) -> DataFrame:
