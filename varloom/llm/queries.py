@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_text, lm, media, minhash, quality, secrets_scan, toxicity, training_order
+from . import bpe, decontam, divergence, html_text, lm, media, minhash, quality, secrets_scan, token_counts, toxicity, training_order
 from .common import crc_mod, read_table
 
 
@@ -158,6 +158,39 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their terms."""
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    import public_tokenizers
+
+    out = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+#: Shares by one division of wide integers, and all terms at once.
+OP11_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({ASCII_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), t AS (SELECT row, lang, source, unnest(w) AS term FROM d), kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT row) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d), c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang), gn AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM c GROUP BY ALL), ln AS (SELECT lang, sum(total) AS total FROM gn GROUP BY lang),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n, 1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 5)) // (coalesce(gn.total, 0) + 5 * v) AS p
+  FROM g JOIN kept ON kept.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN gn ON gn.lang = g.lang AND gn.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), q AS (SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (sum(n) + 5)) // (ln.total + 5 * v) AS q FROM c JOIN ln USING (lang) JOIN v USING (lang) GROUP BY lang, term, ln.total, v),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s ON s.lang = a.lang AND s.source = a.source AND s.other = b.source
+), term AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, p.p - q.q AS value FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q.q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
 # ------------------------------------------------------------------ what SQL can say of these results
 
 
@@ -252,6 +285,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_extraction": op9_html_extraction,
     "op10_media_columns": op10_media_columns,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_token_counts": op12_token_counts,
     "lm_base_columns": lm_base_columns,
     "secret_base_columns": secret_base_columns,
     "bpe_decoded_columns": bpe_decoded_columns,
@@ -262,6 +297,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_minhash_dedup": OP3_SQL,
     "op4_benchmark_decontamination": OP4_SQL,
     "op9_html_extraction": HTML_SQL,
+    "op11_source_divergence": OP11_SQL,
     "lm_base_columns": LM_BASE_SQL,
     "secret_base_columns": SECRET_BASE_SQL,
     "bpe_decoded_columns": BPE_DECODED_SQL,
