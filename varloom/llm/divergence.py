@@ -37,7 +37,7 @@ SCALE, PRIOR = 10**9, 5
 #: Documents that a term of a language needs, and ranks of terms that are told.
 LEAST_DOCS, TOP = 30, 50
 #: Numbers in the vectors of one partition of the dictionary, and rows of counts that a task holds.
-CELLS, HELD_ROWS = 1 << 21, 1 << 18
+CELLS, HELD_ROWS = 1 << 17, 1 << 18
 
 
 def shares(counts: np.ndarray, total: int | np.ndarray, kept: int) -> np.ndarray:
