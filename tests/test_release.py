@@ -88,17 +88,20 @@ def test_audit_finds_faults(spark, done, tmp_path):
     assert cli.inspect(spark, settings["reference.translations"])[0] == "# translations.fa"
 
 
-def test_a_failing_builder_is_an_error_of_its_variants(spark, done, monkeypatch):
+def test_a_failing_builder_ends_the_run(spark, done, tmp_path, monkeypatch):
+    """Only data of single rows become outcomes: a job that fails fails the run,
+    and its record says so."""
+    _, _, settings = done
+
     def broken(*_, **__):
-        raise RuntimeError("no")
+        raise RuntimeError("executor lost")
 
     monkeypatch.setattr(cli.B, "fusions", broken)
-    log = runlog.RunLog("test")
-    made = [("small_variants", "small IS NOT NULL", lambda: cli.B.records(spark.createDataFrame([("a",)], "variant_id string"))), ("fusions", "fusion IS NOT NULL", broken)]
-    monkeypatch.setattr(cli, "builders", lambda *_: made)
-    m = spark.createDataFrame([("a", ("A", "C"), None, None), ("b", None, None, ("G1",))], "variant_id string, small struct<ref:string,alt:string>, edit struct<ref:string,alt:string>, fusion struct<gene1:string>")
-    records, failed = cli.isolated(None, m, None, None, None, log)
-    assert records.count() == 1 and [tuple(r) for r in failed.collect()] == [("b", "RuntimeError")] and log.counters["error.fusions"] == 1
+    with pytest.raises(RuntimeError, match="executor lost"):
+        cli.run(config.load(None, {**settings, "output.dir": str(tmp_path)}), spark)
+    record = json.loads("\n".join(text(spark, f"{tmp_path}/variant_proteome_run")))
+    assert record["status"] == "error" and any("executor lost" in x for x in record["log"])
+    assert not (tmp_path / "variant_proteome").exists()
 
 
 def test_header_styles(spark):

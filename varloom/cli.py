@@ -14,7 +14,7 @@ from . import detect as D
 from . import release
 from .functions import sequence as S
 from .plans import build as B
-from .plans import checks, package, profile, report
+from .plans import checks, faults, package, profile, report
 from .runlog import RunLog, human_bytes, write_lines
 from .session import session, ship, use_checkpoints
 from .sources import evidence, reference
@@ -24,9 +24,17 @@ from .species import species
 class Refused(SystemExit):
     """A run that its settings or inputs don't allow: exit code 2."""
 
+    code_ = 2
+
     def __init__(self, text: str):
         print(text, file=sys.stderr)
-        super().__init__(2)
+        super().__init__(self.code_)
+
+
+class Differs(Refused):
+    """A run whose proteins differ too much from the references': exit code 3."""
+
+    code_ = 3
 
 
 def run(cfg: C.RunConfig, spark=None) -> dict[str, str]:
@@ -34,8 +42,8 @@ def run(cfg: C.RunConfig, spark=None) -> dict[str, str]:
 
     parse -> translate -> outcomes -> package -> validate -> checks; each step
     is a lazy plan but for the records, which are written because serials need
-    them as they are.  A builder that fails makes its variants errors and
-    leaves the others as they are."""
+    them as they are.  A row that can't be read is an error of its own and the
+    others are built; a builder that fails ends the run, and its record says so."""
     get = cfg.get
     log = RunLog("run", settings=cfg.values)
     code = get("translate", "genetic_code")
@@ -64,7 +72,13 @@ def run(cfg: C.RunConfig, spark=None) -> dict[str, str]:
     transcripts = reference.read_gtf(spark, chosen["annotation"], coding_only=not get("translate", "include_noncanonical")).cache()
     chunks = reference.genome(spark, chosen["genome"])
     sequences = reference.transcript_sequences(transcripts, chunks).cache()
-    records, failed = isolated(cfg, manifest, transcripts, sequences, chunks, log)
+    path = f"{get('output', 'dir')}/{get('output', 'name')}"
+    try:
+        records, failed = made_records(cfg, manifest, transcripts, sequences, chunks, log)
+    except Exception as e:
+        log.say(f"a builder failed: {type(e).__name__}: {(str(e).splitlines() or [''])[0]}")
+        write_lines(spark, log.record(spark, "error").splitlines(), f"{path}_run")
+        raise
     too_many = combined_share(records, get("translate", "max_combined_fraction"))
     if too_many is not None:
         raise Refused(too_many)
@@ -78,10 +92,12 @@ def run(cfg: C.RunConfig, spark=None) -> dict[str, str]:
     if proteins is not None:
         known = known.union(proteins.select("sequence"))
     entry = package.entries(ordered)
+    if get("output", "drop_nmd"):
+        # before their peptides are counted
+        entry = package.without_decay(entry)
     normal = reference.peptide_list(spark, get("translate", "normal_peptides")) if get("translate", "normal_peptides") else None
     peptides = package.peptide_rows(entry, package.peptide_keys(known), normal).cache()
-    entry = package.annotated(entry, peptides, get("output", "drop_nmd"), get("output", "drop_non_novel")).cache()
-    path = f"{get('output', 'dir')}/{get('output', 'name')}"
+    entry = package.annotated(entry, peptides, get("output", "drop_non_novel")).cache()
     extra = None
     if proteins is not None and get("output", "append_reference"):
         whole = reference.fasta(spark, chosen["proteome"]).select("header", "sequence").where(F.col("header").rlike("^(sp|tr)\\|"))
@@ -100,37 +116,34 @@ def run(cfg: C.RunConfig, spark=None) -> dict[str, str]:
     if "translations" in tables:
         more["I6"] = lambda: checks.i6_agreement(tables["translations"], least)
     _, states = release.audit(spark, path, tuple(get("validate", "skip_invariant") or ()), more)
+    differs = checks.gate(spark, tables.get("translations"), tables.get("agreement"), least).first()
     for row in outcomes.groupBy("variant_class", "outcome").count().collect():
         log.count(f"outcome.{row['variant_class']}.{row['outcome']}", row["count"])
     log.outputs.append(path)
-    write_lines(spark, log.record(spark, "error" if any(v.startswith("FAIL") for v in states.values()) else "ok").splitlines(), f"{path}_run")
+    status = "error" if differs or any(v.startswith("FAIL") for v in states.values()) else "ok"
+    if differs:
+        log.say(differs["message"])
+    write_lines(spark, log.record(spark, status).splitlines(), f"{path}_run")
+    if differs and not get("validate", "force"):
+        raise Differs(differs["message"])
     return states
 
 
-def isolated(cfg: C.RunConfig, manifest, transcripts, sequences, chunks, log: RunLog):
-    """(records, failed): each builder's records, written one builder at a time;
-    a builder that fails is logged, and its variants are errors.  So are small
-    variants whose alleles are not bases."""
+def made_records(cfg: C.RunConfig, manifest, transcripts, sequences, chunks, log: RunLog):
+    """(records, failed): each builder's records of the rows without a fault,
+    written one builder at a time, and the faults of the others.  Whatever else
+    fails ends the run."""
     spark = manifest.sparkSession
-    bad = lambda c: F.coalesce(~F.col(c).rlike("^[ACGTN]+$"), F.lit(False))
-    unreadable = manifest.where(bad("small.ref") | bad("small.alt") | bad("edit.ref") | bad("edit.alt"))
-    failed = unreadable.select("variant_id", F.lit("alleles are not bases").alias("detail"))
+    sound, failed = faults.screened(manifest, faults.without_genome(transcripts, chunks))
+    sound, failed = sound.cache(), failed.cache()
     made = None
-    for kind, where, build in builders(cfg, manifest, transcripts, sequences, chunks):
-        try:
-            done = build().checkpoint()
-        except Exception as e:  # one kind of evidence that fails must not end the run
-            name = type(e).__name__
-            log.count(f"error.{kind}")
-            log.say(f"{kind} failed: {name}: {str(e).splitlines()[0] if str(e) else ''}")
-            if where is not None:
-                failed = failed.unionByName(manifest.where(where).select("variant_id", F.lit(name).alias("detail")))
-            continue
+    for kind, build in builders(cfg, sound, transcripts, sequences, chunks):
+        done = build().checkpoint()
         log.count(f"records.{kind}", done.count())
         made = done if made is None else made.unionByName(done)
-    if made is None:
-        made = B.records(spark.createDataFrame([], "variant_id string"))
-    return made, failed
+    for row in failed.groupBy("detail").count().collect():  # a row for each kind of fault
+        log.count(f"error.{row['detail']}", row["count"])
+    return (B.records(spark.createDataFrame([], "variant_id string")) if made is None else made), failed
 
 
 def combined_share(records, most: float | None) -> str | None:
@@ -153,6 +166,7 @@ def validation(spark, manifest, ordered, proteins, chosen) -> dict:
         tables["residues"] = checks.residue_check(sites.select("site_id", "gene", F.col("c")["pos"].alias("pos"), F.col("c")["ref"].alias("residue")), proteins)
         own = ordered.where("variant_class = 'REFERENCE' OR consequence LIKE '%annotated_isoform'")
         tables["matches"] = checks.best_match(own, proteins)
+        tables["agreement"] = checks.reference_matches(own, tables["matches"])
     if chosen.get("translations"):
         tables["translations"] = checks.translation_agreement(ordered, reference.translations(spark, chosen["translations"]))
     return tables
@@ -171,21 +185,21 @@ def small_variants_of(manifest):
 
 
 def builders(cfg: C.RunConfig, manifest, transcripts, sequences, chunks):
-    """(kind, whose variants, how) of each builder that the settings ask for."""
+    """(kind, how) of each builder that the settings ask for."""
     get = lambda k: cfg.get("translate", k)
     small = small_variants_of(manifest)
     own = lambda kind, *cols: manifest.where(f"{kind} IS NOT NULL").select("variant_id", "source", "confidence", *cols)
-    yield "small_variants", "small IS NOT NULL OR edit IS NOT NULL", lambda: B.small_variants(small, transcripts, sequences, get("transcript_mode"))
-    yield "fusions", "fusion IS NOT NULL", lambda: B.fusions(own("fusion", "fusion.*"), transcripts, sequences)
-    yield "splicing", "splice IS NOT NULL", lambda: B.splicing(own("splice", "splice.*"), transcripts, sequences, get("construct_isoforms"), chunks=chunks)
-    yield "circles", "circle IS NOT NULL", lambda: B.circles(own("circle", "circle.*"), transcripts, chunks)
+    yield "small_variants", lambda: B.small_variants(small, transcripts, sequences, get("transcript_mode"))
+    yield "fusions", lambda: B.fusions(own("fusion", "fusion.*"), transcripts, sequences)
+    yield "splicing", lambda: B.splicing(own("splice", "splice.*"), transcripts, sequences, get("construct_isoforms"), chunks=chunks)
+    yield "circles", lambda: B.circles(own("circle", "circle.*"), transcripts, chunks)
     if get("combine"):
-        yield "combinations", None, lambda: B.combinations(small, transcripts, sequences, get("max_combined"), get("combine_missed_cleavages"), allow_unphased=get("allow_unphased"))
+        yield "combinations", lambda: B.combinations(small, transcripts, sequences, get("max_combined"), get("combine_missed_cleavages"), allow_unphased=get("allow_unphased"))
     if get("include_sec_termination"):
-        yield "sec_termination", None, lambda: B.sec_termination(transcripts, sequences, get("min_aa"))
+        yield "sec_termination", lambda: B.sec_termination(transcripts, sequences, get("min_aa"))
     if get("include_noncanonical"):
         known = transcripts.where("is_coding").join(sequences, "tx_id").select(B.S.protein_of(F.expr("substring(tx_seq, cast(cds_off as int) + 1)")).alias("sequence"))
-        yield "noncanonical", None, lambda: B.noncanonical(transcripts, sequences, known, get("noncanonical_min_aa"), not get("noncanonical_any_start"))
+        yield "noncanonical", lambda: B.noncanonical(transcripts, sequences, known, get("noncanonical_min_aa"), not get("noncanonical_any_start"))
 
 
 PROFILES = {"small_variants": profile.vcf_profile, "genome": profile.fasta_profile, "proteome": profile.fasta_profile, "translations": profile.translation_audit, "annotation": profile.gtf_audit, "regions": profile.region_profile}

@@ -15,6 +15,7 @@ from ..functions import peptides as P
 from ..functions import sequence as S
 from ..functions.frames import with_frames
 from ..operators import relational as R
+from ..session import use_checkpoints
 from ..sources.reference import bare_contig
 from .annotate import aliases, candidates, placement, ranking, representative
 
@@ -302,9 +303,11 @@ def combinations(variants: DataFrame, transcripts: DataFrame, sequences: DataFra
     """One protein per haplotype with two or more variants (variant_id, chrom,
     pos, ref, alt, variant_class, source, phase_set, haplotypes) on it.  Kept
     are forms with a peptide that no single variant and no reference gives."""
+    use_checkpoints(variants.sparkSession)
     slim = transcripts.where("is_coding AND cds_off IS NOT NULL")
     by_place = R.interval_join(variants.withColumn("contig", bare_contig(F.col("chrom"))), slim.select("tx_id", "start", "end", "exons", "strand", bare_contig(F.col("chrom")).alias("tx_contig")), "pos", "start", "end", [("contig", "tx_contig")])
-    placed = by_place.withColumn("p", placement()).where("p IS NOT NULL")
+    # met by each way of grouping
+    placed = by_place.withColumn("p", placement()).where("p IS NOT NULL").drop("exons", "start", "end", "tx_contig", "contig", "strand").checkpoint()
     locus = F.concat("chrom", F.lit(":"), F.col("pos").cast("string"), "ref", F.lit(">"), "alt")
     member = F.struct("chrom", "pos", locus.alias("locus"), "variant_class", "source", F.col("p.start").alias("start"), F.col("p.len").alias("len"), F.col("p.allele").alias("allele"))
     known = (F.col("phase_set") != "") & (F.size("haplotypes") > 0)
@@ -326,15 +329,19 @@ def combinations(variants: DataFrame, transcripts: DataFrame, sequences: DataFra
         sec = F.transform(F.filter(moved, lambda r: (r >= 0) & (r % 3 == 0)), lambda r: F.floor(r / 3).cast("int"))
         return S.protein_of(F.substring(seq, (off + 1).cast("int"), F.length(seq)), F.col("mito"), sec)
 
+    # the combination, the reference and each single form are rows, so that each is read once
+    key = ["tx_id", "label"]
     none = F.filter(F.col("ms"), lambda _: F.lit(False))
-    made = tx.select("*", read(F.col("ms")).alias("combo"), read(none).alias("ref_p"), F.transform("ms", lambda m: read(F.array(m))).alias("singles")).where("combo IS NOT NULL AND combo <> '' AND combo <> ref_p")
+    each = F.posexplode(F.concat(F.array("ms", none), F.transform("ms", lambda m: F.array(m)))).alias("form", "held")
+    forms = tx.select(*key, "tx_seq", "cds_off", "exons", "strand", "sec_sites", "mito", each).select(*key, "form", read(F.col("held")).alias("p")).checkpoint()
+    at = lambda form: F.max(F.when(F.col("form") == form, F.col("p")))
+    read_ = forms.groupBy(*key).agg(at(0).alias("combo"), at(1).alias("ref_p")).where("combo <> '' AND combo <> ref_p")
+    made = sized_.join(slim.select("tx_id", "gene_id", "gene_name"), "tx_id").join(read_, key)
     fresh = made
     if need_peptide:
         # peptides meet what the single forms and the reference cover as rows, not inside a lambda that would digest anew for each
-        key = ["tx_id", "label"]
-        own = made.select(*key, F.explode(P.digest("combo", missed)).alias("p")).withColumn("k", P.fold("p"))
-        forms = made.select(*key, F.explode(F.concat(F.array("ref_p"), F.transform("singles", lambda s: F.coalesce(s, F.lit(""))))).alias("s"))
-        covered = forms.select(*key, F.explode(P.digest("s", missed)).alias("c")).select(*key, P.fold("c").alias("k")).distinct()
+        peptides = forms.join(read_.select(*key), key, "left_semi").where("p IS NOT NULL").select(*key, "form", F.explode(P.digest("p", missed)).alias("x")).select(*key, "form", P.fold("x").alias("k"))
+        own, covered = peptides.where("form = 0").select(*key, "k"), peptides.where("form > 0").select(*key, "k").distinct()
         fresh = made.join(own.join(covered, [*key, "k"], "left_anti").select(*key).distinct(), key, "left_semi")
     # the filter comes first: only forms that pass it hide later equal ones
     unique = R.first_wins(fresh, ["tx_id", "combo"], [~F.col("phased"), F.col("label")])

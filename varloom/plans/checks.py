@@ -6,13 +6,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import relational as R
 
 
-
 def violation(df: DataFrame, check: str, text: str, key: str, severity: str = "error") -> DataFrame:
     """One row for all of ``df``, with a count and the first few keys."""
     found = df.agg(F.count("*").alias("n"), F.min(F.col(key).cast("string")).alias("low"), F.max(F.col(key).cast("string")).alias("high")).where("n > 0")
@@ -70,10 +71,10 @@ def i7_unchanged(records: DataFrame) -> DataFrame:
 
 
 def i8_checksums(listed: DataFrame, present: DataFrame) -> DataFrame:
-    a, b = listed.select("file", F.col("sha256").alias("want")), present.select("file", "sha256")
+    a, b = listed.select("file", F.col("sha256").alias("want")), present.select("file", "sha256", F.lit(True).alias("there"))
     both = a.join(b, "file", "full")
     made = lambda cond, text: violation(both.where(cond), "I8", text, "file")
-    return made("sha256 IS NULL", "listed files missing").union(made("want IS NULL", "files not listed")).union(made("want <> sha256", "files changed"))
+    return made("there IS NULL", "listed files missing").union(made("want IS NULL", "files not listed")).union(made("want <> sha256", "files changed")).union(made("there AND sha256 IS NULL", "files that can't be read"))
 
 
 def i9_decoys(entry: DataFrame) -> DataFrame:
@@ -85,9 +86,16 @@ def i9_decoys(entry: DataFrame) -> DataFrame:
 CHECKS = ("I1", "I2", "I3", "I4", "I5", "I6", "I7", "I8", "I9")
 
 
+def state_of(found: list[Row]) -> str:
+    """ok, or FAIL or warn with what was found."""
+    state = "FAIL" if any(r["severity"] == "error" for r in found) else "warn" if found else "ok"
+    return f"{state} {'; '.join(r['message'] for r in found)}".strip()
+
+
 def run_checks(made: dict[str, Callable[[], DataFrame]], skip: tuple[str, ...] = ()) -> list[tuple[str, str, str]]:
     """(check, state, message) of each check: ok, FAIL, warn, skip or OFF for
-    one that has no input.  An unknown name to skip is an error."""
+    one that has no input.  A check that can't read what it is about fails, and
+    the others go on.  An unknown name to skip is an error."""
     unknown = set(skip) - set(CHECKS)
     if unknown:
         raise ValueError(f"no such check: {', '.join(sorted(unknown))}")
@@ -98,14 +106,53 @@ def run_checks(made: dict[str, Callable[[], DataFrame]], skip: tuple[str, ...] =
         elif name not in made:
             out.append((name, "OFF", ""))
         else:
-            found = made[name]().collect()  # a few rows at most
-            state = "FAIL" if any(r["severity"] == "error" for r in found) else "warn" if found else "ok"
-            out.append((name, state, "; ".join(r["message"] for r in found)))
+            try:
+                found = made[name]().collect()  # a few rows at most
+            except (Py4JError, PySparkException) as e:
+                out.append((name, "FAIL", f"could not be read: {_cause(e)}"))
+                continue
+            state, _, text = state_of(found).partition(" ")
+            out.append((name, state, text))
     return out
 
 
+def _cause(e: Exception) -> str:
+    """The last cause of a failed job, in one line."""
+    lines = [x.strip() for x in str(e).splitlines()]
+    causes = [x.removeprefix("Caused by: ") for x in lines if x.startswith("Caused by: ")]
+    return (causes or [x for x in lines if x] or [type(e).__name__])[-1 if causes else 0][:300]
+
+
 # ------------------------------------------------------------------ validation
 
+#: What counts as the same protein as a reference's.
+SAME_PROTEIN = ("identical", "identical_after_met_trim", "isoform_extension", "offset_isoform")
+
+
+def reference_matches(built: DataFrame, matches: DataFrame) -> DataFrame:
+    """(transcript, status): a row for each transcript that stands for itself,
+    the reference record before an isoform; ``no_entry`` where the proteome has
+    none of its gene."""
+    one = R.first_wins(built.select("transcript", "seq_id", "variant_class"), ["transcript"], [F.col("variant_class") != "REFERENCE", F.col("seq_id")])
+    return one.join(matches.select("seq_id", F.col("comparison.status").alias("status")), "seq_id", "left").select("transcript", F.coalesce("status", F.lit("no_entry")).alias("status"))
+
+
+def gate(spark: SparkSession, translations: DataFrame | None, agreement: DataFrame | None, least: float) -> DataFrame:
+    """The violation of a run whose proteins differ too much: by the share of
+    equal translations of the annotation's own (same) or, only where those have
+    nothing to compare, by the share of transcripts whose closest proteome entry
+    is the same protein (status).  Nothing to compare at all is no violation."""
+    if translations is None and agreement is None:
+        return spark.createDataFrame([], "check_name string, severity string, message string")
+    share = lambda t, good, what: t.agg(F.count("*").alias("n"), F.count_if(good).alias("k")).select(F.lit(what).alias("what"), "n", "k")
+    rates = [share(translations, F.col("same"), "translations")] if translations is not None else []
+    rates += [share(agreement, F.col("status").isin(*SAME_PROTEIN), "proteome entries")] if agreement is not None else []
+    ranked = reduce(lambda a, b: a.union(b), [r.withColumn("rank", F.lit(i)) for i, r in enumerate(rates)]).where("n > 0")
+    first = ranked.agg(F.min_by(F.struct("what", "n", "k"), "rank").alias("f")).where("f IS NOT NULL").select("f.*")
+    wrong = first.where(F.col("k") / F.col("n") < least)
+    text = F.concat("k", F.lit(" of "), "n", F.lit(" agree with the "), "what", F.lit(f", fewer than {least:.0%}"))
+    return wrong.select(F.lit("V3").alias("check_name"), F.lit("error").alias("severity"), text.alias("message"))
+
 
 def residue_check(sites: DataFrame, proteome: DataFrame) -> DataFrame:
     """match, mismatch, out_of_range or no_uniprot_entry of sites (site_id,

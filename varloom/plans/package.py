@@ -7,6 +7,7 @@ the classes that reach it.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,13 +158,17 @@ def peptide_keys(proteins: DataFrame, seq: str = "sequence", missed: int = 2, le
     return D.digested(proteins, seq, [], missed, least, most).select(P.fold("peptide").alias("k")).distinct()
 
 
-def annotated(entry: DataFrame, peptides: DataFrame, drop_nmd: bool = False, drop_known: bool = False) -> DataFrame:
+def without_decay(entry: DataFrame) -> DataFrame:
+    """Entries but for those whose transcript is likely to decay.  They go
+    before peptides are made, so nothing counts theirs."""
+    return entry.where("NOT coalesce(nmd = 'likely', false)")
+
+
+def annotated(entry: DataFrame, peptides: DataFrame, drop_known: bool = False) -> DataFrame:
     """Entries with their peptide counts and an example, the least of them."""
     fresh = F.col("novel") & F.col("spanning")
     counts = peptides.groupBy("digest").agg(F.count("*").alias("n_peptides"), F.count_if("novel").alias("n_novel"), F.count_if(fresh).alias("n_variant_peptides"), F.count_if(F.col("novel") & ~F.col("in_normal")).alias("n_novel_vs_normal"), F.count_if("in_normal").alias("n_in_normal"), F.count_if(fresh & ~F.col("in_normal")).alias("n_variant_vs_normal"), F.min(F.when(fresh, F.col("peptide"))).alias("example"))
     out = entry.join(counts, "digest", "left").fillna(0, ["n_peptides", "n_novel", "n_variant_peptides", "n_novel_vs_normal", "n_in_normal", "n_variant_vs_normal"])
-    if drop_nmd:
-        out = out.where("NOT coalesce(nmd = 'likely', false)")
     return out.where("n_novel > 0 OR variant_class = 'REFERENCE'") if drop_known else out
 
 
@@ -321,30 +326,49 @@ def write_release(spark: SparkSession, entry: DataFrame, peptides: DataFrame, or
     if isoforms is not None:
         isoform_lines(isoforms).orderBy("tx_id", F.desc("f"), "i").select("value").write.mode("overwrite").text(f"{path}/isoforms")
     for name in extra_files:
-        spark.read.text(name).coalesce(1).write.mode("overwrite").text(f"{path}/extra/{name.rsplit('/', 1)[-1]}")
+        copied(spark, name, f"{path}/extra")
     checksums(spark, path).write.mode("overwrite").option("sep", "\t").csv(f"{path}/MANIFEST")
 
 
-def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """(sha256, file, bytes) of a release's part files, read as streams: one
-    buffer of a file is held, so its size has no bound."""
+def copied(spark: SparkSession, name: str, folder: str) -> None:
+    """A file's bytes under its own name in a folder, by the file systems'
+    streams: from any store to any other, and as they are."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(name), jvm.org.apache.hadoop.fs.Path(f"{folder}/{name.rsplit('/', 1)[-1]}")
+    jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, True, conf)
+
+
+#: Bytes up to which a task holds a file to hash it; larger ones are streamed.
+MOST_HELD = 128 << 20
+
+
+def checksums(spark: SparkSession, path: str, most: int = MOST_HELD) -> DataFrame:
+    """(sha256, file, bytes) of what a release holds, hashed in tasks, a file
+    each; files beyond ``most`` bytes are read as streams.  A file that can't be
+    read has no sha256."""
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
     found = []
     walk = fs.listFiles(fs_path, True)  # a release has some hundred files
     while walk.hasNext():
         f = walk.next()
-        name = f.getPath().toString()
-        if f.getPath().getName().startswith("part-") and "/MANIFEST/" not in name:
+        name, last = f.getPath().toString(), f.getPath().getName()
+        if (last.startswith("part-") or "/extra/" in name) and not last.endswith(".crc") and "/MANIFEST/" not in name:
             found.append((name, f.getLen()))
-    listed = [(_digest(fs, spark._jvm, name), "/".join(name.rsplit("/", 2)[1:]), size) for name, size in found]
-    return spark.createDataFrame(listed, "sha256 string, file string, bytes bigint")
+    key = lambda name: "/".join(name.rsplit("/", 2)[1:])
+    listed = spark.createDataFrame([(key(name), size, _digest(fs, spark._jvm, name) if size > most else None) for name, size in found], "file string, bytes bigint, streamed string")
+    held = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).load(path).where(F.col("length") <= most)
+    hashed = held.select(F.array_join(F.slice(F.split("path", "/"), F.lit(-2), F.lit(2)), "/").alias("file"), F.sha2("content", 256).alias("held"))
+    # a file without bytes has no split that a task could read
+    return listed.join(hashed, "file", "left").select(F.coalesce("streamed", "held", F.when(F.col("bytes") == 0, F.sha2(F.lit(b""), 256))).alias("sha256"), "file", "bytes")
 
 
-def _digest(fs, jvm, name: str) -> str:
+def _digest(fs, jvm, name: str) -> str | None:
     """A file's SHA-256 from a stream in the driver's JVM: one buffer is held."""
     stream = fs.open(jvm.org.apache.hadoop.fs.Path(name))
     try:
         return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    except Py4JJavaError:  # what is damaged has no digest, and the check of digests says so
+        return None
     finally:
         stream.close()

@@ -82,6 +82,39 @@ def read_vcf(spark: SparkSession, path: str, require_pass: bool = True, keep: tu
     return manifest(out, "small", F.struct("chrom", "pos", "ref", "alt", "vcf_id", "filter", "info", F.col("ph.block").alias("phase_set"), F.col("ph.haplotypes").alias("haplotypes"), "af"))
 
 
+def whole_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(place, header, value): every line of VCF files as it is, those of the
+    header told apart; ``place`` orders them as they stand, in the order of
+    the files.  Ends of lines are line feeds; a carriage return stays part of
+    its line."""
+    named = [paths] if isinstance(paths, str) else paths
+    every = None
+    for i, path in enumerate(named):
+        lines_ = spark.read.option("lineSep", "\n").text(path)
+        place = F.struct(F.lit(i).alias("input"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+        one = lines_.select(place.alias("place"), F.col("value").startswith("#").alias("header"), "value")
+        every = one if every is None else every.unionByName(one)
+    return every
+
+
+DEFINITION = "^##(contig|INFO|FILTER|FORMAT|ALT)=<(.*)>\\s*$"
+
+
+def definitions(lines_: DataFrame) -> DataFrame:
+    """(kind, id, number, type, length, description) that a header gives;
+    what it doesn't say is null."""
+    inner = F.regexp_extract("value", DEFINITION, 2)
+    field = lambda k: F.nullif(F.regexp_extract(inner, f"(?:^|,){k}=([^,\"]*)", 1), F.lit(""))
+    said = F.nullif(F.regexp_extract(inner, '(?:^|,)Description="((?:[^"\\\\]|\\\\.)*)"', 1), F.lit(""))
+    found = lines_.where(F.col("header") & F.col("value").rlike(DEFINITION))
+    return found.select(F.regexp_extract("value", DEFINITION, 1).alias("kind"), field("ID").alias("id"), field("Number").alias("number"), field("Type").alias("type"), field("length").try_cast("bigint").alias("length"), said.alias("description"))
+
+
+def write_vcf(lines_: DataFrame, path: str) -> None:
+    """Text parts that, one after another, are the file that was read."""
+    lines_.repartitionByRange("place").sortWithinPartitions("place").select("value").write.mode("overwrite").option("lineSep", "\n").text(path)
+
+
 def table(spark: SparkSession, path: str, sep: str) -> DataFrame:
     return spark.read.option("header", True).option("sep", sep).csv(path).withColumn("ord", F.monotonically_increasing_id())
 
@@ -123,7 +156,7 @@ def read_fusions(spark: SparkSession, path: str, source: str = "fusion") -> Data
     t = table(spark, path, separator(spark, path))
     bp = [pick(t, [f"breakpoint{i}", f"bp{i}", f"breakpoint_{i}"]) for i in (1, 2)]
     rows = t.where(bp[0].rlike(BREAKPOINT) & bp[1].rlike(BREAKPOINT)).select(
-        "ord", *(F.trim(pick(t, [f"Gene{i}", f"gene_{i}"])).alias(f"gene{i}") for i in (1, 2)), *(F.regexp_extract(bp[i - 1], BREAKPOINT, 1).alias(f"chrom{i}") for i in (1, 2)), *(F.regexp_extract(bp[i - 1], BREAKPOINT, 2).cast("bigint").alias(f"pos{i}") for i in (1, 2)),
+        "ord", *(F.trim(pick(t, [f"Gene{i}", f"gene_{i}"])).alias(f"gene{i}") for i in (1, 2)), *(F.regexp_extract(bp[i - 1], BREAKPOINT, 1).alias(f"chrom{i}") for i in (1, 2)), *(F.regexp_extract(bp[i - 1], BREAKPOINT, 2).try_cast("bigint").alias(f"pos{i}") for i in (1, 2)),
         pick(t, ["Type"]).alias("detection"), pick(t, ["Validated"]).alias("validated"), pick(t, ["tag"]).alias("tag"), number(pick(t, ["confidence"])).alias("confidence"),
     )
     text = lambda i: F.concat_ws(":", f"chrom{i}", F.col(f"pos{i}").cast("string"))

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import headers as H
 from ..functions import sequence as S
 from .evidence import number, pick, table
+from .genome import CHUNK, genome_chunks
 
-#: Bases of a genome chunk.
-CHUNK = 1 << 16
 FEATURES = ("exon", "CDS", "Selenocysteine")
 
 
@@ -57,9 +56,7 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
 
 def genome(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
     """(contig, chunk_no, seq): chunks of fixed size for joins by position."""
-    whole = fasta(spark, path).select(F.substring_index("header", " ", 1).alias("contig"), "sequence")
-    n = F.ceil(F.length("sequence") / chunk).cast("int")
-    return whole.where(F.length("sequence") > 0).select("contig", "sequence", F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk_no")).select("contig", "chunk_no", F.substring("sequence", F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("seq"))
+    return genome_chunks(spark, path, chunk)
 
 
 def bare_contig(name: Column) -> Column:
@@ -138,8 +135,17 @@ def truth_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", "\t").option("header", True).option("comment", "#").csv(path)
 
 
-def observed_changes(spark: SparkSession, provenance: str) -> DataFrame:
-    """(locus, changes) of the nested provenance lines."""
-    rows = spark.read.json(provenance).select(F.explode("variants").alias("v"))
-    return rows.groupBy(F.col("v.locus").alias("locus")).agg(F.array_sort(F.collect_set("v.protein_change")).alias("changes"))
-
+def observed_changes(spark: SparkSession, provenance: str, target: str | None = None) -> DataFrame:
+    """(locus, changes) of a written release: by its nested provenance, and by
+    the headers of its FASTA parts for loci that the provenance lacks.  A
+    header alone is not enough: records of equal sequence share one."""
+    rows = spark.read.schema("variants array<struct<locus:string,protein_change:string>>").json(provenance).select(F.explode("variants").alias("v")).select("v.locus", F.col("v.protein_change").alias("change"))
+    said = lambda df: df.where("locus <> '' AND change <> ''")
+    known = said(rows)
+    if target is not None:
+        header = F.substring("value", F.lit(2), F.length("value"))
+        keys = H.header_map(header)
+        change = F.coalesce(F.try_element_at(keys, F.lit("CHANGE")), F.nullif(F.regexp_extract(header, "(?:^|\\s)(p\\.\\S+)", 1), F.lit("")))
+        named = said(spark.read.text(target).where(F.col("value").startswith(">")).select(F.try_element_at(keys, F.lit("LOC")).alias("locus"), change.alias("change")))
+        known = known.unionByName(named.join(known.select("locus").distinct(), "locus", "left_anti"))
+    return known.groupBy("locus").agg(F.array_sort(F.collect_set("change")).alias("changes"))
