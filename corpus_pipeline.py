@@ -29,11 +29,24 @@ from varloom.session import ship
 MOST_BROADCAST = 1_000_000
 
 
+def _held(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The documents under column names that no operator uses, and the name of
+    each column there."""
+    names = {c: f"_held{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def _given_back(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    return rows.select(*(F.col(held).alias(c) for c, held in names.items()))
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose toxicity score is one half or more."""
     ship(spark)
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), crc_mod(F.col("_id"), 5) != 0)
-    return toxicity.score(docs, model, keep=docs.columns).where("score < 0.5").select(*docs.columns)
+    held, names = _held(docs)
+    scored = toxicity.score(held, model, names["doc_id"], names["text"], keep=held.columns)
+    return _given_back(scored.where("score < 0.5"), names)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,21 +57,27 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     found = minhash.near_duplicates(docs, k=5, percent=80)
     dropped = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct().checkpoint()
     few = dropped.count() <= MOST_BROADCAST
-    return docs.join(F.broadcast(dropped) if few else dropped, docs["doc_id"] == F.col("_gone"), "left_anti")
+    held, names = _held(docs)
+    kept = held.join(F.broadcast(dropped) if few else dropped, F.col(names["doc_id"]) == F.col("_gone"), "left_anti")
+    return _given_back(kept, names)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     ship(spark)
-    found = decontam.find_windows(spark, docs, read_table(spark, sf_dir, "benchmark"), keep=docs.columns)
-    return found.where(F.size("hits") == 0).select(*docs.columns)
+    held, names = _held(docs)
+    found = decontam.find_windows(spark, held, read_table(spark, sf_dir, "benchmark"), names["doc_id"], names["text"], keep=held.columns)
+    return _given_back(found.where(F.size("hits") == 0), names)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Marks secrets, plain and wrapped, out of the texts."""
     ship(spark)
-    clean = secrets_scan.redacted(secrets_scan.scan(docs, keep=docs.columns))
-    return clean.select(*(F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    held, names = _held(docs)
+    clean = secrets_scan.redacted(secrets_scan.scan(held, names["doc_id"], names["text"], keep=held.columns), names["text"])
+    if "n_chars" in names:
+        clean = clean.withColumn(names["n_chars"], F.char_length(names["text"]).cast(docs.schema["n_chars"].dataType))
+    return _given_back(clean, names)
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
