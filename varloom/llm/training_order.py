@@ -14,12 +14,13 @@ bytes, in slot order.  A reader finds slot s in row s div STRIPE at byte
 
 A folder holds ``ids`` (while it is made), ``order`` (N, the key and the sizes),
 ``shards`` by waves of at most WAVE shards, and a mark in ``done`` for each wave
-that is complete.  A run that finds a folder begun goes on with it: ids and order
-are taken as they are and complete waves are left out; another key or size than
-the folder's is an error.
+that is complete.  A run that finds a folder begun goes on with it: what has
+Spark's mark of a finished write is taken as it is, and what lacks it is made
+anew, so ids and order stay and complete waves are left out; another key or size
+than the folder's is an error.
 
 Cases: a null or empty text is one sequence of end ids; texts of any length are
-whole; repeated rows have sequences of their own; a null id is kept as it is; an
+whole, those beyond what the library's matcher can hold by overlapping chunks; repeated rows have sequences of their own; a null id is kept as it is; an
 empty table writes no row and reads as an empty table; other columns, whatever
 their names, are not looked at.
 """
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import load_ranks
+from .bpe import CHUNK_CHARS, OVERLAP_CHARS, Encoder, load_ranks
 from .common import mix, ragged, slices, use_checkpoints
 
 #: Ids of a sequence, sequences of a row of a shard, and of a shard.
@@ -45,6 +46,8 @@ LENGTH, STRIPE, SHARD = 512, 256, 65_536
 #: Shards that are shuffled at once; a larger order is written in several waves, each a job of its own.
 WAVE = 65_536
 ROUNDS = 6
+#: Characters up to which the library takes a text at once: its matcher ends with an error on white space of about a million.
+LIBRARY_CHARS = 1 << 17
 
 
 _CODEC = pa.Codec("zstd", 1)
@@ -133,16 +136,24 @@ class Numbering:
 
 def token_ids(df: DataFrame, path: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """(_id, n, body, part, before): the token ids of every whole text, by the
-    tokenizer library itself, squeezed, and their place in the order of the
-    documents.  ``path``: a rank file that every executor can read."""
+    tokenizer library itself, long ones by their pieces, squeezed, and their
+    place in the order of the documents.  ``path``: a rank file that every
+    executor can read."""
     kind = df.schema[id_col].dataType.simpleString()
     width = id_width(end_id)
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine, numbering = library(path, pattern), Numbering(length)
+
+        def coded_(text: str) -> np.ndarray:
+            if len(text) <= LIBRARY_CHARS:
+                return engine.encode_to_numpy(text, disallowed_special=())
+            pieces = Encoder.of(path, pattern)
+            return np.frombuffer(pieces.encode(pieces.pre_tokens(text, CHUNK_CHARS, OVERLAP_CHARS)), "<u4")
+
         for batch in slices(batches, "_text", 1 << 20):
-            coded = [engine.encode_to_numpy(x.as_py(), disallowed_special=()).astype(f"<u{width}") for x in batch.column("_text")]
+            coded = [coded_(x.as_py()).astype(f"<u{width}") for x in batch.column("_text")]
             n = np.array([len(x) for x in coded], np.int64)
             bodies = pa.array([squeezed(x.tobytes()) for x in coded], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(n), bodies, *numbering.columns(n)], ["_id", "n", "body", "part", "before"])
@@ -165,8 +176,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def written(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at the path, or None where there is none."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """The table at the path, or None where its write has not ended."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
     return spark.read.parquet(path) if there else None
 
@@ -209,7 +220,7 @@ def materialise(numbered: DataFrame, path: str, end_id: int, key: str, length: i
             firsts.append((row["part"], at))
             at += row["sequences"]
         spark.createDataFrame(firsts, "part int, first bigint").coalesce(1).write.mode("overwrite").parquet(f"{path}/starts")
-        spark.createDataFrame([(at, *asked)], "n bigint, key string, length int, stripe int, shard int, end_id int, wave int").coalesce(1).write.parquet(f"{path}/order")
+        spark.createDataFrame([(at, *asked)], "n bigint, key string, length int, stripe int, shard int, end_id int, wave int").coalesce(1).write.mode("overwrite").parquet(f"{path}/order")
         order_row = written(spark, f"{path}/order")
     total, *known = order_row.first()
     if tuple(known) != asked:
