@@ -1,7 +1,8 @@
 """Secret scans: a recursive decoding worklist with span mapping.
 
 A text is the first layer of a worklist.  Each layer is scanned for secrets,
-then unwrapped: percent escapes and Unicode escapes are decoded in place within
+then unwrapped: an escape that was escaped again nine times or more is taken back
+to one escape in one step, other percent and Unicode escapes are decoded in place within
 the layer, base64 words are decoded into layers of their own, and gzip or zlib
 data in them are unpacked.  Lines of base64 with single line breaks between them
 are also joined to words: all lines together, and each stretch of lines of equal
@@ -15,7 +16,8 @@ stems from; a secret found at any depth is reported as the smallest original
 range that holds it.  Base spans are those of depth 0.
 
 Packed data are unpacked as often as they are packed, until content comes back
-that was there before.  A layer need not be text throughout: bytes that are not
+that was there before; of damaged or cut off data what comes before the damage is
+a layer, beside the data as they are.  A layer need not be text throughout: bytes that are not
 UTF-8, escaped or coded, and escapes of no character stand in it as single signs.  An unpacked layer of more than MOST_UNPACKED
 bytes is a stream that is scanned in windows of that size, OVERLAP bytes of each
 again in the next one, so only a coded word longer than that may be cut.
@@ -50,6 +52,8 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 # a run that is long enough starts where the run starts, so the least length can stand in the pattern
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
+# signs escaped again and again: one level a layer would take as many layers as there are levels
+_NESTED = re.compile(r"%(?:25){9,}|\\(?:u005[cC]|x5[cC]|U0000005[cC]|u\{0{0,4}5[cC]\}){9,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPED = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+")
 _ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
@@ -114,6 +118,11 @@ def _in_place(layer: Layer, found: list[tuple[int, int, str, list[tuple[int, int
     return Layer("".join([*texts, layer.text[at:]]), np.concatenate([*firsts, a]), np.concatenate([*lasts, b]), layer.depth + 1)
 
 
+def unwrap_nested(layer: Layer) -> Layer | None:
+    """Each sign that was escaped again and again as that sign, once."""
+    return _in_place(layer, [(m.start(), m.end(), m[0][0], [m.span()]) for m in _NESTED.finditer(layer.text)])
+
+
 def unwrap_percent(layer: Layer) -> Layer | None:
     found = []
     for m in _PERCENT.finditer(layer.text):
@@ -160,7 +169,12 @@ class Unpacked:
         for part in self.parts:
             many = part[:2] == b"\x1f\x8b" if many is None else many
             while True:
-                out = machine.decompress(part, 1 << 20)
+                before = machine.copy()
+                try:
+                    out = machine.decompress(part, 1 << 20)
+                except zlib.error:
+                    yield from _readable(before, part)
+                    raise
                 rest = machine.unused_data if machine.eof else machine.unconsumed_tail
                 self.taken += len(part) - len(rest)
                 part = rest
@@ -176,10 +190,31 @@ class Unpacked:
             raise zlib.error("cut off")
 
 
-def unpacked(data: bytes) -> tuple[int, bytes, Iterator[bytes]]:
+def _readable(machine, part: bytes) -> Iterator[bytes]:
+    """What comes out before the damage: larger pieces as long as they can be
+    read, then smaller ones."""
+    at, size = 0, 1 << 14
+    while size:
+        if at >= len(part):
+            return
+        before = machine.copy()
+        try:
+            out = machine.decompress(part[at : at + size])
+        except zlib.error:
+            machine, size = before, size // 8
+            continue
+        if out:
+            yield out
+        if machine.eof:
+            return
+        at += size
+
+
+def unpacked(data: bytes) -> tuple[int, bytes, Iterator[bytes], bytes | None]:
     """(bytes taken of the data, 0 if they are not packed; what is in them when
-    all that is packed is unpacked, or its first MOST_UNPACKED bytes; more)."""
-    taken, more, seen = 0, iter(()), set()
+    all that is packed is unpacked, or its first MOST_UNPACKED bytes; more; the
+    data that turned out to be damaged, if any)."""
+    taken, more, seen, damaged = 0, iter(()), set(), None
     while looks_packed(data):
         key = hashlib.blake2b(data).digest()
         if key in seen:
@@ -192,9 +227,13 @@ def unpacked(data: bytes) -> tuple[int, bytes, Iterator[bytes]]:
                 held.append(part)
                 size += len(part)
         except zlib.error:
-            break
+            damaged = data
+            if not held:
+                break
+            # what could be read goes on; it took all there is
+            parts, machine.taken = iter(()), len(data)
         data, more, taken = b"".join(held), parts, taken or machine.taken
-    return taken, data, more
+    return taken, data, more, damaged
 
 
 def windows(data: bytes, more: Iterator[bytes]) -> Iterator[bytes]:
@@ -296,12 +335,12 @@ def decoded(layer: Layer, lines: list[tuple[int, int]]) -> Iterator[tuple[Layer,
         except binascii.Error:
             return
     whole = len(data)
-    taken, data, more = unpacked(data)
+    taken, data, more, damaged = unpacked(data)
     # where each sign of the word stands
     at = np.concatenate([np.arange(a, b, dtype=np.int64) for a, b in lines])
     if taken:
         a, b = layer.span(lines[0][0], lines[-1][1] if taken == whole else int(at[-(-taken * 4 // 3) - 1]) + 1)
-        for part in itertools.chain([data], windows(data, more)):
+        for part in itertools.chain([data], windows(data, more), [] if damaged is None else [damaged]):
             text = text_of(part)
             if text:
                 yield Layer(text, np.broadcast_to(np.int64(a), len(text)), np.broadcast_to(np.int64(b), len(text)), layer.depth + 1), True
@@ -318,6 +357,11 @@ def decoded(layer: Layer, lines: list[tuple[int, int]]) -> Iterator[tuple[Layer,
 
 
 def _inner(layer: Layer) -> Iterator[Layer]:
+    if (x := unwrap_nested(layer)) is not None:
+        # its escapes come one level deeper, and are not taken apart here level by level
+        yield x
+        yield from unwrap_base64(layer)
+        return
     if "%" in layer.text and (x := unwrap_percent(layer)) is not None:
         yield x
     if "\\" in layer.text and (x := unwrap_escapes(layer)) is not None:
