@@ -350,7 +350,64 @@ def test_secret_scan_has_no_caps():
     at = cases["control"].index(secret)
     coded = base64.b64encode(cases["control"]).decode()
     assert secrets_scan.scan_text(coded)[0][:2] == (at * 4 // 3, -(-(at + len(secret)) * 4 // 3))
-    assert secrets_scan.scan_text("see " + base64.b64encode(deep[:-9]).decode()) == []
+
+
+def test_secret_scan_reads_damaged_data_up_to_the_damage():
+    secret, filler = b"password = hunter2hunter2X", b"many words of no use\n" * 50_000
+    packed = gzip.compress(filler * 3 + secret + filler * 2)
+    broken, noise = bytearray(zlib.compress(secret + b"\n" + np.random.default_rng(1).bytes(5_000))), bytearray(gzip.compress(secret))
+    broken[2_000] ^= 0xFF
+    noise[-6] ^= 1  # its checksum
+    twice = gzip.compress(zlib.compress(secret + filler)[:-40])
+    for data in (packed[:-3], packed[:-9], packed[: len(packed) * 2 // 3], bytes(broken), bytes(noise), twice):
+        coded = base64.b64encode(data).decode()
+        found = secrets_scan.scan_text(f"see {coded} end")
+        assert found and all(secrets_scan.KINDS[k] == "assign" and 4 <= a < b <= 4 + len(coded) for a, b, k, _ in found)
+    # what comes before the damage holds none
+    assert secrets_scan.scan_text("see " + base64.b64encode(packed[: len(packed) // 3]).decode()) == []
+
+
+def test_secret_scan_of_nested_escapes_is_linear():
+    for text in ("%" + "25" * 500_000 + "70assword = hunter2hunter2X", "\\" + "u005c" * 200_000 + "u0070assword = hunter2hunter2X", "\\" + "x5C" * 300_000 + "x70assword = hunter2hunter2X"):
+        start = time.perf_counter()
+        found = [x[:2] for x in secrets_scan.scan_text(text) if x[2] == 0]
+        assert time.perf_counter() - start < 2 and found == [(0, len(text))]
+    # fewer levels come off one by one, more in one step, and give the same
+    for n in (1, 2, 8, 9, 10, 40):
+        for text in ("%" + "25" * n + "70assword = hunter2hunter2X", "a %" + "25" * n + "41KIA" + "ABCDEFGHIJKLMNOP%" + "25" * n):
+            plain = text
+            while (less := plain.replace("%25", "%")) != plain:
+                plain = less
+            plain = re.sub("%(..)", lambda m: chr(int(m[1], 16)), plain)
+            kinds = lambda t: [secrets_scan.KINDS[x[2]] for x in secrets_scan.scan_text(t) if x[2] < 2]
+            assert kinds(text) == kinds(plain) != []
+
+
+def test_training_order_of_long_white_space(spark):
+    """Texts that the library's matcher can't take are encoded by their pieces."""
+    enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+    texts = [" " * 5_000_000, "\n" * 1_500_000 + "a", "ab  \n " * 40_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    got = {r["_id"]: np.frombuffer(training_order.restored(r["body"], 2 * r["n"]), "<u2").astype(np.uint32) for r in training_order.token_ids(df, RANKS, PATTERN, 50_256).collect()}
+    assert got[2].tolist() == enc.encode_ordinary(texts[2])
+    for i, text in enumerate(texts):
+        assert enc.decode(got[i].tolist()) == text
+    e = bpe.Encoder.of(RANKS, PATTERN)
+    assert got[0].tobytes() == e.encode(e.split(texts[0]))
+
+
+def test_training_order_goes_on_after_an_unfinished_write(spark, odd):
+    """A folder whose order, ids or wave lack the mark of a finished write."""
+    ids = training_order.token_ids(odd, RANKS, PATTERN, 50_256, length=16)
+    path = training_order.shared_path(spark, "order")
+    sizes = {"length": 16, "stripe": 8, "shard": 64, "wave": 2}
+    place = lambda name: spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    fs = place("").getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in ("ids", "order", "done/0", "shards/wave=0"):
+        fs.mkdirs(place(f"{name}/_temporary/0"))
+    total = training_order.materialise(ids, path, 50_256, "k", **sizes)
+    rows = training_order.read_from(spark, path, stripe=8).collect()
+    assert len(rows) == total > 0 and sorted(r["slot"] for r in rows) == list(range(total))
 
 
 def test_training_order(spark, odd, none):
@@ -511,6 +568,29 @@ def test_samples_with_ties_and_repeats(spark):
     assert features.labelled_sample(docs, labels, "toxic", F.lit(True), 1).count() == 1
 
 
+HELD_NAMES = "ad-container ad-wrapper ad-slot-3 advert-box sponsored-content promo-block comments-list comments-wrapper comment-thread share-container newsletter-box cookie-container related-posts adContainer ad ads commentBody social-links related_articles subscribe-panel".split()
+KEPT_NAMES = "with-ads has-comments no-related content-wrapper page-container lead-story ad-free story-body article-text main-content".split()
+PROSE = ["The river had risen over night, and nobody in the lower town had slept well.", "By noon the water stood at the second step of the church, where it stopped.", "In the evening the mayor read out the names of those who had helped, one by one."]
+
+
+def test_html_names_of_several_words():
+    """Adverts, comments, notices and shares go, in the article and beside it,
+    and names that only mention them don't matter."""
+    extra = ["Buy two of our fine rain coats today, and the third one is free for your family.", "I was there, too, and I must say that the mayor never read my name, which is a shame."]
+    within = lambda name, attr: "".join(f"<p>{t}</p>" for t in PROSE[:2]) + f'<div {attr}="{name}">' + "".join(f"<p>{t}</p>" for t in extra) + f"</div><p>{PROSE[2]}</p>"
+    dropped = 0
+    for name in HELD_NAMES:
+        for attr in ("class", "id"):
+            for page in (f"<body><article>{within(name, attr)}</article></body>", f"<body><div>{within(name, attr)}</div></body>", f'<body><div>{"".join(f"<p>{t}</p>" for t in PROSE)}</div><div {attr}="{name}">{"".join(f"<p>{t}</p>" for t in extra)}</div></body>'):
+                lines = html_text.main_text(page).split("\n")
+                assert lines == PROSE, (name, page)
+                dropped += 1
+    assert dropped == 6 * len(HELD_NAMES)
+    for name in KEPT_NAMES:
+        for page in (f'<body class="{name}"><div>{"".join(f"<p>{t}</p>" for t in PROSE)}</div></body>', f'<body><div class="{name}"><article>{"".join(f"<p>{t}</p>" for t in PROSE)}</article></div></body>'):
+            assert html_text.main_text(page).split("\n") == PROSE, name
+
+
 def test_pipeline_stages_on_odd_rows(spark, none):
     """Nulls in every column, empty and long texts, ties, repeated rows, columns
     with clashing names, and no rows at all."""

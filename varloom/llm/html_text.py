@@ -17,7 +17,9 @@ two regions of the page.  An article or main element starts anew whatever class
 words say of what stands around it, unless a navigation, aside, footer or form
 element does or, for an article, a list of comments, related pages or
 advertisements; names of several words (with-sidebar, site-header) say less than
-whole ones.  A maximum flow separates content from boilerplate with
+whole ones, unless they are made of what is held and of the part of a page that
+holds it (ad-slot, comments-list).  An article's own header element is a header
+like others.  A maximum flow separates content from boilerplate with
 the least total cost.
 
 The text is the content blocks in page order, joined by one newline, with
@@ -80,6 +82,12 @@ BARRED = frozenset("nav aside footer form button dialog menu".split())
 BARRED_ROLES = frozenset(role for role, evidence in BY_ROLE.items() if evidence < 0)
 #: Words that make a name of several words tell of the page's state or layout.
 STATES = frozenset("with without has have no is not are fixed sticky open opened closed collapsed enabled disabled visible overflow active layout container wrapper wrap page content".split())
+#: Those of AGAINST that no page as a whole is named after, and words for the parts of a page: a name made of both is about what it holds (ad-slot, comments-list, related-posts).
+HELD = OTHERS | frozenset("share sharing social cookie cookies consent gdpr subscribe subscription popup paywall toast".split())
+PARTS = frozenset(
+    "container containers wrapper wrap box block blocks slot slots list thread threads item items section area bar panel inner outer holder unit units card cards content body text post posts article articles story stories "
+    "reading link links button buttons zone module region group row column grid title heading label count top bottom left right small large".split()
+)
 FOR = frozenset("article articlebody content post entry story maincontent body text main prose".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Phrases of notices and legal lines.
@@ -166,7 +174,7 @@ def _against(value: str, paragraph: bool) -> float:
     for name in value.split():
         words = [w.lower() for w in _NAME_WORD.findall(name)]
         bad = [w in AGAINST for w in words]
-        if all(bad):
+        if all(bad) or HELD.intersection(words) and all(b or w in PARTS for w, b in zip(words, bad, strict=True)):
             doubtful = paragraph and AMBIGUOUS.issuperset(words)
             worst = min(worst, (-2.0 if doubtful else -9.0) if bad else 0.0)
         elif any(bad) and not STATES.intersection(words):
