@@ -15,6 +15,7 @@ from ..functions import digestion as D
 from ..functions import headers as H
 from ..functions import peptides as P
 from ..operators import relational as R
+from ..session import use_checkpoints
 from ..species import KNOWN, Species
 
 # Classes in the order in which one names a sequence that several reach; others rank last.
@@ -114,12 +115,19 @@ def with_reference(kept: DataFrame) -> DataFrame:
 
 def write_order(records: DataFrame) -> DataFrame:
     """Records with serial, unique id and the record that stands for them: of
-    equal class and sequence the first stays and the others are merged."""
-    filled = records.where("sequence <> ''")
-    numbered = R.dense_numbers(filled, ["variant_class"], ["seq_id", "locus", "transcript"], "n").withColumn("serial", F.concat("variant_class", F.lit("_"), F.lpad(F.col("n").cast("string"), 6, "0")))
+    equal class and sequence the first stays and the others are merged.
+
+    Records are written once, with a number each; what is sorted, numbered and
+    compared then are slim rows without the sequences, which meet the records
+    by that number."""
+    use_checkpoints(records.sparkSession)
+    held = records.where("sequence <> ''").withColumn("digest", F.sha2("sequence", 256)).withColumn("_record", F.monotonically_increasing_id()).checkpoint()
+    slim = held.select("_record", "variant_class", "seq_id", "locus", "transcript", "digest")
+    numbered = R.dense_numbers(slim, ["variant_class"], ["seq_id", "locus", "transcript", "_record"], "n").select("_record", "variant_class", "seq_id", "digest", F.concat("variant_class", F.lit("_"), F.lpad(F.col("n").cast("string"), 6, "0")).alias("serial"))
     suffixed = R.dense_numbers(numbered, ["seq_id"], ["serial"], "k").withColumn("entry_id", F.when(F.col("k") == 1, F.col("seq_id")).otherwise(F.concat("seq_id", F.lit("_dup"), F.col("k").cast("string"))))
-    first = suffixed.groupBy("variant_class", F.sha2("sequence", 256).alias("digest")).agg(F.min("serial").alias("kept_serial"))
-    return suffixed.withColumn("digest", F.sha2("sequence", 256)).join(first, ["variant_class", "digest"]).withColumn("kept", F.col("serial") == F.col("kept_serial")).drop("n", "k")
+    first = suffixed.groupBy("variant_class", "digest").agg(F.min("serial").alias("kept_serial"))
+    named = suffixed.join(first, ["variant_class", "digest"]).select("_record", "serial", "entry_id", "kept_serial")
+    return held.join(named, "_record").withColumn("kept", F.col("serial") == F.col("kept_serial")).drop("_record")
 
 
 def merged_loci(ordered: DataFrame) -> DataFrame:
