@@ -3,6 +3,7 @@
 import json
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 
@@ -125,7 +126,7 @@ def test_jobs_on_empty_tables(spark, tmp_path):
 
 def test_settings_and_command_line(spark, tmp_path, monkeypatch, capsys):
     for name, kind in (("peptide_library", peptide_library.Settings), ("normal_background", normal_background.Settings)):
-        text = spark.read.option("wholetext", True).text(f"jobs/{name}.json").head()[0]
+        text = spark.read.option("wholetext", True).text(str(Path(__file__).resolve().parents[1] / "jobs" / f"{name}.json")).head()[0]
         assert common.settings(kind, text) == kind()
         assert common.settings(kind, None) == kind()
         for bad in ({"nosuch": 1}, {"least_length": "6"}, {"least_length": True}):
