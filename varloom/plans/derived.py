@@ -19,8 +19,8 @@ from ..session import use_checkpoints
 from ..sources import evidence
 from ..sources import genome as G
 from ..sources.reference import sized, transcript_sequences
-from . import build, constructed, faults, package
-from .generic import SQL_CODE, SQL_FRAGMENTS, SQL_SEQ, as_entries, entries, query, reference_keys, sql_nt, sql_peptides, table
+from . import build, constructed, events, faults, package
+from .generic import SQL_CODE, SQL_JX, SQL_SEQ, as_entries, entries, exons, query, reference_keys, sql_nt, sql_peptides, table
 
 #: Bases of a gene, its exons within them (1-based), and where translation begins on the transcript.
 GENE, EXONS, CDS_OFF = 128, ((1, 44), (61, 124)), 4
@@ -301,3 +301,39 @@ def combo_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     made = build.combinations(variants, transcripts.drop("key", "p_size"), sequences)
     return made.select("seq_id", "sequence", "variant_pos_aa", "protein_change", F.array_join("notes", ";").alias("notes"))
+
+
+# ---------------------------------------------------------------- splicing events by their ids
+
+_SQL_IDS = f"""{SQL_JX}, m AS (SELECT gene, gene % 2 = 0 AS plus, count(DISTINCT tx) AS n FROM x GROUP BY gene HAVING count(DISTINCT tx) > 1),
+t AS (SELECT DISTINCT gene, e, nxt, nxe, nx2 FROM j WHERE nx2 IS NOT NULL), o AS (SELECT gene, tx, list(s ORDER BY s) AS ss, list(e ORDER BY s) AS es FROM x GROUP BY ALL HAVING count(*) > 1),
+l AS (SELECT DISTINCT gene, es[1] AS v, ss[1] AS o, ss[2] AS k FROM o), r AS (SELECT DISTINCT gene, ss[-1] AS v, es[-1] AS o, es[-2] AS k FROM o),
+g AS (SELECT t.gene, 'SE' AS p, 'SE' AS q, e || '-' || nxt || ':' || nxe || '-' || nx2 AS f FROM t JOIN q ON q.gene = t.gene AND q.lo = e AND q.hi = nx2
+UNION SELECT a.gene, 'A3', 'A5', a.lo || '-' || a.hi || ':' || b.lo || '-' || b.hi FROM q a JOIN q b ON a.gene = b.gene AND a.lo = b.lo AND a.hi < b.hi
+UNION SELECT a.gene, 'A5', 'A3', a.lo || '-' || a.hi || ':' || b.lo || '-' || b.hi FROM q a JOIN q b ON a.gene = b.gene AND a.hi = b.hi AND a.lo > b.lo
+UNION SELECT q.gene, 'RI', 'RI', x.s || ':' || q.lo || '-' || q.hi || ':' || x.e FROM q JOIN x ON x.gene = q.gene AND x.s < q.lo AND x.e > q.hi
+UNION SELECT a.gene, 'MX', 'MX', a.e || '-' || a.nxt || ':' || a.nxe || '-' || a.nx2 || ':' || a.e || '-' || b.nxt || ':' || b.nxe || '-' || a.nx2 FROM t a JOIN t b ON a.gene = b.gene AND a.e = b.e AND a.nx2 = b.nx2 AND a.nxe < b.nxt
+UNION SELECT a.gene, 'AF', 'AL', a.o || ':' || a.v || '-' || a.k || ':' || b.o || ':' || b.v || '-' || a.k FROM l a JOIN l b ON a.gene = b.gene AND a.k = b.k AND a.v < b.v
+UNION SELECT a.gene, 'AL', 'AF', a.k || '-' || a.v || ':' || a.o || ':' || a.k || '-' || b.v || ':' || b.o FROM r a JOIN r b ON a.gene = b.gene AND a.k = b.k AND a.v < b.v),
+i AS (SELECT DISTINCT CASE WHEN plus THEN p ELSE q END AS type, 'G' || g.gene AS gene, f, 'chr' || g.gene % 7 AS chrom, CASE WHEN plus THEN '+' ELSE '-' END AS strand, n FROM g JOIN m USING (gene)),
+ids AS (SELECT gene || ';' || type || ':' || chrom || ':' || f || ':' || strand AS event_id, type, gene, chrom, strand, n AS n_transcripts, string_split(f, ':') AS gs FROM i)"""
+
+
+def annotated_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived genes' transcripts as an annotation has them."""
+    rows = exons(spark, sf_dir).groupBy("gene", "tx").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("exons"))
+    minus = F.col("gene") % 2 == 1
+    return rows.select(F.concat(F.lit("G"), F.col("gene").cast("string")).alias("gene_id"), F.col("tx").cast("string").alias("tx_id"), F.concat(F.lit("chr"), (F.col("gene") % 7).cast("string")).alias("chrom"), F.when(minus, "-").otherwise("+").alias("strand"), F.when(minus, F.reverse("exons")).otherwise(F.col("exons")).alias("exons"))
+
+
+@query(f"WITH {_SQL_IDS} SELECT event_id, type, gene, chrom, strand, n_transcripts FROM ids")
+def event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all seven kinds of events, by strand."""
+    return events.event_ids(annotated_exons(spark, sf_dir))
+
+
+@query(f"""WITH {_SQL_IDS} SELECT DISTINCT event_id, chrom || ':' || unnest(CASE type WHEN 'SE' THEN [gs[1], gs[2], split_part(gs[1], '-', 1) || '-' || split_part(gs[2], '-', 2)] ELSE list_filter(gs, lambda g: contains(g, '-')) END) AS junction FROM ids""")
+def event_junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the annotation to ids, and from those back to the junctions that
+    each event needs."""
+    return events.required_junctions(events.event_ids(annotated_exons(spark, sf_dir)))
