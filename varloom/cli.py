@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import config as C
 from . import detect as D
-from . import release
+from . import release, tools
 from .functions import sequence as S
 from .plans import build as B
 from .plans import checks, faults, package, profile, report
@@ -216,6 +216,26 @@ def inspect(spark, path: str) -> list[str]:
     return lines
 
 
+def _beside(args: argparse.Namespace) -> int:
+    """The commands beside a run; what they count is printed as JSON."""
+    spark = ship(session())
+    given = {k: v for k, v in vars(args).items() if v is not None}
+    if args.command == "convert":
+        found = tools.convert(spark, args.kind, args.source, args.out, args.genome, given.get("least", 1), given.get("of", 0))
+    elif args.command == "events":
+        found = tools.annotated_events(spark, args.annotation, args.out)
+    elif args.command == "normal-events":
+        found = tools.seen_in_normal(spark, args.events, args.junctions, args.out, args.of)
+    elif args.command == "compare":
+        found = tools.compare(spark, dict(x.split("=", 1) for x in args.tools), args.out, given.get("k", 7))
+    elif args.command == "score":
+        found = tools.score(spark, args.release, args.truth, args.out)
+    else:
+        found = tools.crosscheck(spark, args.release, args.other, args.out)
+    print("\n".join(found) if isinstance(found, list) else json.dumps(found, sort_keys=True))
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="varloom", description="Variants to proteins and peptides on Spark.")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -231,7 +251,19 @@ def main(argv: list[str] | None = None) -> int:
     check.add_argument("--skip", default="", help="checks to leave out, by comma")
     view = sub.add_parser("inspect", help="profile files")
     view.add_argument("files", nargs="+")
+    beside = {
+        "convert": ("a union table as the input of a run", ("kind", "source", "out", "genome"), ("least", "of")), "events": ("the alternative events of an annotation", ("annotation", "out"), ()), "normal-events": ("events whose junctions normal tissues show", ("events", "junctions", "out"), ("of",)),
+        "compare": ("what the FASTA files of several tools share", ("out", "tools"), ("k",)), "score": ("a release against a truth set", ("release", "truth", "out"), ()), "crosscheck": ("a release's consequences against another annotator's", ("release", "other", "out"), ()),
+    }
+    for name, (said, needed, more) in beside.items():
+        one = sub.add_parser(name, help=said)
+        for word in needed:
+            one.add_argument(word, **({"nargs": "+", "metavar": "NAME=FASTA"} if word == "tools" else {}))
+        for word in more:
+            one.add_argument(f"--{word}", type=int)
     args = parser.parse_args(argv)
+    if args.command in beside:
+        return _beside(args)
     if args.command == "detect":
         found = D.detect_folder(args.folder)
         plan = D.plan(found)
