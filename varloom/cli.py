@@ -14,7 +14,7 @@ from . import detect as D
 from . import release, tools
 from .functions import sequence as S
 from .plans import build as B
-from .plans import checks, faults, package, profile, report
+from .plans import audits, checks, faults, package, profile, report
 from .runlog import RunLog, human_bytes, write_lines
 from .session import session, ship, use_checkpoints
 from .sources import evidence, reference
@@ -202,7 +202,7 @@ def builders(cfg: C.RunConfig, manifest, transcripts, sequences, chunks):
         yield "noncanonical", lambda: B.noncanonical(transcripts, sequences, known, get("noncanonical_min_aa"), not get("noncanonical_any_start"))
 
 
-PROFILES = {"small_variants": profile.vcf_profile, "genome": profile.fasta_profile, "proteome": profile.fasta_profile, "translations": profile.translation_audit, "annotation": profile.gtf_audit, "regions": profile.region_profile}
+PROFILES = {"small_variants": profile.vcf_profile, "genome": audits.genome_audit, "proteome": audits.proteome_audit, "translations": profile.translation_audit, "annotation": audits.annotation_audit, "regions": profile.region_profile}
 
 
 def inspect(spark, path: str) -> list[str]:

@@ -19,7 +19,7 @@ from ..session import use_checkpoints
 from ..sources import evidence
 from ..sources import genome as G
 from ..sources.reference import sized, transcript_sequences
-from . import build, constructed, events, faults, package
+from . import audits, build, constructed, events, faults, package
 from .generic import SQL_CODE, SQL_JX, SQL_SEQ, as_entries, entries, exons, query, reference_keys, sql_nt, sql_peptides, table
 
 #: Bases of a gene, its exons within them (1-based), and where translation begins on the transcript.
@@ -337,3 +337,35 @@ def event_junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the annotation to ids, and from those back to the junctions that
     each event needs."""
     return events.required_junctions(events.event_ids(annotated_exons(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- audits
+
+_SQL_MASKED = "regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')"
+
+
+@query(f"""WITH s AS (SELECT CASE doc_id % 5 WHEN 0 THEN 'chr' || doc_id || '_alt' WHEN 1 THEN 'chr' || doc_id || '_random' WHEN 2 THEN 'chrUn_' || doc_id ELSE 'chr' || doc_id END AS contig, doc_id % 5 AS k, {_SQL_MASKED} AS seq FROM documents)
+SELECT contig, CAST(length(seq) AS BIGINT) AS length, CAST(length(regexp_replace(seq, '[^a-z]', '', 'g')) AS BIGINT) AS n_masked, CAST(length(regexp_replace(seq, '[^nN]', '', 'g')) AS BIGINT) AS n_unknown, CASE k WHEN 0 THEN 'alternative' WHEN 1 THEN 'unlocalised' WHEN 2 THEN 'unplaced' ELSE 'primary' END AS kind FROM s WHERE seq <> ''""")
+def genome_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as contigs in letters of both cases, audited."""
+    kind, key = F.col("doc_id") % 5, F.concat(F.lit("chr"), F.col("doc_id").cast("string"))
+    contig = F.when(kind == 0, F.concat(key, F.lit("_alt"))).when(kind == 1, F.concat(key, F.lit("_random"))).when(kind == 2, F.concat(F.lit("chrUn_"), F.col("doc_id").cast("string"))).otherwise(key)
+    path = scratch(spark, "masked")
+    rows = table(spark, sf_dir, "documents").select(contig.alias("contig"), F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", "").alias("seq"))
+    rows.select(F.concat(F.lit(">"), "contig", F.lit("\n"), H.wrapped("seq", 80))).write.text(path)
+    return audits.genome_audit(spark, path)
+
+
+@query(f"""WITH s AS (SELECT doc_id, source, {SQL_SEQ} AS seq, upper({_SQL_MASKED}) AS raw FROM documents), r AS (SELECT * FROM s WHERE raw <> '')
+SELECT 'database' AS what, CASE WHEN doc_id % 3 = 0 THEN 'tr' ELSE 'sp' END AS key, count(*) AS n FROM r GROUP BY ALL UNION ALL SELECT 'field', k, count(*) FROM r, (SELECT unnest(['OS', 'GN']) AS k) WHERE k = 'OS' OR doc_id % 7 <> 0 GROUP BY ALL
+UNION ALL SELECT 'isoform', '', count(*) FROM r WHERE doc_id % 4 = 0 HAVING count(*) > 0 UNION ALL SELECT 'wrapped', '', count(*) FROM r WHERE length(raw) > 60 HAVING count(*) > 0 UNION ALL SELECT 'no_methionine', '', count(*) FROM r WHERE NOT starts_with(raw, 'M') HAVING count(*) > 0
+UNION ALL SELECT 'residue', x, CAST(sum(length(raw) - length(replace(raw, x, ''))) AS BIGINT) AS n FROM r, (SELECT unnest(['U', 'O', 'X', 'B', 'Z', 'J']) AS x) GROUP BY x HAVING sum(length(raw) - length(replace(raw, x, ''))) > 0
+UNION ALL SELECT 'genes_of_several_entries', '', count(*) FROM (SELECT source FROM r WHERE doc_id % 7 <> 0 GROUP BY source HAVING count(*) > 1) HAVING count(*) > 0""")
+def proteome_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as entries of a proteome, audited."""
+    key = F.col("doc_id")
+    path = scratch(spark, "proteome")
+    head = F.concat(F.lit(">"), F.when(key % 3 == 0, "tr").otherwise("sp"), F.lit("|D"), key.cast("string"), F.when(key % 4 == 0, "-1").otherwise(""), F.lit("|X_HUMAN a protein OS=Homo sapiens"), F.when(key % 7 != 0, F.concat(F.lit(" GN="), "source")).otherwise(""))
+    rows = table(spark, sf_dir, "documents").select(head.alias("head"), F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", "")).alias("seq")).where("seq <> ''")
+    rows.select(F.concat("head", F.lit("\n"), H.wrapped("seq", 60))).write.text(path)
+    return audits.proteome_audit(spark, path)

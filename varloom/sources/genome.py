@@ -29,7 +29,7 @@ def placed_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
-def sequence_pieces(spark: SparkSession, path: str, size: int = CHUNK) -> DataFrame:
+def sequence_pieces(spark: SparkSession, path: str, size: int = CHUNK, upper: bool = True) -> DataFrame:
     """(file, block, seg, header, at, seq): runs of bases under a header.  The
     run before a split's first header is 0 and has no header; ``at`` counts the
     run's bases before the piece.  Lines that begin with # are skipped."""
@@ -65,7 +65,8 @@ def sequence_pieces(spark: SparkSession, path: str, size: int = CHUNK) -> DataFr
             new = np.zeros(batch.num_rows, bool)
             new[1:] = (blocks[1:] != blocks[:-1]) | pc.not_equal(files.slice(1), files.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
             new[0] = place != (files[0].as_py(), int(blocks[0]))
-            clean = pc.utf8_upper(pc.replace_substring_regex(pc.if_else(pc.starts_with(lines, "#"), "", lines), r"\s", ""))
+            clean = pc.replace_substring_regex(pc.if_else(pc.starts_with(lines, "#"), "", lines), r"\s", "")
+            clean = pc.utf8_upper(clean) if upper else clean
             cuts = np.unique(np.concatenate([[0], np.flatnonzero(head | new), [batch.num_rows]]))
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 if new[a]:
