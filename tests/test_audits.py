@@ -1,11 +1,13 @@
 """Audits against a second computation, line by line."""
 
+import gzip
 import re
 from collections import Counter, defaultdict
 
 from fixture import build
 
 from varloom.plans import audits
+from varloom.sources import evidence
 
 
 def as_counts(df):
@@ -60,3 +62,18 @@ def test_genome_and_proteome_audits(spark, tmp_path):
         ("database", "sp"): 2, ("database", "tr"): 1, ("field", "OS"): 2, ("field", "OX"): 1, ("field", "GN"): 2, ("field", "PE"): 1, ("field", "SV"): 1, ("isoform", ""): 1, ("wrapped", ""): 1, ("no_methionine", ""): 1,
         ("residue", "U"): 1, ("residue", "X"): 1, ("residue", "B"): 2, ("genes_of_several_entries", ""): 1,
     }
+
+
+def test_gzip_is_known_by_its_bytes(spark, tmp_path):
+    """Compressed files under any name are read, plain ones are left alone."""
+    body = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\nchr1\t5\t.\tA\tC\t.\tPASS\t.\n"
+    (tmp_path / "packed.vcf").write_bytes(gzip.compress(body.encode()))
+    (tmp_path / "named.vcf.gz").write_bytes(gzip.compress(body.encode()))
+    (tmp_path / "plain.vcf").write_text(body)
+    (tmp_path / "empty.vcf").write_text("")
+    for name, moved in (("packed.vcf", True), ("named.vcf.gz", False), ("plain.vcf", False), ("empty.vcf", False), ("absent.vcf", False)):
+        path = evidence.readable(spark, str(tmp_path / name))
+        assert (path != str(tmp_path / name)) == moved
+        if name in ("packed.vcf", "named.vcf.gz", "plain.vcf"):
+            assert [r["variant_id"] for r in evidence.read_vcf(spark, path).collect()] == ["chr1:5A>C"]
+    assert evidence.readable(spark, str(tmp_path)) == str(tmp_path)

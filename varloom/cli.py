@@ -63,6 +63,7 @@ def run(cfg: C.RunConfig, spark=None) -> dict[str, str]:
     chosen = plan["selected"]
     for role, path in chosen.items():
         log.add_input(role, path)
+    chosen = {role: evidence.readable(spark, path) for role, path in chosen.items()}
     manifest = evidence.read_manifest(spark, chosen)
     if get("translate", "classes"):
         manifest = manifest.where(F.col("variant_class").isin(get("translate", "classes")))

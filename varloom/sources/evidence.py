@@ -3,17 +3,20 @@
 Every scan returns manifest columns: variant_id, variant_class, source, genes,
 locus, confidence and one typed struct per kind of payload, so that scans union
 by name and no payload is JSON text.  ``ord`` is the row's place in its source.
-Compression follows the file's suffix, as Spark's text readers do.
+Compression follows the file's suffix, as Spark's text readers do; ``readable``
+gives compressed data under another name such a suffix.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from ..session import use_checkpoints
 
 SMALL = "struct<chrom:string,pos:bigint,ref:string,alt:string,vcf_id:string,filter:string,info:string,phase_set:string,haplotypes:array<int>,af:double>"
 EDIT = "struct<chrom:string,pos:bigint,end:bigint,ref:string,alt:string,region:string,exonic:string,aachange:array<struct<gene:string,transcript:string,exon:string,cdna:string,protein:string,raw:string>>>"
@@ -24,6 +27,32 @@ PAYLOADS = {"small": SMALL, "edit": EDIT, "fusion": FUSION, "splice": SPLICE, "c
 KEPT_FILTERS = ("PASS", "HighConf")
 
 
+#: How gzip data begin, and the endings by which readers know them.
+GZIP, GZIP_ENDINGS = (0x1F, 0x8B), (".gz", ".bgz")
+
+
+def readable(spark: SparkSession, path: str) -> str:
+    """The path of a file as text readers can take it.  They know compressed
+    files by their names only, so gzip data under another name are copied, as
+    they are, to a name that says so, in the shared folder for checkpoints."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(conf)
+    if path.endswith(GZIP_ENDINGS) or not fs.exists(place) or fs.getFileStatus(place).isDirectory():
+        return path
+    stream = fs.open(place)
+    try:
+        begins = stream.read(), stream.read()
+    finally:
+        stream.close()
+    if begins != GZIP:
+        return path
+    use_checkpoints(spark)
+    target = jvm.org.apache.hadoop.fs.Path(f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4().hex}-{place.getName()}.gz")
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, place, target.getFileSystem(conf), target, False, True, conf)
+    return target.toString()
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(value, ord): a file's lines in file order."""
     return spark.read.text(path).withColumn("ord", F.monotonically_increasing_id())
