@@ -33,8 +33,8 @@ before rows are joined to it, so that adaptive execution can split the join.
 
 Cases: a null or empty text, or one without words, has an empty set and is
 linked with nothing; texts of any length are whole; rows with the same text are
-linked; rows that share an id with equal texts are alike, and with different ones
-each has the class of its own text; a null id is its own class
+linked; rows that share an id are one document, which is linked with whatever one
+of its texts is, and each row tells the size of its own set; a null id is its own class
 and never the name of one; an empty table gives an empty one; other columns,
 whatever their names, are not looked at.
 """
