@@ -7,8 +7,8 @@ text.
 
 Cases, the same for each stage: a null or empty text is clean, its own class, and
 has no ids; a null id is kept as it is and is never a copy; texts are taken whole;
-of rows with equal texts the one of the least id stays, and rows that share that id
-stay together; repeated rows are judged each; an empty table gives an empty one;
+of rows with equal texts the one of the least id stays, and rows that share an id
+are one document and stay or go together; repeated rows are judged each; an empty table gives an empty one;
 further columns, whatever their names, are carried along.
 """
 
