@@ -217,3 +217,13 @@ def test_search_space_without_decay(spark):
     fields = ("digest", "entry_id", "classes")
     space = lambda e: {r["class"]: r["n_added"] for r in package.search_space(package.peptide_rows(e, none, fields=fields)).collect()}
     assert space(entry) == {"release": 3, "SNV": 3} and space(package.without_decay(entry)) == {"release": 2, "SNV": 2}
+
+
+def test_gene_names_keep_their_digits(spark):
+    """The place of a name in its list is no letter to trim off it."""
+    from varloom.plans import annotate
+
+    rows = spark.createDataFrame([("a", "CD40"), ("b", " IL10 ;B1,C2; NONE"), ("c", None), ("d", "")], "variant_id string, genes string")
+    assert sorted(map(tuple, annotate.genes_of(rows).collect())) == [("a", "CD40"), ("b", "B1"), ("b", "C2"), ("b", "IL10")]
+    counts = checks.class_counts(rows.withColumns({"variant_class": F.lit("SNV"), "confidence": F.lit(1.0)})).first()
+    assert counts["n_genes"] == 5

@@ -26,7 +26,7 @@ def ranking() -> list[Column]:
 
 def genes_of(variants: DataFrame) -> DataFrame:
     """(variant_id, gene): named genes, split at ; and , without empty marks."""
-    names = F.transform(F.split(F.regexp_replace("genes", ",", ";"), ";"), F.trim)
+    names = F.transform(F.split(F.regexp_replace("genes", ",", ";"), ";"), lambda x: F.trim(x))
     return variants.select("variant_id", F.explode(F.filter(names, lambda g: ~g.isin("", ".", "NONE", "NA"))).alias("gene")).distinct()
 
 

@@ -200,7 +200,7 @@ def best_match(built: DataFrame, proteome: DataFrame) -> DataFrame:
 
 
 def class_counts(manifest: DataFrame) -> DataFrame:
-    genes = F.filter(F.transform(F.split(F.regexp_replace(F.coalesce("genes", F.lit("")), ",", ";"), ";"), F.trim), lambda g: ~g.isin("", "."))
+    genes = F.filter(F.transform(F.split(F.regexp_replace(F.coalesce("genes", F.lit("")), ",", ";"), ";"), lambda x: F.trim(x)), lambda g: ~g.isin("", "."))
     n = manifest.groupBy("variant_class").agg(F.count("*").alias("n_records"), F.count_if(F.col("confidence").isNotNull()).alias("n_stated"))
     g = manifest.select("variant_class", F.explode(genes).alias("g")).groupBy("variant_class").agg(F.count_distinct("g").alias("n_genes"))
     return n.join(g, "variant_class", "left").fillna(0, ["n_genes"])

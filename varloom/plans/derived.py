@@ -369,3 +369,74 @@ def proteome_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(head.alias("head"), F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", "")).alias("seq")).where("seq <> ''")
     rows.select(F.concat("head", F.lit("\n"), H.wrapped("seq", 60))).write.text(path)
     return audits.proteome_audit(spark, path)
+
+
+# ---------------------------------------------------------------- builders of single events
+
+def sql_protein(seq: str) -> str:
+    return sql_read(sql_codons(f"substr({seq}, {CDS_OFF + 1})"))
+
+
+#: Three variants of each gene within its second exon: a transition, two bases less, three bases more.
+_SQL_PLACED = f"""{SQL_TX}, v AS (SELECT x.key, minus, seq, i, 62 + (g.p_size * 5 + 7 * i) % 50 AS r, CASE i WHEN 1 THEN 3 ELSE 1 END AS n, nt FROM x JOIN g USING (key), (SELECT unnest([0, 1, 2]) AS i)),
+w AS (SELECT *, substr(nt, CAST(r AS BIGINT), CAST(n AS BIGINT)) AS ref FROM v), u AS (SELECT *, CASE i WHEN 0 THEN translate(ref, 'ACGT', 'GTAC') WHEN 1 THEN left(ref, 1) ELSE ref || 'GAA' END AS alt, CASE WHEN minus THEN 124 - (r + n - 1) ELSE 44 + (r - 61) END AS start FROM w),
+m AS (SELECT *, length(alt) - n AS delta, substr(seq, 1, CAST(start AS BIGINT)) || CASE WHEN minus THEN reverse(translate(alt, 'ACGT', 'TGCA')) ELSE alt END || substr(seq, CAST(start + n + 1 AS BIGINT)) AS mut FROM u),
+p AS (SELECT *, {sql_protein("seq")} AS rp, {sql_protein("mut")} AS ap, contains(array_to_string(list_transform({sql_codons(f"substr(seq, {CDS_OFF + 1})")}, lambda c: {SQL_CODE}[c]), ''), '*') AS rs, contains(array_to_string(list_transform({sql_codons(f"substr(mut, {CDS_OFF + 1})")}, lambda c: {SQL_CODE}[c]), ''), '*') AS stop FROM m),
+e AS (SELECT *, CASE WHEN start >= {CDS_OFF} + 3 * length(rp) + CASE WHEN rs THEN 3 ELSE 0 END THEN '3_prime_UTR' WHEN delta % 3 <> 0 THEN 'frameshift' WHEN rp = ap THEN 'synonymous' WHEN length(ap) > 0 AND left(rp, 1) = 'M' AND left(ap, 1) <> 'M' THEN 'start_lost'
+  WHEN delta > 0 THEN 'inframe_insertion' WHEN delta < 0 THEN 'inframe_deletion' WHEN length(ap) < length(rp) AND stop THEN 'stop_gained' WHEN length(ap) > length(rp) THEN 'stop_lost' ELSE 'missense' END AS effect,
+  coalesce(list_filter(range(0, least(length(rp), length(ap))), lambda i: substr(rp, CAST(i + 1 AS BIGINT), 1) <> substr(ap, CAST(i + 1 AS BIGINT), 1))[1], least(length(rp), length(ap))) AS idx, CASE WHEN minus THEN 64 ELSE 44 END AS junction FROM p),
+f AS (SELECT *, substr(rp, CAST(idx + 1 AS BIGINT), 1) AS x, substr(ap, CAST(idx + 1 AS BIGINT), 1) AS y FROM e)"""
+
+
+@query(f"""WITH {_SQL_PLACED} SELECT 'N' || key || '_T' || key || '_chr' || key % {CONTIGS} || '_' || ((key // {CONTIGS}) * {G.CHUNK} + r) || '_' || ref || '_' || alt AS seq_id, ap AS sequence, effect AS consequence, rp AS ref_protein, CASE WHEN effect <> 'synonymous' THEN CAST(idx + 1 AS BIGINT) END AS variant_pos_aa,
+ CASE WHEN effect = 'synonymous' THEN 'p.(=)' WHEN effect = 'frameshift' AND x <> '' THEN 'p.' || x || (idx + 1) || CASE WHEN y <> '' THEN y ELSE '*' END || 'fs*' || (length(ap) - idx) WHEN effect = 'stop_gained' AND x <> '' THEN 'p.' || x || (idx + 1) || '*' WHEN x <> '' AND y <> '' THEN 'p.' || x || (idx + 1) || y WHEN x <> '' THEN 'p.' || x || (idx + 1) || 'del' ELSE '' END AS protein_change,
+ CASE WHEN effect NOT IN ('frameshift', 'stop_gained') THEN 'not_applicable' WHEN NOT stop THEN 'no_stop' WHEN junction + CASE WHEN delta <> 0 AND junction > start THEN delta ELSE 0 END - ({CDS_OFF} + 3 * length(ap)) > 50 THEN 'likely' ELSE 'escapes' END AS nmd FROM f""")
+def variant_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proteins of substitutions, deletions and insertions on either strand."""
+    transcripts, sequences, _ = derived(spark, sf_dir)
+    key = F.col("p_partkey")
+    contig, base = gene_place(key)
+    each = table(spark, sf_dir, "part").select(key.alias("key"), contig.alias("chrom"), base.alias("base"), P.nucleotides(key, GENE // 32).alias("nt"), "p_size", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("i"))
+    r = 62 + (F.col("p_size") * 5 + 7 * F.col("i")) % 50
+    ref = F.substring("nt", r, F.when(F.col("i") == 1, 3).otherwise(1))
+    alt = F.when(F.col("i") == 0, F.translate(ref, "ACGT", "GTAC")).when(F.col("i") == 1, F.substring(ref, F.lit(1), F.lit(1))).otherwise(F.concat(ref, F.lit("GAA")))
+    variants = each.select(
+        F.concat_ws(":", F.col("key").cast("string"), F.col("i").cast("string")).alias("variant_id"), "chrom", (F.col("base") + r).cast("bigint").alias("pos"), ref.alias("ref"), alt.alias("alt"), F.concat(F.lit("N"), F.col("key").cast("string")).alias("genes"),
+        S.small_class(ref, alt).alias("variant_class"), F.lit("s").alias("source"), F.lit(None).cast("double").alias("confidence"),
+    )
+    return build.small_variants(variants, transcripts.drop("key", "p_size"), sequences).select("seq_id", "sequence", "consequence", "ref_protein", "variant_pos_aa", "protein_change", "nmd")
+
+
+_SQL_UPTO = "CASE WHEN minus THEN CASE WHEN r > 60 THEN 125 - r WHEN r > 44 THEN 64 ELSE 109 - r END ELSE CASE WHEN r <= 44 THEN r WHEN r <= 60 THEN 44 ELSE r - 16 END END"
+
+
+@query(f"""WITH {SQL_TX}, a AS (SELECT x.*, 5 + (p_size * 7 + key) % 116 AS r FROM x), b AS (SELECT *, {_SQL_UPTO} AS upto, {_SQL_UPTO} - CASE WHEN r BETWEEN 45 AND 60 THEN 0 ELSE 1 END AS before FROM a),
+j AS (SELECT f.key AS k5, t.key AS k3, f.r AS r5, t.r AS r3, substr(f.seq, 1, CAST(f.upto AS BIGINT)) AS head, substr(t.seq, CAST(t.before + 1 AS BIGINT)) AS tail, t.before - {CDS_OFF} AS k FROM b f JOIN b t ON t.key = xor(f.key, 1) WHERE f.upto > {CDS_OFF}),
+p AS (SELECT *, {sql_protein("(head || tail)")} AS prot, length(head) - {CDS_OFF} AS nt FROM j)
+SELECT 'N' || k5 || '--N' || k3 || '_T' || k5 || '--T' || k3 || '_chr' || k5 % {CONTIGS} || '_' || ((k5 // {CONTIGS}) * {G.CHUNK} + r5) || '_chr' || k3 % {CONTIGS} || '_' || ((k3 // {CONTIGS}) * {G.CHUNK} + r3) AS seq_id, prot AS sequence,
+ CASE WHEN nt % 3 = 0 AND k >= 0 AND k % 3 = 0 THEN 'in_frame_fusion' ELSE 'frameshift_fusion' END AS consequence, 'p.junction@' || (nt // 3 + 1) AS protein_change, CAST(CASE WHEN length(prot) >= nt // 3 + 1 THEN nt // 3 + 1 END AS BIGINT) AS novel_start FROM p WHERE prot <> ''""")
+def fusion_chimeras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chimeras of neighbouring genes in both orders, with breakpoints in exons
+    and introns."""
+    transcripts, sequences, _ = derived(spark, sf_dir)
+    key = F.col("p_partkey")
+    contig, base = gene_place(key)
+    one = table(spark, sf_dir, "part").select(key.alias("key"), F.concat(F.lit("N"), key.cast("string")).alias("gene"), contig.alias("chrom"), (base + 5 + (F.col("p_size") * 7 + key) % 116).cast("bigint").alias("pos"))
+    other = one.select((F.col("key") - 1).alias("of"), F.col("gene").alias("gene2"), F.col("chrom").alias("chrom2"), F.col("pos").alias("pos2"))
+    pairs = one.where("key % 2 = 0").join(other, F.col("key") == F.col("of")).select(F.col("key").cast("string").alias("variant_id"), F.col("gene").alias("gene1"), F.col("chrom").alias("chrom1"), F.col("pos").alias("pos1"), "gene2", "chrom2", "pos2", F.lit("s").alias("source"), F.lit(None).cast("double").alias("confidence"))
+    return build.fusions(pairs, transcripts.drop("key", "p_size"), sequences).select("seq_id", "sequence", "consequence", "protein_change", "novel_start")
+
+
+_SQL_TAILS = " UNION ALL ".join(f"SELECT key, {f} AS frame, array_to_string(list_transform({sql_codons(f'substr(tail, {f + 1})')}, lambda c: {SQL_CODE}[c]), '') AS aas FROM y" for f in range(3))
+
+
+@query(f"""WITH {SQL_TX}, r AS (SELECT key, seq, {sql_protein("seq")} AS prot FROM x), y AS (SELECT key, substr(seq, {CDS_OFF} + 3 * length(prot) + 4) AS tail FROM r), t AS ({_SQL_TAILS}), c AS (SELECT key, frame, string_split(aas, '*') AS cs FROM t), d AS (SELECT key, frame, cs, unnest(range(1, len(cs) + 1)) AS i FROM c),
+o AS (SELECT key, frame, cs[i] AS orf, length(array_to_string(cs[1:i - 1], '*')) + CASE WHEN i > 1 THEN 1 ELSE 0 END AS off FROM d), w AS (SELECT *, frame + 3 * off AS a, row_number() OVER (PARTITION BY key ORDER BY length(orf) DESC, frame, off) AS n FROM o WHERE length(orf) >= 6)
+SELECT 'NC_UTR_T' || key || '_utr3_' || a AS seq_id, orf AS sequence, 'frame' || frame || ';region=utr3' AS notes FROM w WHERE n = 1 AND orf NOT IN (SELECT prot FROM r)""")
+def untranslated_orfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest open frame behind each gene's stop, with or without a start
+    codon, but for known proteins."""
+    transcripts, sequences, _ = derived(spark, sf_dir)
+    known = sequences.select(S.protein_of(F.substring("tx_seq", F.lit(CDS_OFF + 1), F.length("tx_seq"))).alias("sequence"))
+    made = build.noncanonical(transcripts.drop("key", "p_size"), sequences, known, min_aa=6, require_atg=False)
+    return made.select("seq_id", "sequence", F.array_join(F.slice("notes", F.lit(1), F.lit(2)), ";").alias("notes"))
