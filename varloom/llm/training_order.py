@@ -47,7 +47,7 @@ LENGTH, STRIPE, SHARD = 512, 256, 65_536
 WAVE = 65_536
 ROUNDS = 6
 #: Characters up to which the library takes a text at once: its matcher ends with an error on white space of about a million.
-LIBRARY_CHARS = 1 << 17
+LIBRARY_CHARS = 400_000
 
 
 _CODEC = pa.Codec("zstd", 1)
