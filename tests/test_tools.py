@@ -81,6 +81,10 @@ def test_compare_score_and_crosscheck(spark, folder, monkeypatch, capsys):
     assert cli.main(["compare", str(folder / "cmp"), f"a={folder / 'a.fa'}", f"b={folder / 'b.fa'}"]) == 0
     assert "# Tool comparison" in capsys.readouterr().out
     assert rows(spark, folder / "cmp" / "disagreeing_genes") == [{"a": "a", "b": "b", "gene": "DEF2"}]
+    (folder / "t.tsv").write_text("# a remark\nlocus\tgene\tchange\nchr1:5A>G\tG1\tp.K1E\nchr1:3AT>A\tG2\tp.K2fs\nodd\tG3\tp.K3E\n")
+    assert cli.main(["truth-inputs", str(folder / "t.tsv"), str(folder / "inputs")]) == 0
+    assert json.loads(capsys.readouterr().out) == {"small_variants": 2, "rna_editing": 1}
+    assert rows(spark, folder / "inputs" / "rna_editing")[0]["Start"] == "5"
     release = folder / "release"
     spark.createDataFrame([("d", [("chr1:5A>C", "p.K1E")])], "digest string, variants array<struct<locus:string,protein_change:string>>").write.json(str(release / "provenance"))
     (release / "target").mkdir()

@@ -231,6 +231,8 @@ def _beside(args: argparse.Namespace) -> int:
         found = tools.compare(spark, dict(x.split("=", 1) for x in args.tools), args.out, given.get("k", 7))
     elif args.command == "score":
         found = tools.score(spark, args.release, args.truth, args.out)
+    elif args.command == "truth-inputs":
+        found = tools.truth_inputs(spark, args.truth, args.out)
     else:
         found = tools.crosscheck(spark, args.release, args.other, args.out)
     print("\n".join(found) if isinstance(found, list) else json.dumps(found, sort_keys=True))
@@ -254,7 +256,7 @@ def main(argv: list[str] | None = None) -> int:
     view.add_argument("files", nargs="+")
     beside = {
         "convert": ("a union table as the input of a run", ("kind", "source", "out", "genome"), ("least", "of")), "events": ("the alternative events of an annotation", ("annotation", "out"), ()), "normal-events": ("events whose junctions normal tissues show", ("events", "junctions", "out"), ("of",)),
-        "compare": ("what the FASTA files of several tools share", ("out", "tools"), ("k",)), "score": ("a release against a truth set", ("release", "truth", "out"), ()), "crosscheck": ("a release's consequences against another annotator's", ("release", "other", "out"), ()),
+        "compare": ("what the FASTA files of several tools share", ("out", "tools"), ("k",)), "score": ("a release against a truth set", ("release", "truth", "out"), ()), "truth-inputs": ("a truth set as inputs of a run", ("truth", "out"), ()), "crosscheck": ("a release's consequences against another annotator's", ("release", "other", "out"), ()),
     }
     for name, (said, needed, more) in beside.items():
         one = sub.add_parser(name, help=said)

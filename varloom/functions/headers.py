@@ -81,8 +81,9 @@ def peptide_counts(r: dict[str, Column], normal: bool) -> Column:
     return F.concat(F.coalesce(also, F.lit("")), *(F.concat(F.lit(f" {k}="), r[c]) for k, c in fields.items()))
 
 
-#: Patterns that name a gene in headers of several tools, the most explicit first.
+# How headers of several tools name a gene, the most explicit first, and what a symbol looks like.
 GENE_PATTERNS = ("\\bGN=([A-Za-z0-9_.\\-]+)", "\\bGName=([A-Za-z0-9_.\\-]+)", "gene_symbol:([A-Za-z0-9_.\\-]+)", "gene[:=]([A-Za-z0-9_.\\-]+)")
+SYMBOL = "^[A-Z0-9]{2,}(--?[A-Z0-9]{2,})?$"
 
 
 def gene_guess(header: Column | str) -> Column:
@@ -90,7 +91,7 @@ def gene_guess(header: Column | str) -> Column:
     first word of capitals and digits that is no number; NA for none."""
     h = as_column(header)
     named = [F.nullif(F.regexp_extract(h, p, 1), F.lit("")) for p in GENE_PATTERNS]
-    words = F.filter(F.split(h, "[|\\s.]"), lambda w: w.rlike("^[A-Z0-9]{2,}(--?[A-Z0-9]{2,})?$") & ~w.rlike("^[0-9]+$"))
+    words = F.filter(F.split(h, "[|\\s.]"), lambda w: w.rlike(SYMBOL) & ~w.rlike("^[0-9]+$"))
     return F.coalesce(*named, F.get(words, F.lit(0)), F.lit("NA"))
 
 

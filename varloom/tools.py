@@ -101,6 +101,17 @@ def score(spark: SparkSession, release: str, truth_path: str, out: str) -> dict[
     return {r["category"]: (r["n"], r["n_found"], r["recall"], r["precision"]) for r in rates.collect()}  # a row for each category
 
 
+def truth_inputs(spark: SparkSession, truth_path: str, out: str) -> dict[str, int]:
+    """A truth table (locus, gene, change) as inputs of a run: a VCF of its
+    small variants and an annotated table of its edits."""
+    t = reference.truth_table(spark, truth_path)
+    asked = t.select(pick(t, ["locus"]).alias("locus"), F.coalesce(pick(t, ["gene"]), F.lit("")).alias("gene"), F.coalesce(pick(t, ["change", "expected_hgvs_p", "protein_change"]), F.lit("")).alias("change"))
+    exports.truth_vcf(asked).write.mode("overwrite").text(f"{out}/small_variants")
+    tsv(exports.truth_edits(asked), f"{out}/rna_editing")
+    lines = spark.read.text(f"{out}/small_variants").where(~F.col("value").startswith("#"))
+    return {"small_variants": lines.count(), "rna_editing": spark.read.option("sep", "\t").option("header", True).csv(f"{out}/rna_editing").count()}
+
+
 def crosscheck(spark: SparkSession, release: str, other: str, out: str) -> dict[str, int]:
     """The release's consequences against another annotator's table
     (variant_id, transcript, terms joined by &): shared transcripts first, then
