@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import peptides as P
 from ..functions import sequence as S
 from ..operators import relational as R
+from ..session import use_checkpoints
 from ..sources import genome as G
 from .annotate import candidates, placement, representative
 
@@ -118,6 +119,7 @@ def cross_evidence(edits: DataFrame, transcripts: DataFrame, sequences: DataFram
     swapped, changes the protein carries the substitution.  Rows: variant_id,
     tx_id, chrom, snv_pos, snv_ref, snv_alt, edited_residue and snv_residue
     (0-based), and peptides, the shortest first."""
+    use_checkpoints(edits.sparkSession)
     single = edits.where("length(ref) = 1 AND length(alt) = 1")
     tx = transcripts.where("is_coding AND cds_off IS NOT NULL").join(sequences, "tx_id").withColumnRenamed("chrom", "tx_chrom")
     placed = candidates(single, transcripts, "representative").join(single, "variant_id").join(tx, "tx_id").withColumn("p", placement()).where("p IS NOT NULL AND p.start >= cds_off")
@@ -131,7 +133,7 @@ def cross_evidence(edits: DataFrame, transcripts: DataFrame, sequences: DataFram
         return S.protein_of(F.substring(seq, (F.col("cds_off") + 1).cast("int"), F.length(seq)), mito, sec)
 
     own = placed.withColumn("ref_p", read()).withColumn("edit_p", read(F.col("p"))).where("edit_p <> '' AND edit_p <> ref_p")
-    own = own.withColumn("idx", F.floor((F.col("p.start") - F.col("cds_off")) / 3).cast("int")).withColumn("b", P.peptide_bounds("ref_p", F.col("idx"), missed, least, most)).where("b IS NOT NULL")
+    own = own.withColumn("idx", F.floor((F.col("p.start") - F.col("cds_off")) / 3).cast("int")).withColumn("b", P.peptide_bounds("ref_p", F.col("idx"), missed, least, most)).where("b IS NOT NULL").checkpoint()
     # the best transcript of a site's genes, and each codon of its peptide as a row
     first = R.first_wins(own.select("variant_id", "tx_id"), ["variant_id"], [F.col("tx_id")])
     codons = own.join(first, ["variant_id", "tx_id"], "left_semi").withColumn("codon_no", F.explode(F.sequence(F.col("b.start"), F.col("b.end") - 1))).where("codon_no <> idx")
@@ -139,9 +141,10 @@ def cross_evidence(edits: DataFrame, transcripts: DataFrame, sequences: DataFram
     base = F.substring("tx_seq", (off + 1).cast("int"), F.lit(1))
     swapped = F.try_element_at(F.create_map(*(F.lit(x) for pair in SWAP.items() for x in pair)), base)
     tried = codons.withColumn("q", F.struct(off.cast("bigint").alias("start"), F.lit(1).cast("bigint").alias("len"), swapped.alias("allele"))).withColumn("snv_base", base).where("q.allele IS NOT NULL")
-    tried = tried.withColumn("snv_p", read(F.col("q"))).where("snv_p <> '' AND snv_p <> ref_p")
+    tried = tried.withColumn("snv_p", read(F.col("q"))).where("snv_p <> '' AND snv_p <> ref_p").checkpoint()
     chosen = R.first_wins(tried.select("variant_id", "tx_id", "codon_no"), ["variant_id", "tx_id"], [F.col("codon_no")])
-    pair = tried.join(chosen, ["variant_id", "tx_id", "codon_no"]).withColumn("both_p", read(F.col("p"), F.col("q")))
+    # one row for each edit: its proteins are read once and digested once
+    pair = tried.join(chosen, ["variant_id", "tx_id", "codon_no"]).withColumn("both_p", read(F.col("p"), F.col("q"))).checkpoint()
     folded = lambda c: F.transform(P.digest(c, missed, least, most), P.fold)
     known = pair.withColumn("known", F.array_union(folded("ref_p"), F.array_union(folded("edit_p"), folded("snv_p"))))
     fresh = F.array_except(P.digest("both_p", missed, least, most), F.filter(P.digest("both_p", missed, least, most), lambda p: F.array_contains(F.col("known"), P.fold(p))))

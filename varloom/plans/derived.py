@@ -20,7 +20,7 @@ from ..sources import evidence
 from ..sources import genome as G
 from ..sources.reference import sized, transcript_sequences
 from . import audits, build, constructed, events, faults, package
-from .generic import SQL_CODE, SQL_JX, SQL_SEQ, as_entries, entries, exons, query, reference_keys, sql_nt, sql_peptides, table
+from .generic import SQL_CODE, SQL_FRAGMENTS, SQL_JX, SQL_SEQ, as_entries, entries, exons, query, reference_keys, sql_nt, sql_peptides, table
 
 #: Bases of a gene, its exons within them (1-based), and where translation begins on the transcript.
 GENE, EXONS, CDS_OFF = 128, ((1, 44), (61, 124)), 4
@@ -440,3 +440,30 @@ def untranslated_orfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = sequences.select(S.protein_of(F.substring("tx_seq", F.lit(CDS_OFF + 1), F.length("tx_seq"))).alias("sequence"))
     made = build.noncanonical(transcripts.drop("key", "p_size"), sequences, known, min_aa=6, require_atg=False)
     return made.select("seq_id", "sequence", F.array_join(F.slice("notes", F.lit(1), F.lit(2)), ";").alias("notes"))
+
+
+# ---------------------------------------------------------------- pairs of an edit and a constructed substitution
+
+_SQL_OFF = f"({CDS_OFF} + (p_size * 5 + key) % 100)"
+_SQL_RP_FRAGMENTS = SQL_FRAGMENTS.replace("seq", "rp")
+
+
+@query(f"""WITH {SQL_TX}, a AS (SELECT key, minus, seq, {_SQL_OFF} AS o FROM x), b AS (SELECT *, {sql_protein("seq")} AS rp, {sql_protein(sql_changed("o"))} AS ep, (o - {CDS_OFF}) // 3 AS idx FROM a), c AS (SELECT * FROM b WHERE ep <> '' AND ep <> rp),
+f AS (SELECT key, idx, {_SQL_RP_FRAGMENTS} AS fr FROM c), f1 AS (SELECT key, idx, fr, unnest(range(1, len(fr) + 1)) AS i FROM f), f2 AS (SELECT key, idx, fr, i, unnest(range(i, least(i + 2, len(fr)) + 1)) AS j FROM f1),
+f3 AS (SELECT key, idx, length(array_to_string(fr[1:i - 1], '')) AS s, length(array_to_string(fr[1:j], '')) AS e FROM f2), f4 AS (SELECT key, s, e FROM f3 WHERE e - s BETWEEN 6 AND 50 AND s <= idx AND idx < e QUALIFY row_number() OVER (PARTITION BY key ORDER BY e - s DESC, s) = 1),
+t AS (SELECT c.*, unnest(range(s, e)) AS cand FROM c JOIN f4 USING (key)), u AS (SELECT *, {CDS_OFF} + 3 * cand AS q FROM t WHERE cand <> idx), v AS (SELECT *, {sql_protein(sql_changed("q"))} AS sp FROM u),
+w AS (SELECT * FROM v WHERE sp <> '' AND sp <> rp QUALIFY row_number() OVER (PARTITION BY key ORDER BY cand) = 1), z AS (SELECT *, {sql_protein(sql_changed("o", "q"))} AS bp FROM w),
+own_s AS (SELECT key AS id, bp AS seq FROM z), {sql_peptides("own", "own_s")}, forms_s AS (SELECT row_number() OVER () AS id, key, seq FROM (SELECT key, unnest([rp, ep, sp]) AS seq FROM z)), {sql_peptides("cov", "forms_s")},
+held AS (SELECT DISTINCT key, replace(p, 'I', 'L') AS k FROM cov JOIN forms_s USING (id)), h AS (SELECT id AS key, string_agg(p, ',' ORDER BY length(p), p) AS peptides FROM own WHERE NOT EXISTS (SELECT 1 FROM held WHERE held.key = own.id AND held.k = replace(own.p, 'I', 'L')) GROUP BY id)
+SELECT 'T' || key AS tx_id, (key // {CONTIGS}) * {G.CHUNK} + CASE WHEN minus THEN CASE WHEN q < 64 THEN 124 - q ELSE 108 - q END ELSE CASE WHEN q < 44 THEN 1 + q ELSE 17 + q END END AS snv_pos, CASE WHEN minus THEN translate(substr(seq, CAST(q + 1 AS BIGINT), 1), 'ACGT', 'TGCA') ELSE substr(seq, CAST(q + 1 AS BIGINT), 1) END AS snv_ref,
+ CAST(idx AS INTEGER) AS edited_residue, CAST(cand AS INTEGER) AS snv_residue, peptides FROM z JOIN h USING (key)""")
+def edit_and_substitution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For an edit in each gene a substitution in the same peptide, and the
+    peptides that neither gives alone."""
+    transcripts, sequences, _ = derived(spark, sf_dir)
+    off = (F.lit(CDS_OFF) + (F.col("p_size") * 5 + F.col("key")) % 100).cast("bigint")
+    base = F.substring("tx_seq", (off + 1).cast("int"), F.lit(1))
+    shown = lambda c: F.when(F.col("strand") == "-", S.revcomp(c)).otherwise(c)
+    edits = transcripts.join(sequences, "tx_id").select(F.col("tx_id").alias("variant_id"), "chrom", S.tx_to_genomic(F.col("exons"), F.col("strand"), off).alias("pos"), shown(base).alias("ref"), shown(F.translate(base, "ACGT", "GTAC")).alias("alt"), F.col("gene_name").alias("genes"))
+    found = constructed.cross_evidence(edits, transcripts.drop("key", "p_size"), sequences)
+    return found.select("tx_id", "snv_pos", "snv_ref", "edited_residue", "snv_residue", F.array_join("peptides", ",").alias("peptides"))
