@@ -77,6 +77,13 @@ def give_back() -> None:
         _LIBC.malloc_trim(0)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Collects what earlier steps left in the driver, so that Spark's cleaner
+    drops their shuffles and broadcasts now: it learns of them by collection
+    alone, and a driver with room to spare collects late."""
+    spark._jvm.System.gc()
+
+
 def _libc() -> ctypes.CDLL | None:
     try:
         libc = ctypes.CDLL("libc.so.6")

@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACED, Words, give_back, mix, pack, pack_sorted, slices, unpack, unpack_sorted, use_checkpoints
+from .common import SPACED, Words, give_back, let_go, mix, pack, pack_sorted, slices, unpack, unpack_sorted, use_checkpoints
 
 HASHES, BAND_ROWS, LOW_BITS = 128, 4, 4
 #: How far the estimate may fall short of the threshold before a pair is dropped: five standard deviations of 128 draws.
@@ -246,6 +246,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     members = open_rows.select("_id").distinct()
     facts = reps.select("_id", "n", "bits", "bands").join(merged(members), "_id", "left_semi").checkpoint()
     sets = full_sets(docs, members, k, id_col, text_col).checkpoint()
+    let_go(docs.sparkSession)
 
     def screened(pairs: DataFrame) -> DataFrame:
         a, b = (facts.select("_id", "n", "bits").alias(name) for name in "xy")
@@ -255,6 +256,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     first = screened(open_rows.where("pivot <> _id").select(F.col("pivot").alias("a"), F.col("_id").alias("b")).distinct()).groupBy("b").agg(F.min("a").alias("a")).select("a", "b").checkpoint()
     links = confirm(sets, first, percent).checkpoint()
     labels = components(links)
+    let_go(docs.sparkSession)
 
     def labelled(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members of buckets that still hold several components, and those
@@ -271,6 +273,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         second = second.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").join(merged(first), ["a", "b"], "left_anti").checkpoint()
         links = links.union(confirm(sets, second, percent)).checkpoint()
         labels = components(links)
+        let_go(docs.sparkSession)
         open_members, torn = labelled(labels)
     if torn.limit(1).count():
         # what is left: members of one bucket in different components, screened within the join
@@ -288,6 +291,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         third = third.join(merged(links), ["a", "b"], "left_anti").join(merged(first), ["a", "b"], "left_anti").checkpoint()
         links = links.union(confirm(sets, third, percent)).checkpoint()
         labels = components(links)
+        let_go(docs.sparkSession)
 
     classes = firsts.join(merged(labels), firsts["rep"] == labels["node"], "left").select("n", "f1", "f2", F.coalesce("label", "rep").alias("class"))
     out = signed.join(merged(classes), ["n", "f1", "f2"], "left")
