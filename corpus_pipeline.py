@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.llm import bpe, decontam, minhash, secrets_scan, toxicity
-from varloom.llm.common import crc_mod, read_table, use_checkpoints
+from varloom.llm.common import crc_mod, let_go, read_table, use_checkpoints
 from varloom.llm.training_order import shared_path
 from varloom.session import ship
 
@@ -54,6 +54,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     shingles, similarity of 0.8 or more)."""
     ship(spark)
     use_checkpoints(spark)
+    let_go(spark)
     found = minhash.near_duplicates(docs, k=5, percent=80)
     dropped = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct().checkpoint()
     few = dropped.count() <= MOST_BROADCAST
