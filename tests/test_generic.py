@@ -24,6 +24,10 @@ def plain(v):
     return round(v, 6) if isinstance(v, float) else v
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.fixture(scope="module")
 def oracle():
     con = duckdb.connect()
@@ -62,6 +66,30 @@ def test_interval_and_overlap_join(spark):
     assert got == sorted((a[0], b[0]) for a in ivs for b in ivs if a[1] == b[1] and a[2] <= b[3] and b[2] <= a[3])
 
 
+def test_first_over_equals_brute_force(spark):
+    r = random.Random(2)
+    pts = [(i // 2, i // 2 % 3, (i // 2 * 7) % 90 - 20) for i in range(300)]  # each point twice
+    ivs = [(i, r.randrange(3), a, a + r.choice((-1, 0, 3, 40, 200)), r.choice("xyz")) for i, a in ((i, r.randrange(-60, 80)) for i in range(150))]
+    p = spark.createDataFrame(pts, "i int, c int, pos bigint")
+    v = spark.createDataFrame(ivs, "j int, d int, s bigint, e bigint, g string")
+    got = R.first_over(p, v, "pos", "s", "e", [("c", "d")], "g", [F.col("s") - F.col("e"), F.col("j")], ["j"], levels=4)
+    best = {}
+    for i, c, pos in pts:
+        for j, d, s, e, g in ivs:
+            if c == d and s <= pos <= e:
+                best[i, g] = min(best.get((i, g), (1, 0)), (s - e, j))
+    assert sorted((x["i"], x["g"], x["j"]) for x in got.collect()) == sorted((i, g, j) for (i, g), (_, j) in best.items())
+
+
+def test_crowded_places_form_no_pairs(spark, tmp_path):
+    """2,000 transcripts over 2,000 variants of one place: some rows, not millions."""
+    spark.range(2_000).selectExpr("id * 100000 AS p_partkey", "concat('b', id % 2) AS p_brand", "'PROMO' AS p_type", "CAST(40 AS INT) AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(2_000).selectExpr("id * 100000 AS o_orderkey").write.parquet(f"{tmp_path}/orders.parquet")
+    df = generic.QUERIES["representative_pick"](spark, str(tmp_path))
+    assert {tuple(x)[1:] for x in df.collect()} == {("b0", 0), ("b1", 100_000)} and df.count() == 4_000
+    assert "BroadcastHashJoin" not in plan_of(df) and "tx_offset" not in plan_of(df) and ">= st" not in plan_of(df)
+
+
 def test_dense_numbers_divide_and_median(spark):
     rows = [(random.Random(i).choice("ab"), i) for i in range(101)]
     df = spark.createDataFrame(rows, "k string, v int")
