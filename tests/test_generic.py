@@ -90,13 +90,18 @@ def test_crowded_places_form_no_pairs(spark, tmp_path):
     assert "BroadcastHashJoin" not in plan_of(df) and "tx_offset" not in plan_of(df) and ">= st" not in plan_of(df)
 
 
-@pytest.mark.parametrize("name", ["event_pairs", "event_ids", "event_junctions", "terminal_event_pairs"])
+@pytest.mark.parametrize("name", ["event_pairs", "event_ids", "event_junctions", "terminal_event_pairs", "circ_orfs", "combo_translate", "fusion_chimeras", "sec_translate"])
 def test_rows_of_a_small_file_stay_off_the_driver(spark, name):
     from varloom.plans import derived  # noqa: F401
 
     assert "Broadcast" not in plan_of(generic.QUERIES[name](spark, SF))
 
 
+def test_a_small_file_is_worked_on_by_all_tasks(spark):
+    df = generic.QUERIES["translate_orf"](spark, SF)
+    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_dense_numbers_divide_and_median(spark):
     rows = [(random.Random(i).choice("ab"), i) for i in range(101)]
     df = spark.createDataFrame(rows, "k string, v int")
