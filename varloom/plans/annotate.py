@@ -40,16 +40,16 @@ def candidates(variants: DataFrame, transcripts: DataFrame, mode: str = "all") -
     slim = coding.select("tx_id", "gene_id", "start", "end", "tags", "cds_len", "tx_len", bare_contig(F.col("chrom")).alias("tx_contig"))
     placed = variants.select("variant_id", "pos", (F.col("pos") + F.greatest(F.length("ref"), F.lit(1)) - 1).alias("last"), bare_contig(F.col("chrom")).alias("contig"))
 
-    named = R.tiered_lookup(genes_of(variants), "gene", aliases(coding), "alias", "tier").select("variant_id", "gene", "tx_id").join(slim, "tx_id").join(placed, "variant_id")
+    named = R.tiered_lookup(genes_of(variants), "gene", aliases(coding), "alias", "tier").select("variant_id", "gene", "tx_id").join(R.merged(slim), "tx_id").join(R.merged(placed), "variant_id")
     here = (F.col("contig") == F.col("tx_contig")) & F.col("pos").between(F.col("start"), F.col("end"))
     by_name = named.withColumn("tier", F.when(here, 1).otherwise(2))
     best = by_name.groupBy("variant_id", "gene").agg(F.min("tier").alias("tier"))
-    by_name = by_name.join(best, ["variant_id", "gene", "tier"])
+    by_name = by_name.join(R.merged(best), ["variant_id", "gene", "tier"])
 
-    open_ = placed.join(by_name.select("variant_id").distinct(), "variant_id", "left_anti")
+    open_ = placed.join(R.merged(by_name.select("variant_id").distinct()), "variant_id", "left_anti")
     at = lambda point: R.interval_join(open_, slim, point, "start", "end", [("contig", "tx_contig")])
     first = at("pos")
-    second = at("last").join(first.select("variant_id").distinct(), "variant_id", "left_anti")
+    second = at("last").join(R.merged(first.select("variant_id").distinct()), "variant_id", "left_anti")
     by_place = first.unionByName(second).withColumn("gene", F.col("gene_id"))
     cols = ["variant_id", "gene", "tx_id", "tags", "cds_len", "tx_len"]
     every = by_name.select(cols).unionByName(by_place.select(cols))
@@ -75,5 +75,5 @@ def representative(transcripts: DataFrame) -> DataFrame:
     """The best coding transcript of each gene alias in its best tier."""
     a = aliases(transcripts.where("is_coding"))
     tier = a.groupBy("alias").agg(F.min("tier").alias("tier"))
-    rows = a.join(tier, ["alias", "tier"]).join(transcripts.select("tx_id", "tags", "cds_len", "tx_len"), "tx_id")
+    rows = a.join(R.merged(tier), ["alias", "tier"]).join(R.merged(transcripts.select("tx_id", "tags", "cds_len", "tx_len")), "tx_id")
     return R.first_wins(rows.select("alias", "tx_id", "tags", "cds_len", "tx_len"), ["alias"], ranking()).select("alias", "tx_id")

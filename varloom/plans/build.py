@@ -43,8 +43,8 @@ def is_mito(chrom: Column | str) -> Column:
 def small_variants(variants: DataFrame, transcripts: DataFrame, sequences: DataFrame, mode: str = "all") -> DataFrame:
     """Proteins of variants (variant_id, chrom, pos, ref, alt, genes,
     variant_class, source, confidence) on every transcript they lie in."""
-    tx = transcripts.join(sequences, "tx_id")
-    hits = candidates(variants, transcripts, mode).join(variants, "variant_id").join(tx.withColumnRenamed("chrom", "tx_chrom"), "tx_id").where(bare_contig(F.col("chrom")) == bare_contig(F.col("tx_chrom")))
+    tx = transcripts.join(R.merged(sequences), "tx_id")
+    hits = candidates(variants, transcripts, mode).join(R.merged(variants), "variant_id").join(R.merged(tx.withColumnRenamed("chrom", "tx_chrom")), "tx_id").where(bare_contig(F.col("chrom")) == bare_contig(F.col("tx_chrom")))
     placed = hits.withColumn("p", placement()).where("p IS NOT NULL AND cds_off IS NOT NULL")
     start, n, delta = F.col("p.start"), F.col("p.len"), F.length("p.allele") - F.col("p.len")
     upstream = start < F.col("cds_off")
@@ -180,15 +180,15 @@ def fusions(pairs: DataFrame, transcripts: DataFrame, sequences: DataFrame, both
     turned = pairs.select("variant_id", "source", "confidence", F.posexplode(F.array(*orders)).alias("order", "o"))
     coding = transcripts.where("is_coding")
     partners = turned.select(F.explode(F.array("o.five", "o.three")).alias("p")).select("p.*").distinct()
-    near = partners.join(aliases(coding), F.col("gene") == F.col("alias")).join(coding.select("tx_id", "tags", "cds_len", "tx_len", "start", "end", F.col("chrom").alias("tx_chrom")), "tx_id")
+    near = partners.join(R.merged(aliases(coding)), F.col("gene") == F.col("alias")).join(R.merged(coding.select("tx_id", "tags", "cds_len", "tx_len", "start", "end", F.col("chrom").alias("tx_chrom"))), "tx_id")
     same = bare_contig(F.col("chrom")) == bare_contig(F.col("tx_chrom"))
     at = same & F.col("pos").between(F.col("start"), F.col("end"))
     # best tier first within a place, so a locus hit of a name beats another gene's id elsewhere
     best = R.first_wins(near.withColumn("far", ~at), ["gene", "chrom", "pos"], [F.col("far"), F.col("tier"), *ranking()]).where(same)
-    tx = best.select("gene", F.col("chrom").alias("at_chrom"), "pos", "tx_id").join(transcripts.select("tx_id", "exons", "strand", "cds_off"), "tx_id").join(sequences, "tx_id")
+    tx = best.select("gene", F.col("chrom").alias("at_chrom"), "pos", "tx_id").join(R.merged(transcripts.select("tx_id", "exons", "strand", "cds_off")), "tx_id").join(R.merged(sequences), "tx_id")
     named = lambda n: F.struct(*(F.col(c) for c in ("gene", "at_chrom", "pos", "tx_id", "exons", "strand", "cds_off", "tx_seq"))).alias(n)
     five, three = tx.select(F.struct("gene", F.col("at_chrom").alias("chrom"), "pos").alias("k5"), named("f")), tx.select(F.struct("gene", F.col("at_chrom").alias("chrom"), "pos").alias("k3"), named("t"))
-    j = turned.join(five, F.col("o.five") == F.col("k5")).join(three, F.col("o.three") == F.col("k3"))
+    j = turned.join(R.merged(five), F.col("o.five") == F.col("k5")).join(R.merged(three), F.col("o.three") == F.col("k3"))
     n5 = S.bases_upto(F.col("f.exons"), F.col("f.strand"), F.col("f.pos"))
     n3 = S.bases_before(F.col("t.exons"), F.col("t.strand"), F.col("t.pos"))
     j = j.withColumn("n5", n5).withColumn("n3", n3).withColumn("head", F.substring("f.tx_seq", F.lit(1), F.col("n5").cast("int"))).withColumn("tail", F.substring("t.tx_seq", (F.col("n3") + 1).cast("int"), F.length("t.tx_seq")))
@@ -223,15 +223,15 @@ def circles(events: DataFrame, transcripts: DataFrame, chunks: DataFrame, min_aa
     from ..sources.reference import transcript_sequences
 
     own = events.select("variant_id", F.col("chrom").alias("circ_chrom"), F.col("start").alias("lo"), F.col("end").alias("hi"), F.col("gene").alias("circ_gene"), "source", "confidence")
-    by_name = own.where("circ_gene <> ''").join(aliases(transcripts), F.col("circ_gene") == F.col("alias"))
+    by_name = own.where("circ_gene <> ''").join(R.merged(aliases(transcripts)), F.col("circ_gene") == F.col("alias"))
     best = by_name.groupBy("variant_id").agg(F.min("tier").alias("tier"))
-    by_name = by_name.join(best, ["variant_id", "tier"]).select("variant_id", "tx_id")
-    rest = own.join(by_name.select("variant_id").distinct(), "variant_id", "left_anti").withColumn("contig", bare_contig(F.col("circ_chrom")))
+    by_name = by_name.join(R.merged(best), ["variant_id", "tier"]).select("variant_id", "tx_id")
+    rest = own.join(R.merged(by_name.select("variant_id").distinct()), "variant_id", "left_anti").withColumn("contig", bare_contig(F.col("circ_chrom")))
     slim = transcripts.where("is_coding").select("tx_id", "start", "end", bare_contig(F.col("chrom")).alias("tx_contig"))
     by_place = R.interval_join(rest, slim, "lo", "start", "end", [("contig", "tx_contig")]).select("variant_id", "tx_id")
-    hosts = own.join(by_name.union(by_place).distinct(), "variant_id").join(transcripts, "tx_id").where(bare_contig(F.col("chrom")) == bare_contig(F.col("circ_chrom")))
+    hosts = own.join(R.merged(by_name.union(by_place).distinct()), "variant_id").join(R.merged(transcripts), "tx_id").where(bare_contig(F.col("chrom")) == bare_contig(F.col("circ_chrom")))
     inside = hosts.withColumn("n_all", F.size("exons")).withColumn("exons", F.filter("exons", lambda b: (b["s"] >= F.col("lo")) & (b["e"] <= F.col("hi")))).where("size(exons) > 0").withColumn("host", F.col("tx_id")).withColumn("tx_id", F.concat_ws("|", "variant_id", "tx_id"))
-    seqs = inside.join(transcript_sequences(inside, chunks), "tx_id").where(F.length("tx_seq") >= 3)
+    seqs = inside.join(R.merged(transcript_sequences(inside, chunks)), "tx_id").where(F.length("tx_seq") >= 3)
     period = F.length("tx_seq")
     turned = with_frames(seqs.withColumn("turns", F.repeat(F.col("tx_seq"), F.lit(cycles))), "turns", "o", min_aa, require_atg).drop("turns")
     found = turned.withColumn("o", F.filter("o", lambda o: F.floor((o["nt_end"] - 1) / period) > F.floor(o["nt_start"] / period))).where("size(o) > 0")
@@ -265,7 +265,7 @@ def noncanonical(transcripts: DataFrame, sequences: DataFrame, known: DataFrame,
     """Open frames of non-coding transcripts and of the untranslated regions of
     coding ones, but for those equal to a known (sequence) protein."""
     readable = F.col("is_coding") | biotype_class(F.col("tx_biotype")).isNotNull()
-    seq = transcripts.where(readable).join(sequences, "tx_id")
+    seq = transcripts.where(readable).join(R.merged(sequences), "tx_id")
     cds_len = 3 * F.length(S.protein_of(F.substring("tx_seq", (F.col("cds_off") + 1).cast("int"), F.length("tx_seq")))) + 3
     part = lambda name, text, off: F.struct(F.lit(name).alias("region"), text.alias("nt"), off.cast("bigint").alias("off"))
     whole = F.array(part("transcript", F.col("tx_seq"), F.lit(0)))
@@ -273,7 +273,7 @@ def noncanonical(transcripts: DataFrame, sequences: DataFrame, known: DataFrame,
     utrs = F.array(part("utr5", F.substring("tx_seq", F.lit(1), F.col("cds_off").cast("int")), F.lit(0)), part("utr3", F.substring("tx_seq", (end + 1).cast("int"), F.length("tx_seq")), end))
     regions = seq.select("*", F.explode(F.when(F.col("is_coding"), utrs).otherwise(whole)).alias("g")).withColumn("nt", F.col("g.nt"))
     orfs = with_frames(regions, "nt", "frames", min_aa, require_atg).select("*", F.explode(F.slice("frames", F.lit(1), F.lit(per_transcript))).alias("o"))
-    fresh = orfs.join(known.select(F.col("sequence").alias("p")).distinct(), F.col("o.protein") == F.col("p"), "left_anti")
+    fresh = orfs.join(R.merged(known.select(F.col("sequence").alias("p")).distinct()), F.col("o.protein") == F.col("p"), "left_anti")
     kind = F.when(F.col("g.region") == "transcript", biotype_class(F.col("tx_biotype"))).otherwise("NC_UTR")
     return records(
         fresh, variant_id=F.lit(None), seq_id=F.concat_ws("_", kind, "tx_id", "g.region", F.col("o.nt_start").cast("string")), sequence=F.col("o.protein"), variant_class=kind, consequence=F.lit("noncanonical_orf"), gene=F.coalesce("gene_name", "gene_id"), transcript=F.col("tx_id"),
@@ -284,7 +284,7 @@ def noncanonical(transcripts: DataFrame, sequences: DataFrame, known: DataFrame,
 
 def sec_termination(transcripts: DataFrame, sequences: DataFrame, min_aa: int = 8) -> DataFrame:
     """Selenoproteins read with their Sec codon as a stop."""
-    t = transcripts.where("is_coding AND size(sec_sites) > 0 AND cds_off IS NOT NULL").join(sequences, "tx_id").withColumn("sec", S.sec_codons(F.col("exons"), F.col("strand"), F.col("sec_sites"), F.col("cds_off")))
+    t = transcripts.where("is_coding AND size(sec_sites) > 0 AND cds_off IS NOT NULL").join(R.merged(sequences), "tx_id").withColumn("sec", S.sec_codons(F.col("exons"), F.col("strand"), F.col("sec_sites"), F.col("cds_off")))
     nt, mito = F.substring("tx_seq", (F.col("cds_off") + 1).cast("int"), F.length("tx_seq")), is_mito("chrom")
     read = t.select("*", S.protein_of(nt, mito).alias("short"), S.protein_of(nt, mito, F.col("sec")).alias("full"))
     kept = read.where((F.length("short") >= min_aa) & (F.col("short") != F.col("full")))
@@ -316,9 +316,9 @@ def combinations(variants: DataFrame, transcripts: DataFrame, sequences: DataFra
     groups = phased
     if allow_unphased:
         undecided = loose.where("n > 1 AND (n_loose > 0 OR blocks > 1 OR blocks = 0)").select("tx_id")
-        groups = phased.unionByName(placed.join(undecided, "tx_id", "left_semi").groupBy("tx_id").agg(F.array_sort(F.collect_list(member)).alias("ms")).select("tx_id", F.lit("unphased").alias("label"), "ms", F.lit(False).alias("phased")))
+        groups = phased.unionByName(placed.join(R.merged(undecided), "tx_id", "left_semi").groupBy("tx_id").agg(F.array_sort(F.collect_list(member)).alias("ms")).select("tx_id", F.lit("unphased").alias("label"), "ms", F.lit(False).alias("phased")))
     sized_ = groups.where((F.size("ms") > 1) & (F.size("ms") <= most))
-    tx = sized_.join(slim, "tx_id").join(sequences, "tx_id").withColumn("mito", is_mito("chrom"))
+    tx = sized_.join(R.merged(slim), "tx_id").join(R.merged(sequences), "tx_id").withColumn("mito", is_mito("chrom"))
 
     def read(ms: Column) -> Column:
         seq = S.splice_all(F.col("tx_seq"), ms)
@@ -336,13 +336,13 @@ def combinations(variants: DataFrame, transcripts: DataFrame, sequences: DataFra
     forms = tx.select(*key, "tx_seq", "cds_off", "exons", "strand", "sec_sites", "mito", each).select(*key, "form", read(F.col("held")).alias("p")).checkpoint()
     at = lambda form: F.max(F.when(F.col("form") == form, F.col("p")))
     read_ = forms.groupBy(*key).agg(at(0).alias("combo"), at(1).alias("ref_p")).where("combo <> '' AND combo <> ref_p")
-    made = sized_.join(slim.select("tx_id", "gene_id", "gene_name"), "tx_id").join(read_, key)
+    made = sized_.join(R.merged(slim.select("tx_id", "gene_id", "gene_name")), "tx_id").join(R.merged(read_), key)
     fresh = made
     if need_peptide:
         # peptides meet what the single forms and the reference cover as rows, not inside a lambda that would digest anew for each
-        peptides = forms.join(read_.select(*key), key, "left_semi").where("p IS NOT NULL").select(*key, "form", F.explode(P.digest("p", missed)).alias("x")).select(*key, "form", P.fold("x").alias("k"))
+        peptides = forms.join(R.merged(read_.select(*key)), key, "left_semi").where("p IS NOT NULL").select(*key, "form", F.explode(P.digest("p", missed)).alias("x")).select(*key, "form", P.fold("x").alias("k"))
         own, covered = peptides.where("form = 0").select(*key, "k"), peptides.where("form > 0").select(*key, "k").distinct()
-        fresh = made.join(own.join(covered, [*key, "k"], "left_anti").select(*key).distinct(), key, "left_semi")
+        fresh = made.join(R.merged(own.join(R.merged(covered), [*key, "k"], "left_anti").select(*key).distinct()), key, "left_semi")
     # the filter comes first: only forms that pass it hide later equal ones
     unique = R.first_wins(fresh, ["tx_id", "combo"], [~F.col("phased"), F.col("label")])
     numbered = R.dense_numbers(unique, [], ["tx_id", "label"], "serial")

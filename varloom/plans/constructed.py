@@ -86,8 +86,8 @@ def editing_sites(changes: DataFrame, transcripts: DataFrame, sequences: DataFra
     gene's best transcript; on the minus strand the genome shows complements."""
     part = lambda i: F.nullif(F.regexp_extract("change", CHANGE, i), F.lit(""))
     asked = changes.select(*changes.columns, part(1).alias("_from"), part(2).try_cast("int").alias("_at"), part(3).alias("_to"))
-    best = representative(transcripts).join(transcripts.where("cds_off IS NOT NULL").select("tx_id", "chrom", "strand", "exons", "cds_off"), "tx_id").join(sequences, "tx_id").withColumnRenamed("alias", "_gene")
-    joined = asked.join(best, F.col("gene") == F.col("_gene"), "left").withColumn("_off", F.col("cds_off") + 3 * (F.col("_at") - 1))
+    best = representative(transcripts).join(R.merged(transcripts.where("cds_off IS NOT NULL").select("tx_id", "chrom", "strand", "exons", "cds_off")), "tx_id").join(R.merged(sequences), "tx_id").withColumnRenamed("alias", "_gene")
+    joined = asked.join(R.merged(best), F.col("gene") == F.col("_gene"), "left").withColumn("_off", F.col("cds_off") + 3 * (F.col("_at") - 1))
     read = joined.withColumn("_codon", F.when(F.col("_at") > 0, F.substring("tx_seq", (F.col("_off") + 1).cast("int"), F.lit(3)))).withColumn("_mito", F.coalesce(F.col("chrom").isin(*S.MITO_CONTIGS), F.lit(False)))
     table = F.broadcast(edited_codons(changes.sparkSession, before, after))  # one row at most for each base of each codon
     found = read.join(table, (F.col("_codon") == F.col("codon")) & (F.col("_mito") == F.col("mito")) & (F.col("_to") == F.col("becomes")) & (F.col("_from") == F.col("residue")), "left")
@@ -121,8 +121,8 @@ def cross_evidence(edits: DataFrame, transcripts: DataFrame, sequences: DataFram
     (0-based), and peptides, the shortest first."""
     use_checkpoints(edits.sparkSession)
     single = edits.where("length(ref) = 1 AND length(alt) = 1")
-    tx = transcripts.where("is_coding AND cds_off IS NOT NULL").join(sequences, "tx_id").withColumnRenamed("chrom", "tx_chrom")
-    placed = candidates(single, transcripts, "representative").join(single, "variant_id").join(tx, "tx_id").withColumn("p", placement()).where("p IS NOT NULL AND p.start >= cds_off")
+    tx = transcripts.where("is_coding AND cds_off IS NOT NULL").join(R.merged(sequences), "tx_id").withColumnRenamed("chrom", "tx_chrom")
+    placed = candidates(single, transcripts, "representative").join(R.merged(single), "variant_id").join(R.merged(tx), "tx_id").withColumn("p", placement()).where("p IS NOT NULL AND p.start >= cds_off")
     mito = F.col("tx_chrom").isin(*S.MITO_CONTIGS)
     sec = S.sec_codons(F.col("exons"), F.col("strand"), F.col("sec_sites"), F.col("cds_off"))
 
@@ -136,7 +136,7 @@ def cross_evidence(edits: DataFrame, transcripts: DataFrame, sequences: DataFram
     own = own.withColumn("idx", F.floor((F.col("p.start") - F.col("cds_off")) / 3).cast("int")).withColumn("b", P.peptide_bounds("ref_p", F.col("idx"), missed, least, most)).where("b IS NOT NULL").checkpoint()
     # the best transcript of a site's genes, and each codon of its peptide as a row
     first = R.first_wins(own.select("variant_id", "tx_id"), ["variant_id"], [F.col("tx_id")])
-    codons = own.join(first, ["variant_id", "tx_id"], "left_semi").withColumn("codon_no", F.explode(F.sequence(F.col("b.start"), F.col("b.end") - 1))).where("codon_no <> idx")
+    codons = own.join(R.merged(first), ["variant_id", "tx_id"], "left_semi").withColumn("codon_no", F.explode(F.sequence(F.col("b.start"), F.col("b.end") - 1))).where("codon_no <> idx")
     off = F.col("cds_off") + 3 * F.col("codon_no")
     base = F.substring("tx_seq", (off + 1).cast("int"), F.lit(1))
     swapped = F.try_element_at(F.create_map(*(F.lit(x) for pair in SWAP.items() for x in pair)), base)
@@ -144,7 +144,7 @@ def cross_evidence(edits: DataFrame, transcripts: DataFrame, sequences: DataFram
     tried = tried.withColumn("snv_p", read(F.col("q"))).where("snv_p <> '' AND snv_p <> ref_p").checkpoint()
     chosen = R.first_wins(tried.select("variant_id", "tx_id", "codon_no"), ["variant_id", "tx_id"], [F.col("codon_no")])
     # one row for each edit: its proteins are read once and digested once
-    pair = tried.join(chosen, ["variant_id", "tx_id", "codon_no"]).withColumn("both_p", read(F.col("p"), F.col("q"))).checkpoint()
+    pair = tried.join(R.merged(chosen), ["variant_id", "tx_id", "codon_no"]).withColumn("both_p", read(F.col("p"), F.col("q"))).checkpoint()
     folded = lambda c: F.transform(P.digest(c, missed, least, most), P.fold)
     known = pair.withColumn("known", F.array_union(folded("ref_p"), F.array_union(folded("edit_p"), folded("snv_p"))))
     fresh = F.array_except(P.digest("both_p", missed, least, most), F.filter(P.digest("both_p", missed, least, most), lambda p: F.array_contains(F.col("known"), P.fold(p))))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import headers as H
 from ..functions import peptides as P
 from ..functions import sequence as S
+from ..operators.relational import dealt, merged
 from ..session import use_checkpoints
 from ..sources import evidence
 from ..sources import genome as G
@@ -40,7 +41,7 @@ def gene_place(key: Column) -> tuple[Column, Column]:
 
 def derived_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
-    return table(spark, sf_dir, "part").select(gene_place(key)[0].alias("contig"), F.floor(key / CONTIGS).cast("int").alias("chunk_no"), P.nucleotides(key, GENE // 32).alias("seq"))
+    return dealt(table(spark, sf_dir, "part"), "p_partkey").select(gene_place(key)[0].alias("contig"), F.floor(key / CONTIGS).cast("int").alias("chunk_no"), P.nucleotides(key, GENE // 32).alias("seq"))
 
 
 def derived_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def derived_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turned = lambda *blocks: F.when(minus, F.array(*reversed(blocks))).otherwise(F.array(*blocks))
     (s1, e1), (s2, e2) = EXONS
     # the coding part leaves the same number of bases at either end
-    rows = table(spark, sf_dir, "part").select(
+    rows = dealt(table(spark, sf_dir, "part"), "p_partkey").select(
         F.concat(F.lit("T"), key.cast("string")).alias("tx_id"), F.concat(F.lit("G"), key.cast("string")).alias("gene_id"), F.concat(F.lit("N"), key.cast("string")).alias("gene_name"), contig.alias("chrom"), F.when(minus, "-").otherwise("+").alias("strand"),
         F.lit("protein_coding").alias("biotype"), F.lit("protein_coding").alias("tx_biotype"), F.array().cast("array<string>").alias("tags"), turned(block(s1, e1), block(s2, e2)).alias("exons"), turned(block(s1 + CDS_OFF, e1), block(s2, e2 - CDS_OFF)).alias("cds"), F.lit(0).alias("phase"),
         F.array().cast("array<bigint>").alias("sec_sites"), key.alias("key"), "p_size",
@@ -136,14 +137,14 @@ def spdi_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     a genome of human contigs."""
     n = 1 + F.col("p_partkey") % 25
     contig = F.when(n <= 22, F.concat(F.lit("chr"), n.cast("string"))).when(n == 23, "chrX").when(n == 24, "chrY").otherwise("MT")
-    chunks = table(spark, sf_dir, "part").select(contig.alias("contig"), F.floor(F.col("p_partkey") / 25).cast("int").alias("chunk_no"), P.nucleotides(F.col("p_partkey")).alias("seq"))
+    chunks = dealt(table(spark, sf_dir, "part"), "p_partkey").select(contig.alias("contig"), F.floor(F.col("p_partkey") / 25).cast("int").alias("chunk_no"), P.nucleotides(F.col("p_partkey")).alias("seq"))
     key, line, quantity = F.col("l_partkey"), F.col("l_linenumber"), F.col("l_quantity")
     acc = F.when(key % 29 == 27, "012920.1").otherwise(F.concat(F.lpad((key % 29).cast("string"), 6, "0"), F.lit("."), (F.col("l_suppkey") % 12).cast("string")))
     at = F.when(quantity == 13, "x").when(quantity == 17, "-1").otherwise((F.col("l_orderkey") * 37 % 4000).cast("string"))
     gone = F.when(line.isin(1, 4), "A").when(line.isin(2, 5), "").when(line == 3, "acg").otherwise("Z")
     new = F.when(line == 1, "T").when(line == 2, "GATT").when(line.isin(3, 5), "").when(line == 4, "g").otherwise("C")
     spdi = F.concat(F.lit("NC_"), acc, F.lit(":"), at, F.lit(":"), gone, F.lit(":"), new, F.when(quantity == 19, ":x").otherwise(""))
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", spdi.alias("spdi"))
+    rows = dealt(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").select("l_orderkey", "l_linenumber", spdi.alias("spdi"))
     return constructed.spdi_to_vcf(rows, "spdi", chunks, _SPDI_CHUNK)
 
 
@@ -226,9 +227,9 @@ def published_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     no = F.col("l_quantity").cast("bigint") % 40
     letter = F.substring(F.lit(_TO), (1 + F.col("l_suppkey") % len(_TO)).cast("int"), F.lit(1))
     asked = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("key"), no.alias("no"), letter.alias("t"), (F.col("l_linenumber") == 1).alias("lie")).distinct()
-    own = transcripts.join(sequences, "tx_id").select("key", S.residues(F.substring("tx_seq", F.lit(CDS_OFF + 1), F.length("tx_seq"))).alias("aas"))
+    own = transcripts.join(merged(sequences), "tx_id").select("key", S.residues(F.substring("tx_seq", F.lit(CDS_OFF + 1), F.length("tx_seq"))).alias("aas"))
     there = F.when(F.col("no") > 0, F.get("aas", (F.col("no") - 1).cast("int")))
-    named = asked.join(own, "key").select(F.concat(F.lit("N"), F.col("key").cast("string")).alias("gene"), F.concat(F.lit("p."), F.when(F.col("lie"), "W").otherwise(F.coalesce(there, F.lit("A"))), F.col("no").cast("string"), "t").alias("change"))
+    named = asked.join(merged(own), "key").select(F.concat(F.lit("N"), F.col("key").cast("string")).alias("gene"), F.concat(F.lit("p."), F.when(F.col("lie"), "W").otherwise(F.coalesce(there, F.lit("A"))), F.col("no").cast("string"), "t").alias("change"))
     return constructed.editing_sites(named, transcripts, sequences).select("gene", "change", "problem", "pos", "ref", "codon")
 
 
@@ -288,7 +289,7 @@ def combo_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One protein for each haplotype with several variants, where a peptide of
     it comes from no single one."""
     transcripts, sequences, _ = derived(spark, sf_dir)
-    each = transcripts.join(sequences, "tx_id").select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("i"))
+    each = transcripts.join(merged(sequences), "tx_id").select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("i"))
     off = (F.lit(CDS_OFF) + (F.col("p_size") * 5 + 23 * F.col("i")) % 96).cast("bigint")
     base = F.substring("tx_seq", (off + 1).cast("int"), F.lit(1))
     shown = lambda c: F.when(F.col("strand") == "-", S.revcomp(c)).otherwise(c)
@@ -396,7 +397,7 @@ def variant_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
     transcripts, sequences, _ = derived(spark, sf_dir)
     key = F.col("p_partkey")
     contig, base = gene_place(key)
-    each = table(spark, sf_dir, "part").select(key.alias("key"), contig.alias("chrom"), base.alias("base"), P.nucleotides(key, GENE // 32).alias("nt"), "p_size", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("i"))
+    each = dealt(table(spark, sf_dir, "part"), "p_partkey").select(key.alias("key"), contig.alias("chrom"), base.alias("base"), P.nucleotides(key, GENE // 32).alias("nt"), "p_size", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("i"))
     r = 62 + (F.col("p_size") * 5 + 7 * F.col("i")) % 50
     ref = F.substring("nt", r, F.when(F.col("i") == 1, 3).otherwise(1))
     alt = F.when(F.col("i") == 0, F.translate(ref, "ACGT", "GTAC")).when(F.col("i") == 1, F.substring(ref, F.lit(1), F.lit(1))).otherwise(F.concat(ref, F.lit("GAA")))
@@ -421,9 +422,9 @@ def fusion_chimeras(spark: SparkSession, sf_dir: str) -> DataFrame:
     transcripts, sequences, _ = derived(spark, sf_dir)
     key = F.col("p_partkey")
     contig, base = gene_place(key)
-    one = table(spark, sf_dir, "part").select(key.alias("key"), F.concat(F.lit("N"), key.cast("string")).alias("gene"), contig.alias("chrom"), (base + 5 + (F.col("p_size") * 7 + key) % 116).cast("bigint").alias("pos"))
+    one = dealt(table(spark, sf_dir, "part"), "p_partkey").select(key.alias("key"), F.concat(F.lit("N"), key.cast("string")).alias("gene"), contig.alias("chrom"), (base + 5 + (F.col("p_size") * 7 + key) % 116).cast("bigint").alias("pos"))
     other = one.select((F.col("key") - 1).alias("of"), F.col("gene").alias("gene2"), F.col("chrom").alias("chrom2"), F.col("pos").alias("pos2"))
-    pairs = one.where("key % 2 = 0").join(other, F.col("key") == F.col("of")).select(F.col("key").cast("string").alias("variant_id"), F.col("gene").alias("gene1"), F.col("chrom").alias("chrom1"), F.col("pos").alias("pos1"), "gene2", "chrom2", "pos2", F.lit("s").alias("source"), F.lit(None).cast("double").alias("confidence"))
+    pairs = one.where("key % 2 = 0").join(merged(other), F.col("key") == F.col("of")).select(F.col("key").cast("string").alias("variant_id"), F.col("gene").alias("gene1"), F.col("chrom").alias("chrom1"), F.col("pos").alias("pos1"), "gene2", "chrom2", "pos2", F.lit("s").alias("source"), F.lit(None).cast("double").alias("confidence"))
     return build.fusions(pairs, transcripts.drop("key", "p_size"), sequences).select("seq_id", "sequence", "consequence", "protein_change", "novel_start")
 
 
@@ -464,6 +465,6 @@ def edit_and_substitution(spark: SparkSession, sf_dir: str) -> DataFrame:
     off = (F.lit(CDS_OFF) + (F.col("p_size") * 5 + F.col("key")) % 100).cast("bigint")
     base = F.substring("tx_seq", (off + 1).cast("int"), F.lit(1))
     shown = lambda c: F.when(F.col("strand") == "-", S.revcomp(c)).otherwise(c)
-    edits = transcripts.join(sequences, "tx_id").select(F.col("tx_id").alias("variant_id"), "chrom", S.tx_to_genomic(F.col("exons"), F.col("strand"), off).alias("pos"), shown(base).alias("ref"), shown(F.translate(base, "ACGT", "GTAC")).alias("alt"), F.col("gene_name").alias("genes"))
+    edits = transcripts.join(merged(sequences), "tx_id").select(F.col("tx_id").alias("variant_id"), "chrom", S.tx_to_genomic(F.col("exons"), F.col("strand"), off).alias("pos"), shown(base).alias("ref"), shown(F.translate(base, "ACGT", "GTAC")).alias("alt"), F.col("gene_name").alias("genes"))
     found = constructed.cross_evidence(edits, transcripts.drop("key", "p_size"), sequences)
     return found.select("tx_id", "snv_pos", "snv_ref", "edited_residue", "snv_residue", F.array_join("peptides", ",").alias("peptides"))

@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.relational import merged
+
 #: Bases of a genome chunk.
 CHUNK = 1 << 16
 # Spellings of the mitochondrial contig.
@@ -152,7 +154,7 @@ def fetched(ranges: DataFrame, key: str, chunks: DataFrame, chunk: int = CHUNK)
     base = F.col("chunk_no").cast("bigint") * chunk
     first, last = F.greatest(F.col("start"), base + 1), F.least(F.col("end"), base + chunk)
     cut = F.substring("seq", (first - base).cast("int"), (last - first + 1).cast("int"))
-    pieces = parts.join(chunks, ["contig", "chunk_no"]).select(key, F.struct("chunk_no", cut.alias("seq")).alias("p"))
+    pieces = parts.join(merged(chunks), ["contig", "chunk_no"]).select(key, F.struct("chunk_no", cut.alias("seq")).alias("p"))
     return pieces.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["seq"]), "").alias("bases")).where("bases <> ''").unionByName(empty)
 
 
@@ -160,6 +162,6 @@ def base_at(rows: DataFrame, contig: str, pos: Column, chunks: DataFrame, name:
     """The rows with the base at a 1-based place; null where there is none."""
     held = chunks.select(F.col("contig").alias("_c"), F.col("chunk_no").alias("_n"), F.col("seq").alias("_s"))
     at = rows.withColumn("_pos", pos)
-    joined = at.join(held, (F.col(contig) == F.col("_c")) & (F.floor((F.col("_pos") - 1) / chunk) == F.col("_n")), "left")
+    joined = at.join(merged(held), (F.col(contig) == F.col("_c")) & (F.floor((F.col("_pos") - 1) / chunk) == F.col("_n")), "left")
     found = F.substring("_s", ((F.col("_pos") - 1) % chunk + 1).cast("int"), F.lit(1))
     return joined.withColumn(name, F.nullif(found, F.lit(""))).drop("_c", "_n", "_s", "_pos")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import headers as H
 from ..functions import sequence as S
+from ..operators.relational import merged
 from .evidence import number, pick, table
 from .genome import CHUNK, genome_chunks
 
@@ -71,7 +72,7 @@ def transcript_sequences(transcripts: DataFrame, chunks: DataFrame, chunk: int =
     by position."""
     exon = transcripts.select("tx_id", "strand", bare_contig(F.col("chrom")).alias("c"), F.posexplode("exons").alias("i", "x")).select("tx_id", "strand", "c", "i", F.col("x.s").alias("s"), F.col("x.e").alias("e"))
     parts = exon.withColumn("chunk_no", F.explode(F.sequence(F.floor((F.col("s") - 1) / chunk).cast("int"), F.floor((F.col("e") - 1) / chunk).cast("int"))))
-    joined = parts.join(chunks.select(bare_contig(F.col("contig")).alias("c"), "chunk_no", "seq"), ["c", "chunk_no"])
+    joined = parts.join(merged(chunks.select(bare_contig(F.col("contig")).alias("c"), "chunk_no", "seq")), ["c", "chunk_no"])
     base = F.col("chunk_no").cast("bigint") * chunk
     first, last = F.greatest(F.col("s"), base + 1), F.least(F.col("e"), base + chunk)
     cut = F.substring("seq", (first - base).cast("int"), F.greatest(F.lit(0), last - first + 1).cast("int"))
