@@ -141,3 +141,9 @@ def test_settings_and_command_line(spark, tmp_path, monkeypatch, capsys):
     assert common.main("normal_background", normal_background.Settings, work, {"samples": "", "out": ""}, ["--samples", f"{tmp_path}/samples", "--out", f"{tmp_path}/out", "--config", f"{tmp_path}/c.json"]) == 0
     assert json.loads(capsys.readouterr().out.splitlines()[-1])["samples"] == 20
     assert min(len(r["k"]) for r in normal_background.read(spark, f"{tmp_path}/out").collect()) == 8
+
+
+def test_what_follows_from_a_peptide_is_not_moved(spark):
+    df = spark.createDataFrame([(1, "MAGICKPEPTIDER", "s")], "doc_id bigint, text string, source string")
+    plan = peptide_library.library(df, df, peptide_library.Settings())._jdf.queryExecution().optimizedPlan().toString()
+    assert "decoy" not in plan[plan.index("RebalancePartitions") :]
