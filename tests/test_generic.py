@@ -161,3 +161,7 @@ def test_peptides_and_headers(spark):
     assert (lambda c: (c.status, c.identity, c.offset))(compare.compare_pair("GG" + body[:50] + "W" + body[51:], body + "TT")) == ("offset_isoform", 0.9875, -2)
     state = lambda a, b: compare.compare_pair(a, b).status
     assert state("MABC", "ABC") == "identical_after_met_trim" and compare.compare_pair("ABCDEF", "CDE").offset == -2 and state("ABCDEF", "CDE") == "isoform_extension" and state("AAAA", "CCCC") == "divergent"
+
+
+def test_documents_of_one_file_are_worked_on_by_all_tasks(spark):
+    assert generic.entries(spark, SF).rdd.getNumPartitions() >= R.TASKS_A_CORE * spark.sparkContext.defaultParallelism
