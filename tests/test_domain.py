@@ -215,6 +215,14 @@ def test_outcomes_follow_the_first_that_holds(spark):
     assert [r["variant_id"] for r in kept.collect()] == ["built"]
 
 
+def test_outcomes_of_versions_and_repeated_rows(spark):
+    """A gene is expressed under its own version or without one; a variant that is there twice has its records once."""
+    m = spark.createDataFrame([(i, "SNV", (af,)) for i, af in (("own", 0.5), ("other", 0.5), ("bare", 0.5), ("twice", 0.5), ("twice", 0.5), ("twice", 0.01))], "variant_id string, variant_class string, small struct<af:double>")
+    rows = [(i, "A" * 20, "missense", g) for i, g in (("own", "G1.2"), ("other", "G1.3"), ("bare", "G2.7"), ("twice", "G2"), ("twice", None))]
+    kept, out = package.dispositions(m, spark.createDataFrame(rows, "variant_id string, sequence string, consequence string, gene string"), 8, False, 0.1, spark.createDataFrame([("G1.2",), ("G2",), ("G2",), (None,)], "gene string"))
+    assert sorted(map(tuple, out.select("variant_id", "outcome", "n_proteins").collect())) == [("bare", "protein_built", 1), ("other", "filtered", 0), ("own", "protein_built", 1), ("twice", "below_min_af", 0), ("twice", "protein_built", 2), ("twice", "protein_built", 2)]
+
+
 def test_deletions_over_an_exon_end(spark, world):
     (s1, e1), (s2, _), _ = world["facts"]["plus"]["exons"]
     v = variants(spark, [("chr1", e1 - 1, "ACGT", "A"), ("chr1", s2 - 2, "ACG", "A"), ("chr1", e1 + 5, "A", "C")])

@@ -165,3 +165,16 @@ def test_peptides_and_headers(spark):
 
 def test_documents_of_one_file_are_worked_on_by_all_tasks(spark):
     assert generic.entries(spark, SF).rdd.getNumPartitions() >= R.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+
+
+def test_records_of_outcomes_are_moved_by_gene_and_by_variant_alone(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = plan_of(generic.QUERIES["disposition"](spark, SF))
+    finally:
+        spark.conf.set(name, old)
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # records twice, genes three times (distinct, by name, to be met), variants and their faults once each
+    assert len(moved) <= 7 and plan.count("SortMergeJoin") == 3

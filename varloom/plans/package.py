@@ -44,43 +44,50 @@ def dispositions(manifest: DataFrame, records: DataFrame, least_aa: int = 8, kee
     then short ones, then any.  ``failed`` (variant_id, detail) are rows that
     could not be read."""
     slim = manifest.select("variant_id", "variant_class", low_frequency(min_af).alias("low_af"), F.col("small.af").cast("string").alias("af_text"))
-    # an outer join, so that the test below is not pushed into the plan that makes the sequences
-    tested = records.join(slim.select("variant_id", "low_af"), "variant_id", "left")
-    silent = F.lit(False)
+    names = None
     if expressed is not None:
-        genes = expressed.select(F.col("gene").alias("_g")).distinct()
-        named = tested.join(genes.withColumn("_on", F.lit(True)), F.col("gene") == F.col("_g"), "left").drop("_g")
-        tested = named.join(genes.withColumn("_bare", F.lit(True)), F.substring_index("gene", ".", 1) == F.col("_g"), "left").drop("_g")
-        silent = (F.coalesce("gene", F.lit("")) != "") & F.col("_on").isNull() & F.col("_bare").isNull()
-    same = F.col("consequence").isin(*UNCHANGED) & F.lit(not keep_unchanged)
-    reason = F.when(F.col("low_af"), "rare").when(silent, "not_expressed").when(F.length("sequence") < least_aa, "too_short").when(same, "unchanged")
-    judged = tested.withColumn("reason", reason)
-    kept = judged.where("reason IS NULL").select(records.columns)
+        # by the name without its version, so that one join tests a gene under both of its names
+        names = expressed.where("gene IS NOT NULL").groupBy(F.substring_index("gene", ".", 1).alias("_g")).agg(F.collect_set("gene").alias("_names"))
+
+    def judged(rows: DataFrame, short: Column) -> DataFrame:
+        silent, bare = F.lit(False), F.substring_index("gene", ".", 1)
+        if names is not None:
+            rows = rows.join(names, bare == F.col("_g"), "left")
+            silent = (F.coalesce("gene", F.lit("")) != "") & ~F.coalesce(F.array_contains("_names", F.col("gene")) | F.array_contains("_names", bare), F.lit(False))
+        same = F.col("consequence").isin(*UNCHANGED) & F.lit(not keep_unchanged)
+        return rows.withColumn("reason", F.when(silent, "not_expressed").when(short, "too_short").when(same, "unchanged"))
+
+    # an outer join, so that the test is not pushed into the plan that makes the sequences
+    tested = judged(records.join(slim.select("variant_id", "low_af"), "variant_id", "left"), F.length("sequence") < least_aa)
+    kept = tested.where("reason IS NULL AND NOT coalesce(low_af, false)").select(records.columns)
+    # outcomes need no sequences, and a variant's frequency is met once its records are summed
+    own = [c for c in ("variant_id", "gene", "consequence") if c in records.columns]
+    facts = judged(records.select(*own, (F.length("sequence") < least_aa).alias("_short")), F.col("_short"))
     kinds = lambda c: F.array_sort(F.collect_set(c))
     of = lambda why: F.col("reason") == why
-    by = judged.groupBy("variant_id").agg(F.count_if(F.col("reason").isNull()).alias("n_proteins"), F.count_if(of("unchanged")).alias("n_same"), F.count_if(of("too_short")).alias("n_short"), kinds(F.when(of("unchanged"), F.col("consequence"))).alias("same"), kinds("consequence").alias("all"))
+    by = facts.groupBy("variant_id").agg(F.count_if(F.col("reason").isNull()).alias("n_proteins"), F.count_if(of("unchanged")).alias("n_same"), F.count_if(of("too_short")).alias("n_short"), kinds(F.when(of("unchanged"), F.col("consequence"))).alias("same"), kinds("consequence").alias("all"))
     joined = slim.join(by, "variant_id", "left")
     if failed is not None:
         joined = joined.join(failed.groupBy("variant_id").agg(F.min("detail").alias("failure")), "variant_id", "left")
     else:
         joined = joined.withColumn("failure", F.lit(None).cast("string"))
-    names, only = F.array_join("all", ";"), F.array_join("same", ";")
+    every, only = F.array_join("all", ";"), F.array_join("same", ";")
     utr = F.size(F.array_except("same", F.array(F.lit("5_prime_UTR"), F.lit("3_prime_UTR")))) == 0
     # each case with what it is called and what is said of it
     cases = [
         (F.col("low_af"), "below_min_af", F.concat(F.lit("af="), "af_text", F.lit(f"<{min_af}"))),
         (F.col("failure").isNotNull(), "error", F.col("failure")),
         (F.col("all").isNull(), "no_protein", F.lit("")),
-        (F.col("n_proteins") > 0, "protein_built", names),
+        (F.col("n_proteins") > 0, "protein_built", every),
         ((F.col("n_same") > 0) & utr, "utr_variant", only),
         ((F.col("n_same") > 0) & (only == "synonymous"), "synonymous_only", F.lit("no residue changes")),
         (F.col("n_same") > 0, "synonymous_or_utr", only),
         (F.col("n_short") > 0, "below_min_length", F.lit(f"<{least_aa} aa")),
     ]
-    outcome, detail = F.lit("filtered"), names
+    outcome, detail = F.lit("filtered"), every
     for when, name, said in reversed(cases):
         outcome, detail = F.when(when, name).otherwise(outcome), F.when(when, said).otherwise(detail)
-    return kept, joined.select("variant_id", "variant_class", F.coalesce("n_proteins", F.lit(0)).cast("bigint").alias("n_proteins"), outcome.alias("outcome"), F.coalesce(detail, F.lit("")).alias("detail"))
+    return kept, joined.select("variant_id", "variant_class", F.when(F.col("low_af"), 0).otherwise(F.coalesce("n_proteins", F.lit(0))).cast("bigint").alias("n_proteins"), outcome.alias("outcome"), F.coalesce(detail, F.lit("")).alias("detail"))
 
 
 def without_protein(outcomes: DataFrame, variants: DataFrame, transcripts: DataFrame) -> DataFrame:
