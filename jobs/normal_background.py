@@ -10,7 +10,8 @@ least id of them; ``normal_keys`` reads from it the keys of so many tissues,
 which is the list that a search leaves out.
 
 A batch writes what it counts into its own partitions of ``O/parts`` and then
-the tissues it met anew from all parts, so a batch that is done once more after
+the tissues it met anew from all parts (as they are, where no other batch has
+the tissue), so a batch that is done once more after
 a failure gives the same.  A run without new files changes nothing.
 
 Cases: samples without a sequence have no peptides; those without a tissue are
@@ -23,14 +24,18 @@ from __future__ import annotations
 import sys
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from jobs.common import LOG, Digest, count, main, named
 from varloom.functions import digestion as D
 from varloom.functions import peptides as P
+from varloom.operators import relational as R
 from varloom.session import ship
 
+#: Shares of a tissue's keys, each of which one task sums and writes.
+SHARES = 64
+
 
 @dataclass(frozen=True)
 class Settings(Digest):
@@ -39,14 +44,22 @@ class Settings(Digest):
 
 def counted(samples: DataFrame, cfg: Settings) -> DataFrame:
     """(tissue, k, n_samples, first_id) of some samples.  Sequences are folded
-    before they are cut, so a sample has a key once."""
-    own = samples.select(F.col(f"`{cfg.id_column}`").alias("id"), named(cfg.group_column).alias("tissue"), P.fold(P.protein_like(cfg.sequence_column)).alias("sequence"))
-    rows = D.digested(own, "sequence", ["id", "tissue"], cfg.missed_cleavages, cfg.least_length, cfg.most_length)
-    return rows.groupBy("tissue", F.col("peptide").alias("k")).agg(F.count("*").alias("n_samples"), F.min("id").alias("first_id"))
+    before they are cut, so a sample has a key once.  Samples are dealt to all
+    tasks before they are cut, and keys are moved once: to a share of their
+    tissue, where they are summed and whence they are written."""
+    own = R.dealt(samples.select(F.col(f"`{cfg.id_column}`").alias("id"), named(cfg.group_column).alias("tissue"), F.col(f"`{cfg.sequence_column}`").alias("sequence")))
+    rows = D.digested(own.withColumn("sequence", P.fold(P.protein_like("sequence"))), "sequence", ["id", "tissue"], cfg.missed_cleavages, cfg.least_length, cfg.most_length)
+    return dealt_keys(rows.select("tissue", F.col("peptide").alias("k"), F.lit(1).alias("n"), "id")).agg(F.sum("n").alias("n_samples"), F.min("id").alias("first_id")).drop("share")
+
+
+def dealt_keys(rows: DataFrame) -> GroupedData:
+    """The rows by tissue and key, dealt by tissue and share: a task has few tissues, so it writes few files."""
+    shared = rows.withColumn("share", F.pmod(F.xxhash64("k"), F.lit(SHARES)))
+    return shared.repartition("tissue", "share").groupBy("tissue", "share", "k")
 
 
 def merged(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("tissue", "k").agg(F.sum("n_samples").alias("n_samples"), F.min("first_id").alias("first_id"))
+    return dealt_keys(parts).agg(F.sum("n_samples").alias("n_samples"), F.min("first_id").alias("first_id")).drop("share")
 
 
 def samples_as_they_come(spark: SparkSession, path: str, like: DataFrame, cfg: Settings) -> DataFrame:
@@ -73,12 +86,14 @@ def update(spark: SparkSession, samples: str, out: str, cfg: Settings | None = N
         own = batch.sparkSession
         done["samples"] += count(batch, f"batch {number}: read samples,", samples)
         done["batches"] += 1
-        rows = counted(batch, cfg).withColumn("batch", F.lit(number)).hint("rebalance", "tissue")
+        rows = counted(batch, cfg).withColumn("batch", F.lit(number))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "tissue").parquet(f"{out}/parts")
         parts = own.read.schema(stored).parquet(f"{out}/parts")
-        met = parts.where(F.col("batch") == number).select("tissue").distinct()
-        fresh = merged(parts.join(met, "tissue", "left_semi")).hint("rebalance", "tissue")
-        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tissue").parquet(f"{out}/background")
+        # a tissue's batches: of one that no other batch has, the part is the background as it is
+        held = parts.select("tissue", "batch").distinct().groupBy("tissue").agg(F.count("*").alias("batches"), F.bool_or(F.col("batch") == number).alias("met")).where("met")
+        of = lambda which: parts.join(F.broadcast(held.where(which)), "tissue", "left_semi")  # noqa: E731  a row for each folder of a tissue
+        for found in (of("batches = 1").drop("batch"), merged(of("batches > 1"))):
+            found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tissue").parquet(f"{out}/background")
         LOG.info("batch %d: wrote its parts and its tissues' background: %s", number, out)
 
     stream = samples_as_they_come(spark, samples, whole, cfg)

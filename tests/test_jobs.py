@@ -147,3 +147,21 @@ def test_what_follows_from_a_peptide_is_not_moved(spark):
     df = spark.createDataFrame([(1, "MAGICKPEPTIDER", "s")], "doc_id bigint, text string, source string")
     plan = peptide_library.library(df, df, peptide_library.Settings())._jdf.queryExecution().optimizedPlan().toString()
     assert "decoy" not in plan[plan.index("RebalancePartitions") :]
+
+
+def test_samples_are_dealt_and_keys_are_moved_once(spark, tmp_path):
+    spark.createDataFrame(rows_of(30), SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/samples")
+    plan = normal_background.counted(spark.read.parquet(f"{tmp_path}/samples"), normal_background.Settings())._jdf.queryExecution().executedPlan().toString()
+    above, below = plan[: plan.index("MapInArrow")], plan[plan.index("MapInArrow") :]
+    assert above.count("Exchange hashpartitioning(tissue") == above.count("Exchange ") == 1 and "Exchange RoundRobinPartitioning" in below
+
+
+def test_only_tissues_of_several_batches_are_summed_again(spark, tmp_path, monkeypatch):
+    folder, out = f"{tmp_path}/samples", f"{tmp_path}/out"
+    one, two = [r for r in rows_of(40) if r[2] != "hot"], [r for r in rows_of(40, 500) if r[2] in ("hot", "b")]
+    summed, whole = [], normal_background.merged
+    monkeypatch.setattr(normal_background, "merged", lambda parts: (summed.append({r["tissue"] for r in parts.select("tissue").distinct().collect()}), whole(parts))[1])
+    for some in (one, two):
+        spark.createDataFrame(some, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        normal_background.update(spark, folder, out)
+    assert summed == [set(), {"b"}] and as_background(normal_background.read(spark, out)) == background_of(one + two)
