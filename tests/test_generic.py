@@ -178,3 +178,14 @@ def test_records_of_outcomes_are_moved_by_gene_and_by_variant_alone(spark):
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     # records twice, genes three times (distinct, by name, to be met), variants and their faults once each
     assert len(moved) <= 7 and plan.count("SortMergeJoin") == 3
+
+
+def test_kmers_of_each_owner_equal_brute_force(spark):
+    """Owners that take turns in a batch, texts shorter than a k-mer and rows without an owner."""
+    from varloom.functions import digestion
+
+    rows = [(o, "".join("ACDEKR"[(i * i + j * 7 + j * j) % 6] for j in range(i % 11))) for i, o in enumerate(["a", "b", None, "c", "a"] * 12)] + [("a", None)]
+    got = digestion.kmer_items(spark.createDataFrame(rows, "o string, s string").coalesce(1), "s", "o", 3).collect()
+    number = lambda m: sum((ord(x) - 64) << 5 * i for i, x in enumerate(reversed(m)))
+    want = {(o, number(s[i : i + 3])) for o, s in rows if o and s for i in range(len(s) - 2)}
+    assert sorted(map(tuple, got)) == sorted(want)

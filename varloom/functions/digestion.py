@@ -168,20 +168,25 @@ def kmer_items(df: DataFrame, seq: str, owner: str, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut_batches(batches, seq):
-            s = Sequences(batch.column(seq))
+            # an owner's texts stand side by side, so that its k-mers are one stretch; rows of no owner are left out
+            batch = batch.filter(pc.is_valid(batch.column(owner)))
+            codes = batch.column(owner).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            batch = batch.take(pa.array(np.argsort(codes, kind="stable")))
+            s, codes = Sequences(batch.column(seq)), np.sort(codes)
             n = max(0, len(s.raw) - k + 1)
             items = np.zeros(n, np.int64)
             for j in range(k):
-                items = items << 5 | (s.raw[j : j + n] - 64 & 31)
-            text = np.searchsorted(s.offsets, np.arange(n), "right") - 1
-            inside = np.arange(n) + k <= s.offsets[text + 1]
-            names = batch.column(owner).dictionary_encode()
-            codes = names.indices.to_numpy(zero_copy_only=False)[text[inside]].astype(np.int64)
-            items = items[inside]
-            order = np.lexsort((items, codes))
-            items, codes = items[order], codes[order]
-            new = np.ones(len(items), bool)
-            new[1:] = (items[1:] != items[:-1]) | (codes[1:] != codes[:-1])
-            yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(codes[new])), pa.array(items[new])], [owner, "item"])
+                items <<= 5
+                items |= s.raw[j : j + n] - 64 & 31
+            inside = np.ones(n, bool)
+            over = (s.offsets[1:, None] - np.arange(1, k)).reshape(-1)  # these reach over a text's end
+            inside[over[(over >= 0) & (over < n)]] = False
+            bounds = np.flatnonzero(np.diff(codes, prepend=-1)).tolist()
+            for row, to in zip(bounds, [*bounds[1:], len(codes)], strict=True):
+                a, b = s.offsets[row], s.offsets[to]
+                own = np.unique(items[a:b][inside[a:b]])
+                yield pa.RecordBatch.from_arrays([batch.column(owner).take(pa.array(np.full(len(own), row))), pa.array(own)], [owner, "item"])
+            del s, items, inside, over, batch
+            pa.default_memory_pool().release_unused()
 
     return df.select(owner, seq).mapInArrow(run, schema_of(df, [owner]) + "item bigint")
