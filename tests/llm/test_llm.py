@@ -632,3 +632,13 @@ def test_pipeline_stages(spark):
     for r in final:
         assert r["decoded_sha256"] == hashlib.sha256(after[r["doc_id"]].encode()).hexdigest()
     assert {r["doc_id"] for r in final} == set(after)
+
+
+def test_components_grow_by_further_links(spark):
+    """Chains of parents, then links between components and to nodes of none."""
+    frame = lambda rows: spark.createDataFrame(rows, "a bigint, b bigint")
+    labels = minhash.rooted(frame([(1, 2), (2, 3), (3, 4), (4, 5), (10, 12), (20, 21), (7, 30)]))
+    assert {r["node"]: r["label"] for r in labels.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 10: 10, 12: 10, 20: 20, 21: 20, 7: 7, 30: 7}
+    grown = minhash.joined_on(labels, frame([(12, 21), (0, 20), (3, 5), (40, 41), (9, 30)]))
+    assert sorted(map(tuple, grown.collect())) == [(0, 0), (1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (7, 7), (9, 7), (10, 0), (12, 0), (20, 0), (21, 0), (30, 7), (40, 40), (41, 40)]
+    assert minhash.joined_on(labels, frame([(1, 5)])) is labels and minhash.rooted(frame([])).isEmpty()

@@ -232,6 +232,31 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def rooted(stars: DataFrame) -> DataFrame:
+    """(node, label) of links (a, b), a < b, with one a for each b: every node
+    takes its parent's parent until nothing changes, one join a turn."""
+    parents = stars.select(F.col("b").alias("node"), F.col("a").alias("label"))
+    while True:
+        up = parents.select(F.col("node").alias("via"), F.col("label").alias("far"))
+        after = parents.join(merged(up), parents["label"] == up["via"], "left").select("node", F.coalesce("far", "label").alias("label"), F.col("far").isNotNull().alias("moved")).checkpoint()
+        parents = after.select("node", "label")
+        if after.where("moved").isEmpty():
+            return parents.union(parents.select(F.col("label").alias("node"), "label").distinct())
+
+
+def joined_on(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels once further links (a, b) are known: only components that a
+    link joins are looked at, and of each its label alone."""
+    x, y = labels.toDF("a", "p"), labels.toDF("b", "q")
+    p, q = F.coalesce("p", "a"), F.coalesce("q", "b")
+    between = links.join(merged(x), "a", "left").join(merged(y), "b", "left").select(F.least(p, q).alias("a"), F.greatest(p, q).alias("b")).where("a <> b").distinct().checkpoint()
+    if between.isEmpty():
+        return labels
+    near = components(between).toDF("label", "least")
+    fresh = near.join(merged(labels.select(F.col("node").alias("label"))), "label", "left_anti").select(F.col("label").alias("node"), F.col("least").alias("label"))
+    return labels.join(merged(near), "label", "left").select("node", F.coalesce("least", "label").alias("label")).union(fresh).checkpoint()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id, kept) for every document."""
     use_checkpoints(docs.sparkSession)
@@ -255,7 +280,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     # a member's least pivot that passes the screen is enough for the first turn
     first = screened(open_rows.where("pivot <> _id").select(F.col("pivot").alias("a"), F.col("_id").alias("b")).distinct()).groupBy("b").agg(F.min("a").alias("a")).select("a", "b").checkpoint()
     links = confirm(sets, first, percent).checkpoint()
-    labels = components(links)
+    labels = rooted(links).checkpoint()
     let_go(docs.sparkSession)
 
     def labelled(found: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -271,8 +296,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         top = open_members.groupBy("band").agg(F.max(F.struct("label", "_id")).alias("top")).select("band", F.col("top._id").alias("pivot"), F.col("top.label").alias("pivot_label")).checkpoint()
         second = screened(open_members.join(merged(top), "band").where("label <> pivot_label").select(F.least("pivot", "_id").alias("a"), F.greatest("pivot", "_id").alias("b")).distinct())
         second = second.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").join(merged(first), ["a", "b"], "left_anti").checkpoint()
-        links = links.union(confirm(sets, second, percent)).checkpoint()
-        labels = components(links)
+        more = confirm(sets, second, percent).checkpoint()
+        links, labels = links.union(more), joined_on(labels, more)
         let_go(docs.sparkSession)
         open_members, torn = labelled(labels)
     if torn.limit(1).count():
@@ -289,8 +314,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         in_share = (F.col("x.band") == F.col("y.band")) & (F.col("x.part") == F.col("y.part"))
         third = x.join(merged(y), in_share & (F.col("x.label") < F.col("y.label")) & near & here).select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b")).distinct()
         third = third.join(merged(links), ["a", "b"], "left_anti").join(merged(first), ["a", "b"], "left_anti").checkpoint()
-        links = links.union(confirm(sets, third, percent)).checkpoint()
-        labels = components(links)
+        labels = joined_on(labels, confirm(sets, third, percent).checkpoint())
         let_go(docs.sparkSession)
 
     classes = firsts.join(merged(labels), firsts["rep"] == labels["node"], "left").select("n", "f1", "f2", F.coalesce("label", "rep").alias("class"))
