@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import itertools
 import math
 import re
 import time
@@ -229,6 +230,45 @@ def test_fine_screen_keeps_tiny_pairs(spark):
     assert df.where(minhash.may_link_finely("x", "y", 80)).count() == len(sets)
 
 
+def test_cells_meet_each_pair_once_and_send_few_rows(spark, monkeypatch):
+    """A bucket of 20 shares: each row was sent 21 times by shares."""
+    monkeypatch.setattr(minhash, "SHARE", 6)
+    monkeypatch.setattr(minhash, "TILE", 16)
+    ids = list(range(120))
+    rows = spark.createDataFrame([(7, i, i // 2) for i in ids] + [(9, i, i) for i in ids[:4]], "band bigint, _id bigint, label bigint")
+    cut = minhash.in_cells(rows, spark.createDataFrame([(7, 120), (9, 4)], "band bigint, members bigint"))
+    sent = cut.groupBy("band").agg(F.max(F.size("cells"))).collect()
+    assert dict(map(tuple, sent)) == {7: 7, 9: 1}
+    # all sets alike, so all pairs of different labels pass; bucket 9 has some of 7's members, whose pairs are left to 7
+    same = cut.withColumn("n", F.lit(50).cast("long")).withColumn("bits", F.array_repeat(F.lit(5).cast("long"), 8)).withColumn("fine", F.array_repeat(F.lit(6).cast("long"), 32))
+    both = same.withColumn("lower", F.when(F.col("band") == 9, F.array(F.lit(7).cast("long"))).otherwise(F.array().cast("array<bigint>")))
+    want = sorted((a, b) for a in ids for b in ids if a < b and a // 2 != b // 2)
+    assert sorted(map(tuple, minhash.likely_pairs(both, 80).collect())) == want
+    found = []
+    for (_, _), of in itertools.groupby(sorted((r for r in both.select("*", F.inline("cells")).collect()), key=lambda r: (r["band"], r["cell"])), key=lambda r: (r["band"], r["cell"])):
+        group = [r.asDict() for r in of]
+        part = pa.Table.from_pylist([{k: v for k, v in r.items() if k != "cells"} for r in group])
+        found += [tuple(sorted((group[i]["_id"], group[j]["_id"]))) for i, j in zip(*minhash.met(part, 80), strict=True)]
+    assert sorted(found) == want
+
+
+def test_cells_screen_as_the_columns_do(spark):
+    """The estimates of a cell's rows are those of may_link and may_link_finely."""
+    rng = np.random.default_rng(3)
+    whole = rng.integers(0, 2**63, 60, np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(whole)[: int(rng.integers(8, 60))], rng.integers(0, 2**63, int(rng.integers(0, 8)), np.uint64)])) for _ in range(120)]
+    rows = []
+    for i, x in enumerate(sets):
+        bits = ((minhash.minima(x) & 15).astype(np.uint64).reshape(8, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()
+        fine = np.packbits(minhash.minima(x, minhash._FINE_A, minhash._FINE_B) >> np.uint32(7) & np.uint32(1)).view(np.int64).tolist()
+        rows.append((i, len(x), bits, fine))
+    df = spark.createDataFrame(rows, "_id bigint, n bigint, bits array<bigint>, fine array<bigint>")
+    pairs = df.alias("x").join(df.alias("y"), F.col("x._id") < F.col("y._id")).where(minhash.may_link("x", "y", 80) & minhash.may_link_finely("x", "y", 80))
+    want = {(r[0], r[1]) for r in pairs.select("x._id", "y._id").collect()}
+    part = pa.Table.from_pylist([{"_id": i, "n": n, "bits": b, "fine": f, "label": i, "own": 0, "alone": True, "lower": []} for i, n, b, f in rows], pa.schema([("_id", pa.int64()), ("n", pa.int64()), ("bits", pa.list_(pa.int64())), ("fine", pa.list_(pa.int64())), ("label", pa.int64()), ("own", pa.int32()), ("alone", pa.bool_()), ("lower", pa.list_(pa.int64()))]))
+    assert want and set(zip(*(c.tolist() for c in minhash.met(part, 80)), strict=True)) == want
+
+
 def test_decontamination_equals_brute_force(spark, odd, none):
     rng = np.random.default_rng(2)
     text = lambda n: " ".join(f"t{x}" for x in rng.integers(0, 30, n))

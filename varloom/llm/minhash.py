@@ -16,11 +16,12 @@ is in.
    full sets.  Confirmed links are joined to components.
 4. Buckets whose members are still in different components get a second pivot.
    What is open after that gets a finer signature, 2048 minima of one bit, and
-   is joined within its bucket, members of different components only, with both
-   estimates inside the join condition and each pair in its first common bucket
-   only; every pair that passes is confirmed.  A bucket of many open members is
-   cut into shares there: each member is in one share and meets all others in
-   it, so no task has a whole bucket.  One-bit draws of tiny sets depend
+   is compared within its bucket, members of different components only, by both
+   estimates before a pair is a row and each pair in its lowest common open
+   bucket only; every pair that passes is confirmed.  A bucket of many open
+   members is cut into groups there, and each two of them meet in a cell, so no
+   task has a whole bucket and a member is sent once for each group.  One-bit
+   draws of tiny sets depend
    on each other, so a pair with a set of fewer than FINE_LEAST shingles is
    confirmed without the finer estimate.  No linked pair that shares a bucket is
    left out but for the estimates' error, and there is no cap on buckets, members
@@ -58,8 +59,10 @@ MARGIN = 0.18
 FINE_HASHES, FINE_MARGIN = 2048, 0.06
 #: Shingles that both sets have at least where the finer estimate decides.
 FINE_LEAST = 20
-#: Members whose sets meet one pivot's set in a task, and open members of a share of a bucket.
+#: Members whose sets meet one pivot's set in a task, and how many of a bucket's open members a task compares with all others, at most.
 MEMBERS, SHARE = 64, 256
+#: Rows of a cell that a task holds as bits of numbers, on either side.
+TILE = 1024
 
 _draw = np.random.Generator(np.random.PCG64(20260101))
 _A = _draw.integers(0, 2**31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -215,6 +218,104 @@ def confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return pivots.groupBy("pivot", "part").cogroup(members.groupBy("a", "chunk")).applyInArrow(compare, f"a {kind}, b {kind}")
 
 
+def in_cells(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The rows with their ``own`` group and, a row for each, the ``cell`` of
+    every two groups that theirs is one of; ``alone`` has one group.  A bucket
+    of s shares has about sqrt(2 s) groups: as many cells as there were shares,
+    of as many pairs, and a row is sent that often and not s times."""
+    shares = F.ceil(F.col("members") / SHARE)
+    groups = buckets.select("band", F.when(shares > 1, F.ceil(F.sqrt(2 * shares))).otherwise(1).cast("int").alias("groups"))
+    own, n = F.col("own"), F.col("groups")
+    cells = F.transform(F.sequence(F.lit(0), n - 1), lambda q: F.struct((F.least(own, q) * n + F.greatest(own, q)).alias("cell"), (own == q).alias("alone")))
+    return rows.join(merged(groups), "band").withColumn("own", F.pmod(F.xxhash64("_id"), n).cast("int")).withColumn("cells", cells).drop("groups")
+
+
+def met(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows of one cell whose labels differ and that pass both
+    estimates, as may_link and may_link_finely have them; a pair that has a
+    lower open bucket in common is left to that.  Tiles bound what is held."""
+    column = lambda name: table[name].combine_chunks()
+    numbers = lambda name: column(name).to_numpy(zero_copy_only=False)
+    label = column("label").dictionary_encode().indices.to_numpy()
+    n, own = numbers("n"), numbers("own")
+    bits, fine = (column(name).flatten().to_numpy().view(np.uint64).reshape(len(n), -1) for name in ("bits", "fine"))
+    lower = column("lower")
+    signs = lambda a: np.unpackbits(fine[a : a + TILE].view(np.uint8), axis=1).astype(np.float32) * 2 - 1
+    found = []
+    alone = table["alone"][0].as_py()
+    for i in range(0, len(n), TILE):
+        left = None
+        for j in range(i, len(n), TILE):
+            x, y = slice(i, i + TILE), slice(j, j + TILE)
+            ok = label[x, None] != label[None, y]
+            if i == j:
+                ok = np.triu(ok, 1)
+            if not alone:
+                ok &= own[x, None] != own[None, y]
+            least, most = np.minimum(n[x, None], n[None, y]), np.maximum(n[x, None], n[None, y])
+            ok &= least * 100 >= most * percent
+            if ok.any():
+                # each bit that is equal adds one to the product and each other takes one from it
+                left = signs(i) if left is None else left
+                alike = left @ (left if i == j else signs(j)).T / np.float32(FINE_HASHES)
+                a, b = np.nonzero(ok & ((least < FINE_LEAST) | (alike >= np.float32(percent / 100 - FINE_MARGIN))))
+                found.append((a + i, b + j))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b = (np.concatenate(c) for c in zip(*found, strict=True))
+    differ = np.zeros(len(a), np.int64)
+    for k in range(bits.shape[1]):
+        x = bits[a, k] ^ bits[b, k]
+        differ += np.bitwise_count((x | x >> np.uint64(1) | x >> np.uint64(2) | x >> np.uint64(3)) & np.uint64(0x1111111111111111))
+    chance = 2.0**-LOW_BITS
+    near = ((HASHES - differ) / HASHES - chance) / (1 - chance) >= percent / 100 - MARGIN
+    a, b = a[near], b[near]
+    sets = {k: frozenset(lower[k].as_py()) for k in np.unique(np.concatenate([a, b])).tolist()}
+    first = np.array([sets[p].isdisjoint(sets[q]) for p, q in zip(a.tolist(), b.tolist(), strict=True)], bool)
+    return a[first], b[first]
+
+
+def likely_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the rows of in_cells.  Each row is sent to its cells once; a
+    cell's rows come one after another, and small cells many to a batch."""
+    kind = rows.schema["_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held).combine_chunks()
+            band, cell = table["band"].to_numpy(), table["cell"].to_numpy()
+            cuts = np.flatnonzero((band[1:] != band[:-1]) | (cell[1:] != cell[:-1])) + 1
+            for at, to in zip([0, *cuts.tolist()], [*cuts.tolist(), len(band)], strict=True):
+                if to - at > 1:
+                    part = table.slice(at, to - at)
+                    a, b = met(part, percent)
+                    if len(a):
+                        ids = part["_id"].combine_chunks()
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], ["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            band, cell = batch.column("band").to_numpy(), batch.column("cell").to_numpy()
+            # the last cell may go on in the next batch
+            other = np.flatnonzero((band != band[-1]) | (cell != cell[-1]))
+            at = int(other[-1]) + 1 if len(other) else 0
+            if at:
+                yield from pairs([*held, batch.slice(0, at)])
+                held = []
+            elif held and (held[-1].column("band")[-1], held[-1].column("cell")[-1]) != (batch.column("band")[0], batch.column("cell")[0]):
+                yield from pairs(held)
+                held = []
+            held.append(batch.slice(at))
+        if held:
+            yield from pairs(held)
+        give_back()
+
+    sent = rows.select("_id", "band", "label", "n", "bits", "fine", "lower", "own", F.inline("cells")).repartition("band", "cell").sortWithinPartitions("band", "cell")
+    return sent.mapInArrow(run, f"a {kind}, b {kind}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the least node of each component of the links (a, b).
     Each turn takes the least label around every node, then that label's own
@@ -269,7 +370,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     # members of buckets with two or more: all that follows is about these
     open_rows = banded.join(merged(shared), "band").checkpoint()
     members = open_rows.select("_id").distinct()
-    facts = reps.select("_id", "n", "bits", "bands").join(merged(members), "_id", "left_semi").checkpoint()
+    facts = reps.select("_id", "n", "bits").join(merged(members), "_id", "left_semi").checkpoint()
     sets = full_sets(docs, members, k, id_col, text_col).checkpoint()
     let_go(docs.sparkSession)
 
@@ -279,6 +380,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     # a member's least pivot that passes the screen is enough for the first turn
     first = screened(open_rows.where("pivot <> _id").select(F.col("pivot").alias("a"), F.col("_id").alias("b")).distinct()).groupBy("b").agg(F.min("a").alias("a")).select("a", "b").checkpoint()
+    let_go(docs.sparkSession)
     links = confirm(sets, first, percent).checkpoint()
     labels = rooted(links).checkpoint()
     let_go(docs.sparkSession)
@@ -303,18 +405,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     if torn.limit(1).count():
         # what is left: members of one bucket in different components, screened within the join
         fine = fine_signatures(sets.join(merged(open_members.select("_id").distinct()), "_id", "left_semi"))
-        shares = torn.select("band", F.ceil(F.col("members") / SHARE).cast("int").alias("shares"))
-        left = open_members.join(merged(shares), "band").join(merged(facts.join(merged(fine), "_id")), "_id").select("band", "_id", "label", "n", "bits", "bands", "fine", "shares").checkpoint()
-        x = left.withColumn("part", F.pmod(F.xxhash64("_id"), "shares").cast("int")).alias("x")
-        y = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).alias("y")
-        near = may_link("x", "y", percent) & may_link_finely("x", "y", percent)
-        # a pair of several common buckets counts in the first of them
-        common = F.arrays_zip(F.col("x.bands").alias("p"), F.col("y.bands").alias("q"))
-        here = F.element_at(F.filter(common, lambda z: z["p"] == z["q"]), 1)["p"] == F.col("x.band")
-        in_share = (F.col("x.band") == F.col("y.band")) & (F.col("x.part") == F.col("y.part"))
-        third = x.join(merged(y), in_share & (F.col("x.label") < F.col("y.label")) & near & here).select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b")).distinct()
+        open_bands = open_members.groupBy("_id").agg(F.collect_set("band").alias("bands"))
+        known = facts.join(merged(fine), "_id").join(merged(open_bands), "_id")
+        lower = F.filter("bands", lambda x: x < F.col("band"))
+        rows = in_cells(open_members, torn).join(merged(known), "_id").withColumn("lower", lower)
+        third = likely_pairs(rows, percent)
         third = third.join(merged(links), ["a", "b"], "left_anti").join(merged(first), ["a", "b"], "left_anti").checkpoint()
-        labels = joined_on(labels, confirm(sets, third, percent).checkpoint())
+        let_go(docs.sparkSession)
+        last = confirm(sets, third, percent).checkpoint()
+        let_go(docs.sparkSession)
+        labels = joined_on(labels, last)
         let_go(docs.sparkSession)
 
     classes = firsts.join(merged(labels), firsts["rep"] == labels["node"], "left").select("n", "f1", "f2", F.coalesce("label", "rep").alias("class"))
