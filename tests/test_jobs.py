@@ -1,6 +1,7 @@
 """The jobs: results, reruns, growing input, and their command lines."""
 
 import json
+import random
 import re
 from collections import defaultdict
 from pathlib import Path
@@ -8,6 +9,7 @@ from pathlib import Path
 import pytest
 
 from jobs import common, normal_background, peptide_library
+from varloom.functions import packing
 
 SCHEMA = "doc_id bigint, text string, source string, tissue string, batch int, k string"
 
@@ -76,6 +78,45 @@ def test_library_equals_brute_force_and_reruns(spark, tmp_path):
     assert {r["entry_id"] for r in peptide_library.read(spark, out).collect()} <= {0, 1}
 
 
+def disk_of(spark):
+    """Bytes of shuffle files written so far."""
+    return spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+
+
+def test_library_in_turns_of_odd_entries(spark):
+    """Ids that repeat, are null or text, groups that differ for an id: the same
+    rows as by brute force, in several turns and buckets."""
+    rows = [(None if i % 7 == 3 else f"e{i % 19}", text, group) for i, text, group, *_ in rows_of(150)]
+    known = {fold(p) for p in peptides(residues("MAGKLLSDERPW PEPTLDEK"))}
+    want = defaultdict(set)
+    for i, text, group in rows:
+        for p in peptides(residues(text)):
+            if fold(p) not in known:
+                want[fold(p)].add((i or "", p, group or "unnamed"))
+    entries = spark.createDataFrame(rows, "doc_id string, text string, source string").repartition(3)
+    reference = spark.createDataFrame([("MAGKLLSDERPW PEPTLDEK",), (None,)], "text string")
+    cfg, cut = peptide_library.Settings(), packing.Cut(buckets=7, passes=3)
+    turns = [peptide_library.library(entries, reference, cfg, cut, turn).collect() for turn in range(3)]
+    got = {r["k"]: (r["entry_id"] or "", r["peptide"], r["group"], r["n_entries"], r["decoy"]) for turn in turns for r in turn}
+    assert sum(map(len, turns)) == len(got) and min(map(len, turns)) > 0
+    assert got == {k: (*min(found), len({f[0] for f in found}), decoy(min(found)[1])) for k, found in want.items()}
+
+
+def test_library_takes_little_disk(spark, tmp_path):
+    """Shuffle files under 2.5 bytes and a library under 7 bytes for a letter of
+    the entries (32 and 12 when each peptide was moved as a row)."""
+    r = random.Random(6)
+    words = ["".join(r.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(r.randrange(2, 9))) for _ in range(4000)]
+    rows = [(i, " ".join(r.choice(words) for _ in range(400)), f"g{i % 3}") for i in range(600)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/entries")
+    spark.createDataFrame([("MAGK",)], "text string").write.parquet(f"{tmp_path}/reference")
+    letters, before = sum(len(residues(t)) for _, t, _ in rows), disk_of(spark)
+    done = peptide_library.build(spark, f"{tmp_path}/entries", f"{tmp_path}/reference", f"{tmp_path}/out")
+    assert done["library"] == len({fold(p) for _, t, _ in rows for p in peptides(residues(t))})
+    moved, kept = disk_of(spark) - before, sum(f.stat().st_size for f in Path(f"{tmp_path}/out/library").rglob("*.parquet"))
+    assert (moved / letters < 2.5, kept / letters < 7) == (True, True), (moved / letters, kept / letters)
+
+
 def test_background_takes_only_what_is_new(spark, tmp_path):
     folder, out = f"{tmp_path}/samples", f"{tmp_path}/out"
     one, two, late = rows_of(60), rows_of(40, 1_000), rows_of(9, -50)

@@ -52,20 +52,22 @@ class Sequences:
         raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
         offsets = offsets - offsets[0]
         kept = raw != _STOP
-        self.raw = raw[kept]
-        self.offsets = np.concatenate([[0], np.cumsum(kept)])[offsets]
-        self.n = len(flat)
+        if not kept.all():
+            raw, offsets = raw[kept], np.concatenate([[0], np.cumsum(kept)])[offsets]
+        self.raw, self.offsets, self.n = raw, offsets, len(flat)
 
     def fragments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(owner, start, end) of the stretches between cuts, which are after K
         or R unless P follows."""
-        cut = np.isin(self.raw, (_K, _R))
+        cut = (self.raw == _K) | (self.raw == _R)
         cut[:-1] &= self.raw[1:] != _P
-        ends = self.offsets[1:][self.offsets[1:] > self.offsets[:-1]]
-        cut[ends - 1] = True
+        some = np.flatnonzero(self.offsets[1:] > self.offsets[:-1])
+        cut[self.offsets[1:][some] - 1] = True
         stop = np.flatnonzero(cut) + 1
         start = np.concatenate([[0], stop[:-1]]) if len(stop) else stop
-        return np.searchsorted(self.offsets, start, "right") - 1, start, stop
+        first = np.zeros(len(self.raw), bool)
+        first[self.offsets[some]] = True
+        return some[np.cumsum(first[start]) - 1], start, stop
 
     def texts(self, start: np.ndarray, length: np.ndarray) -> pa.Array:
         body = self.raw[ragged(start, length)]
