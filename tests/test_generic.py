@@ -220,3 +220,30 @@ def test_kmers_of_each_owner_equal_brute_force(spark):
     number = lambda m: sum((ord(x) - 64) << 5 * i for i, x in enumerate(reversed(m)))
     want = {(o, number(s[i : i + 3])) for o, s in rows if o and s for i in range(len(s) - 2)}
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_variants_are_placed_and_read_once(spark):
+    """Each work of a variant's row stands once in the plan: a translation of
+    either sequence, and the places of both ends with and without an anchor
+    (32 and 18 of them before)."""
+    from varloom.plans import derived  # noqa: F401
+
+    plan = generic.QUERIES["variant_proteins"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    rows = plan[: plan.index("Join")]
+    assert rows.count("regexp_extract_all") == 2 and rows.count("aggregate(exons") <= 8
+
+
+def test_translation_equals_brute_force(spark):
+    r = random.Random(5)
+    table = {a + b + c: S.STANDARD_CODE[16 * i + 4 * j + k] for i, a in enumerate(S.BASES) for j, b in enumerate(S.BASES) for k, c in enumerate(S.BASES)}
+    mito = {c: S.MITO_CODE[i] for i, c in enumerate(table)}
+    rows = [(n, None if n == 0 else "".join(r.choice("ACGTACGTACGTUacgtN.é") for _ in range(r.randrange(40))), n % 3 == 0, None if n % 7 == 1 else [i for i in range(12) if r.random() < 0.3]) for n in range(300)]
+    made = S.translate_orf("s", F.col("m"), F.col("sec"))
+    got = {x["n"]: x["x"] for x in spark.createDataFrame(rows, "n int, s string, m boolean, sec array<int>").select("n", made.alias("x")).collect()}
+    for n, s, m, sec in rows[1:]:
+        bases = s.upper().replace("U", "T")
+        codons = [bases[i : i + 3] for i in range(0, len(bases) // 3 * 3, 3)]
+        aas = "".join("U" if (mito if m else table).get(c) == "*" and c == "TGA" and i in (sec or []) else (mito if m else table).get(c, "X") for i, c in enumerate(codons))
+        read = aas.split("*")[0]
+        assert tuple(got[n]) == (read, "*" in aas, len(s) % 3, read.count("X"), read.count("U"))
+    assert got[0]["protein"] is None

@@ -7,6 +7,8 @@ Positions within transcripts and coding sequences are 0-based, genomic ones
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,18 +44,35 @@ def _indices(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
+#: All codons, with a mark between them, so that each is found at its own place only.
+_CODONS = ".".join(a + b + c for a in BASES for b in BASES for c in BASES)
+
+
+def _placed(code: str) -> str:
+    """X for no place, then residues at their codons' places and X between."""
+    return "X" + "XXX".join(code)
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of the value, which is worked out once however often
+    it is named: an expression that is named again is worked out again."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def residues(nt: Column | str, code: Column | None = None, mito: Column | None = None, sec: Column | None = None) -> Column:
     """One residue for each whole codon: '*' for stop, X for a codon with other
     letters, U for a TGA codon whose index is in ``sec``."""
     bases = F.replace(F.upper(as_column(nt)), F.lit("U"), F.lit("T"))
-    table = code if code is not None else codon_map()
+    codes = F.lit(_placed(STANDARD_CODE))
+    if mito is not None:
+        codes = F.when(mito, _placed(MITO_CODE)).otherwise(codes)
 
     def one(codon: Column, i: Column) -> Column:
-        aa = F.try_element_at(table, codon)
-        if mito is not None:
-            aa = F.when(mito, F.try_element_at(codon_map(MITO_CODE), codon)).otherwise(aa)
-        aa = F.coalesce(aa, F.lit("X"))
-        return F.when((aa == "*") & (codon == "TGA") & F.array_contains(sec, i), "U").otherwise(aa) if sec is not None else aa
+        aa = F.substring(codes, F.position(codon, F.lit(_CODONS)) + 1, F.lit(1))
+        if code is not None:
+            own = F.coalesce(F.try_element_at(code, codon), F.lit("X"))
+            aa = own if mito is None else F.when(mito, aa).otherwise(own)
+        return F.when((codon == "TGA") & F.array_contains(sec, i) & (aa == "*"), "U").otherwise(aa) if sec is not None else aa
 
     # one pass cuts the codons; a substring per codon would walk from the start each time
     return F.transform(F.regexp_extract_all(bases, F.lit("(?s)(.{3})"), F.lit(1)), one)
@@ -67,19 +86,22 @@ def letters(seq: Column) -> Column:
 def translate_orf(nt: Column | str, mito: Column | None = None, sec: Column | None = None, to_stop: bool = True) -> Column:
     """struct(protein, stop_found, trailing_partial, ambiguous_codons,
     selenocysteines) of frame 0.  Ambiguous and Sec codons count up to the stop."""
-    aas = residues(nt, mito=mito, sec=sec)
-    stop = F.array_position(aas, "*")
-    read = F.when(stop > 0, F.slice(aas, F.lit(1), F.greatest(F.lit(1), stop.cast("int") - 1))).otherwise(aas) if to_stop else aas
-    if to_stop:
-        read = F.when(stop == 1, F.array().cast("array<string>")).otherwise(read)
-    count = lambda aa: F.size(F.filter(read, lambda x: x == aa))
-    return F.struct(
-        F.array_join(read, "").alias("protein"),
-        (stop > 0).alias("stop_found"),
-        (F.length(as_column(nt)) % 3).alias("trailing_partial"),
-        count("X").alias("ambiguous_codons"),
-        (count("U") if sec is not None else F.lit(0)).alias("selenocysteines"),
-    )
+
+    def told(read: Column, stop: Column) -> Column:
+        protein = F.array_join(read, "")
+        count = lambda p, aa: F.length(p) - F.length(F.replace(p, F.lit(aa), F.lit("")))
+        return once(protein, lambda p: F.struct(
+            p.alias("protein"),
+            (stop > 0).alias("stop_found"),
+            (F.length(as_column(nt)) % 3).alias("trailing_partial"),
+            count(p, "X").alias("ambiguous_codons"),
+            (count(p, "U") if sec is not None else F.lit(0)).alias("selenocysteines"),
+        ))
+
+    def upto(aas: Column, stop: Column) -> Column:
+        return F.when(stop > 0, F.slice(aas, F.lit(1), stop.cast("int") - 1)).otherwise(aas) if to_stop else aas
+
+    return once(residues(nt, mito=mito, sec=sec), lambda aas: once(F.array_position(aas, "*"), lambda stop: told(upto(aas, stop), stop)))
 
 
 def protein_of(nt: Column | str, mito: Column | None = None, sec: Column | None = None) -> Column:
@@ -108,7 +130,7 @@ def first_difference(a: Column | str, b: Column | str) -> Column:
     x, y = as_column(a), as_column(b)
     # beyond the shorter end one side is null, and so is the comparison
     at = F.array_position(F.zip_with(letters(x), letters(y), lambda p, q: F.coalesce(p != q, F.lit(False))), F.lit(True))
-    return F.when(at > 0, at.cast("int") - 1).otherwise(F.least(F.length(x), F.length(y)))
+    return once(at, lambda n: F.when(n > 0, n.cast("int") - 1).otherwise(F.least(F.length(x), F.length(y))))
 
 
 def hgvs_change(hgvs: Column | str) -> Column:
@@ -178,16 +200,19 @@ def nmd(stop_off: Column, exon_lengths: Column, variant_off: Column, delta: Colu
     the last junction, junctions after the variant shifted by its length
     change, is likely a target of decay."""
     junctions = F.transform(junction_offsets(exon_lengths), lambda j: F.when((delta != 0) & (j > variant_off), j + delta).otherwise(j))
-    last = F.try_element_at(junctions, F.lit(-1))
-    distance = last - stop_off
     none = stop_off.isNull() | ~stop_found
-    state = F.when(none, "no_stop").when(last.isNull(), "escapes").when(distance > boundary, "likely").otherwise("escapes")
-    reason = (
-        F.when(none, "").when(last.isNull(), "single_exon_transcript")
-        .when(distance > boundary, F.concat(F.lit("stop_"), distance.cast("string"), F.lit("nt_upstream_of_last_junction")))
-        .when(stop_off >= last, "stop_in_last_exon").otherwise(f"stop_within_{boundary}nt_of_last_junction")
-    )
-    return F.struct(state.alias("nmd"), reason.alias("reason"), F.when(~none, distance).alias("distance"))
+
+    def told(last: Column) -> Column:
+        distance = last - stop_off
+        state = F.when(none, "no_stop").when(last.isNull(), "escapes").when(distance > boundary, "likely").otherwise("escapes")
+        reason = (
+            F.when(none, "").when(last.isNull(), "single_exon_transcript")
+            .when(distance > boundary, F.concat(F.lit("stop_"), distance.cast("string"), F.lit("nt_upstream_of_last_junction")))
+            .when(stop_off >= last, "stop_in_last_exon").otherwise(f"stop_within_{boundary}nt_of_last_junction")
+        )
+        return F.struct(state.alias("nmd"), reason.alias("reason"), F.when(~none, distance).alias("distance"))
+
+    return once(F.try_element_at(junctions, F.lit(-1)), told)
 
 
 # -- transcripts: exons are an array of struct(s, e) in transcription order --
@@ -236,8 +261,8 @@ def cds_offset(exons: Column, cds: Column, strand: Column, phase: Column) -> Col
 def tx_interval(exons: Column, strand: Column, pos: Column, n: Column) -> Column:
     """First transcript offset of n genomic bases from pos on, if all are
     exonic and adjacent on the transcript; else null."""
-    a, b = genomic_to_tx(exons, strand, pos), genomic_to_tx(exons, strand, pos + n - 1)
-    return F.when((n > 0) & (F.abs(b - a) + 1 == n), F.least(a, b))
+    ends = F.struct(genomic_to_tx(exons, strand, pos).alias("a"), genomic_to_tx(exons, strand, pos + n - 1).alias("b"))
+    return once(ends, lambda x: F.when((n > 0) & (F.abs(x["b"] - x["a"]) + 1 == n), F.least(x["a"], x["b"])))
 
 
 def sec_codons(exons: Column, strand: Column, sites: Column, cds_off: Column, variant_off: Column | None = None, delta: Column | None = None) -> Column:

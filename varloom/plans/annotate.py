@@ -68,7 +68,8 @@ def placement() -> Column:
     rest = F.when(S.left_anchored("ref", "alt") & (F.length("ref") > 1), S.tx_interval(e, strand, F.col("pos") + 1, F.length("ref") - 1))
     turned = lambda x: F.when(strand == "+", x).otherwise(S.revcomp(x))
     made = lambda at, ref, alt, trimmed: F.struct(at.cast("bigint").alias("start"), F.length(ref).cast("bigint").alias("len"), turned(alt).alias("allele"), turned(ref).alias("expected"), F.lit(trimmed).alias("trimmed"))
-    return F.when(whole.isNotNull(), made(whole, F.col("ref"), F.col("alt"), False)).when(rest.isNotNull(), made(rest, ref1, alt1, True))
+    without = S.once(rest, lambda at: F.when(at.isNotNull(), made(at, ref1, alt1, True)))
+    return S.once(whole, lambda at: F.when(at.isNotNull(), made(at, F.col("ref"), F.col("alt"), False)).otherwise(without))
 
 
 def representative(transcripts: DataFrame) -> DataFrame:

@@ -45,7 +45,8 @@ def small_variants(variants: DataFrame, transcripts: DataFrame, sequences: DataF
     variant_class, source, confidence) on every transcript they lie in."""
     tx = transcripts.join(R.merged(sequences), "tx_id")
     hits = candidates(variants, transcripts, mode).join(R.merged(variants), "variant_id").join(R.merged(tx.withColumnRenamed("chrom", "tx_chrom")), "tx_id").where(bare_contig(F.col("chrom")) == bare_contig(F.col("tx_chrom")))
-    placed = hits.withColumn("p", placement()).where("p IS NOT NULL AND cds_off IS NOT NULL")
+    # as a row of its own, so that the filter doesn't work the placement out again
+    placed = hits.where("cds_off IS NOT NULL").select("*", F.explode(F.array(placement())).alias("p")).where("p IS NOT NULL")
     start, n, delta = F.col("p.start"), F.col("p.len"), F.length("p.allele") - F.col("p.len")
     upstream = start < F.col("cds_off")
     spliced = placed.select("*", S.splice(F.col("tx_seq"), start, n, F.col("p.allele")).alias("mut"), (F.col("cds_off") + F.when(upstream, delta).otherwise(0)).alias("mut_off"), delta.alias("delta"), is_mito("tx_chrom").alias("mito"))
