@@ -247,3 +247,12 @@ def test_translation_equals_brute_force(spark):
         read = aas.split("*")[0]
         assert tuple(got[n]) == (read, "*" in aas, len(s) % 3, read.count("X"), read.count("U"))
     assert got[0]["protein"] is None
+
+
+def test_a_sequence_style_variant_is_read_once(spark):
+    """Its text is cut once for the rows that meet the genome and once for
+    others, after they are dealt (59 times before, and before that too)."""
+    from varloom.plans import derived  # noqa: F401
+
+    plan = generic.QUERIES["spdi_variants"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2 and plan.rindex("split(") < plan.rindex("RepartitionByExpression [l_orderkey")

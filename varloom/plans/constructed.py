@@ -20,11 +20,18 @@ CHROMOSOME, AUTOSOMES, SEX, MITO_ACCESSION = "^NC_0000(\\d\\d)\\.\\d+$", 22, {23
 
 def accession_contig(accession: Column) -> Column:
     """The contig of a chromosome's accession; null for others."""
-    n = F.regexp_extract(accession, CHROMOSOME, 1).try_cast("int")
-    names = F.when(n.between(1, AUTOSOMES), F.concat(F.lit("chr"), n.cast("string")))
-    for number, name in SEX.items():
-        names = names.when(n == number, name)
-    return names.when(accession.startswith(MITO_ACCESSION), "chrM")
+
+    def named(n: Column) -> Column:
+        names = F.when(n.between(1, AUTOSOMES), F.concat(F.lit("chr"), n.cast("string")))
+        for number, name in SEX.items():
+            names = names.when(n == number, name)
+        return names.when(accession.startswith(MITO_ACCESSION), "chrM")
+
+    return S.once(F.regexp_extract(accession, CHROMOSOME, 1).try_cast("int"), named)
+
+
+#: All contigs that an accession can stand for.
+ACCESSION_CONTIGS = (*(f"chr{n}" for n in range(1, AUTOSOMES + 1)), *SEX.values(), "chrM")
 
 
 def spdi_to_vcf(rows: DataFrame, spdi: str, chunks: DataFrame, chunk: int = G.CHUNK) -> DataFrame:
@@ -32,22 +39,30 @@ def spdi_to_vcf(rows: DataFrame, spdi: str, chunks: DataFrame, chunk: int = G.CH
     and the problem of those that can't be written so.  Positions there start
     at 0; a pure insertion or deletion gets the base before it, from the genome
     (contig, chunk_no, seq) whose contigs may have either style of name."""
-    parts = F.split(F.col(spdi), ":", -1)
-    part = lambda i: F.get(parts, F.lit(i))
-    at = F.when(part(1).rlike("^[0-9]+$"), part(1).try_cast("bigint"))
-    read = rows.withColumn("_x", F.struct(accession_contig(part(0)).alias("chrom"), at.alias("at"), F.upper(part(2)).alias("gone"), F.upper(part(3)).alias("new")))
+
+    def told(parts: Column) -> Column:
+        part = lambda i: F.get(parts, F.lit(i))
+        at = F.when(part(1).rlike("^[0-9]+$"), part(1).try_cast("bigint"))
+        return S.once(F.struct(accession_contig(part(0)).alias("chrom"), at.alias("at"), F.upper(part(2)).alias("gone"), F.upper(part(3)).alias("new"), F.size(parts).alias("n")), judged)
+
+    def judged(x: Column) -> Column:
+        bases = lambda name: x[name].rlike("^[ACGTN]*$")
+        bare = (x["gone"] == "") | (x["new"] == "")
+        problem = (
+            F.when(F.col(spdi).isNull() | (x["n"] != 4) | x["at"].isNull(), "not_readable").when(x["chrom"].isNull(), "unknown_accession").when(~bases("gone") | ~bases("new"), "not_bases")
+            .when((x["gone"] == "") & (x["new"] == ""), "no_change").when(bare & (x["at"] < 1), "no_base_before")
+        )
+        return F.struct(*(x[c].alias(c) for c in ("chrom", "at", "gone", "new")), bare.alias("bare"), problem.alias("problem"))
+
+    # a text is read once, as a row of its own: what asks for a part of it, or filters by one, doesn't read it again
+    read = rows.select("*", F.explode(F.array(S.once(F.split(F.col(spdi), ":", -1), told))).alias("_x")).withColumn("problem", F.col("_x.problem"))
     x = lambda name: F.col(f"_x.{name}")
-    bases = lambda name: x(name).rlike("^[ACGTN]*$")
-    bare = (x("gone") == "") | (x("new") == "")
-    problem = (
-        F.when(F.col(spdi).isNull() | (F.size(parts) != 4) | x("at").isNull(), "not_readable").when(x("chrom").isNull(), "unknown_accession").when(~bases("gone") | ~bases("new"), "not_bases")
-        .when((x("gone") == "") & (x("new") == ""), "no_change").when(bare & (x("at") < 1), "no_base_before")
-    )
-    read = read.withColumn("problem", problem)
+    bare = x("bare")
     columns = rows.columns
     plain = read.where(~(F.col("problem").isNull() & bare)).withColumn("_anchor", F.lit(None).cast("string"))
-    # only those that need a base meet the genome
-    open_ = G.resolved(read.where(F.col("problem").isNull() & bare), "_x.chrom", chunks.select("contig"), "_resolved")
+    # only those that need a base meet the genome; its names for the contigs of accessions are a row for each of these
+    names = G.contig_names(chunks.select("contig")).where(F.col("alias").isin(*ACCESSION_CONTIGS)).withColumnsRenamed({"alias": "_alias", "contig": "_resolved"})
+    open_ = read.where(F.col("problem").isNull() & bare).join(F.broadcast(names), x("chrom") == F.col("_alias"), "left").drop("_alias")
     anchored = G.base_at(open_, "_resolved", x("at"), chunks, "_anchor", chunk).drop("_resolved").withColumn("problem", F.when(F.col("_anchor").isNull(), "no_base_before"))
     both = plain.unionByName(anchored)
     fine = F.col("problem").isNull()
